@@ -6,7 +6,7 @@ import importlib
 
 from tidemark.plans.common import REGISTRY, Query
 
-_MODULES = ("reconcile_q",)
+_MODULES = ("reconcile_q", "normalize_q")
 
 
 def load_all() -> dict[str, Query]:

@@ -106,3 +106,25 @@ SELECT o_orderkey + CASE WHEN o_orderkey % 37 = 0 THEN 1000000000 ELSE 0 END AS
        CASE WHEN o_orderkey % 13 = 0 THEN '5-LOW' ELSE o_orderpriority END AS o_orderpriority
 FROM orders
 """
+
+
+def sql_standardize(x: str, width: int = 2) -> str:
+    """SQL twin of :func:`tidemark.functions.text.standardize_code`."""
+    pat = "'([A-Za-z]+)([0-9]+)'"
+    m = f"regexp_extract({x}, {pat}, 0)"
+    g1 = f"regexp_extract({x}, {pat}, 1)"
+    g2 = f"regexp_extract({x}, {pat}, 2)"
+    pos = f"instr({x}, {m})"
+    return (f"CASE WHEN {m} = '' THEN {x} ELSE "
+            f"substr({x}, 1, {pos} - 1) || upper({g1}) || '_' || "
+            f"CASE WHEN length({g2}) < {width} THEN lpad({g2}, {width}, '0') ELSE {g2} END || "
+            f"substr({x}, {pos} + length({m})) END")
+
+
+def sql_parse_number(x: str) -> str:
+    hit = f"regexp_extract(replace(CAST({x} AS VARCHAR), ',', ''), '-?[0-9]*\\.?[0-9]+', 0)"
+    return f"CASE WHEN {hit} = '' THEN NULL ELSE TRY_CAST({hit} AS DOUBLE) END"
+
+
+def sql_sentence(x: str) -> str:
+    return f"upper(substr({x}, 1, 1)) || lower(substr({x}, 2))"
