@@ -118,7 +118,7 @@ def permuted_labels(df: DataFrame, id_col: str, group: str, permutations: int, s
              .orderBy(*ek, group).collect())
     ex = df.withColumn("__perm", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
     ex = ex.withColumn("__h", F.xxhash64(F.lit(seed), F.col("__perm"), F.col(id_col)))
-    ranked = row_number_by(ex, ek + ["__perm"], ["__h", id_col], "__pos")
+    ranked = row_number_by(ex, ek + ["__perm"], ["__h", id_col], "__pos", hash_col="__h")
     label = None
     cum: dict[tuple, int] = {}
     for r in sizes:
@@ -435,7 +435,7 @@ def vector_fit(df: DataFrame, axes: Sequence[str], variables: Sequence[str], per
         canon = row_number_by(d, ["__all"], [id_col], "__rank")
         ax = canon.select("__rank", *axes).withColumn("__perm", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
         ax = ax.withColumn("__h", F.xxhash64(F.lit(seed), F.col("__perm"), F.col("__rank"))).withColumn("__all", F.lit(0))
-        ax = row_number_by(ax, ["__all", "__perm"], ["__h", "__rank"], "__pos")
+        ax = row_number_by(ax, ["__all", "__perm"], ["__h", "__rank"], "__pos", hash_col="__h")
         vv = canon.select(F.col("__rank").alias("__pos"), *variables)
         j = ax.join(vv, "__pos")
         aggs = [F.sum(F.col(a) * F.col(x)).alias(f"c_{i}_{k}") for i, a in enumerate(axes) for k, x in enumerate(variables)]

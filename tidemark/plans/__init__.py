@@ -6,7 +6,7 @@ import importlib
 
 from tidemark.plans.common import REGISTRY, Query
 
-_MODULES = ("reconcile_q", "normalize_q")
+_MODULES = ("reconcile_q", "normalize_q", "metrics_q", "sites_q", "quality_q", "community_q", "geometry_q")
 
 
 def load_all() -> dict[str, Query]:

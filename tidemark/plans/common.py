@@ -33,7 +33,7 @@ def register(name: str, operators: tuple[str, ...] | str, sql: str | None = None
     def deco(fn):
         if name in REGISTRY:
             raise KeyError(f"duplicate query {name}")
-        REGISTRY[name] = Query(name, fn, sql, ops, note)
+        REGISTRY[name] = Query(name, fn, sql_r6_rewrite(sql) if sql else None, ops, note)
         return fn
 
     return deco
@@ -54,8 +54,46 @@ def sql_num_text(x: str) -> str:
 
 
 def r6(c) -> Column:
-    """Round a double for cross-engine comparison."""
-    return F.round(c if isinstance(c, Column) else F.col(c), 6)
+    """Round a double to 6 decimals for cross-engine comparison.
+
+    ``round(x * 1e6) / 1e6`` rounds the same binary value the same way in
+    Spark and DuckDB (``round(x, 6)`` does not: Spark rounds the decimal text,
+    DuckDB the binary value, so ties can differ).  ``+ 0.0`` clears -0."""
+    c = c if isinstance(c, Column) else F.col(c)
+    return F.round(c * F.lit(1e6)) / F.lit(1e6) + F.lit(0.0)
+
+
+def sql_r6_rewrite(sql: str) -> str:
+    """Rewrite every ``round(<expr>, 6)`` in oracle SQL into the same
+    ``round(<expr> * 1e6) / 1e6 + 0.0`` form used by :func:`r6`."""
+    out, i, key = [], 0, "round("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        # find the matching close paren and the last top-level comma
+        depth, k, comma = 0, j + len(key), None
+        while k < len(sql):
+            ch = sql[k]
+            if ch == "(":
+                depth += 1
+            elif ch == ")":
+                if depth == 0:
+                    break
+                depth -= 1
+            elif ch == "," and depth == 0:
+                comma = k
+            elif ch == "'":
+                k = sql.index("'", k + 1)
+            k += 1
+        inner = sql[j + len(key):k]
+        if comma is not None and sql[comma + 1:k].strip() == "6":
+            expr = sql_r6_rewrite(sql[j + len(key):comma])
+            out.append(sql[i:j] + f"(round(({expr}) * 1e6) / 1e6 + 0.0)")
+        else:
+            out.append(sql[i:j] + key + sql_r6_rewrite(inner) + ")")
+        i = k + 1
 
 
 # ---------------------------------------------- edited "second entry" ------
