@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.vector import as_vector, bray_curtis, euclidean
 from tidemark.operators.ranking import row_number_by
+from tidemark.session import ensure_checkpoint_dir
 
 # Fixed value: tolerance when counting permuted statistics >= observed.
 PERM_EPS = 1.4901161193847656e-08
@@ -30,6 +31,28 @@ PERM_EPS = 1.4901161193847656e-08
 
 # ---------------------------------------------------------------- COM-1 ----
 
+def complete_cases(df: DataFrame, cols: Sequence[str], also: Sequence[str] = ()) -> DataFrame:
+    """Rows with no NULL among ``cols`` (and ``also``): one ``isnotnull`` per
+    column (each constraint names one column, so constraint inference stays
+    linear in the number of variables)."""
+    return df.dropna(subset=list(cols) + list(also))
+
+
+def _prepared(df: DataFrame, cols: Sequence[str], also: Sequence[str] = (),
+              keep: Sequence[str] = ()) -> DataFrame:
+    """Needed columns only, complete cases, checkpointed.
+
+    The statistics below make several passes and self-joins over this
+    matrix; checkpointing it to the session's checkpoint folder gives them a
+    plain scan to start from (no inherited constraints to re-plan, no lineage
+    to recompute after a lost executor)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    names = list(dict.fromkeys([*keep, *also, *cols]))
+    # checkpoint first: the filter then sees plain columns, not the
+    # expressions they were computed from
+    return complete_cases(df.select(*names).checkpoint(eager=True), cols, also)
+
+
 def column_moments(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:
     """Mean and sample sd of each column (one aggregate job, 2p numbers)."""
     row = df.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
@@ -42,7 +65,7 @@ def prepare_matrix(df: DataFrame, cols: Sequence[str], scale: bool = True,
     """Complete cases on ``cols``, drop constant columns, z-score (optional).
 
     Returns the prepared frame (``keep`` + kept columns) and the kept names."""
-    d = df.dropna(subset=list(cols))
+    d = complete_cases(df, cols)
     mom = column_moments(d, cols)
     kept = [c for c in cols if mom[c][1] is not None and mom[c][1] > 0]
     if scale:
@@ -61,13 +84,23 @@ def group_centroids(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame
 def distance_to_centroid(df: DataFrame, group: str, cols: Sequence[str],
                          metric: str = "euclidean", out: str = "distance") -> DataFrame:
     """Distance of each row to its group centroid (the pairwise-distance
-    building block that does not need all pairs)."""
+    building block that does not need all pairs).
+
+    The centroid table has one row per group; the distance is plain column
+    arithmetic (no arrays), which keeps the plan small for many variables."""
+    cols = list(cols)
     cen = group_centroids(df, group, cols)
-    cen = cen.select(F.col(group).alias("__g"), as_vector(list(cols)).alias("__c"))
+    cen = cen.select(F.col(group).alias("__g"), *[F.col(c).alias(f"__c{i}") for i, c in enumerate(cols)])
     j = df.join(cen, df[group].eqNullSafe(cen["__g"]), "inner")
-    v = as_vector(list(cols))
-    d = euclidean(v, F.col("__c")) if metric == "euclidean" else bray_curtis(v, F.col("__c"))
-    return j.withColumn(out, d).drop("__g", "__c")
+    if metric == "euclidean":
+        d = F.sqrt(sum(((F.col(c) - F.col(f"__c{i}")) ** 2 for i, c in enumerate(cols)), F.lit(0.0)))
+    elif metric in ("bray", "bray_curtis"):
+        num = sum((F.abs(F.col(c) - F.col(f"__c{i}")) for i, c in enumerate(cols)), F.lit(0.0))
+        den = sum(((F.col(c) + F.col(f"__c{i}")) for i, c in enumerate(cols)), F.lit(0.0))
+        d = F.try_divide(num, den)
+    else:
+        raise ValueError(f"unknown metric {metric!r}")
+    return j.withColumn(out, d).drop("__g", *[f"__c{i}" for i in range(len(cols))])
 
 
 def pair_distance(df: DataFrame, left: str, right: str, metric: str = "euclidean",
@@ -143,7 +176,7 @@ def permanova(df: DataFrame, group: str, cols: Sequence[str], permutations: int
     ss_total, f, r2, p_value (NULL when ``permutations == 0``)."""
     cols = list(cols)
     p = len(cols)
-    d = _centre(df.dropna(subset=cols + [group]), cols)
+    d = _centre(_prepared(df, cols, [group], [id_col] if id_col else []), cols)
     g_sums = _group_sums(d, [group], cols)
     obs = g_sums.agg(
         F.sum("__n").alias("n"), F.count(F.lit(1)).alias("groups"),
@@ -189,7 +222,7 @@ def pairwise_permanova(df: DataFrame, group: str, cols: Sequence[str], permutati
     inside its pair."""
     cols = list(cols)
     p = len(cols)
-    d = _centre(df.dropna(subset=cols + [group]), cols)
+    d = _centre(_prepared(df, cols, [group], [id_col] if id_col else []), cols)
     levels = _levels(d, group)
     pairs = list(itertools.combinations(levels, 2))
     m = len(pairs)
@@ -247,8 +280,8 @@ def simper_profile(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
     the all-row-pairs average is not built (it needs every between-group pair
     of rows)."""
     cols = list(cols)
-    cen = group_centroids(df.dropna(subset=cols + [group]), group, cols)
-    levels = _levels(df.dropna(subset=[group]), group)
+    cen = group_centroids(_prepared(df, cols, [group]), group, cols)
+    levels = _levels(df, group)
     gtype = dict(df.dtypes)[group]
     pairs = df.sparkSession.createDataFrame(list(itertools.combinations(levels, 2)),
                                             f"group1 {gtype}, group2 {gtype}")
@@ -272,7 +305,7 @@ def dispersion(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
     """Distances to group centroids and a one-way ANOVA on them.
 
     One row per group: group, n, mean_distance, plus the shared f, df1, df2."""
-    dd = distance_to_centroid(df.dropna(subset=list(cols) + [group]), group, cols, "euclidean", "__d")
+    dd = distance_to_centroid(_prepared(df, cols, [group]), group, cols, "euclidean", "__d")
     per = dd.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("__d").alias("mean_distance"),
                                 F.sum(F.col("__d") * F.col("__d")).alias("__s2"), F.sum("__d").alias("__s1"))
     tot = per.agg(F.sum("n").alias("__N"), F.count(F.lit(1)).alias("__g"),
@@ -343,7 +376,7 @@ def discriminant(df: DataFrame, group: str, cols: Sequence[str], keep: Sequence[
     (column expressions, computed on Spark), loadings per variable, and the
     proportion of trace of each discriminant."""
     cols = list(cols)
-    d = df.dropna(subset=cols + [group])
+    d = _prepared(df, cols, [group], keep)
     levels, n, s1, s2 = cross_moments(d, group, cols)
     g, p = len(levels), len(cols)
     N = n.sum()
@@ -379,7 +412,7 @@ def ordinate(df: DataFrame, cols: Sequence[str], k: int = 2, keep: Sequence[str]
 
     Returns ``(scores_df, explained_variance_ratio)``."""
     cols = list(cols)
-    d = df.dropna(subset=cols)
+    d = _prepared(df, cols, (), keep)
     _, n, s1, s2 = cross_moments(d, None, cols)
     N = n[0]
     mean = s1[0] / N
@@ -414,7 +447,7 @@ def vector_fit(df: DataFrame, axes: Sequence[str], variables: Sequence[str], per
     are aggregated; permutations pair the axes of row i with the variables of
     the row at a random rank (an equi-join on the rank)."""
     axes, variables = list(axes), list(variables)
-    d = df.dropna(subset=axes + variables)
+    d = _prepared(df, axes + variables, (), [id_col] if id_col else [])
     cols = axes + variables
     d = _centre(d, cols)
     q, v = len(axes), len(variables)
@@ -514,5 +547,5 @@ def fit_exponential(df: DataFrame, x: str, y: str, start: tuple[float, float, fl
     tss = pts.agg(F.sum((F.col("y") - F.lit(ybar)) ** 2)).first()[0]
     pts.unpersist()
     return df.sparkSession.createDataFrame(
-        [(a, b, c, float(rss), float(tss), 1.0 - float(rss) / float(tss), it, converged)],
+        [(float(a), float(b), float(c), float(rss), float(tss), 1.0 - float(rss) / float(tss), int(it), bool(converged))],
         "a double, b double, c double, rss double, tss double, r2 double, iterations int, converged boolean")

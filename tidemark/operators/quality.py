@@ -18,9 +18,11 @@ def _numeric_cols(df: DataFrame) -> list[str]:
     return [c for c, t in df.dtypes if t in _NUM or t.startswith("decimal")]
 
 
-def coverage(df: DataFrame, keys: Sequence[str], col: str, out: str | None = None) -> DataFrame:
-    """QC-1: distinct values of ``col`` per group (dates, transects, ...)."""
-    return df.groupBy(*keys).agg(F.countDistinct(col).alias(out or f"n_{col}"))
+def coverage(df: DataFrame, keys: Sequence[str], cols) -> DataFrame:
+    """QC-1: number of distinct values of each column per group (dates,
+    transects, quadrats ...), named ``n_<col>``."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    return df.groupBy(*keys).agg(*[F.countDistinct(c).alias(f"n_{c}") for c in cols])
 
 
 def missing_summary(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

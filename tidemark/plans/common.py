@@ -53,6 +53,13 @@ def sql_num_text(x: str) -> str:
             f"ELSE regexp_replace(CAST(CAST({x} AS DOUBLE) AS VARCHAR), '\\.0$', '') END")
 
 
+def rn(c, digits: int) -> Column:
+    """Round to ``digits`` decimals the same way in Spark and DuckDB."""
+    c = c if isinstance(c, Column) else F.col(c)
+    scale = float(10 ** digits)
+    return F.round(c * F.lit(scale)) / F.lit(scale) + F.lit(0.0)
+
+
 def r6(c) -> Column:
     """Round a double to 6 decimals for cross-engine comparison.
 
@@ -88,9 +95,10 @@ def sql_r6_rewrite(sql: str) -> str:
                 k = sql.index("'", k + 1)
             k += 1
         inner = sql[j + len(key):k]
-        if comma is not None and sql[comma + 1:k].strip() == "6":
+        digits = sql[comma + 1:k].strip() if comma is not None else ""
+        if digits.isdigit():
             expr = sql_r6_rewrite(sql[j + len(key):comma])
-            out.append(sql[i:j] + f"(round(({expr}) * 1e6) / 1e6 + 0.0)")
+            out.append(sql[i:j] + f"(round(({expr}) * 1e{digits}) / 1e{digits} + 0.0)")
         else:
             out.append(sql[i:j] + key + sql_r6_rewrite(inner) + ")")
         i = k + 1
