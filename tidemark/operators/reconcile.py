@@ -81,17 +81,23 @@ def has_duplicate_keys(df: DataFrame, keys: Sequence[str]) -> bool:
     return duplicate_keys(df, keys).limit(1).count() > 0
 
 
-def _diff_expr(a: Column, b: Column, dtype: str, null_policy: str, sep: str) -> Column:
-    ta, tb = value_text(a, dtype), value_text(b, dtype)
+def _differs(a: Column, b: Column, null_policy: str) -> Column:
+    """Cell comparison: R semantics (NA != x is NA -> not flagged) with
+    ``ignore``; a value against NULL is flagged with ``flag``."""
     if null_policy == "ignore":
-        # R semantics: NA != x is NA -> not flagged
-        return F.when(a != b, F.concat(ta, F.lit(sep), tb))
+        return F.coalesce(a != b, F.lit(False))
     if null_policy == "flag":
-        return F.when(~a.eqNullSafe(b), F.concat(F.coalesce(ta, F.lit("NA")), F.lit(sep),
-                                                 F.coalesce(tb, F.lit("NA"))))
+        return ~a.eqNullSafe(b)
     raise ValueError(f"null_policy must be 'ignore' or 'flag', not {null_policy!r}")
 
 
+def _diff_expr(a: Column, b: Column, dtype: str, null_policy: str, sep: str) -> Column:
+    ta, tb = value_text(a, dtype), value_text(b, dtype)
+    if null_policy == "flag":
+        ta, tb = F.coalesce(ta, F.lit("NA")), F.coalesce(tb, F.lit("NA"))
+    return F.when(_differs(a, b, null_policy), F.concat(ta, F.lit(sep), tb))
+
+
 def cell_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str],
               cols: Sequence[str] | Mapping[str, tuple[str, str]] | None = None,
               null_policy: str = "ignore", sep: str = DIFF_SEP, year: int | None = None,
@@ -128,6 +134,9 @@ def cell_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str],
                   "inner" if how == "inner" else "full_outer")
     key_cols = [F.col(k) if how == "inner" else F.coalesce(F.col(k), F.col(f"{k}__qc")).alias(k)
                 for k in keys]
+    # filter on the comparisons (cheap); message text is built only for the
+    # rows that survive
+    j = j.where(any_true(_differs(F.col(f"{n}__raw"), F.col(f"{n}__qc"), null_policy) for n in pairs))
     diffs = []
     for n, (r, q) in pairs.items():
         dt = rt[r] if _is_numeric(rt[r]) == _is_numeric(qt[q]) else "string"
@@ -136,7 +145,6 @@ def cell_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str],
     out = j.select(*key_cols, *diffs)
     if where is not None:
         out = out.where(where)
-    out = out.where(any_true(F.col(f"{n}{suffix}").isNotNull() for n in pairs))
     if year is not None:
         out = out.where(F.year(F.col(date_col or keys[0])) == F.lit(year))
     if resolved:

@@ -317,3 +317,31 @@ def qc5_row_invariant(spark, sf):
     o, parts = _orders_by_year(spark, sf)
     return qc.row_invariant(o, io.union_years(parts), "equal")
 
+
+
+# --------------------------------------- SRC-1/2, SNK-1/2, NRM-1/2 ---------
+
+SRC12_SQL = """SELECT c_custkey AS cust_key, c_name AS name, CAST(c_nationkey AS BIGINT) AS nation_key,
+  c_acctbal AS acct_bal, c_mktsegment AS mkt_segment
+FROM customer WHERE c_custkey <> (SELECT min(c_custkey) FROM customer)"""
+
+
+@register("src12_csv_roundtrip", ("SRC-1", "SRC-2", "SNK-1", "SNK-2", "NRM-1", "NRM-2", "SRC-3"), SRC12_SQL)
+def src12_csv_roundtrip(spark, sf):
+    """Sheet-style CSV written with messy headers, read back as text, names
+    cleaned, types inferred, the leading example row dropped, saved as a
+    table and read again.  Files go to the session's checkpoint folder."""
+    import uuid
+
+    from tidemark.session import ensure_checkpoint_dir
+
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-roundtrip-{uuid.uuid4().hex}"
+    c = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("Cust Key"), F.col("c_name").alias("Name"),
+        F.col("c_nationkey").alias("NationKey"), F.col("c_acctbal").alias("Acct  Bal"),
+        F.col("c_mktsegment").alias("Mkt-Segment"))
+    io.write_csv(c, f"{base}/sheet")
+    t = io.infer_types(io.read_text_table(spark, f"{base}/sheet"))
+    t = nm.drop_leading(t, "cust_key")
+    io.write_tables({"customers": t}, f"{base}/tables")
+    return io.read_table(spark, f"{base}/tables/customers")
