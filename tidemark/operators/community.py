@@ -139,7 +139,8 @@ def _f_stat(sst, ssw, n, g):
 # ---------------------------------------------------------- permutations ---
 
 def permuted_labels(df: DataFrame, id_col: str, group: str, permutations: int, seed: int,
-                    extra_keys: Sequence[str] = (), out: str = "__plabel") -> DataFrame:
+                    extra_keys: Sequence[str] = (), out: str = "__plabel",
+                    include_observed: bool = False) -> DataFrame:
     """Explode each row into ``permutations`` copies with a permuted label.
 
     Inside every (extra_keys, perm) block the labels are a uniformly random
@@ -149,7 +150,8 @@ def permuted_labels(df: DataFrame, id_col: str, group: str, permutations: int, s
     ek = list(extra_keys)
     sizes = (df.groupBy(*ek, group).agg(F.count(F.lit(1)).alias("__sz"))
              .orderBy(*ek, group).collect())
-    ex = df.withColumn("__perm", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
+    first = 0 if include_observed else 1
+    ex = df.withColumn("__perm", F.explode(F.sequence(F.lit(first), F.lit(permutations))))
     ex = ex.withColumn("__h", F.xxhash64(F.lit(seed), F.col("__perm"), F.col(id_col)))
     ranked = row_number_by(ex, ek + ["__perm"], ["__h", id_col], "__pos", hash_col="__h")
     label = None
@@ -162,7 +164,10 @@ def permuted_labels(df: DataFrame, id_col: str, group: str, permutations: int, s
         for k, v in zip(ek, blk):
             cond = cond & (F.col(k) == F.lit(v))
         label = F.when(cond, F.lit(r[group])) if label is None else label.when(cond, F.lit(r[group]))
-    return ranked.withColumn(out, label).drop("__h", "__pos")
+    out_label = label
+    if include_observed:  # permutation 0 is the observed labelling
+        out_label = F.when(F.col("__perm") == 0, F.col(group)).otherwise(label)
+    return ranked.withColumn(out, out_label).drop("__h", "__pos")
 
 
 # ---------------------------------------------------------------- COM-3 ----
@@ -193,17 +198,30 @@ def permanova(df: DataFrame, group: str, cols: Sequence[str], permutations: int
     if id_col is None:
         d = d.withColumn("__id", F.monotonically_increasing_id())
         id_col = "__id"
-    pl = permuted_labels(d, id_col, group, permutations, seed)
-    ps = _group_sums(pl, ["__perm", "__plabel"], cols).select("__perm", _ss_expr(p).alias("__ssw"))
-    per = ps.groupBy("__perm").agg(F.sum("__ssw").alias("__ssw"))
-    o2 = obs.select("n", "groups", "ss_total", "f").withColumn("__k", F.lit(0))
-    cnt = (per.withColumn("__k", F.lit(0)).join(o2, "__k")
-           .select(_f_stat(F.col("ss_total"), F.col("__ssw"), F.col("n"), F.col("groups")).alias("__fp"), "f")
-           .agg(F.count(F.when(F.col("__fp") >= F.col("f") - F.lit(PERM_EPS), 1)).alias("__ge"))
-           .withColumn("__k", F.lit(0)))
-    return (obs.withColumn("__k", F.lit(0)).join(cnt, "__k")
-            .withColumn("p_value", (F.col("__ge") + 1) / F.lit(permutations + 1.0))
-            .drop("__k", "__ge"))
+    # permutation 0 = observed labels; every permutation's F from one table
+    pl = permuted_labels(d, id_col, group, permutations, seed, include_observed=True)
+    ps = _group_sums(pl, ["__perm", "__plabel"], cols).select(
+        "__perm", "__n", _ss_expr(p).alias("__ssw"), "__s2", *[f"__s1_{i}" for i in range(p)])
+    per = ps.groupBy("__perm").agg(
+        F.sum("__ssw").alias("ss_within"), F.sum("__n").alias("n"), F.count(F.lit(1)).alias("groups"),
+        F.sum("__s2").alias("__s2"), *[F.sum(f"__s1_{i}").alias(f"__s1_{i}") for i in range(p)])
+    per = per.withColumn("ss_total", F.col("__s2") - sum((F.col(f"__s1_{i}") ** 2 for i in range(p)), F.lit(0.0)) / F.col("n"))
+    per = per.withColumn("f", _f_stat(F.col("ss_total"), F.col("ss_within"), F.col("n"), F.col("groups")))
+    obs_f = F.max(F.when(F.col("__perm") == 0, F.col("f")))
+    res = per.agg(
+        F.max(F.when(F.col("__perm") == 0, F.col("n"))).alias("n"),
+        F.max(F.when(F.col("__perm") == 0, F.col("groups"))).alias("groups"),
+        F.max(F.when(F.col("__perm") == 0, F.col("ss_within"))).alias("ss_within"),
+        F.max(F.when(F.col("__perm") == 0, F.col("ss_total"))).alias("ss_total"),
+        obs_f.alias("f"),
+        F.collect_list(F.when(F.col("__perm") > 0, F.col("f"))).alias("__fp"))
+    # the P permuted F values of this one-row result are compared in place
+    ge = F.size(F.filter(F.col("__fp"), lambda v: v >= F.col("f") - F.lit(PERM_EPS)))
+    return res.select(
+        "n", "groups", (F.col("groups") - 1).alias("df_between"), (F.col("n") - F.col("groups")).alias("df_within"),
+        (F.col("ss_total") - F.col("ss_within")).alias("ss_between"), "ss_within", "ss_total", "f",
+        (F.lit(1.0) - F.col("ss_within") / F.col("ss_total")).alias("r2"),
+        ((ge + 1) / F.lit(permutations + 1.0)).alias("p_value"))
 
 
 # ---------------------------------------------------------------- COM-4 ----
@@ -263,10 +281,10 @@ def pairwise_permanova(df: DataFrame, group: str, cols: Sequence[str], permutati
 
 
 def bonferroni(df: DataFrame, p_col: str = "p_value", out: str = "p_adjusted") -> DataFrame:
-    """min(p x m, 1) with m = number of rows (tests)."""
-    m = df.agg(F.count(F.lit(1)).alias("__m")).withColumn("__k", F.lit(0))
-    return (df.withColumn("__k", F.lit(0)).join(m, "__k")
-            .withColumn(out, F.least(F.col(p_col) * F.col("__m"), F.lit(1.0))).drop("__k", "__m"))
+    """min(p x m, 1) with m = number of rows (tests); m comes from a window
+    over the (small) table of tests."""
+    m = F.count(F.lit(1)).over(Window.partitionBy())
+    return df.withColumn(out, F.least(F.col(p_col) * m, F.lit(1.0)))
 
 
 # ---------------------------------------------------------------- COM-5 ----
@@ -308,15 +326,14 @@ def dispersion(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
     dd = distance_to_centroid(_prepared(df, cols, [group]), group, cols, "euclidean", "__d")
     per = dd.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("__d").alias("mean_distance"),
                                 F.sum(F.col("__d") * F.col("__d")).alias("__s2"), F.sum("__d").alias("__s1"))
-    tot = per.agg(F.sum("n").alias("__N"), F.count(F.lit(1)).alias("__g"),
-                  F.sum("__s1").alias("__T1"), F.sum("__s2").alias("__T2"),
-                  F.sum(F.col("__s2") - F.col("__s1") * F.col("__s1") / F.col("n")).alias("__ssw"))
-    tot = tot.withColumn("__sst", F.col("__T2") - F.col("__T1") * F.col("__T1") / F.col("__N"))
-    tot = tot.select(_f_stat(F.col("__sst"), F.col("__ssw"), F.col("__N"), F.col("__g")).alias("f"),
-                     (F.col("__g") - 1).alias("df1"), (F.col("__N") - F.col("__g")).alias("df2"),
-                     F.lit(0).alias("__k"))
-    return (per.withColumn("__k", F.lit(0)).join(tot, "__k")
-            .select(group, "n", "mean_distance", "f", "df1", "df2"))
+    # totals over the g group rows (a window on the tiny per-group table)
+    allg = Window.partitionBy()
+    N, g = F.sum("n").over(allg), F.count(F.lit(1)).over(allg)
+    t1, t2 = F.sum("__s1").over(allg), F.sum("__s2").over(allg)
+    ssw = F.sum(F.col("__s2") - F.col("__s1") * F.col("__s1") / F.col("n")).over(allg)
+    sst = t2 - t1 * t1 / N
+    return per.select(group, "n", "mean_distance", _f_stat(sst, ssw, N, g).alias("f"),
+                      (g - 1).alias("df1"), (N - g).alias("df2"))
 
 
 # ------------------------------------------------------------- moments -----
@@ -543,9 +560,10 @@ def fit_exponential(df: DataFrame, x: str, y: str, start: tuple[float, float, fl
         if done:
             converged = True
             break
-    ybar = pts.agg(F.avg("y")).first()[0]
+    ybar, n_points = pts.agg(F.avg("y"), F.count(F.lit(1))).first()
     tss = pts.agg(F.sum((F.col("y") - F.lit(ybar)) ** 2)).first()[0]
     pts.unpersist()
     return df.sparkSession.createDataFrame(
-        [(float(a), float(b), float(c), float(rss), float(tss), 1.0 - float(rss) / float(tss), int(it), bool(converged))],
-        "a double, b double, c double, rss double, tss double, r2 double, iterations int, converged boolean")
+        [(float(a), float(b), float(c), float(rss), float(tss), 1.0 - float(rss) / float(tss), int(n_points),
+          int(it), bool(converged))],
+        "a double, b double, c double, rss double, tss double, r2 double, n_points long, iterations int, converged boolean")

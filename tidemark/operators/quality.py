@@ -60,14 +60,16 @@ def violations(df: DataFrame, rules: Mapping[str, Column], mode: str = "rows") -
 
 
 def row_invariant(before: DataFrame, after: DataFrame, relation: str = "equal") -> DataFrame:
-    """QC-5: one row ``(n_before, n_after, ok)``; both counts are aggregates
-    joined on a constant key (two one-row tables)."""
-    b = before.agg(F.count(F.lit(1)).alias("n_before")).withColumn("__k", F.lit(0))
-    a = after.agg(F.count(F.lit(1)).alias("n_after")).withColumn("__k", F.lit(0))
+    """QC-5: one row ``(n_before, n_after, ok)`` from ONE aggregate over the
+    two inputs stacked (no join)."""
+    both = (before.select(F.lit(1).alias("__b"), F.lit(0).alias("__a"))
+            .unionByName(after.select(F.lit(0).alias("__b"), F.lit(1).alias("__a"))))
+    cnt = both.agg(F.coalesce(F.sum("__b"), F.lit(0)).cast("long").alias("n_before"),
+                   F.coalesce(F.sum("__a"), F.lit(0)).cast("long").alias("n_after"))
     ok = {"equal": F.col("n_before") == F.col("n_after"),
           "not_less": F.col("n_after") >= F.col("n_before"),
           "not_more": F.col("n_after") <= F.col("n_before")}[relation]
-    return b.join(a, "__k").select("n_before", "n_after", ok.alias("ok"))
+    return cnt.select("n_before", "n_after", ok.alias("ok"))
 
 
 def check_rows(before: DataFrame, after: DataFrame, relation: str = "equal") -> None:

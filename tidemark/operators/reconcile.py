@@ -231,48 +231,58 @@ def multiset_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequ
     with recycling of the shorter sorted list, an empty side equal.
 
     Message: ``"Raw: 1, 2.5 ≠ QC: 1, 3"`` (labels configurable).
+
+    Plan: both entries are unioned and aggregated once to
+    ``(group, column, value) -> (n_raw, n_qc)`` (partial aggregation before
+    the shuffle; a presence marker column records which entry has the group);
+    one more partial aggregate per group yields the difference flags; value
+    lists are collected only for groups that differ.
     """
     keys, cols = list(keys), list(as_list(cols))
     rt, qt = dict(raw.dtypes), dict(qc.dtypes)
     numeric = all(_is_numeric(rt[c]) and _is_numeric(qt[c]) for c in cols)
     vtype = "double" if numeric else "string"
-
-    def long(df: DataFrame) -> DataFrame:
-        d = df.select(*keys, *[F.col(c).cast(vtype).alias(c) for c in cols])
-        d = d.unpivot(keys, cols, "__col", "__v").where(F.col("__v").isNotNull())
-        return d.groupBy(*keys, "__col", "__v").agg(F.count(F.lit(1)).alias("__n"))
-
-    a = long(raw)
-    b = long(qc).select(*[F.col(k).alias(f"{k}__q") for k in keys],
-                        F.col("__col").alias("__col__q"), F.col("__v").alias("__v__q"),
-                        F.col("__n").alias("__n__q"))
-    on = null_safe_on(a, b, keys + ["__col", "__v"], [f"{k}__q" for k in keys] + ["__col__q", "__v__q"])
-    counts = a.join(b, on, "full_outer").select(
-        *[F.coalesce(F.col(k), F.col(f"{k}__q")).alias(k) for k in keys],
-        F.coalesce(F.col("__col"), F.col("__col__q")).alias("__col"),
-        F.coalesce(F.col("__v"), F.col("__v__q")).alias("__v"),
-        F.coalesce(F.col("__n"), F.lit(0)).alias("na"),
-        F.coalesce(F.col("__n__q"), F.lit(0)).alias("nb"))
-    per_group = counts.groupBy(*keys, "__col").agg(
-        F.max(F.when(F.col("na") != F.col("nb"), 1).otherwise(0)).alias("__differs"),
-        F.collect_list(F.when(F.col("na") > 0, F.struct(F.col("__v").alias("v"), F.col("na").alias("n")))).alias("__ra"),
-        F.collect_list(F.when(F.col("nb") > 0, F.struct(F.col("__v").alias("v"), F.col("nb").alias("n")))).alias("__qa"),
-    ).where(F.col("__differs") == 1)
-    if length_policy == "recycle":
-        per_group = per_group.where(~_recycled_equal(_expanded(F.col("__ra")), _expanded(F.col("__qa"))))
-    elif length_policy != "strict":
-        raise ValueError("length_policy must be 'strict' or 'recycle'")
-    msg = F.concat(F.lit(labels[0] + " "), _list_text(F.col("__ra"), numeric, render),
-                   F.lit(sep + labels[1] + " "),
-                   _list_text(F.col("__qa"), numeric, render))
-    flagged = per_group.select(*keys, "__col", msg.alias("__msg"))
-    # groups present on both sides (a side whose values are all NULL still counts)
-    ga = raw.select(*keys).distinct()
-    gb = qc.select(*[F.col(k).alias(f"{k}__g") for k in keys]).distinct()
-    both = ga.join(gb, null_safe_on(ga, gb, keys, [f"{k}__g" for k in keys]), "left_semi")
-    flagged = _semi(flagged, both, keys)
-    wide = (flagged.groupBy(*keys).pivot("__col", cols).agg(F.first("__msg")))
-    out = wide.select(*keys, *[F.col(c).alias(f"{c}{suffix}") for c in cols])
+    marker = "__present"
+
+    def side(df: DataFrame, is_raw: bool) -> DataFrame:
+        d = df.select(*keys, *[F.col(c).cast(vtype).alias(c) for c in cols],
+                      F.lit(0).cast(vtype).alias(marker), F.lit(1 if is_raw else 0).alias("__r"))
+        return d.unpivot(keys + ["__r"], cols + [marker], "__col", "__v").where(F.col("__v").isNotNull())
+
+    both = side(raw, True).unionByName(side(qc, False))
+    counts = both.groupBy(*keys, "__col", "__v").agg(
+        F.sum("__r").alias("na"), F.sum(F.lit(1) - F.col("__r")).alias("nb"))
+    flag_aggs = [F.max(F.when((F.col("__col") == marker) & (F.col("na") > 0), 1)).alias("__pa"),
+                 F.max(F.when((F.col("__col") == marker) & (F.col("nb") > 0), 1)).alias("__pb")]
+    flag_aggs += [F.max(F.when((F.col("__col") == c) & (F.col("na") != F.col("nb")), 1)).alias(f"__d{i}")
+                  for i, c in enumerate(cols)]
+    flags = (counts.groupBy(*keys).agg(*flag_aggs)
+             .where((F.col("__pa") == 1) & (F.col("__pb") == 1) &
+                    any_true(F.col(f"__d{i}") == 1 for i in range(len(cols)))))
+    f2 = flags.select(*[F.col(k).alias(f"{k}__f") for k in keys], *[f"__d{i}" for i in range(len(cols))])
+    sel = counts.where(F.col("__col") != marker)
+    j = sel.join(f2, null_safe_on(sel, f2, keys, [f"{k}__f" for k in keys]), "inner")
+    list_aggs = []
+    for i, c in enumerate(cols):
+        on_c = F.col("__col") == c
+        list_aggs += [
+            F.first(f"__d{i}").alias(f"__d{i}"),
+            F.collect_list(F.when(on_c & (F.col("na") > 0), F.struct(F.col("__v").alias("v"), F.col("na").alias("n")))).alias(f"__ra{i}"),
+            F.collect_list(F.when(on_c & (F.col("nb") > 0), F.struct(F.col("__v").alias("v"), F.col("nb").alias("n")))).alias(f"__qa{i}"),
+        ]
+    per_group = j.groupBy(*keys).agg(*list_aggs)
+    outs = []
+    for i, c in enumerate(cols):
+        ra, qa = F.col(f"__ra{i}"), F.col(f"__qa{i}")
+        differs = F.col(f"__d{i}") == 1
+        if length_policy == "recycle":
+            differs = differs & ~_recycled_equal(_expanded(ra), _expanded(qa))
+        elif length_policy != "strict":
+            raise ValueError("length_policy must be 'strict' or 'recycle'")
+        msg = F.concat(F.lit(labels[0] + " "), _list_text(ra, numeric, render),
+                       F.lit(sep + labels[1] + " "), _list_text(qa, numeric, render))
+        outs.append(F.when(differs, msg).alias(f"{c}{suffix}"))
+    out = per_group.select(*keys, *outs).where(any_true(F.col(f"{c}{suffix}").isNotNull() for c in cols))
     if year is not None:
         out = out.where(F.year(F.col(date_col or keys[0])) == F.lit(year))
     if resolved:

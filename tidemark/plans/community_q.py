@@ -253,7 +253,5 @@ def com11_fit_exponential(spark, sf):
     p = table(spark, sf, "part").select(F.col("p_size").cast("double").alias("x"))
     p = p.withColumn("y", F.lit(5.0) + F.lit(2.0) * F.exp(F.lit(0.03) * F.col("x")))
     fit = cm.fit_exponential(p, "x", "y", start=(-20.0, 10.0, 0.03))
-    n = p.agg(F.count(F.lit(1)).alias("n_points"))
     return fit.select(rn("a", 4).alias("a"), rn("b", 4).alias("b"), rn("c", 4).alias("c"),
-                      rn("r2", 4).alias("r2")).withColumn("__k", F.lit(0)).join(
-        n.withColumn("__k", F.lit(0)), "__k").drop("__k")
+                      rn("r2", 4).alias("r2"), "n_points")
