@@ -43,7 +43,8 @@ def main() -> None:
     from tidemark.session import local_session
 
     n = int(cpus) if cpus.isdigit() else os.cpu_count() or 4
-    spark = local_session(cpus, shuffle_partitions=max(2 * n, 8), app="tidemark-bench")
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(max(4 * n, 16))))
+    spark = local_session(cpus, shuffle_partitions=parts, app="tidemark-bench")
     qs = plans.queries()
     times: dict[str, float] = {}
     # warm-up, not timed: run every headline query once on the smallest
