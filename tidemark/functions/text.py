@@ -133,13 +133,14 @@ def parse_number(c) -> Column:
 
 def segment_upper(c, step: int = 5, max_upper: int = 80) -> Column:
     """``'10-15M' -> 15``: upper bound of a known ``step`` metre bin up to
-    ``max_upper``; any other label -> NULL."""
-    pat = r"^(0|[1-9][0-9]*)-([1-9][0-9]*)M$"
-    s = col_of(c)
-    lo = F.regexp_extract(s, pat, 1).try_cast("int")
-    hi = F.regexp_extract(s, pat, 2).try_cast("int")
-    ok = (lo == hi - step) & (hi % step == 0) & (hi <= max_upper) & (lo >= 0)
-    return F.when(ok, hi.cast("double"))
+    ``max_upper``; any other label -> NULL.
+
+    The known labels are generated from ``step`` and ``max_upper``
+    (``0-5M`` ... ``75-80M`` by default) into a map literal, so the lookup is
+    one hash probe per row."""
+    bins = {f"{lo}-{lo + step}M": float(lo + step) for lo in range(0, max_upper, step)}
+    m = F.create_map(*[F.lit(x) for kv in bins.items() for x in kv])
+    return F.try_element_at(m, col_of(c))
 
 
 # Fixed value: international foot in metres.
