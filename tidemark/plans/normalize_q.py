@@ -294,9 +294,19 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS survey_year, count(*) AS n FROM ord
 
 
 def _orders_by_year(spark, sf):
+    """Yearly 'sheets' of orders: written once partitioned by survey year to
+    the session's checkpoint folder, then each year read back on its own
+    (partition pruning: every year's read touches only its folder)."""
+    import uuid
+
+    from tidemark.session import ensure_checkpoint_dir
+
     o = table(spark, sf, "orders").withColumn("survey_year", F.year("o_orderdate"))
-    years = sorted(r[0] for r in o.select("survey_year").distinct().collect())
-    return o, [o.where(F.col("survey_year") == y) for y in years]
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-years-{uuid.uuid4().hex}"
+    io.write_tables({"orders": o}, path, partition_by={"orders": ["survey_year"]})
+    stored = io.read_table(spark, f"{path}/orders")
+    years = sorted(r[0] for r in stored.select("survey_year").distinct().collect())
+    return o, [stored.where(F.col("survey_year") == y) for y in years]
 
 
 @register("src4_union_years", ("SRC-4",), SRC4_SQL)
