@@ -260,8 +260,9 @@ def multiset_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequ
              .where((F.col("__pa") == 1) & (F.col("__pb") == 1) &
                     any_true(F.col(f"__d{i}") == 1 for i in range(len(cols)))))
     f2 = flags.select(*[F.col(k).alias(f"{k}__f") for k in keys], *[f"__d{i}" for i in range(len(cols))])
-    sel = counts.where(F.col("__col") != marker)
-    j = sel.join(f2, null_safe_on(sel, f2, keys, [f"{k}__f" for k in keys]), "inner")
+    # join the SAME count table (no extra filter: marker rows match no column
+    # below) so the planner reuses its exchange instead of aggregating twice
+    j = counts.join(f2, null_safe_on(counts, f2, keys, [f"{k}__f" for k in keys]), "inner")
     list_aggs = []
     for i, c in enumerate(cols):
         on_c = F.col("__col") == c
