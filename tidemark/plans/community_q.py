@@ -243,7 +243,8 @@ def com10_vector_fit(spark, sf):
 
 # --------------------------------------------------------------- COM-11 ----
 
-COM11_SQL = """SELECT 5.0 AS a, 2.0 AS b, 0.03 AS c, 1.0 AS r2, count(*) AS n_points FROM part"""
+COM11_SQL = """SELECT CAST(5.0 AS DOUBLE) AS a, CAST(2.0 AS DOUBLE) AS b, CAST(0.03 AS DOUBLE) AS c,
+  CAST(1.0 AS DOUBLE) AS r2, count(*) AS n_points FROM part"""
 
 
 @register("com11_fit_exponential", ("COM-11",), COM11_SQL)
