@@ -31,12 +31,19 @@ def test_entry_runs(spark):
     assert df.count() >= 0 and "resolved" in df.columns
 
 
+TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+         "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT"}
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    pdf = QUERIES[name](spark, SF).toPandas()
+    sdf = QUERIES[name](spark, SF)
+    pdf = sdf.toPandas()
     if name not in SQL:
         assert len(pdf.columns) > 0
         return
+    described = {r[0]: r[1] for r in con.execute(f"DESCRIBE ({SQL[name]})").fetchall()}
+    assert {c: TYPES.get(t, t) for c, t in sdf.dtypes} == described
     odf = con.execute(SQL[name]).df()
     assert sorted(pdf.columns) == sorted(odf.columns)
     assert len(pdf) == len(odf)
