@@ -272,18 +272,23 @@ def multiset_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequ
             F.collect_list(F.when(on_c & (F.col("nb") > 0), F.struct(F.col("__v").alias("v"), F.col("nb").alias("n")))).alias(f"__qa{i}"),
         ]
     per_group = j.groupBy(*keys).agg(*list_aggs)
-    outs = []
+    flags_out, outs = [], []
     for i, c in enumerate(cols):
         ra, qa = F.col(f"__ra{i}"), F.col(f"__qa{i}")
-        differs = F.col(f"__d{i}") == 1
+        differs = F.coalesce(F.col(f"__d{i}") == 1, F.lit(False))
         if length_policy == "recycle":
             differs = differs & ~_recycled_equal(_expanded(ra), _expanded(qa))
         elif length_policy != "strict":
             raise ValueError("length_policy must be 'strict' or 'recycle'")
+        flags_out.append(differs.alias(f"__x{i}"))
         msg = F.concat(F.lit(labels[0] + " "), _list_text(ra, numeric, render),
                        F.lit(sep + labels[1] + " "), _list_text(qa, numeric, render))
-        outs.append(F.when(differs, msg).alias(f"{c}{suffix}"))
-    out = per_group.select(*keys, *outs).where(any_true(F.col(f"{c}{suffix}").isNotNull() for c in cols))
+        outs.append(F.when(F.col(f"__x{i}"), msg).alias(f"{c}{suffix}"))
+    # filter on the flags; message text is built only for the rows kept
+    flagged = (per_group.select(*keys, *[f"__ra{i}" for i in range(len(cols))],
+                                *[f"__qa{i}" for i in range(len(cols))], *flags_out)
+               .where(any_true(F.col(f"__x{i}") for i in range(len(cols)))))
+    out = flagged.select(*keys, *outs)
     if year is not None:
         out = out.where(F.year(F.col(date_col or keys[0])) == F.lit(year))
     if resolved:
