@@ -2,9 +2,10 @@
 
 Candidate blocks (lines that hold a key word of a template) are compressed by
 zstandard alone and with each template as raw dictionary. A template that the
-block repeats makes it smaller by nearly what the template costs by itself;
-templates are ranked by that share, and winners are confirmed by the exact
-word differences between the template and the best aligned words of the block.
+block repeats makes it smaller by nearly what the template costs by itself.
+Templates that save enough of that are ranked by the bytes saved, and winners
+are confirmed by the exact word differences between the template and the best
+aligned words of the block.
 """
 
 from __future__ import annotations
@@ -101,12 +102,12 @@ class LicenseScanner:
                 w = _words(line)
                 data = " ".join(w).encode("utf-8", "surrogatepass")
                 alone = len(self.plain.compress(data))
-                saved = sorted(((alone - len(z.compress(data)), name) for name, z in self.given.items()), key=lambda x: (-x[0] / self.cost[x[1]], x[1]))
+                saved = sorted(((alone - len(z.compress(data)), name) for name, z in self.given.items()), key=lambda x: (-x[0], x[1]))
                 rank = 0
                 for gain, name in saved:
                     share = gain / self.cost[name]
                     if share < self.min_saved:
-                        break
+                        continue
                     lost, miss, extra = self._align(name, w)
                     if lost <= self.max_difference * len(self.words[name]):
                         rank += 1
@@ -123,7 +124,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
     line, saved_bytes and saved_share of the conditional compression,
     template_words, differences, missing and added words, exact). At most a
     fifth of a template's words may differ. Null and empty texts give no rows;
-    repeated rows give theirs each; null ids are carried; ties in saved share
+    repeated rows give theirs each; null ids are carried; ties in saved bytes
     are ranked by name. An empty table gives an empty result. Other columns
     are ignored.
     """
