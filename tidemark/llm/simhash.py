@@ -96,7 +96,7 @@ def link_fingerprints(fps: DataFrame, max_bits: int = 2, hot_group: int = 256) -
         key = [*key, f"slot{level}", f"part{level}"]
         size = spread.groupBy(*key).agg(F.count("*").alias("held")).where("held > 1")
         size = checkpoint(size)
-        last = level == 2
+        last = level == 2 or max_bits < 2  # with one segment a variant holds two fingerprints at most
         small = size if last else size.where(F.col("held") <= hot_group)
         met = spread.join(small.drop("held"), key)
         left = met.select(*key, F.col("fp").alias("a"))
