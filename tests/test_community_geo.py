@@ -59,11 +59,62 @@ def test_permutation_p_bounds(spark):
     assert 1 / 100 <= r["p_value"] <= 0.05
 
 
-def test_permuted_labels_keep_sizes(spark):
-    df = spark.createDataFrame([(i, "A" if i < 7 else "B") for i in range(20)], "id int, g string")
-    pl = cm.permuted_labels(df, "id", "g", 5, seed=1)
-    sizes = {(r["__perm"], r["__plabel"]): r["count"] for r in pl.groupBy("__perm", "__plabel").count().collect()}
-    assert all(sizes[(p, "A")] == 7 and sizes[(p, "B")] == 13 for p in range(1, 6))
+def test_permuted_positions_are_bijections():
+    for n in (1, 2, 7, 100, 1013):
+        seen = set()
+        for perm in range(1, 6):
+            at = cm.permuted_position(np.arange(n), n, perm, seed=3)
+            assert sorted(at.tolist()) == list(range(n))
+            seen.add(tuple(at.tolist()))
+        assert n < 7 or len(seen) == 5
+
+
+def test_permutation_p_follows_the_null(spark):
+    rng = np.random.default_rng(7)
+    df = spark.createDataFrame([(i, "abc"[i % 3], float(rng.normal()), float(rng.normal())) for i in range(60)], "id int, g string, x double, y double")
+    r = cm.permanova(df, "g", ["x", "y"], permutations=199, id_col="id").first()
+    x = np.array([[q.x, q.y] for q in df.orderBy("id").collect()])
+    x = x - x.mean(0)
+    fs = []
+    for perm in range(199):
+        label = rng.permutation(np.repeat([0, 1, 2], 20))
+        b = sum((x[label == k].sum(0) ** 2).sum() / 20 for k in range(3))
+        fs.append((b / 2) / (((x**2).sum() - b) / 57))
+    assert abs(r["p_value"] - (1 + sum(f >= r["f"] for f in fs)) / 200) < 0.12
+
+
+def test_offsets_do_not_change_discriminant_and_ordination(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(90, 4)) + np.arange(90)[:, None] % 3
+    for shift in (0.0, 1e8):
+        df = spark.createDataFrame([(i, "abc"[i % 3], *map(float, x[i] + shift)) for i in range(90)], "id int, g string, a double, b double, c double, d double")
+        _, load, info = cm.discriminant(df, "g", ["a", "b", "c", "d"], keep=["id"])
+        _, ratio = cm.ordinate(df, ["a", "b", "c", "d"], k=4)
+        disp = cm.dispersion(df, "g", ["a", "b", "c", "d"]).first()["f"]
+        if not shift:
+            first = info["proportion_of_trace"], ratio, disp
+            cov = np.linalg.eigvalsh(np.cov(x.T))[::-1]
+            assert np.allclose(ratio, cov / cov.sum(), atol=1e-9)
+    assert np.allclose(info["proportion_of_trace"], first[0], atol=1e-5)
+    assert np.allclose(ratio, first[1], atol=1e-5) and math.isclose(disp, first[2], rel_tol=1e-4)
+
+
+def test_spatial_median(spark):
+    pts = [(0.0, 0.0), (4.0, 0.0), (0.0, 4.0), (1.0, 1.0), (30.0, 1.0)]
+    df = spark.createDataFrame([("a", *p) for p in pts] + [("b", 1.0, 1.0), ("b", 3.0, 1.0), ("b", 2.0, 9.0)], "g string, x double, y double")
+    m = {r["g"]: (r["x"], r["y"]) for r in cm.spatial_medians(df, "g", ["x", "y"], iterations=400).collect()}
+    z = np.array(pts)
+    grid = min((np.hypot(*(z - [u, v]).T).sum(), u, v) for u in np.linspace(0, 4, 161) for v in np.linspace(0, 4, 161))
+    assert np.hypot(*(z - np.array(m["a"])).T).sum() <= grid[0] + 1e-3
+    d = cm.dispersion(df, "g", ["x", "y"], centre="median").collect()
+    assert {r["g"]: r["n"] for r in d} == {"a": 5, "b": 3}
+
+
+def test_residuals(spark):
+    df = spark.createDataFrame([(float(x), 5 + 2 * math.exp(0.03 * x) + (x % 3 - 1) * 0.1) for x in range(1, 61)] + [(None, 1.0)], "x double, y double")
+    res = cm.exponential_residuals(df, "x", "y", cm.fit_exponential(df, "x", "y")).collect()
+    assert len(res) == 61 and sum(r["residual"] is None for r in res) == 1
+    assert all(abs(r["fitted"] + r["residual"] - r["y"]) < 1e-9 and abs(r["residual"]) < 0.3 for r in res if r["residual"] is not None)
 
 
 def test_bonferroni(spark):

@@ -5,16 +5,15 @@ means, a handful of statistics) reach the driver, where NumPy solves the small
 linear-algebra problems.  No operator here emits pairs of rows: Euclidean
 PERMANOVA, dispersion and the SIMPER profile use group sums and centroids.
 
-Permutations are exact relabellings that keep group sizes: each row gets a
-random key per permutation (``xxhash64(seed, perm, id)``), rows are ranked by
-that key with the balanced :func:`row_number_by` (never one task per
-permutation), and the first ``n_1`` positions take the first label, the next
-``n_2`` the second, and so on.
+Permutations are exact relabellings that keep group sizes. Rows are numbered
+once; every permutation is a seeded bijection of [0, N) (swap-or-not rounds in
+integer arithmetic), so a task computes each of its rows' permuted positions
+by itself, and the label follows from the group bounds. Only partial sums per
+(permutation, label) are shuffled, never rows.
 """
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
 import numpy as np
@@ -23,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.vector import as_vector, bray_curtis, euclidean
 from tidemark.operators.ranking import row_number_by
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import ensure_checkpoint_dir, ship_package
 
 # Fixed value: tolerance when counting permuted statistics >= observed.
 PERM_EPS = 1.4901161193847656e-08
@@ -138,36 +137,67 @@ def _f_stat(sst, ssw, n, g):
 
 # ---------------------------------------------------------- permutations ---
 
-def permuted_labels(df: DataFrame, id_col: str, group: str, permutations: int, seed: int,
-                    extra_keys: Sequence[str] = (), out: str = "__plabel",
-                    include_observed: bool = False) -> DataFrame:
-    """Explode each row into ``permutations`` copies with a permuted label.
-
-    Inside every (extra_keys, perm) block the labels are a uniformly random
-    rearrangement of the block's labels (group sizes preserved).  The label
-    boundaries (blocks x g numbers) are read on the driver and become one
-    CASE expression, so no join is needed to assign labels."""
-    ek = list(extra_keys)
-    sizes = (df.groupBy(*ek, group).agg(F.count(F.lit(1)).alias("__sz"))
-             .orderBy(*ek, group).collect())
-    first = 0 if include_observed else 1
-    ex = df.withColumn("__perm", F.explode(F.sequence(F.lit(first), F.lit(permutations))))
-    ex = ex.withColumn("__h", F.xxhash64(F.lit(seed), F.col("__perm"), F.col(id_col)))
-    ranked = row_number_by(ex, ek + ["__perm"], ["__h", id_col], "__pos", hash_col="__h")
-    label = None
-    cum: dict[tuple, int] = {}
-    for r in sizes:
-        blk = tuple(r[k] for k in ek)
-        hi = cum.get(blk, 0) + r["__sz"]
-        cum[blk] = hi
-        cond = F.col("__pos") <= F.lit(hi)
-        for k, v in zip(ek, blk):
-            cond = cond & (F.col(k) == F.lit(v))
-        label = F.when(cond, F.lit(r[group])) if label is None else label.when(cond, F.lit(r[group]))
-    out_label = label
-    if include_observed:  # permutation 0 is the observed labelling
-        out_label = F.when(F.col("__perm") == 0, F.col(group)).otherwise(label)
-    return ranked.withColumn(out, out_label).drop("__h", "__pos")
+# Fixed values of the permutation arithmetic (the oracle SQL repeats them): a
+# prime modulus, a multiplier, an increment and the number of rounds.
+PERM_PRIME, PERM_MULT, PERM_ADD, PERM_ROUNDS = 2147483647, 630360016, 12345, 12
+
+#: Groups whose sizes the driver may hold; more raise an error.
+MAX_GROUPS = 10_000
+
+
+def _sizes(df: DataFrame, group: str) -> list[tuple]:
+    """(label, rows) of each non-NULL group in label order; at most ``MAX_GROUPS`` reach the driver."""
+    rows = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n")).limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups")
+    return sorted((r[group], r["n"]) for r in rows)
+
+
+def _mix(t):
+    u = (t * PERM_MULT + PERM_ADD) % PERM_PRIME
+    return (u * u + t) % PERM_PRIME
+
+
+def permuted_position(x, n: int, perm: int, seed: int):
+    """Positions of ``x`` (int64 array in [0, n)) under permutation ``perm`` of [0, n)."""
+    for r in range(1, PERM_ROUNDS + 1):
+        base = _mix(_mix((seed * 1000003 + perm) % PERM_PRIME) + r)
+        y = (_mix(base) % n - x) % n
+        bit = _mix((np.maximum(x, y) + base) % PERM_PRIME) >> 9 & 1
+        x = np.where(bit == 1, y, x)
+    return x
+
+
+def _blocks(batches, limit: int = 1 << 16):
+    """Arrow batches joined to blocks of about ``limit`` rows."""
+    import pyarrow as pa
+
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += b.num_rows
+        if size >= limit:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.Table.from_batches(held)
+
+
+def _matrix(table, name: str = "__x") -> np.ndarray:
+    v = table.column(name).combine_chunks()
+    return v.flatten().to_numpy(zero_copy_only=False).reshape(len(v), -1)
+
+
+def _shipped(df: DataFrame) -> None:
+    """Tasks run functions of this module: hand it to the Python workers."""
+    ship_package(df.sparkSession)
+
+
+def _numbered(d: DataFrame, id_col: str, group: str | None) -> DataFrame:
+    """``__rank`` = 0-based position in id order, over all rows or inside each group."""
+    keys = [group] if group else ["__all"]
+    d = d if group else d.withColumn("__all", F.lit(0))
+    return row_number_by(d, keys, [id_col], "__rank").withColumn("__rank", F.col("__rank") - 1)
 
 
 # ---------------------------------------------------------------- COM-3 ----
@@ -195,96 +225,134 @@ def permanova(df: DataFrame, group: str, cols: Sequence[str], permutations: int
         (F.lit(1.0) - F.col("ss_within") / F.col("ss_total")).alias("r2"))
     if permutations <= 0:
         return obs.withColumn("p_value", F.lit(None).cast("double"))
+    obs_row = obs.first()
+    sizes = _sizes(d, group)
+    labels = [v for v, _ in sizes]
+    counts = np.array([c for _, c in sizes], np.int64)
+    n, bounds = int(counts.sum()), np.cumsum(counts)
     if id_col is None:
         d = d.withColumn("__id", F.monotonically_increasing_id())
         id_col = "__id"
-    # permutation 0 = observed labels; every permutation's F from one table
-    pl = permuted_labels(d, id_col, group, permutations, seed, include_observed=True)
-    ps = _group_sums(pl, ["__perm", "__plabel"], cols).select(
-        "__perm", "__n", _ss_expr(p).alias("__ssw"), "__s2", *[f"__s1_{i}" for i in range(p)])
-    per = ps.groupBy("__perm").agg(
-        F.sum("__ssw").alias("ss_within"), F.sum("__n").alias("n"), F.count(F.lit(1)).alias("groups"),
-        F.sum("__s2").alias("__s2"), *[F.sum(f"__s1_{i}").alias(f"__s1_{i}") for i in range(p)])
-    per = per.withColumn("ss_total", F.col("__s2") - sum((F.col(f"__s1_{i}") ** 2 for i in range(p)), F.lit(0.0)) / F.col("n"))
-    per = per.withColumn("f", _f_stat(F.col("ss_total"), F.col("ss_within"), F.col("n"), F.col("groups")))
-    obs_f = F.max(F.when(F.col("__perm") == 0, F.col("f")))
-    res = per.agg(
-        F.max(F.when(F.col("__perm") == 0, F.col("n"))).alias("n"),
-        F.max(F.when(F.col("__perm") == 0, F.col("groups"))).alias("groups"),
-        F.max(F.when(F.col("__perm") == 0, F.col("ss_within"))).alias("ss_within"),
-        F.max(F.when(F.col("__perm") == 0, F.col("ss_total"))).alias("ss_total"),
-        obs_f.alias("f"),
-        F.collect_list(F.when(F.col("__perm") > 0, F.col("f"))).alias("__fp"))
-    # the P permuted F values of this one-row result are compared in place
-    ge = F.size(F.filter(F.col("__fp"), lambda v: v >= F.col("f") - F.lit(PERM_EPS)))
-    return res.select(
-        "n", "groups", (F.col("groups") - 1).alias("df_between"), (F.col("n") - F.col("groups")).alias("df_within"),
-        (F.col("ss_total") - F.col("ss_within")).alias("ss_between"), "ss_within", "ss_total", "f",
-        (F.lit(1.0) - F.col("ss_within") / F.col("ss_total")).alias("r2"),
-        ((ge + 1) / F.lit(permutations + 1.0)).alias("p_value"))
+    rows = _numbered(d, id_col, None).select("__rank", F.array(*cols).alias("__x"))
+    _shipped(df)
+
+    def partial(batches):
+        import pyarrow as pa
+
+        step = max(1, (1 << 22) // (len(labels) * p))
+        for block in _blocks(batches):
+            x, rank = _matrix(block), block.column("__rank").to_numpy()
+            for first in range(1, permutations + 1, step):
+                perms = range(first, min(permutations, first + step - 1) + 1)
+                sums = np.zeros((len(perms), len(labels), p))
+                for k, perm in enumerate(perms):
+                    label = np.searchsorted(bounds, permuted_position(rank, n, perm, seed), side="right")
+                    order = np.argsort(label, kind="stable")
+                    there, at = np.unique(label[order], return_index=True)
+                    sums[k, there] = np.add.reduceat(x[order], at, axis=0)
+                yield pa.RecordBatch.from_pydict({
+                    "perm": pa.array(np.repeat(np.array(perms, np.int32), len(labels))),
+                    "label": pa.array(np.tile(np.arange(len(labels), dtype=np.int32), len(perms))),
+                    "s": pa.array(list(sums.reshape(-1, p)), pa.list_(pa.float64())),
+                })
+
+    part = rows.mapInArrow(partial, "perm int, label int, s array<double>")
+    per = part.select("perm", "label", F.posexplode("s").alias("j", "v")).groupBy("perm", "label", "j").agg(F.sum("v").alias("v"))
+    size_of = F.element_at(F.array(*[F.lit(float(c)) for c in counts]), F.col("label") + 1)
+    per = per.groupBy("perm").agg(F.sum(F.col("v") * F.col("v") / size_of).alias("__b"))
+    # the variables are centred: the sum over groups of |sum|^2 / n is the between-group sum of squares
+    sst = float(obs_row["ss_total"])
+    f_perm = _f_stat(F.lit(sst), F.lit(sst) - F.col("__b"), F.lit(float(n)), F.lit(float(len(labels))))
+    ge = per.agg(F.count(F.when(f_perm >= F.lit(float(obs_row["f"]) - PERM_EPS), 1)).alias("ge")).first()["ge"]
+    return obs.withColumn("p_value", F.lit((ge + 1) / (permutations + 1.0)))
 
 
 # ---------------------------------------------------------------- COM-4 ----
 
-def _levels(df: DataFrame, group: str) -> list:
-    """Distinct group labels (g values) in sorted order."""
-    return sorted(r[0] for r in df.select(group).distinct().where(F.col(group).isNotNull()).collect())
-
-
 def pairwise_permanova(df: DataFrame, group: str, cols: Sequence[str], permutations: int = 999,
                        seed: int = 123, id_col: str | None = None) -> DataFrame:
     """PERMANOVA for every pair of groups with Bonferroni-adjusted p.
 
-    Observed statistics come from the per-group sums; for permutations each
-    row is copied once per pair it belongs to (g - 1 copies) and relabelled
-    inside its pair."""
+    Observed statistics of all pairs come from the per-group sums (one
+    aggregate; the driver holds g x p numbers). For permutations a task
+    relabels its own rows inside each of their pairs; only sums per (pair,
+    permutation) are shuffled."""
     cols = list(cols)
     p = len(cols)
     d = _centre(_prepared(df, cols, [group], [id_col] if id_col else []), cols)
-    levels = _levels(d, group)
-    pairs = list(itertools.combinations(levels, 2))
-    m = len(pairs)
-    spark = df.sparkSession
-    gtype = dict(d.dtypes)[group]
-    pair_df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)],
-                                    f"pair int, group1 {gtype}, group2 {gtype}")
-    # rows copied to the pairs they belong to (equi-joins on the group label)
-    memb = (pair_df.select("pair", F.col("group1").alias("__gm"))
-            .unionByName(pair_df.select("pair", F.col("group2").alias("__gm"))))
-    dp = d.join(F.broadcast(memb), d[group] == memb["__gm"], "inner").drop("__gm")
-    gs = _group_sums(dp, ["pair", group], cols)
-    ssw = gs.groupBy("pair").agg(F.sum(_ss_expr(p)).alias("ss_within"), F.sum("__n").alias("n"),
-                                 F.sum("__s2").alias("__s2"),
-                                 *[F.sum(f"__s1_{i}").alias(f"__s1_{i}") for i in range(p)])
-    ssw = ssw.withColumn("ss_total", F.col("__s2") - sum((F.col(f"__s1_{i}") ** 2 for i in range(p)), F.lit(0.0)) / F.col("n"))
-    obs = ssw.select("pair", "n", "ss_within", "ss_total",
-                     _f_stat(F.col("ss_total"), F.col("ss_within"), F.col("n"), F.lit(2)).alias("f"),
-                     (F.lit(1.0) - F.col("ss_within") / F.col("ss_total")).alias("r2"))
-    if permutations > 0:
+    sizes = _sizes(d, group)
+    labels, counts = [v for v, _ in sizes], np.array([c for _, c in sizes], np.int64)
+    g = len(labels)
+    sums = {r[group]: r for r in _group_sums(d, [group], cols).collect()}
+    s1 = np.array([[sums[v][f"__s1_{i}"] for i in range(p)] for v in labels]).reshape(g, p)
+    s2 = np.array([sums[v]["__s2"] for v in labels])
+    within = s2 - (s1 * s1).sum(1) / np.maximum(counts, 1)
+    stat = {}
+    for a in range(g):
+        for b in range(a + 1, g):
+            n = int(counts[a] + counts[b])
+            sst = float(s2[a] + s2[b] - ((s1[a] + s1[b]) ** 2).sum() / n)
+            ssw = float(within[a] + within[b])
+            f = (sst - ssw) / (ssw / (n - 2)) if n > 2 and ssw > 0 else None
+            stat[a, b] = (n, sst, f, 1.0 - ssw / sst if sst > 0 else None)
+    ge: dict[tuple, int] = {}
+    if permutations > 0 and g > 1:
         if id_col is None:
-            dp = dp.withColumn("__id", F.monotonically_increasing_id())
+            d = d.withColumn("__id", F.monotonically_increasing_id())
             id_col = "__id"
-        pl = permuted_labels(dp, id_col, group, permutations, seed, extra_keys=["pair"])
-        ps = _group_sums(pl, ["pair", "__perm", "__plabel"], cols).select("pair", "__perm", _ss_expr(p).alias("__ssw"))
-        per = ps.groupBy("pair", "__perm").agg(F.sum("__ssw").alias("__ssw"))
-        cnt = (per.join(obs.select("pair", "n", "ss_total", "f"), "pair")
-               .withColumn("__fp", _f_stat(F.col("ss_total"), F.col("__ssw"), F.col("n"), F.lit(2)))
-               .groupBy("pair").agg(F.count(F.when(F.col("__fp") >= F.col("f") - F.lit(PERM_EPS), 1)).alias("__ge")))
-        obs = (obs.join(cnt, "pair", "left")
-               .withColumn("p_value", (F.coalesce(F.col("__ge"), F.lit(0)) + 1) / F.lit(permutations + 1.0))
-               .drop("__ge"))
-    else:
-        obs = obs.withColumn("p_value", F.lit(None).cast("double"))
-    return (obs.join(F.broadcast(pair_df), "pair")
-            .withColumn("p_adjusted", F.least(F.col("p_value") * F.lit(float(m)), F.lit(1.0)))
-            .select("group1", "group2", "n", "f", "r2", "p_value", "p_adjusted"))
+        ranked = _numbered(d, id_col, group).select(group, "__rank", F.array(*cols).alias("__x"))
+        rows = ranked.withColumn("__g", F.array_position(F.array(*[F.lit(v) for v in labels]), F.col(group)).cast("int") - 1).drop(group)
+        _shipped(df)
+
+        def partial(batches):
+            import pyarrow as pa
+
+            for block in _blocks(batches):
+                x, rank, own = _matrix(block), block.column("__rank").to_numpy(), block.column("__g").to_numpy()
+                for a in range(g):
+                    mine = own == a
+                    if not mine.any():
+                        continue
+                    xa, ra = x[mine], rank[mine]
+                    for b in range(g):
+                        if a == b:
+                            continue
+                        lo, hi = min(a, b), max(a, b)
+                        n, first = int(counts[lo] + counts[hi]), int(counts[lo])
+                        at = ra if a == lo else ra + first
+                        took = np.array([permuted_position(at, n, perm, seed + lo * g + hi) < first for perm in range(1, permutations + 1)])
+                        yield pa.RecordBatch.from_pydict({
+                            "a": pa.array(np.full(permutations, lo, np.int32)), "b": pa.array(np.full(permutations, hi, np.int32)),
+                            "perm": pa.array(np.arange(1, permutations + 1, dtype=np.int32)),
+                            "s": pa.array(list(took.astype(float) @ xa), pa.list_(pa.float64())),
+                        })
+
+        part = rows.mapInArrow(partial, "a int, b int, perm int, s array<double>")
+        sums1 = part.select("a", "b", "perm", F.posexplode("s").alias("j", "v")).groupBy("a", "b", "perm", "j").agg(F.sum("v").alias("v"))
+        total = df.sparkSession.createDataFrame(
+            [(a, b, n, int(counts[a]), float(sst), None if f is None else float(f), [float(t) for t in s1[a] + s1[b]]) for (a, b), (n, sst, f, _) in stat.items()],
+            "a int, b int, n long, na long, sst double, f double, tot array<double>")
+        j = sums1.join(total, ["a", "b"])
+        rest = F.element_at("tot", F.col("j") + 1)
+        # sums of squares about the pair's mean: both halves' |sum|^2 / n less |total|^2 / n
+        part_b = F.col("v") * F.col("v") / F.col("na") + (rest - F.col("v")) ** 2 / (F.col("n") - F.col("na")) - rest * rest / F.col("n")
+        per = j.groupBy("a", "b", "perm").agg(F.sum(part_b).alias("ssb"), F.first("sst").alias("sst"), F.first("n").alias("n"), F.first("f").alias("f"))
+        fp = F.try_divide(F.col("ssb"), (F.col("sst") - F.col("ssb")) / (F.col("n") - 2))
+        hits = per.groupBy("a", "b").agg(F.count(F.when(fp >= F.col("f") - F.lit(PERM_EPS), 1)).alias("ge")).collect()
+        ge = {(r["a"], r["b"]): r["ge"] for r in hits}
+    m = len(stat)
+    out = []
+    for (a, b), (n, _, f, r2) in stat.items():
+        pv = (ge.get((a, b), 0) + 1) / (permutations + 1.0) if permutations > 0 else None
+        out.append((labels[a], labels[b], n, f, r2, pv, None if pv is None else min(1.0, pv * m)))
+    gtype = dict(df.dtypes)[group]
+    return df.sparkSession.createDataFrame(
+        out, f"group1 {gtype}, group2 {gtype}, n long, f double, r2 double, p_value double, p_adjusted double")
 
 
 def bonferroni(df: DataFrame, p_col: str = "p_value", out: str = "p_adjusted") -> DataFrame:
-    """min(p x m, 1) with m = number of rows (tests); m comes from a window
-    over the (small) table of tests."""
-    m = F.count(F.lit(1)).over(Window.partitionBy())
-    return df.withColumn(out, F.least(F.col(p_col) * m, F.lit(1.0)))
+    """min(p x m, 1) with m = number of rows (tests), counted first."""
+    return df.withColumn(out, F.least(F.col(p_col) * F.lit(float(df.count())), F.lit(1.0)))
 
 
 # ---------------------------------------------------------------- COM-5 ----
@@ -299,18 +367,23 @@ def simper_profile(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
     of rows)."""
     cols = list(cols)
     cen = group_centroids(_prepared(df, cols, [group]), group, cols)
-    levels = _levels(df, group)
+    by = {r[group]: r for r in cen.where(F.col(group).isNotNull()).limit(MAX_GROUPS + 1).collect()}
+    if len(by) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups")
+    levels = sorted(by)
     gtype = dict(df.dtypes)[group]
-    pairs = df.sparkSession.createDataFrame(list(itertools.combinations(levels, 2)),
-                                            f"group1 {gtype}, group2 {gtype}")
-    a = cen.select(F.col(group).alias("group1"), *[F.col(c).alias(f"a_{i}") for i, c in enumerate(cols)])
-    b = cen.select(F.col(group).alias("group2"), *[F.col(c).alias(f"b_{i}") for i, c in enumerate(cols)])
-    j = F.broadcast(pairs).join(a, "group1").join(b, "group2")
-    den = sum((F.col(f"a_{i}") + F.col(f"b_{i}") for i in range(len(cols))), F.lit(0.0))
-    contrib = F.array(*[F.struct(F.lit(c).alias("variable"),
-                                 F.try_divide(F.abs(F.col(f"a_{i}") - F.col(f"b_{i}")), den).alias("contribution"))
-                        for i, c in enumerate(cols)])
-    long = j.select("group1", "group2", F.inline(contrib))
+    mean = F.create_map(*[x for v in levels for x in (F.lit(v), F.array(*[F.lit(float(by[v][c])) for c in cols]))]) if levels else None
+    one = df.sparkSession.createDataFrame([(v, levels[i + 1:]) for i, v in enumerate(levels[:-1])], f"group1 {gtype}, others array<{gtype}>")
+    pairs = one.select("group1", F.explode("others").alias("group2"))
+    if not levels:
+        return pairs.selectExpr("group1", "group2", "'' as variable", "0D as contribution", "0D as share", "0D as cumulative")
+    j = pairs.withColumn("__a", F.element_at(mean, F.col("group1"))).withColumn("__b", F.element_at(mean, F.col("group2")))
+    den = F.aggregate(F.zip_with("__a", "__b", lambda x, y: x + y), F.lit(0.0), lambda t, x: t + x)
+    gap = F.zip_with("__a", "__b", lambda x, y: F.abs(x - y))
+    names = F.array(*[F.lit(c) for c in cols])
+    items = F.zip_with(names, gap, lambda v, x: F.struct(v.alias("variable"), x.alias("gap")))
+    long = j.withColumn("__den", den).select("group1", "group2", "__den", F.inline(items))
+    long = long.select("group1", "group2", "variable", F.try_divide(F.col("gap"), F.col("__den")).alias("contribution"))
     tot = Window.partitionBy("group1", "group2")
     cum = tot.orderBy(F.desc("contribution"), "variable").rowsBetween(Window.unboundedPreceding, 0)
     return (long.withColumn("share", F.try_divide(F.col("contribution"), F.sum("contribution").over(tot)))
@@ -319,49 +392,108 @@ def simper_profile(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- COM-6 ----
 
-def dispersion(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
-    """Distances to group centroids and a one-way ANOVA on them.
+def spatial_medians(d: DataFrame, group: str, cols: Sequence[str], iterations: int = 60, tol: float = 1e-9) -> DataFrame:
+    """Spatial median of each group by Weiszfeld steps, one aggregate over all groups each.
 
-    One row per group: group, n, mean_distance, plus the shared f, df1, df2."""
-    dd = distance_to_centroid(_prepared(df, cols, [group]), group, cols, "euclidean", "__d")
-    per = dd.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("__d").alias("mean_distance"),
-                                F.sum(F.col("__d") * F.col("__d")).alias("__s2"), F.sum("__d").alias("__s1"))
-    # totals over the g group rows (a window on the tiny per-group table)
-    allg = Window.partitionBy()
-    N, g = F.sum("n").over(allg), F.count(F.lit(1)).over(allg)
-    t1, t2 = F.sum("__s1").over(allg), F.sum("__s2").over(allg)
-    ssw = F.sum(F.col("__s2") - F.col("__s1") * F.col("__s1") / F.col("n")).over(allg)
-    sst = t2 - t1 * t1 / N
-    return per.select(group, "n", "mean_distance", _f_stat(sst, ssw, N, g).alias("f"),
-                      (g - 1).alias("df1"), (N - g).alias("df2"))
+    Starts at the centroids; a point that coincides with its centre is left
+    out of that step. Returns group, n and one column per variable. The driver
+    holds g x p numbers (at most ``MAX_GROUPS`` groups)."""
+    cols = list(cols)
+    cen = group_centroids(d, group, cols)
+    now = {r[group]: [r["n"], *[r[c] for c in cols]] for r in cen.limit(MAX_GROUPS + 1).collect()}
+    if len(now) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups")
+    schema = f"__g {dict(d.dtypes)[group]}, n long, " + ", ".join(f"__c{i} double" for i in range(len(cols)))
+
+    def frame():
+        return d.sparkSession.createDataFrame([(k, int(v[0]), *map(float, v[1:])) for k, v in now.items()], schema)
+
+    for _ in range(iterations):
+        c = frame().drop("n")
+        j = d.join(c, d[group].eqNullSafe(c["__g"]))
+        dist = F.sqrt(sum(((F.col(x) - F.col(f"__c{i}")) ** 2 for i, x in enumerate(cols)), F.lit(0.0)))
+        j = j.withColumn("__w", F.when(dist > 1e-12, F.lit(1.0) / dist))
+        new = j.groupBy("__g").agg(F.sum("__w").alias("__w"), *[F.sum(F.col(x) * F.col("__w")).alias(f"__n{i}") for i, x in enumerate(cols)]).collect()
+        moved = 0.0
+        for r in new:
+            if r["__w"]:
+                to = [r[f"__n{i}"] / r["__w"] for i in range(len(cols))]
+                moved = max(moved, *(abs(x - y) for x, y in zip(to, now[r["__g"]][1:])))
+                now[r["__g"]] = [now[r["__g"]][0], *to]
+        if moved <= tol:
+            break
+    return frame().withColumnsRenamed({"__g": group, **{f"__c{i}": x for i, x in enumerate(cols)}})
+
+
+def dispersion(df: DataFrame, group: str, cols: Sequence[str], centre: str = "centroid") -> DataFrame:
+    """Distances to group centres and a one-way ANOVA on them.
+
+    ``centre``: ``"centroid"`` or ``"median"`` (spatial median). One row per
+    group: group, n, mean_distance, plus the shared f, df1, df2. Sums of
+    squares come from merged variances, so large offsets do no harm."""
+    cols = list(cols)
+    d = _centre(_prepared(df, cols, [group]), cols)
+    if centre == "centroid":
+        dd = distance_to_centroid(d, group, cols, "euclidean", "__d")
+    elif centre == "median":
+        c = spatial_medians(d, group, cols)
+        c = c.select(F.col(group).alias("__g"), *[F.col(x).alias(f"__c{i}") for i, x in enumerate(cols)])
+        dist = F.sqrt(sum(((F.col(x) - F.col(f"__c{i}")) ** 2 for i, x in enumerate(cols)), F.lit(0.0)))
+        dd = d.join(c, d[group].eqNullSafe(c["__g"])).withColumn("__d", dist).select(group, "__d")
+    else:
+        raise ValueError(f"unknown centre {centre!r}")
+    per = dd.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("__d").alias("mean_distance"), F.var_pop("__d").alias("__v"))
+    per = _checkpointed(per)
+    tot = per.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("g"), F.sum(F.col("n") * F.col("__v")).alias("w"),
+                  F.sum(F.col("n") * F.col("mean_distance")).alias("t")).first()
+    if not tot["n"]:
+        return per.select(group, "n", "mean_distance", F.lit(None).cast("double").alias("f"), F.lit(0).cast("long").alias("df1"), F.lit(0).cast("long").alias("df2"))
+    grand = tot["t"] / tot["n"]
+    ssb = per.agg(F.sum(F.col("n") * (F.col("mean_distance") - F.lit(grand)) ** 2)).first()[0]
+    df1, df2 = tot["g"] - 1, tot["n"] - tot["g"]
+    f = (ssb / df1) / (tot["w"] / df2) if df1 > 0 and df2 > 0 and tot["w"] else None
+    return per.select(group, "n", "mean_distance", F.lit(f).cast("double").alias("f"),
+                      F.lit(df1).cast("long").alias("df1"), F.lit(df2).cast("long").alias("df2"))
+
+
+def _checkpointed(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
 
 
 # ------------------------------------------------------------- moments -----
 
-def cross_moments(df: DataFrame, group: str | None, cols: Sequence[str]) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
-    """Per-group n, sums and sums of cross products (one aggregate job).
+def column_means(df: DataFrame, cols: Sequence[str]) -> np.ndarray:
+    row = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).first()
+    return np.array([row[f"m{i}"] or 0.0 for i in range(len(cols))], float)
 
-    Returns (levels, n[g], S1[g, p], S2[g, p, p])."""
-    cols = list(cols)
+
+def scatter(df: DataFrame, cols: Sequence[str], centre: np.ndarray) -> tuple[int, np.ndarray]:
+    """Row count and p x p sum of outer products about ``centre``.
+
+    Each task accumulates its rows as one matrix product per Arrow block;
+    partial matrices are summed by Spark, so the plan does not grow with p^2."""
     p = len(cols)
-    aggs = [F.count(F.lit(1)).alias("__n")] + [F.sum(c).alias(f"s{i}") for i, c in enumerate(cols)]
-    for i in range(p):
-        for k in range(i, p):
-            aggs.append(F.sum(F.col(cols[i]) * F.col(cols[k])).alias(f"x{i}_{k}"))
-    rows = (df.groupBy(group).agg(*aggs) if group else df.agg(*aggs)).collect()
-    rows = sorted(rows, key=lambda r: (r[group] is None, r[group])) if group else rows
-    g = len(rows)
-    n = np.zeros(g)
-    s1 = np.zeros((g, p))
-    s2 = np.zeros((g, p, p))
-    for gi, r in enumerate(rows):
-        n[gi] = r["__n"]
-        for i in range(p):
-            s1[gi, i] = r[f"s{i}"]
-            for k in range(i, p):
-                s2[gi, i, k] = s2[gi, k, i] = r[f"x{i}_{k}"]
-    levels = [r[group] for r in rows] if group else [None]
-    return levels, n, s1, s2
+    _shipped(df)
+
+    def partial(batches):
+        import pyarrow as pa
+
+        n, s = 0, np.zeros((p, p))
+        for block in _blocks(batches):
+            x = _matrix(block) - centre
+            n += len(x)
+            s += x.T @ x
+        if n:
+            yield pa.RecordBatch.from_pydict({"i": pa.array(np.arange(p, dtype=np.int32)), "n": pa.array(np.full(p, n, np.int64)), "s": pa.array(list(s), pa.list_(pa.float64()))})
+
+    part = df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("__x")).mapInArrow(partial, "i int, n long, s array<double>")
+    rows = part.select("i", "n", F.posexplode("s").alias("j", "v")).groupBy("i", "j").agg(F.sum("n").alias("n"), F.sum("v").alias("v")).collect()
+    out, n = np.zeros((p, p)), 0
+    for r in rows:
+        out[r["i"], r["j"]] = r["v"]
+        n = r["n"]
+    return n, (out + out.T) / 2
 
 
 def _fix_signs(m: np.ndarray) -> np.ndarray:
@@ -374,14 +506,14 @@ def _fix_signs(m: np.ndarray) -> np.ndarray:
     return m
 
 
-def _scores(df: DataFrame, cols: Sequence[str], centre: np.ndarray, loadings: np.ndarray,
-            prefix: str) -> list[Column]:
+def _scored(d: DataFrame, keep: Sequence[str], cols: Sequence[str], centre: np.ndarray, loadings: np.ndarray, prefix: str) -> DataFrame:
+    """``keep`` and one score column per loading: dot products with the centred row as one array (small code for many variables)."""
+    x = d.select(*keep, F.array(*[F.col(c).cast("double") - F.lit(float(centre[i])) for i, c in enumerate(cols)]).alias("__x"))
     out = []
     for j in range(loadings.shape[1]):
-        e = sum((( F.col(c) - F.lit(float(centre[i]))) * F.lit(float(loadings[i, j]))
-                 for i, c in enumerate(cols)), F.lit(0.0))
-        out.append(e.alias(f"{prefix}{j + 1}"))
-    return out
+        w = F.array(*[F.lit(float(v)) for v in loadings[:, j]])
+        out.append(F.aggregate(F.zip_with("__x", w, lambda a, b: a * b), F.lit(0.0), lambda t, v: t + v).alias(f"{prefix}{j + 1}"))
+    return x.select(*keep, *out)
 
 
 # ---------------------------------------------------------------- COM-7 ----
@@ -394,11 +526,18 @@ def discriminant(df: DataFrame, group: str, cols: Sequence[str], keep: Sequence[
     proportion of trace of each discriminant."""
     cols = list(cols)
     d = _prepared(df, cols, [group], keep)
-    levels, n, s1, s2 = cross_moments(d, group, cols)
-    g, p = len(levels), len(cols)
+    mean = column_means(d, cols)
+    shifted = d.select(group, *[(F.col(c) - F.lit(float(mean[i]))).alias(c) for i, c in enumerate(cols)])
+    cen = shifted.groupBy(group).agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in cols]).limit(MAX_GROUPS + 1).collect()
+    if len(cen) > MAX_GROUPS:
+        raise ValueError(f"more than {MAX_GROUPS} groups")
+    cen.sort(key=lambda r: r[group])
+    levels, g, p = [r[group] for r in cen], len(cen), len(cols)
+    n = np.array([r["n"] for r in cen], float)
+    means = np.array([[r[c] for c in cols] for r in cen]).reshape(g, p)
     N = n.sum()
-    means = s1 / n[:, None]
-    W = sum(s2[i] - n[i] * np.outer(means[i], means[i]) for i in range(g)) / (N - g)
+    _, total = scatter(shifted, cols, np.zeros(p))
+    W = (total - (means * n[:, None]).T @ means) / (N - g)
     f1 = np.sqrt(np.diag(W))
     Ws = W / np.outer(f1, f1)
     evals, evecs = np.linalg.eigh(Ws)
@@ -417,7 +556,7 @@ def discriminant(df: DataFrame, group: str, cols: Sequence[str], keep: Sequence[
     loadings = spark.createDataFrame(
         [(c, *[float(scaling[i, j]) for j in range(k)]) for i, c in enumerate(cols)],
         ["variable"] + [f"LD{j + 1}" for j in range(k)])
-    scores = d.select(*keep, group, *_scores(d, cols, xbar, scaling, "LD"))
+    scores = _scored(d, [*keep, group], cols, xbar + mean, scaling, "LD")
     return scores, loadings, {"proportion_of_trace": prop.tolist(), "levels": levels}
 
 
@@ -430,16 +569,15 @@ def ordinate(df: DataFrame, cols: Sequence[str], k: int = 2, keep: Sequence[str]
     Returns ``(scores_df, explained_variance_ratio)``."""
     cols = list(cols)
     d = _prepared(df, cols, (), keep)
-    _, n, s1, s2 = cross_moments(d, None, cols)
-    N = n[0]
-    mean = s1[0] / N
-    cov = (s2[0] - N * np.outer(mean, mean)) / (N - 1)
+    mean = column_means(d, cols)
+    N, total = scatter(d, cols, mean)
+    cov = total / (N - 1)
     evals, evecs = np.linalg.eigh(cov)
     order = np.argsort(evals)[::-1]
     evals, evecs = evals[order], evecs[:, order]
     load = _fix_signs(evecs[:, :k])
     ratio = (evals[:k] / evals.sum()).tolist()
-    return d.select(*keep, *_scores(d, cols, mean, load, "PC")), ratio
+    return _scored(d, keep, cols, mean, load, "PC"), ratio
 
 
 # ---------------------------------------------------------------- COM-9 ----
@@ -462,14 +600,13 @@ def vector_fit(df: DataFrame, axes: Sequence[str], variables: Sequence[str], per
     unit direction on each axis, r2, and the permutation p of r2 (the
     variable values are permuted jointly across rows).  Only cross moments
     are aggregated; permutations pair the axes of row i with the variables of
-    the row at a random rank (an equi-join on the rank)."""
+    the row at its permuted position (an equi-join on the row number)."""
     axes, variables = list(axes), list(variables)
     d = _prepared(df, axes + variables, (), [id_col] if id_col else [])
     cols = axes + variables
     d = _centre(d, cols)
     q, v = len(axes), len(variables)
-    _, n, s1, s2 = cross_moments(d, None, cols)
-    S = s2[0]
+    _, S = scatter(d, cols, np.zeros(q + v))
     Sxx = S[:q, :q]
     Sxv = S[:q, q:]
     Svv = np.diag(S[q:, q:])
@@ -481,11 +618,22 @@ def vector_fit(df: DataFrame, axes: Sequence[str], variables: Sequence[str], per
         if id_col is None:
             d = d.withColumn("__id", F.monotonically_increasing_id())
             id_col = "__id"
-        d = d.withColumn("__all", F.lit(0))
-        canon = row_number_by(d, ["__all"], [id_col], "__rank")
-        ax = canon.select("__rank", *axes).withColumn("__perm", F.explode(F.sequence(F.lit(1), F.lit(permutations))))
-        ax = ax.withColumn("__h", F.xxhash64(F.lit(seed), F.col("__perm"), F.col("__rank"))).withColumn("__all", F.lit(0))
-        ax = row_number_by(ax, ["__all", "__perm"], ["__h", "__rank"], "__pos", hash_col="__h")
+        canon = _numbered(d, id_col, None)
+        n = canon.count()
+        _shipped(df)
+
+        def paired(batches):
+            import pyarrow as pa
+
+            for batch in batches:
+                rank, ax = batch.column("__rank").to_numpy(), batch.column("__a")
+                for perm in range(1, permutations + 1):
+                    at = permuted_position(rank, n, perm, seed)
+                    yield pa.RecordBatch.from_pydict({"__perm": pa.array(np.full(len(at), perm, np.int32)), "__pos": pa.array(at), "__a": ax})
+
+        # the variables of another row are needed: each permutation pairs rows by an equi-join on their number
+        ax = canon.select("__rank", F.array(*axes).alias("__a")).mapInArrow(paired, "__perm int, __pos long, __a array<double>")
+        ax = ax.select("__perm", "__pos", *[F.element_at("__a", i + 1).alias(a) for i, a in enumerate(axes)])
         vv = canon.select(F.col("__rank").alias("__pos"), *variables)
         j = ax.join(vv, "__pos")
         aggs = [F.sum(F.col(a) * F.col(x)).alias(f"c_{i}_{k}") for i, a in enumerate(axes) for k, x in enumerate(variables)]
@@ -512,9 +660,11 @@ def fit_exponential(df: DataFrame, x: str, y: str, start: tuple[float, float, fl
     """Least-squares fit of ``y = a + b * exp(c * x)`` by Gauss-Newton.
 
     Each iteration is one aggregate of the 3 x 3 normal equations over the
-    (cached) points; step halving keeps the residual sum of squares falling.
+    (checkpointed) points; step halving keeps the residual sum of squares falling.
     One-row result: a, b, c, rss, tss, r2, iterations, converged."""
-    pts = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna().cache()
+    pts = df.select(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    ensure_checkpoint_dir(df.sparkSession)
+    pts = pts.checkpoint(eager=True)
 
     def moments(a, b, c):
         e = F.exp(F.lit(c) * F.col("x"))
@@ -562,8 +712,14 @@ def fit_exponential(df: DataFrame, x: str, y: str, start: tuple[float, float, fl
             break
     ybar, n_points = pts.agg(F.avg("y"), F.count(F.lit(1))).first()
     tss = pts.agg(F.sum((F.col("y") - F.lit(ybar)) ** 2)).first()[0]
-    pts.unpersist()
     return df.sparkSession.createDataFrame(
         [(float(a), float(b), float(c), float(rss), float(tss), 1.0 - float(rss) / float(tss), int(n_points),
           int(it), bool(converged))],
         "a double, b double, c double, rss double, tss double, r2 double, n_points long, iterations int, converged boolean")
+
+
+def exponential_residuals(df: DataFrame, x: str, y: str, fit: DataFrame, fitted: str = "fitted", residual: str = "residual") -> DataFrame:
+    """Rows of ``df`` with the fitted value and residual of a ``fit_exponential`` result (NULL where x or y is)."""
+    r = fit.first()
+    at = F.lit(r["a"]) + F.lit(r["b"]) * F.exp(F.lit(r["c"]) * F.col(x).cast("double"))
+    return df.withColumn(fitted, at).withColumn(residual, F.col(y).cast("double") - at)

@@ -6,8 +6,12 @@ is given.  ``local_session`` is for tests, the bench and the command line.
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -38,7 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is.  Only when it is unset (local tests) a private scratch folder is made.
+    is.  Only when it is unset and the master is ``local`` (tests) a private
+    scratch folder is made, removed when the process ends; any other master
+    without the setting is an error, as executors cannot read a folder of the
+    driver's machine.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -46,6 +53,29 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
     sc.setCheckpointDir(path)
     return path
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="tidemark-zip-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    path = os.path.join(folder, "tidemark.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for at, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                out.write(os.path.join(at, name), os.path.relpath(os.path.join(at, name), os.path.dirname(root)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
