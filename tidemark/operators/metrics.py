@@ -18,17 +18,66 @@ from tidemark._util import all_true, null_safe_on
 from tidemark.operators.ranking import row_number_by
 
 
+#: A class column with more values than this is refused when the values are not listed.
+MAX_CLASSES = 10_000
+
+
 def _name_part(v) -> str:
     s = re.sub(r"[^0-9A-Za-z]+", "_", str(v)).strip("_").lower()
     return s or "na"
 
 
-def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Join on shared key names with NULL matching NULL; one copy of each key."""
+def _classes(df: DataFrame, cols: Sequence[str], values: Sequence | None, nulls: bool = True) -> list:
+    """The classes to make columns of: those listed, else all that occur (NULL last; one job)."""
+    if values is not None:
+        return list(values)
+    one = df.select(F.explode(F.array(*[F.col(c) for c in cols])).alias("v")).distinct().limit(MAX_CLASSES + 1).collect()
+    if len(one) > MAX_CLASSES:
+        raise ValueError(f"more than {MAX_CLASSES} classes; list them")
+    found = sorted((r["v"] for r in one if r["v"] is not None), key=str)
+    return found + [None] if nulls and any(r["v"] is None for r in one) else found
+
+
+def _class_names(values: Sequence, stem=lambda part: part) -> dict[int, str]:
+    """Column name of each class by position; classes whose names would meet are refused."""
+    parts = ["na" if v is None else _name_part(v) for v in values]
+    twice = sorted({x for x in parts if parts.count(x) > 1})
+    if twice:
+        raise ValueError(f"classes give the same column name: {twice}; rename them first")
+    return {i: stem(x) for i, x in enumerate(parts)}
+
+
+def _is_class(c: Column, v) -> Column:
+    return c.isNull() if v is None else c == F.lit(v)
+
+
+def _none_unlisted(cols: Sequence[Column], values: Sequence, unlisted: str, nulls: bool = True) -> Column | None:
+    """Aggregate that fails the query if a class is not listed (``unlisted="error"``), NULL included; None for ``"drop"``."""
+    if unlisted == "drop":
+        return None
+    if unlisted != "error":
+        raise ValueError("unlisted must be 'error' or 'drop'")
+    known = [v for v in values if v is not None]
+
+    def strange(c: Column) -> Column:
+        other = ~c.isin(*known) if known else c.isNotNull()
+        return F.coalesce(other, F.lit(nulls and None not in values))
+
+    bad = F.max(F.array(*[F.when(strange(c), F.coalesce(c.cast("string"), F.lit("NULL"))) for c in cols]))
+    first = F.array_max(bad)
+    return F.when(first.isNotNull(), F.raise_error(F.concat(F.lit("class is not listed: "), first)).cast("boolean")).otherwise(F.lit(True))
+
+
+def _join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left", null_keys: bool = True) -> DataFrame:
+    """Join on shared key names with NULL matching NULL; one copy of each key.
+
+    ``null_keys=False`` (for keys that are never NULL) joins by plain equality,
+    which keeps the partitioning of a frame grouped by the same keys."""
     keys = list(keys)
     r = right.select(*[F.col(k).alias(f"{k}__r") for k in keys],
                      *[c for c in right.columns if c not in keys])
-    j = left.join(r, null_safe_on(left, r, keys, [f"{k}__r" for k in keys]), how)
+    on = null_safe_on(left, r, keys, [f"{k}__r" for k in keys]) if null_keys else all_true(left[k] == r[f"{k}__r"] for k in keys)
+    j = left.join(r, on, how)
     if how in ("full", "full_outer", "outer"):
         j = j.withColumns({k: F.coalesce(F.col(k), F.col(f"{k}__r")) for k in keys})
     return j.drop(*[f"{k}__r" for k in keys])
@@ -60,21 +109,26 @@ def extrapolate(df: DataFrame, spec: Mapping[str, tuple[str, str]], full: float,
 
 # ----------------------------------------------------------------- MET-2 ---
 
-def linear_meters_sampled(m: Column) -> Column:
-    """Metres sampled, repairing entries that recorded the transect position:
-    < 10 as is; 10-20 -> x - 10; 20-30 -> 30 - x; NULL -> 10."""
-    fixed = (F.when(m < 10, m)
-             .when((m >= 10) & (m <= 20), m - 10)
-             .when((m >= 20) & (m <= 30), F.lit(30) - m)
-             .otherwise(m))
-    return F.coalesce(fixed.cast("double"), F.lit(10.0))
+# Fixed values: (upper end of a range of positions on the 30 m tape, sign, offset) of the metres it stands for.
+TAPE_RANGES = ((10, 1, 0), (20, 1, -10), (30, -1, 30))
+FULL_SWATH_M = 10.0
+
+
+def sampled_metres(position: Column) -> Column:
+    """Metres sampled: entries that give a position on the tape are mapped range by range, others stay; NULL is a full swath."""
+    x = position.cast("double")
+    out = x
+    for i, (top, sign, offset) in reversed(list(enumerate(TAPE_RANGES))):
+        inside = x < top if i == 0 else x <= top
+        out = F.when(inside, x * sign + offset).otherwise(out)
+    return F.coalesce(out, F.lit(FULL_SWATH_M))
 
 
 def swath_density(df: DataFrame, count: str, meter: str, out: str = "density_20m2",
                   full: float = 10.0) -> DataFrame:
     """Scale a subsampled swath count to the full 20 m2 swath.  A zero-length
     sample (scalar 0 or infinite) counts as fully sampled (scalar 1)."""
-    lin = linear_meters_sampled(F.col(meter).cast("double"))
+    lin = sampled_metres(F.col(meter))
     scalar = F.try_divide(F.lit(full), lin)
     scalar = F.when(scalar.isNull() | (scalar == 0), F.lit(1.0)).otherwise(scalar)
     return df.withColumn(out, F.col(count).cast("double") * scalar)
@@ -85,32 +139,39 @@ def swath_density(df: DataFrame, count: str, meter: str, out: str = "density_20m
 def percent_cover(df: DataFrame, unit_keys: Sequence[str], point_cols: Sequence[str],
                   denominator: str | int = "observed", scale: float = 100.0,
                   values: Sequence[str] | None = None, prefix: str = "cov_",
-                  wide: bool = True) -> DataFrame:
+                  wide: bool = True, unlisted: str = "error") -> DataFrame:
     """Point-contact cover per sampling unit.
 
-    Point columns are unpivoted, NULL points dropped, each class's share of
-    the unit's observed points (or of a fixed ``denominator``) times
-    ``scale``; then pivoted wide (``prefix + class``) with 0 where absent.
-    Passing ``values`` avoids the extra job that discovers the classes."""
-    keys = list(unit_keys)
-    long = (df.select(*keys, *point_cols)
-            .unpivot(keys, list(point_cols), "__pt", "__cls")
-            .where(F.col("__cls").isNotNull()))
-    per_cls = long.groupBy(*keys, "__cls").agg(F.count(F.lit(1)).alias("__n"))
-    if denominator == "observed":
-        tot = long.groupBy(*keys).agg(F.count(F.lit(1)).alias("__tot"))
-        share = _join_on_keys(per_cls, tot, keys, "inner")
-        share = share.withColumn("__share", F.col("__n") / F.col("__tot") * F.lit(scale))
-    else:
-        share = per_cls.withColumn("__share", F.col("__n") / F.lit(float(denominator)) * F.lit(scale))
+    Each class's share of the unit's observed points (or of a fixed
+    ``denominator``) times ``scale``; NULL points are not observed, units
+    without an observed point are left out. Wide form: ``prefix + class``,
+    0 where absent, one aggregate with a conditional count per class and point
+    column. ``values`` lists the classes (else one job finds them); a class
+    that occurs but is not listed fails the query, or is left out of the
+    columns but not of the points with ``unlisted="drop"``."""
+    keys, points = list(unit_keys), [F.col(c) for c in point_cols]
     if not wide:
-        return share.select(*keys, F.col("__cls").alias("class"), F.col("__share").alias("cover"))
-    vals = list(values) if values is not None else None
-    w = share.groupBy(*keys).pivot("__cls", vals).agg(F.first("__share"))
-    pcols = [c for c in w.columns if c not in keys]
-    ren = {c: f"{prefix}{_name_part(c)}" for c in pcols}
-    w = w.select(*keys, *[F.col(c).alias(n) for c, n in ren.items()])
-    return w.fillna(0.0, subset=list(ren.values()))
+        long = (df.select(*keys, *point_cols).unpivot(keys, list(point_cols), "__pt", "__cls").where(F.col("__cls").isNotNull()))
+        per = long.groupBy(*keys, "__cls").agg(F.count(F.lit(1)).alias("__n"))
+        if denominator == "observed":
+            tot = per.groupBy(*keys).agg(F.sum("__n").alias("__tot"))
+            per = _join_on_keys(per, tot, keys, "inner")
+            return per.select(*keys, F.col("__cls").alias("class"), (F.col("__n") / F.col("__tot") * F.lit(scale)).alias("cover"))
+        return per.select(*keys, F.col("__cls").alias("class"), (F.col("__n") / F.lit(float(denominator)) * F.lit(scale)).alias("cover"))
+    vals = _classes(df, point_cols, values, nulls=False)
+    names = _class_names(vals, lambda x: f"{prefix}{x}")
+
+    def hits(cond) -> Column:
+        return F.sum(sum((F.when(cond(c), 1).otherwise(0) for c in points), F.lit(0)))
+
+    check = _none_unlisted(points, vals, unlisted, nulls=False)
+    aggs = [hits(lambda c: c.isNotNull()).alias("__tot")] + ([check.alias("__ok")] if check is not None else [])
+    aggs += [hits(lambda c, v=v: _is_class(c, v)).alias(names[i]) for i, v in enumerate(vals)]
+    per = df.groupBy(*keys).agg(*aggs).where(F.col("__tot") > 0)
+    if check is not None:
+        per = per.where("__ok")
+    whole = F.col("__tot") if denominator == "observed" else F.lit(float(denominator))
+    return per.select(*keys, *[(F.col(n) / whole * F.lit(scale)).alias(n) for n in names.values()])
 
 
 # ----------------------------------------------------------------- MET-4 ---
@@ -144,38 +205,47 @@ def uncount(df: DataFrame, count_col: str, drop: bool = True) -> DataFrame:
 
 def size_stats(df: DataFrame, keys: Sequence[str], species: str, size: str, count: str,
                values: Sequence[str] | None = None, wide: bool = True,
-               mean_prefix: str = "sz_mean", sd_prefix: str = "sz_sd") -> DataFrame:
+               mean_prefix: str = "sz_mean", sd_prefix: str = "sz_sd", unlisted: str = "error",
+               shift: float | None = None) -> DataFrame:
     """Mean and sd of individual sizes per group and species, weighting each
     row by its count (same result as expanding to individuals, no explosion).
 
-    Rows are first reduced to ``(group, species, size) -> total count`` (the
-    size classes are few), the mean comes from that table and the second pass
-    over it gives the centred sum of squares.  n <= 1 -> sd NULL."""
+    One aggregate of weighted moments about ``shift`` (default: the rounded
+    mean size of the table, one small job; it guards against cancellation).
+    n <= 1 -> sd NULL. Wide: columns of each listed class (NULL is a class,
+    named ``na``); a class that is not listed fails the query or is dropped
+    with ``unlisted="drop"``."""
     keys = list(keys)
-    g = keys + [species]
-    base = (df.where(F.col(count).isNotNull() & (F.col(count) > 0) & F.col(size).isNotNull())
-            .groupBy(*g, size).agg(F.sum(F.col(count).cast("double")).alias("__w")))
-    m = base.groupBy(*g).agg(F.sum("__w").alias("__n"),
-                             (F.sum(F.col("__w") * F.col(size)) / F.sum("__w")).alias("__mean"))
-    j = _join_on_keys(base, m, g, "inner")
-    ss = j.groupBy(*g).agg(
-        F.first("__n").alias("n"), F.first("__mean").alias("mean"),
-        F.sum(F.col("__w") * (F.col(size) - F.col("__mean")) * (F.col(size) - F.col("__mean"))).alias("__ss"))
-    long = ss.select(*g, "n", "mean",
-                     F.when(F.col("n") > 1, F.sqrt(F.col("__ss") / (F.col("n") - 1))).alias("sd"))
+    base = df.where(F.col(count).isNotNull() & (F.col(count) > 0) & F.col(size).isNotNull())
+    if shift is None:
+        shift = float(round(base.agg(F.avg(size)).first()[0] or 0.0))
+    w, x = F.col(count).cast("double"), F.col(size).cast("double") - F.lit(shift)
+
+    def moments(cond: Column | None) -> tuple[Column, Column, Column]:
+        def pick(c: Column) -> Column:
+            return F.sum(c if cond is None else F.when(cond, c))
+
+        n, s1, s2 = pick(w), pick(w * x), pick(w * x * x)
+        sd = F.when(n > 1, F.sqrt(F.greatest(s2 - s1 * s1 / n, F.lit(0.0)) / (n - 1)))
+        return n, F.lit(shift) + s1 / n, sd
+
     if not wide:
-        return long
-    w = long.groupBy(*keys).pivot(species, list(values) if values is not None else None).agg(
-        F.first("mean").alias("m"), F.first("sd").alias("s"))
-    sel = list(keys)
-    for c in w.columns:
-        if c in keys:
-            continue
-        v, stat = c.rsplit("_", 1)
-        if v in ("null", ""):
-            continue
-        sel.append(F.col(c).alias(f"{mean_prefix if stat == 'm' else sd_prefix}_{_name_part(v)}"))
-    return w.select(*sel)
+        n, mean, sd = moments(None)
+        return base.groupBy(*keys, species).agg(n.alias("n"), mean.alias("mean"), sd.alias("sd"))
+    vals = _classes(base, [species], values)
+    names = _class_names(vals)
+    aggs = []
+    for i, v in enumerate(vals):
+        _, mean, sd = moments(_is_class(F.col(species), v))
+        aggs += [mean.alias(f"{mean_prefix}_{names[i]}"), sd.alias(f"{sd_prefix}_{names[i]}")]
+    return _listed(base, keys, aggs, [F.col(species)], vals, unlisted)
+
+
+def _listed(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column], cols: Sequence[Column], values: Sequence, unlisted: str) -> DataFrame:
+    check = _none_unlisted(cols, values, unlisted)
+    if check is None:
+        return df.groupBy(*keys).agg(*aggs)
+    return df.groupBy(*keys).agg(*aggs, check.alias("__ok")).where("__ok").drop("__ok")
 
 
 # ----------------------------------------------------------------- MET-7 ---
@@ -193,13 +263,22 @@ def plant_stats(df: DataFrame, keys: Sequence[str], value: str, where: Column |
 
 # ----------------------------------------------------------------- MET-8 ---
 
-def true_zero_grid(units: DataFrame, n: int, metrics: DataFrame, keys: Sequence[str],
+def true_zero_grid(units: DataFrame, n: int | None, metrics: DataFrame, keys: Sequence[str],
                    fill_cols: Sequence[str], index_col: str = "transect",
                    fill: float = 0.0) -> DataFrame:
     """Every unit x index 1..n, metrics left-joined, absent metrics -> 0.
 
-    Only ``fill_cols`` are filled (never the whole table)."""
-    grid = units.withColumn(index_col, F.explode(F.sequence(F.lit(1), F.lit(n))))
+    ``n=None`` takes the largest index of the metrics. A larger (or smaller
+    than 1, or NULL) index than the grid has would lose its rows in the join
+    and is refused. Only ``fill_cols`` are filled (never the whole table)."""
+    lo, hi, nulls = metrics.agg(F.min(index_col), F.max(index_col), F.count(F.when(F.col(index_col).isNull(), 1))).first()
+    n = int(hi or 0) if n is None else n
+    if nulls or (hi is not None and (hi > n or lo < 1)):
+        raise ValueError(f"index {index_col} runs from {lo} to {hi} with {nulls} NULL: the grid is 1..{n}")
+    if n < 1:
+        grid = units.withColumn(index_col, F.lit(1)).where("false")
+    else:
+        grid = units.withColumn(index_col, F.explode(F.sequence(F.lit(1), F.lit(n))))
     j = _join_on_keys(grid, metrics, list(keys) + [index_col], "left")
     return j.fillna(fill, subset=list(fill_cols))
 
@@ -208,15 +287,16 @@ def true_zero_grid(units: DataFrame, n: int, metrics: DataFrame, keys: Sequence[
 
 def pivot_density(df: DataFrame, ids: Sequence[str], species: str, value: str,
                   values: Sequence[str] | None = None, agg: str = "sum",
-                  prefix: str = "density_", fill: float = 0.0) -> DataFrame:
-    """Long density -> one column per species; duplicates summed (or
-    averaged with ``agg='mean'``); absent -> ``fill``."""
+                  prefix: str = "density_", fill: float = 0.0, unlisted: str = "error") -> DataFrame:
+    """Long density -> one column per species (NULL is a class, named ``na``);
+    duplicates summed (or averaged with ``agg='mean'``); absent -> ``fill``.
+    A species that is not listed fails the query, or is dropped with
+    ``unlisted="drop"``."""
     f = {"sum": F.sum, "mean": F.avg}[agg]
-    w = df.groupBy(*ids).pivot(species, list(values) if values is not None else None).agg(f(value))
-    pcols = [c for c in w.columns if c not in ids and c != "null"]
-    ren = {c: f"{prefix}{_name_part(c)}" for c in pcols}
-    w = w.select(*ids, *[F.col(c).alias(n) for c, n in ren.items()])
-    return w.fillna(fill, subset=list(ren.values()))
+    vals = _classes(df, [species], values)
+    names = _class_names(vals, lambda x: f"{prefix}{x}")
+    aggs = [F.coalesce(f(F.when(_is_class(F.col(species), v), F.col(value))), F.lit(fill)).alias(names[i]) for i, v in enumerate(vals)]
+    return _listed(df, list(ids), aggs, [F.col(species)], vals, unlisted)
 
 
 # ---------------------------------------------------------------- MET-10 ---
@@ -320,72 +400,95 @@ def dissection_summary(df: DataFrame, keys: Sequence[str], index: str = "gonad_i
 # ------------------------------------------------------------ MET-16..18 ---
 
 def assemble(base: DataFrame, parts: Sequence[tuple[DataFrame, Sequence[str]]],
-             keys: Sequence[str], fill: float = 0.0) -> DataFrame:
+             keys: Sequence[str], fill: float = 0.0, null_keys: bool = True) -> DataFrame:
     """Left-join each part to ``base`` on ``keys`` (NULL matches NULL) and
     fill only that part's structural-zero columns.
 
     Parts are expected to be aggregated to one row per key (they are the
-    outputs of the metric operators), so the row count of ``base`` is kept;
-    all joins use the same key expressions, so the planner can reuse one
-    hash partitioning of ``base`` across them."""
+    outputs of the metric operators), so the row count of ``base`` is kept.
+    With ``null_keys=False`` (keys never NULL) the parts' own partitioning by
+    the keys serves the joins: no exchange beyond the base's."""
     out = base
     for part, fill_cols in parts:
-        out = _join_on_keys(out, part, keys, "left")
+        out = _join_on_keys(out, part, keys, "left", null_keys)
         if fill_cols:
             out = out.fillna(fill, subset=list(fill_cols))
     return out
 
 
+def join_by_year(df: DataFrame, sites: DataFrame, year: str, rules: Mapping[int, Sequence[str]], cols: Sequence[str],
+                 site_year: str | None = None) -> DataFrame:
+    """Official site columns by a key rule for each survey year.
+
+    ``rules``: year -> the columns that identify a site record that year
+    (NULL matches NULL). Site records are those of the same year
+    (``site_year``, default the same column name) and are made unique on the
+    rule's keys (smallest values of ``cols``). Rows of years without a rule,
+    and unmatched rows, keep NULLs."""
+    site_year = site_year or year
+    out = []
+    for y, keys in rules.items():
+        s = sites.where(F.col(site_year) == F.lit(y)).groupBy(*keys).agg(F.min(F.struct(*cols)).alias("__s"))
+        s = s.select(*keys, *[F.col(f"__s.{c}").alias(c) for c in cols])
+        out.append(_join_on_keys(df.where(F.col(year) == F.lit(y)), s, keys, "left"))
+    rest = df.where(~F.coalesce(F.col(year).isin(*rules), F.lit(False)) if rules else F.lit(True))
+    types = dict(sites.dtypes)
+    out.append(rest.withColumns({c: F.lit(None).cast(types[c]) for c in cols}))
+    res = out[0]
+    for part in out[1:]:
+        res = res.unionByName(part)
+    return res
+
+
 def assemble_margin(base: DataFrame, macro: DataFrame, algae: DataFrame, urchin: DataFrame,
                     size: DataFrame, keys: Sequence[str], macro_fill: Sequence[str],
-                    algae_fill: Sequence[str]) -> DataFrame:
-    """MET-16 core: segments + macro + algae + urchin + size on (site, date,
-    transect, segment); macro and algae zeros filled."""
-    return assemble(base, [(macro, macro_fill), (algae, algae_fill), (urchin, ()), (size, ())], keys)
+                    algae_fill: Sequence[str], null_keys: bool = True,
+                    sites: tuple[DataFrame, str, Mapping[int, Sequence[str]], Sequence[str]] | None = None,
+                    dissection: tuple[DataFrame, Sequence[str]] | None = None) -> DataFrame:
+    """MET-16: cover base + macro + algae + urchin + size on (site, date,
+    transect, segment), macro and algae zeros filled; then the official site
+    columns by year (``sites`` = records, year column, rules, columns) and the
+    dissection summary on its own keys."""
+    out = assemble(base, [(macro, macro_fill), (algae, algae_fill), (urchin, ()), (size, ())], keys, null_keys=null_keys)
+    if sites is not None:
+        out = join_by_year(out, *sites)
+    if dissection is not None:
+        out = _join_on_keys(out, dissection[0], dissection[1], "left")
+    return out
 
 
 def assemble_swath(grid: DataFrame, densities: DataFrame, keys: Sequence[str],
-                   fill_cols: Sequence[str]) -> DataFrame:
+                   fill_cols: Sequence[str], null_keys: bool = True) -> DataFrame:
     """MET-17: zero grid with macro metrics + algae densities, zeros filled."""
-    return assemble(grid, [(densities, fill_cols)], keys)
+    return assemble(grid, [(densities, fill_cols)], keys, null_keys=null_keys)
 
 
-def assemble_recovery(quadrat: DataFrame, parts: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+def assemble_recovery(quadrat: DataFrame, parts: Sequence[DataFrame], keys: Sequence[str], null_keys: bool = True) -> DataFrame:
     """MET-18: legacy combined table, plain left joins."""
-    return assemble(quadrat, [(p, ()) for p in parts], keys)
+    return assemble(quadrat, [(p, ()) for p in parts], keys, null_keys=null_keys)
 
 
 # ---------------------------------------------------------------- MET-19 ---
 
 def mean_all(df: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None,
-             pivot: str | None = None, pivot_values: Sequence | None = None) -> DataFrame:
+             pivot: str | None = None, pivot_values: Sequence | None = None, unlisted: str = "error") -> DataFrame:
     """Mean of every numeric column per group; with ``pivot``, one column per
-    (column, pivot value) named ``<col>_<value>``."""
+    (column, pivot value) named ``<col>_<value>`` (NULL: ``<col>_na``); a value
+    that is not listed fails the query, or is dropped with ``unlisted="drop"``."""
     num = ("double", "float", "int", "bigint", "smallint", "tinyint")
     if cols is None:
         cols = [c for c, t in df.dtypes if c not in keys and c != pivot and (t in num or t.startswith("decimal"))]
     cols = list(cols)
     if pivot is None:
         return df.groupBy(*keys).agg(*[F.avg(c).alias(c) for c in cols])
-    w = df.groupBy(*keys).pivot(pivot, list(pivot_values) if pivot_values is not None else None).agg(
-        *[F.avg(c).alias(c) for c in cols])
-    sel = list(keys)
-    for c in w.columns:
-        if c in keys:
-            continue
-        if len(cols) == 1:
-            v, colname = c, cols[0]
-        else:
-            colname = next(x for x in cols if c.endswith("_" + x))
-            v = c[: -(len(colname) + 1)]
-        if v == "null":
-            continue
-        sel.append(F.col(c).alias(f"{colname}_{_name_part(v)}"))
-    return w.select(*sel)
-
-
-__all__ = ["extrapolate", "swath_density", "linear_meters_sampled", "percent_cover", "rowwise_share",
+    vals = _classes(df, [pivot], pivot_values)
+    names = _class_names(vals)
+    aggs = [F.avg(F.when(_is_class(F.col(pivot), v), F.col(c))).alias(f"{c}_{names[i]}") for i, v in enumerate(vals) for c in cols]
+    return _listed(df, list(keys), aggs, [F.col(pivot)], vals, unlisted)
+
+
+__all__ = ["extrapolate", "swath_density", "sampled_metres", "percent_cover", "rowwise_share",
            "uncount", "size_stats", "plant_stats", "true_zero_grid", "pivot_density", "clamp",
            "relief_risk", "gonad_index", "drop_outliers", "renumber", "group_summary",
-           "dissection_summary", "assemble", "assemble_margin", "assemble_swath",
+           "dissection_summary", "assemble", "join_by_year", "assemble_margin", "assemble_swath",
            "assemble_recovery", "mean_all"]

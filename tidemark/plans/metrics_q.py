@@ -162,12 +162,10 @@ def met5_uncount(spark, sf):
 
 # ----------------------------------------------------------------- MET-6 ---
 
-_SIZE_CTE = """sz_b AS (SELECT l_orderkey, l_returnflag AS sp, round(l_discount * 100) AS x, sum(l_quantity) AS w FROM lineitem
-  WHERE l_quantity IS NOT NULL AND l_quantity > 0 AND l_discount IS NOT NULL GROUP BY 1, 2, 3),
-sz_m AS (SELECT l_orderkey, sp, sum(w) AS n, sum(w * x) / sum(w) AS mean FROM sz_b GROUP BY 1, 2),
-sz_s AS (SELECT b.l_orderkey, b.sp, m.n, m.mean, sum(b.w * (b.x - m.mean) * (b.x - m.mean)) AS ss
-  FROM sz_b b JOIN sz_m m ON b.l_orderkey = m.l_orderkey AND b.sp = m.sp GROUP BY 1, 2, 3, 4),
-sz_l AS (SELECT l_orderkey, sp, mean, CASE WHEN n > 1 THEN sqrt(ss / (n - 1)) END AS sd FROM sz_s),
+# every individual is a row: the mean and sample sd by definition
+_SIZE_CTE = """sz_l AS (SELECT l_orderkey, l_returnflag AS sp, avg(x) AS mean, stddev_samp(x) AS sd
+  FROM (SELECT l_orderkey, l_returnflag, round(l_discount * 100) AS x
+        FROM lineitem, unnest(range(CAST(l_quantity AS BIGINT))) AS u(i) WHERE l_discount IS NOT NULL) GROUP BY 1, 2),
 sz AS (SELECT l_orderkey, """ + ", ".join(
     f"max(CASE WHEN sp = '{v}' THEN mean END) AS sz_mean_{v.lower()}, max(CASE WHEN sp = '{v}' THEN sd END) AS sz_sd_{v.lower()}"
     for v in SPECIES) + " FROM sz_l GROUP BY l_orderkey)"
@@ -212,7 +210,7 @@ def met7_plant_stats(spark, sf):
 
 MET8_SQL = """
 WITH g AS (SELECT s_suppkey, s_name, CAST(t.transect AS INTEGER) AS transect
-           FROM supplier CROSS JOIN unnest(range(1, 5)) AS t(transect)),
+           FROM supplier CROSS JOIN (SELECT unnest(range(1, max(l_linenumber) + 1)) AS transect FROM lineitem) AS t),
 m AS (SELECT l_suppkey AS s_suppkey, l_linenumber AS transect, count(*) AS n_lines, sum(l_quantity) AS qty
       FROM lineitem GROUP BY 1, 2)
 SELECT g.s_suppkey, g.s_name, g.transect, coalesce(m.n_lines, 0) AS n_lines, round(coalesce(m.qty, 0), 6) AS qty
@@ -228,9 +226,9 @@ def _supplier_metrics(spark, sf):
 
 @register("met8_true_zero_grid", ("MET-8",), MET8_SQL)
 def met8_true_zero_grid(spark, sf):
-    """Every supplier x transect 1..4 with its line metrics, absent -> 0."""
+    """Every supplier x transect (all that occur) with its line metrics, absent -> 0."""
     units = table(spark, sf, "supplier").select("s_suppkey", "s_name")
-    g = mt.true_zero_grid(units, 4, _supplier_metrics(spark, sf), ["s_suppkey"], ["n_lines", "qty"])
+    g = mt.true_zero_grid(units, None, _supplier_metrics(spark, sf), ["s_suppkey"], ["n_lines", "qty"])
     return _r6_all(g, ["s_suppkey", "s_name", "transect", "n_lines"])
 
 
@@ -385,18 +383,39 @@ _URCH_CTE = f"""ur AS (SELECT l_orderkey, avg(part) AS den_part, avg(whole) AS d
 _MARGIN_COLS = (["n_plants", "mean_value", "sd_value"] + [f"density_{v.lower()}" for v in SPECIES]
                 + ["den_part", "den_whole"] + _SZ_COLS)
 
-MET16_SQL = f"""WITH {_PLANT_CTE}, {_DENS_CTE}, {_URCH_CTE}, {_SIZE_CTE}
-SELECT o.o_orderkey, o.o_custkey,
+# the base is the cover table; official records follow the rule of their year
+# (1996: customer, date and status; 1997: customer and status), and the
+# dissection summary is one row for each customer and date
+_RULES = {1996: ["o_custkey", "o_orderdate", "o_orderstatus"], 1997: ["o_custkey", "o_orderstatus"]}
+_COVER_COLS = [f"cov_{v.lower()}" for v in COVER_VALUES]
+_RECORDS_SQL = """rec AS (SELECT o_custkey, o_orderdate, o_orderstatus, year(o_orderdate) AS yr, o_orderkey AS site_id, o_orderpriority AS site_name
+  FROM orders WHERE o_custkey % 3 <> 0)"""
+
+MET16_SQL = f"""WITH {_PTS_SQL},
+cv_s AS (SELECT c.l_orderkey, cls, n / tot * 100 AS share FROM c JOIN tot USING (l_orderkey)),
+cv AS (SELECT l_orderkey, {", ".join(f"coalesce(max(CASE WHEN cls = '{v}' THEN share END), 0) AS cov_{v.lower()}" for v in COVER_VALUES)}
+  FROM cv_s GROUP BY l_orderkey),
+{_PLANT_CTE}, {_DENS_CTE}, {_URCH_CTE}, {_SIZE_CTE}, {_RECORDS_SQL},
+r96 AS (SELECT o_custkey, o_orderdate, o_orderstatus, min(site_id) AS site_id FROM rec WHERE yr = 1996 GROUP BY 1, 2, 3),
+r97 AS (SELECT o_custkey, o_orderstatus, min(site_id) AS site_id FROM rec WHERE yr = 1997 GROUP BY 1, 2),
+ds AS (SELECT o_custkey, o_orderdate, count(*) AS n_dissected, avg(o_totalprice) AS mean_total FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2)
+SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, {", ".join(f"round(cv.{c}, 6) AS {c}" for c in _COVER_COLS)},
   coalesce(pl.n_plants, 0) AS n_plants, round(coalesce(pl.mean_value, 0), 6) AS mean_value,
   round(coalesce(pl.sd_value, 0), 6) AS sd_value,
   {", ".join(f"round(coalesce(dn.density_{v.lower()}, 0), 6) AS density_{v.lower()}" for v in SPECIES)},
   round(ur.den_part, 6) AS den_part, round(ur.den_whole, 6) AS den_whole,
-  {", ".join(f"round(sz.{c}, 6) AS {c}" for c in _SZ_COLS)}
-FROM orders o
+  {", ".join(f"round(sz.{c}, 6) AS {c}" for c in _SZ_COLS)},
+  CASE WHEN year(o.o_orderdate) = 1996 THEN r96.site_id WHEN year(o.o_orderdate) = 1997 THEN r97.site_id END AS site_id,
+  (SELECT min(site_name) FROM rec WHERE rec.site_id = CASE WHEN year(o.o_orderdate) = 1996 THEN r96.site_id WHEN year(o.o_orderdate) = 1997 THEN r97.site_id END) AS site_name,
+  ds.n_dissected, round(ds.mean_total, 6) AS mean_total
+FROM cv JOIN orders o ON o.o_orderkey = cv.l_orderkey
 LEFT JOIN pl ON o.o_orderkey = pl.l_orderkey
 LEFT JOIN dn ON o.o_orderkey = dn.l_orderkey
 LEFT JOIN ur ON o.o_orderkey = ur.l_orderkey
-LEFT JOIN sz ON o.o_orderkey = sz.l_orderkey"""
+LEFT JOIN sz ON o.o_orderkey = sz.l_orderkey
+LEFT JOIN r96 ON o.o_custkey = r96.o_custkey AND o.o_orderdate = r96.o_orderdate AND o.o_orderstatus = r96.o_orderstatus
+LEFT JOIN r97 ON o.o_custkey = r97.o_custkey AND o.o_orderstatus = r97.o_orderstatus
+LEFT JOIN ds ON o.o_custkey = ds.o_custkey AND o.o_orderdate = ds.o_orderdate"""
 
 
 def _by_order(df):
@@ -405,23 +424,31 @@ def _by_order(df):
 
 @register("met16_assemble_margin", ("MET-16",), MET16_SQL)
 def met16_assemble_margin(spark, sf):
-    """Base units + plants + densities + clamped urchins + sizes; structural zeros filled."""
-    base = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    """Cover base + plants + densities + clamped urchins + sizes, official records by year, dissection summary."""
+    o = table(spark, sf, "orders")
+    cover = _by_order(mt.percent_cover(_points(spark, sf), ["l_orderkey"], ["p1", "p2", "p3"], values=COVER_VALUES))
+    head = o.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", F.year("o_orderdate").alias("yr"))
+    base = cover.join(head, "o_orderkey")
     urch = _clamped(spark, sf).groupBy("l_orderkey").agg(F.avg("part").alias("den_part"),
                                                          F.avg("whole").alias("den_whole"))
     dens = _density(spark, sf)
+    records = o.where("o_custkey % 3 <> 0").select("o_custkey", "o_orderdate", "o_orderstatus", F.year("o_orderdate").alias("yr"),
+                                                   F.col("o_orderkey").alias("site_id"), F.col("o_orderpriority").alias("site_name"))
+    dissected = mt.group_summary(o.where("o_orderstatus = 'F'"), ["o_custkey", "o_orderdate"], "n_dissected", means={"mean_total": "o_totalprice"})
     out = mt.assemble_margin(base, _by_order(_plants(spark, sf)), _by_order(dens), _by_order(urch),
                              _by_order(_size(spark, sf)), ["o_orderkey"],
                              macro_fill=["n_plants", "mean_value", "sd_value"],
-                             algae_fill=[c for c in dens.columns if c != "l_orderkey"])
-    return _r6_all(out.select("o_orderkey", "o_custkey", *_MARGIN_COLS), ["o_orderkey", "o_custkey", "n_plants"])
+                             algae_fill=[c for c in dens.columns if c != "l_orderkey"], null_keys=False,
+                             sites=(records, "yr", _RULES, ["site_id", "site_name"]), dissection=(dissected, ["o_custkey", "o_orderdate"]))
+    keep = ["o_orderkey", "o_custkey", "o_orderdate", "n_plants", "site_id", "site_name", "n_dissected"]
+    return _r6_all(out.select("o_orderkey", "o_custkey", "o_orderdate", *_COVER_COLS, *_MARGIN_COLS, "site_id", "site_name", "n_dissected", "mean_total"), keep)
 
 
 # ---------------------------------------------------------------- MET-17 ---
 
 MET17_SQL = """
 WITH g AS (SELECT s_suppkey, CAST(t.transect AS INTEGER) AS transect
-           FROM supplier CROSS JOIN unnest(range(1, 5)) AS t(transect)),
+           FROM supplier CROSS JOIN (SELECT unnest(range(1, max(l_linenumber) + 1)) AS transect FROM lineitem) AS t),
 d AS (SELECT l_suppkey AS s_suppkey, l_linenumber AS transect, """ + ", ".join(
     f"sum(CASE WHEN l_returnflag = '{v}' THEN l_quantity END) AS density_{v.lower()}" for v in SPECIES) + """
       FROM lineitem GROUP BY 1, 2)
@@ -437,9 +464,9 @@ def met17_assemble_swath(spark, sf):
     li = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"),
                                              F.col("l_linenumber").alias("transect"), "l_returnflag", "l_quantity")
     dens = mt.pivot_density(li, ["s_suppkey", "transect"], "l_returnflag", "l_quantity", values=SPECIES)
-    grid = table(spark, sf, "supplier").select("s_suppkey").withColumn(
-        "transect", F.explode(F.sequence(F.lit(1), F.lit(4))))
-    out = mt.assemble_swath(grid, dens, ["s_suppkey", "transect"], [f"density_{v.lower()}" for v in SPECIES])
+    grid = mt.true_zero_grid(table(spark, sf, "supplier").select("s_suppkey"), None, li.select("s_suppkey", "transect").distinct(),
+                             ["s_suppkey"], [])
+    out = mt.assemble_swath(grid, dens, ["s_suppkey", "transect"], [f"density_{v.lower()}" for v in SPECIES], null_keys=False)
     return _r6_all(out, ["s_suppkey", "transect"])
 
 
@@ -460,7 +487,7 @@ def met18_assemble_recovery(spark, sf):
     """Legacy combined table: plain left joins, no zero filling."""
     base = table(spark, sf, "orders").select("o_orderkey")
     out = mt.assemble_recovery(base, [_by_order(_plants(spark, sf)), _by_order(_density(spark, sf)),
-                                      _by_order(_size(spark, sf))], ["o_orderkey"])
+                                      _by_order(_size(spark, sf))], ["o_orderkey"], null_keys=False)
     return _r6_all(out, ["o_orderkey", "n_plants"])
 
 
