@@ -1,4 +1,4 @@
-"""Small shared helpers (no Spark jobs unless stated)."""
+"""Small shared helpers (no Spark jobs)."""
 
 from __future__ import annotations
 
@@ -31,21 +31,6 @@ def null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str],
     return cond
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` holds at most ``max_rows`` rows.
-
-    Runs one job that stops after ``max_rows + 1`` rows, so the check itself
-    is bounded whatever the size of ``df``.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only after proving it has at most ``max_rows`` rows;
-    otherwise leave the choice to the planner (sort-merge, AQE re-plan)."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
-
 def any_true(cols: Iterable[Column]) -> Column:
     out = None
     for c in cols:

@@ -35,7 +35,12 @@ def num_text(c) -> Column:
 def value_text(c, dtype: str) -> Column:
     """Text of a value for diff messages, by Spark simple type name."""
     c = col_of(c)
-    if dtype in ("double", "float", "int", "bigint", "smallint", "tinyint") or dtype.startswith("decimal"):
+    if dtype in ("int", "bigint", "smallint", "tinyint"):
+        return c.cast("string")
+    if dtype.startswith("decimal"):  # exact, without zeros at the end
+        t = c.cast("string")
+        return F.when(t.contains("."), F.regexp_replace(t, r"\.?0+$", "")).otherwise(t)
+    if dtype in ("double", "float"):
         return num_text(c)
     if dtype == "date":
         return F.date_format(c, "yyyy-MM-dd")

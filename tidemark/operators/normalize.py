@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark._util import as_list, maybe_broadcast
+from tidemark._util import as_list
 from tidemark.functions import text as tx
 
 
@@ -59,18 +59,28 @@ def clean_names(df: DataFrame) -> DataFrame:
 
 def drop_leading(df: DataFrame, order_col: str | None = None, n: int = 1,
                  sentinel: Column | None = None) -> DataFrame:
-    """NRM-2: drop the first ``n`` rows by ``order_col`` (a file row number),
-    or the rows matching a ``sentinel`` predicate.
+    """NRM-2: drop the first ``n`` rows by ``order_col`` (a file row number;
+    NULL comes first), or the rows matching a ``sentinel`` predicate.
 
-    The first ``n`` keys come from a distributed top-n (``orderBy.limit``),
-    then a broadcast anti join of those n keys: no global window, no collect.
+    Exactly ``n`` rows go: of rows that share the last order value those that
+    are first in all columns. The n order values come from a distributed
+    top-n; only rows tied with the last of them are compared as a multiset.
     """
     if sentinel is not None:
         return df.where(~F.coalesce(sentinel, F.lit(False)))
     if order_col is None:
         raise ValueError("drop_leading needs order_col or sentinel")
-    head = df.select(order_col).orderBy(order_col).limit(n)
-    return df.join(F.broadcast(head), on=order_col, how="left_anti")
+    c = F.col(order_col)
+    head = [r[0] for r in df.select(order_col).orderBy(c.asc_nulls_first()).limit(n).collect()]
+    if not head:
+        return df
+    last = head[-1]
+    tied = sum(v == last for v in head) if last is not None else len(head)
+    same = c.eqNullSafe(F.lit(last).cast(df.schema[order_col].dataType))
+    after = c.isNotNull() if last is None else c > F.lit(last)
+    ties = df.where(same)
+    gone = ties.orderBy(*[F.col(x).asc_nulls_first() for x in df.columns]).limit(tied)
+    return df.where(after).unionByName(ties.exceptAll(gone))
 
 
 def null_tokens(df: DataFrame, tokens: Sequence[str] = ("NULL", "NA"),
@@ -98,13 +108,12 @@ def cast_columns(df: DataFrame, types: Mapping[str, str],
     return df.withColumns(out)
 
 
-def apply_corrections(df: DataFrame, col: str, rules, out_col: str | None = None,
-                      max_broadcast_rows: int = 100_000) -> DataFrame:
+def apply_corrections(df: DataFrame, col: str, rules, out_col: str | None = None) -> DataFrame:
     """NRM-9: exact-value corrections; unmatched values are kept.
 
     ``rules`` is a mapping (compiled into a map literal, no join) or a
-    DataFrame ``(from_value, to_value)`` (left join; broadcast only when its
-    size is proven small).
+    DataFrame ``(from_value, to_value)`` (left join; the planner broadcasts it by
+    its measured bytes or not).
     """
     out_col = out_col or col
     if isinstance(rules, Mapping):
@@ -113,7 +122,6 @@ def apply_corrections(df: DataFrame, col: str, rules, out_col: str | None = None
         m = F.create_map(*[F.lit(x) for kv in rules.items() for x in kv])
         return df.withColumn(out_col, F.coalesce(F.try_element_at(m, F.col(col)), F.col(col)))
     r = rules.toDF("__from", "__to").dropDuplicates(["__from"])
-    r = maybe_broadcast(r, max_broadcast_rows)
     joined = df.join(r, df[col] == r["__from"], "left")
     return (joined.withColumn(out_col, F.coalesce(F.col("__to"), F.col(col)))
             .drop("__from", "__to"))

@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark._util import any_true, null_safe_on
-from tidemark.operators.ranking import row_number_by
+from tidemark.session import ensure_checkpoint_dir
 
 _NUM = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
@@ -93,62 +93,80 @@ def domain(df: DataFrame, col: str) -> DataFrame:
 
 def histogram(df: DataFrame, col: str, lo: float, hi: float, bins: int,
               keys: Sequence[str] = ()) -> DataFrame:
-    """QC-8: equal-width bin counts on [lo, hi] (right edge in the last bin);
-    values outside the range and NULL are not counted."""
+    """QC-8: equal-width bin counts on [lo, hi] (right edge in the last bin).
+
+    Values below and above the range are counted in bins 0 and ``bins + 1``,
+    whose outer edge is NULL; only NULL (and NaN) values are not counted."""
     x = F.col(col).cast("double")
+    width = (hi - lo) / bins
     b = (F.floor((x - F.lit(lo)) * F.lit(bins) / F.lit(hi - lo)) + 1).cast("bigint")
-    b = F.when(x == F.lit(hi), F.lit(bins).cast("bigint")).otherwise(b)
-    inside = (x >= lo) & (x <= hi)
-    return (df.where(inside).withColumn("bin", b)
-            .groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("bin_lo", F.lit(lo) + (F.col("bin") - 1) * F.lit((hi - lo) / bins))
-            .withColumn("bin_hi", F.lit(lo) + F.col("bin") * F.lit((hi - lo) / bins)))
+    b = F.when(x == F.lit(hi), F.lit(bins)).when(x < F.lit(lo), F.lit(0)).when(x > F.lit(hi), F.lit(bins + 1)).otherwise(b).cast("bigint")
+    n = df.where(x.isNotNull() & ~F.isnan(x)).withColumn("bin", b).groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
+    return (n.withColumn("bin_lo", F.when(F.col("bin") > 0, F.lit(lo) + (F.col("bin") - 1) * F.lit(width)))
+            .withColumn("bin_hi", F.when(F.col("bin") <= bins, F.lit(lo) + F.col("bin") * F.lit(width))))
 
 
-def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str,
-                    probs: Mapping[str, float]) -> DataFrame:
-    """Exact linear-interpolation quantiles (R type 7) per group.
+def value_ranks(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
+    """(keys, x, w, upto): each distinct value with its count and the number of values up to it, per group.
 
-    Values are ranked with the balanced :func:`row_number_by` (no group is
-    held in one task), then only the two order statistics around each
-    quantile position are kept and interpolated."""
+    Values are counted first (partial aggregation: a value that makes up most
+    of a group is one row), then the small counted table is cut into ranges of
+    (keys, x), summed inside each range, and range offsets are added. The
+    ranges are checkpointed, as two branches must see the same ones."""
     keys = list(keys)
-    v = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("__x"))
-    ranked = row_number_by(v, keys, ["__x"], "__rn")
-    n = v.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
-    n2 = n.select(*[F.col(k).alias(f"{k}__n") for k in keys], "__n")
-    j = ranked.join(n2, null_safe_on(ranked, n2, keys, [f"{k}__n" for k in keys]), "inner")
-    aggs = [F.first("__n").alias("n")]
-    conds = []
+    v = df.where(F.col(col).isNotNull()).groupBy(*keys, F.col(col).cast("double").alias("x")).agg(F.count(F.lit(1)).alias("w"))
+    ensure_checkpoint_dir(df.sparkSession)
+    v = v.repartitionByRange(*[F.col(k) for k in keys], F.col("x")).withColumn("__p", F.spark_partition_id()).checkpoint(eager=True)
+    inside = Window.partitionBy("__p", *keys).orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    part = v.groupBy("__p", *keys).agg(F.sum("w").alias("__s"))
+    before = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    off = part.select(F.col("__p").alias("__po"), *[F.col(k).alias(f"{k}__o") for k in keys], F.coalesce(F.sum("__s").over(before), F.lit(0)).alias("__off"))
+    cum = v.withColumn("__c", F.sum("w").over(inside))
+    on = cum["__p"] == off["__po"]
+    if keys:
+        on = on & null_safe_on(cum, off, keys, [f"{k}__o" for k in keys])
+    return cum.join(off, on).select(*keys, "x", "w", (F.col("__c") + F.col("__off")).alias("upto"))
+
+
+def _with_group(df: DataFrame, per: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the columns of their group's row."""
+    if not keys:
+        return df.withColumn("__one", F.lit(1)).join(per.withColumn("__two", F.lit(1)), F.col("__one") == F.col("__two")).drop("__one", "__two")
+    p = per.select(*[F.col(k).alias(f"{k}__g") for k in keys], *[c for c in per.columns if c not in keys])
+    return df.join(p, null_safe_on(df, p, list(keys), [f"{k}__g" for k in keys])).drop(*[f"{k}__g" for k in keys])
+
+
+def _quantiles(ranks: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    n = ranks.groupBy(*keys).agg(F.sum("w").alias("n"))
+    j = _with_group(ranks, n, keys)
+    aggs = [F.max("n").alias("n")]
     for name, p in probs.items():
-        h = (F.col("__n") - 1) * F.lit(p) + 1
-        lo, hi = F.floor(h), F.ceil(h)
-        frac = h - lo
-        conds += [F.col("__rn") == lo, F.col("__rn") == hi]
-        x_lo = F.max(F.when(F.col("__rn") == lo, F.col("__x")))
-        x_hi = F.max(F.when(F.col("__rn") == hi, F.col("__x")))
-        f = F.max(frac)
-        aggs.append((x_lo + (x_hi - x_lo) * f).alias(name))
-    kept = j.where(any_true(conds))
-    return kept.groupBy(*keys).agg(*aggs)
+        h = (F.col("n") - 1) * F.lit(p) + 1
+
+        def at(pos: Column) -> Column:
+            return F.max(F.when((F.col("upto") >= pos) & (F.col("upto") - F.col("w") < pos), F.col("x")))
+
+        lo, hi = at(F.floor(h)), at(F.ceil(h))
+        aggs.append((lo + (hi - lo) * F.max(h - F.floor(h))).alias(name))
+    return j.groupBy(*keys).agg(*aggs)
+
+
+def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str,
+                    probs: Mapping[str, float]) -> DataFrame:
+    """Exact linear-interpolation quantiles (R type 7) per group, from counted values (:func:`value_ranks`)."""
+    return _quantiles(value_ranks(df, keys, col), list(keys), probs)
 
 
 def box_stats(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """QC-9: quartiles, 1.5 IQR whisker ends (most extreme values inside the
-    fences) and the number of values outside them, per group."""
+    fences) and the number of values outside them, per group, all from the
+    counted values."""
     keys = list(keys)
-    q = exact_quantiles(df, keys, col, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    q = q.withColumn("__lof", F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))) \
-         .withColumn("__hif", F.col("q3") + 1.5 * (F.col("q3") - F.col("q1")))
-    q2 = q.select(*[F.col(k).alias(f"{k}__q") for k in keys], "__lof", "__hif")
-    v = df.where(F.col(col).isNotNull())
-    j = v.join(q2, null_safe_on(v, q2, keys, [f"{k}__q" for k in keys]), "inner")
-    x = F.col(col).cast("double")
-    inside = (x >= F.col("__lof")) & (x <= F.col("__hif"))
-    w = j.groupBy(*keys).agg(
-        F.min(F.when(inside, x)).alias("whisker_lo"),
-        F.max(F.when(inside, x)).alias("whisker_hi"),
-        F.count(F.when(~inside, 1)).alias("n_outliers"))
-    w2 = w.select(*[F.col(k).alias(f"{k}__w") for k in keys], "whisker_lo", "whisker_hi", "n_outliers")
-    out = q.join(w2, null_safe_on(q, w2, keys, [f"{k}__w" for k in keys]), "inner")
-    return out.select(*keys, "n", "q1", "median", "q3", "whisker_lo", "whisker_hi", "n_outliers")
+    ranks = value_ranks(df, keys, col)
+    q = _quantiles(ranks, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    j = _with_group(ranks, q, keys)
+    span = F.col("q3") - F.col("q1")
+    inside = (F.col("x") >= F.col("q1") - 1.5 * span) & (F.col("x") <= F.col("q3") + 1.5 * span)
+    first = [F.max(c).alias(c) for c in ("n", "q1", "median", "q3")]
+    return j.groupBy(*keys).agg(*first, F.min(F.when(inside, F.col("x"))).alias("whisker_lo"), F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
+                                F.coalesce(F.sum(F.when(~inside, F.col("w"))), F.lit(0)).alias("n_outliers"))

@@ -8,11 +8,14 @@ Scale notes
 * Every join is an equi-join on the keys with NULL matching NULL (``<=>``),
   which Catalyst plans as a hash/sort-merge join on ``(coalesce(k), isnull(k))``
   -- no cartesian product, AQE can split skewed partitions.
-* Multisets are compared without collecting raw groups: both sides are first
-  aggregated to ``(keys, column, value) -> count`` (map-side partial
-  aggregation), the two count tables are full-joined and a group differs when
-  any count differs.  Only groups that differ are rendered to text, from the
-  pre-aggregated (value, count) pairs.
+* Multisets are compared without collecting raw groups: both sides are stacked
+  and aggregated once to ``(keys, column, value) -> (n_raw, n_qc)`` (map-side
+  partial aggregation), a table that is checkpointed and read for the groups'
+  flags and for the values of groups that differ. Text lists are an option on
+  top of that long form.
+* Values keep their own type: integers and decimals are compared and printed
+  exactly; only a pair with a floating-point side is compared as double, and
+  text against anything else as text.
 """
 
 from __future__ import annotations
@@ -23,40 +26,49 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark._util import any_true, as_list, null_safe_on
-from tidemark.functions.text import num_text, value_text
+from tidemark.functions.text import value_text
+from tidemark.session import ensure_checkpoint_dir
 
 # Message separator and side labels.
 DIFF_SEP = " ≠ "
 RAW_LABEL = "Raw:"
 QC_LABEL = "QC:"
 
-_NUMERIC = ("double", "float", "int", "bigint", "smallint", "tinyint")
+_INTEGER = ("int", "bigint", "smallint", "tinyint")
+
+
+def _is_exact(t: str) -> bool:
+    return t in _INTEGER or t.startswith("decimal")
 
 
 def _is_numeric(t: str) -> bool:
-    return t in _NUMERIC or t.startswith("decimal")
+    return _is_exact(t) or t in ("double", "float")
+
+
+def _comparable(a: Column, ta: str, b: Column, tb: str) -> tuple[Column, Column]:
+    """The two sides in a common type: their own if equal or both exact numbers, double if one is floating, else text."""
+    if ta == tb or (_is_exact(ta) and _is_exact(tb)):
+        return a, b
+    if _is_numeric(ta) and _is_numeric(tb):
+        return a.cast("double"), b.cast("double")
+    return value_text(a, ta), value_text(b, tb)
 
 
 def missing_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
                  both: bool = True, side_col: str = "missing_in") -> DataFrame:
     """REC-1: distinct keys present on one side only (NULL matches NULL).
 
-    With ``both`` the two directions are stacked and ``missing_in`` names the
-    side that lacks the key (``right`` for left-only keys)."""
+    One aggregate over both sides stacked. With ``both`` the two directions
+    are returned and ``missing_in`` names the side that lacks the key
+    (``right`` for left-only keys)."""
     keys = list(keys)
-    lk = left.select(*keys).distinct()
-    rk = right.select(*keys).distinct()
-
-    def only(a: DataFrame, b: DataFrame) -> DataFrame:
-        b2 = b.select(*[F.col(k).alias(f"{k}__o") for k in keys])
-        return a.join(b2, null_safe_on(a, b2, keys, [f"{k}__o" for k in keys]), "left_anti")
-
-    lo = only(lk, rk)
+    one = (left.select(*keys, F.lit(1).alias("__l"), F.lit(0).alias("__r"))
+           .unionByName(right.select(*keys, F.lit(0).alias("__l"), F.lit(1).alias("__r"))))
+    seen = one.groupBy(*keys).agg(F.max("__l").alias("__l"), F.max("__r").alias("__r"))
     if not both:
-        return lo
-    ro = only(rk, lk)
-    return (lo.withColumn(side_col, F.lit("right"))
-            .unionByName(ro.withColumn(side_col, F.lit("left"))))
+        return seen.where("__r = 0").select(*keys)
+    lacks = F.when(F.col("__r") == 0, F.lit("right")).otherwise(F.lit("left"))
+    return seen.where("__l + __r = 1").select(*keys, lacks.alias(side_col))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], rows: bool = False,
@@ -91,11 +103,11 @@ def _differs(a: Column, b: Column, null_policy: str) -> Column:
     raise ValueError(f"null_policy must be 'ignore' or 'flag', not {null_policy!r}")
 
 
-def _diff_expr(a: Column, b: Column, dtype: str, null_policy: str, sep: str) -> Column:
-    ta, tb = value_text(a, dtype), value_text(b, dtype)
+def _diff_expr(a: Column, b: Column, ta: str, tb: str, null_policy: str, sep: str) -> Column:
+    xa, xb = value_text(a, ta), value_text(b, tb)
     if null_policy == "flag":
-        ta, tb = F.coalesce(ta, F.lit("NA")), F.coalesce(tb, F.lit("NA"))
-    return F.when(_differs(a, b, null_policy), F.concat(ta, F.lit(sep), tb))
+        xa, xb = F.coalesce(xa, F.lit("NA")), F.coalesce(xb, F.lit("NA"))
+    return F.when(_differs(*_comparable(a, ta, b, tb), null_policy), F.concat(xa, F.lit(sep), xb))
 
 
 def cell_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str],
@@ -136,12 +148,11 @@ def cell_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str],
                 for k in keys]
     # filter on the comparisons (cheap); message text is built only for the
     # rows that survive
-    j = j.where(any_true(_differs(F.col(f"{n}__raw"), F.col(f"{n}__qc"), null_policy) for n in pairs))
+    j = j.where(any_true(_differs(*_comparable(F.col(f"{n}__raw"), rt[r], F.col(f"{n}__qc"), qt[q]), null_policy)
+                        for n, (r, q) in pairs.items()))
     diffs = []
     for n, (r, q) in pairs.items():
-        dt = rt[r] if _is_numeric(rt[r]) == _is_numeric(qt[q]) else "string"
-        diffs.append(_diff_expr(F.col(f"{n}__raw"), F.col(f"{n}__qc"), dt, null_policy, sep)
-                     .alias(f"{n}{suffix}"))
+        diffs.append(_diff_expr(F.col(f"{n}__raw"), F.col(f"{n}__qc"), rt[r], qt[q], null_policy, sep).alias(f"{n}{suffix}"))
     out = j.select(*key_cols, *diffs)
     if where is not None:
         out = out.where(where)
@@ -187,19 +198,14 @@ def total_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str],
                      date_col=date_col, how="inner", on_duplicates="allow", resolved=resolved)
 
 
-def _list_text(items: Column, numeric: bool, render: str) -> Column:
-    """Sorted (value, n) pairs -> ``"1, 1, 2.5"`` (or ``"1×2, 2.5"``)."""
+def _list_text(items: Column, render: str) -> Column:
+    """Sorted (order, text, n) triples -> ``"1, 1, 2.5"`` (or ``"1×2, 2.5"``)."""
     srt = F.sort_array(items)
-
-    def txt(v):
-        return num_text(v) if numeric else v.cast("string")
-
     if render == "values":
-        parts = F.flatten(F.transform(srt, lambda s: F.array_repeat(txt(s["v"]), s["n"].cast("int"))))
+        parts = F.flatten(F.transform(srt, lambda s: F.array_repeat(s["v"], s["n"].cast("int"))))
     elif render == "counts":
-        parts = F.transform(srt, lambda s: F.when(s["n"] > 1, F.concat(txt(s["v"]), F.lit("×"),
-                                                                       s["n"].cast("string")))
-                            .otherwise(txt(s["v"])))
+        parts = F.transform(srt, lambda s: F.when(s["n"] > 1, F.concat(s["v"], F.lit("×"), s["n"].cast("string")))
+                            .otherwise(s["v"]))
     else:
         raise ValueError(render)
     return F.array_join(parts, ", ")
@@ -218,6 +224,59 @@ def _recycled_equal(a: Column, b: Column) -> Column:
     return (sa == 0) | (sb == 0) | same
 
 
+_MARK = "__present"
+
+
+def multiset_counts(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """(keys, __col, __o, __v, na, nb): how often each value of each column occurs in a group of either entry.
+
+    ``__v`` is the value's text (exact for integers and decimals), ``__o`` a
+    number to sort by (NULL for text columns). Rows of ``__present`` say which
+    entry has the group. One aggregate over both entries, checkpointed."""
+    rt, qt = dict(raw.dtypes), dict(qc.dtypes)
+
+    def side(df: DataFrame, types: dict, is_raw: bool) -> DataFrame:
+        items = []
+        for c in cols:
+            both = (rt[c], qt[c])
+            x = F.col(c)
+            if all(map(_is_numeric, both)):
+                # an exact column against a floating one is compared as double
+                t, own = (types[c], x) if all(map(_is_exact, both)) else ("double", x.cast("double"))
+                items.append(F.struct(F.lit(c).alias("c"), x.cast("double").alias("o"), value_text(own, t).alias("v")))
+            else:
+                items.append(F.struct(F.lit(c).alias("c"), F.lit(None).cast("double").alias("o"), value_text(x, types[c]).alias("v")))
+        items.append(F.struct(F.lit(_MARK).alias("c"), F.lit(None).cast("double").alias("o"), F.lit("").alias("v")))
+        d = df.select(*keys, F.explode(F.array(*items)).alias("__i"), F.lit(1 if is_raw else 0).alias("__r"))
+        return d.select(*keys, F.col("__i.c").alias("__col"), F.col("__i.o").alias("__o"), F.col("__i.v").alias("__v"), "__r").where("__v is not null")
+
+    both = side(raw, rt, True).unionByName(side(qc, qt, False))
+    counts = both.groupBy(*keys, "__col", "__v").agg(F.min("__o").alias("__o"), F.sum("__r").alias("na"), F.sum(F.lit(1) - F.col("__r")).alias("nb"))
+    ensure_checkpoint_dir(raw.sparkSession)
+    return counts.checkpoint(eager=True)
+
+
+def _multiset_flags(raw: DataFrame, qc: DataFrame, keys: list[str], cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """The count table, and for groups of both entries that differ a flag for each column."""
+    counts = multiset_counts(raw, qc, keys, cols)
+    aggs = [F.max(F.when((F.col("__col") == _MARK) & (F.col("na") > 0), 1)).alias("__pa"),
+            F.max(F.when((F.col("__col") == _MARK) & (F.col("nb") > 0), 1)).alias("__pb")]
+    aggs += [F.max(F.when((F.col("__col") == c) & (F.col("na") != F.col("nb")), 1)).alias(f"__d{i}") for i, c in enumerate(cols)]
+    flags = (counts.groupBy(*keys).agg(*aggs)
+             .where((F.col("__pa") == 1) & (F.col("__pb") == 1) & any_true(F.coalesce(F.col(f"__d{i}") == 1, F.lit(False)) for i in range(len(cols)))))
+    return counts, flags
+
+
+def multiset_changes(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
+    """REC-6 as rows: (keys, column, value, n_raw, n_qc) for every value whose count differs in a group of both entries."""
+    keys, cols = list(keys), list(as_list(cols))
+    counts, flags = _multiset_flags(raw, qc, keys, cols)
+    f2 = flags.select(*[F.col(k).alias(f"{k}__f") for k in keys])
+    d = counts.where((F.col("na") != F.col("nb")) & (F.col("__col") != _MARK))
+    j = d.join(f2, null_safe_on(d, f2, keys, [f"{k}__f" for k in keys]), "left_semi")
+    return j.select(*keys, F.col("__col").alias("column"), F.col("__v").alias("value"), F.col("na").alias("n_raw"), F.col("nb").alias("n_qc"))
+
+
 def multiset_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequence[str],
                   length_policy: str = "strict", sep: str = DIFF_SEP,
                   labels: tuple[str, str] = (RAW_LABEL, QC_LABEL),
@@ -232,44 +291,21 @@ def multiset_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequ
 
     Message: ``"Raw: 1, 2.5 ≠ QC: 1, 3"`` (labels configurable).
 
-    Plan: both entries are unioned and aggregated once to
-    ``(group, column, value) -> (n_raw, n_qc)`` (partial aggregation before
-    the shuffle; a presence marker column records which entry has the group);
-    one more partial aggregate per group yields the difference flags; value
-    lists are collected only for groups that differ.
+    Plan: see :func:`multiset_counts`; value lists are collected only for
+    groups that differ. :func:`multiset_changes` gives the same differences
+    as rows, without lists.
     """
     keys, cols = list(keys), list(as_list(cols))
-    rt, qt = dict(raw.dtypes), dict(qc.dtypes)
-    numeric = all(_is_numeric(rt[c]) and _is_numeric(qt[c]) for c in cols)
-    vtype = "double" if numeric else "string"
-    marker = "__present"
-
-    def side(df: DataFrame, is_raw: bool) -> DataFrame:
-        d = df.select(*keys, *[F.col(c).cast(vtype).alias(c) for c in cols],
-                      F.lit(0).cast(vtype).alias(marker), F.lit(1 if is_raw else 0).alias("__r"))
-        return d.unpivot(keys + ["__r"], cols + [marker], "__col", "__v").where(F.col("__v").isNotNull())
-
-    both = side(raw, True).unionByName(side(qc, False))
-    counts = both.groupBy(*keys, "__col", "__v").agg(
-        F.sum("__r").alias("na"), F.sum(F.lit(1) - F.col("__r")).alias("nb"))
-    flag_aggs = [F.max(F.when((F.col("__col") == marker) & (F.col("na") > 0), 1)).alias("__pa"),
-                 F.max(F.when((F.col("__col") == marker) & (F.col("nb") > 0), 1)).alias("__pb")]
-    flag_aggs += [F.max(F.when((F.col("__col") == c) & (F.col("na") != F.col("nb")), 1)).alias(f"__d{i}")
-                  for i, c in enumerate(cols)]
-    flags = (counts.groupBy(*keys).agg(*flag_aggs)
-             .where((F.col("__pa") == 1) & (F.col("__pb") == 1) &
-                    any_true(F.col(f"__d{i}") == 1 for i in range(len(cols)))))
+    counts, flags = _multiset_flags(raw, qc, keys, cols)
     f2 = flags.select(*[F.col(k).alias(f"{k}__f") for k in keys], *[f"__d{i}" for i in range(len(cols))])
-    # join the SAME count table (no extra filter: marker rows match no column
-    # below) so the planner reuses its exchange instead of aggregating twice
     j = counts.join(f2, null_safe_on(counts, f2, keys, [f"{k}__f" for k in keys]), "inner")
     list_aggs = []
     for i, c in enumerate(cols):
         on_c = F.col("__col") == c
         list_aggs += [
             F.first(f"__d{i}").alias(f"__d{i}"),
-            F.collect_list(F.when(on_c & (F.col("na") > 0), F.struct(F.col("__v").alias("v"), F.col("na").alias("n")))).alias(f"__ra{i}"),
-            F.collect_list(F.when(on_c & (F.col("nb") > 0), F.struct(F.col("__v").alias("v"), F.col("nb").alias("n")))).alias(f"__qa{i}"),
+            F.collect_list(F.when(on_c & (F.col("na") > 0), F.struct(F.col("__o").alias("o"), F.col("__v").alias("v"), F.col("na").alias("n")))).alias(f"__ra{i}"),
+            F.collect_list(F.when(on_c & (F.col("nb") > 0), F.struct(F.col("__o").alias("o"), F.col("__v").alias("v"), F.col("nb").alias("n")))).alias(f"__qa{i}"),
         ]
     per_group = j.groupBy(*keys).agg(*list_aggs)
     flags_out, outs = [], []
@@ -281,8 +317,8 @@ def multiset_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequ
         elif length_policy != "strict":
             raise ValueError("length_policy must be 'strict' or 'recycle'")
         flags_out.append(differs.alias(f"__x{i}"))
-        msg = F.concat(F.lit(labels[0] + " "), _list_text(ra, numeric, render),
-                       F.lit(sep + labels[1] + " "), _list_text(qa, numeric, render))
+        msg = F.concat(F.lit(labels[0] + " "), _list_text(ra, render),
+                       F.lit(sep + labels[1] + " "), _list_text(qa, render))
         outs.append(F.when(F.col(f"__x{i}"), msg).alias(f"{c}{suffix}"))
     # filter on the flags; message text is built only for the rows kept
     flagged = (per_group.select(*keys, *[f"__ra{i}" for i in range(len(cols))],
@@ -294,9 +330,3 @@ def multiset_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequ
     if resolved:
         out = out.withColumn("resolved", F.lit(""))
     return out
-
-
-def _semi(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    k2 = keys_df.select(*[F.col(k).alias(f"{k}__s") for k in keys])
-    return df.join(k2, null_safe_on(df, k2, keys, [f"{k}__s" for k in keys]), "left_semi")
-

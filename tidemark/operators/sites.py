@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark._util import maybe_broadcast, null_safe_on
+from tidemark._util import null_safe_on
 from tidemark.functions.text import parse_date, standardize_code
 from tidemark.operators.normalize import cast_columns, null_tokens
 
@@ -67,23 +67,25 @@ def build_recovery_sites(df: DataFrame, years: Sequence[int] = (2024, 2025),
 def resolve_official_site(df: DataFrame, sites: DataFrame, on: Mapping[str, str],
                           take: Mapping[str, str], year: int | None = None,
                           date_col: str | None = None, unmatched: str = "drop",
-                          max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                          site_year: Column | None = None) -> DataFrame:
     """SITE-4: attach the official site record for a survey year.
 
     ``on`` maps data columns to site-table columns (NULL matches NULL);
     ``take`` maps output names to site-table columns, replacing same-named
-    data columns.  ``year`` keeps only data rows of that year.
+    data columns.  ``year`` keeps only data rows of that year and, with
+    ``site_year`` (an expression over the site table), only its records.
     ``unmatched='drop'`` keeps matched rows only (Catalyst turns the left
     join plus filter into an inner join); ``'keep'`` keeps all rows.
 
-    The site table is broadcast only after its size is proven below
-    ``max_broadcast_rows``; otherwise a sort-merge join is planned."""
+    The join is an equi-join; the planner broadcasts the site table by its
+    measured bytes or not."""
     if year is not None:
         df = df.where(F.year(F.col(date_col)) == F.lit(year))
+        if site_year is not None:
+            sites = sites.where(site_year == F.lit(year))
     s_cols = list(dict.fromkeys(list(on.values()) + list(take.values())))
     # like a left join, a site record listed twice matches twice
     s = sites.select(*[F.col(c).alias(f"__s_{c}") for c in s_cols], F.lit(True).alias("__s_hit"))
-    s = maybe_broadcast(s, max_broadcast_rows)
     cond = null_safe_on(df, s, list(on.keys()), [f"__s_{c}" for c in on.values()])
     j = df.join(s, cond, "left")
     if unmatched == "drop":

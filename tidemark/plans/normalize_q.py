@@ -256,57 +256,57 @@ def rec2_duplicate_rows(spark, sf):
 
 # ------------------------------------------------------- SRC-3 / SRC-4 -----
 
-_TXT_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "o_flag")
+_TXT_COLS = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority", "o_flag", "o_code", "o_suffixed", "o_when")
 
 
 def _sql_infer(c):
-    x = f"trim({c})"
+    x = f"nullif(nullif(nullif(trim({c}), ''), 'NA'), 'NULL')"
+    number = "[-+]?(0|[1-9][0-9]*)?([.][0-9]*)?([eE][-+]?[0-9]+)?"
     return f"""SELECT '{c}' AS variable,
   CASE WHEN count({x}) = 0 THEN 'string'
        WHEN count(CASE WHEN upper({x}) IN ('TRUE', 'FALSE') THEN 1 END) = count({x}) THEN 'boolean'
-       WHEN count(CASE WHEN regexp_full_match({x}, '-?[0-9]+') THEN TRY_CAST({x} AS BIGINT) END) = count({x}) THEN 'bigint'
-       WHEN count(TRY_CAST({x} AS DOUBLE)) = count({x}) THEN 'double'
+       WHEN count(CASE WHEN regexp_full_match({x}, '-?(0|[1-9][0-9]*)') THEN TRY_CAST({x} AS BIGINT) END) = count({x}) THEN 'bigint'
+       WHEN count(CASE WHEN regexp_full_match({x}, '{number}') THEN TRY_CAST({x} AS DOUBLE) END) = count({x}) THEN 'double'
        WHEN count(try_strptime({x}, '%Y-%m-%d')) = count({x}) THEN 'date'
+       WHEN count(try_strptime({x}, '%Y-%m-%d %H:%M:%S')) = count({x}) THEN 'timestamp'
        ELSE 'string' END AS inferred_type
 FROM t"""
 
 
 SRC3_SQL = ("""WITH t AS (SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-  o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
-  o_orderpriority, CASE WHEN o_orderkey % 2 = 0 THEN 'TRUE' ELSE 'false' END AS o_flag FROM orders)
+  o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN 'NA' ELSE CAST(o_totalprice AS VARCHAR) END AS o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+  o_orderpriority, CASE WHEN o_orderkey % 2 = 0 THEN 'TRUE' ELSE 'false' END AS o_flag,
+  lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS o_code, CAST(o_custkey AS VARCHAR) || 'd' AS o_suffixed,
+  strftime(o_orderdate, '%Y-%m-%d') || ' 12:30:00' AS o_when FROM orders)
 """ + "\nUNION ALL\n".join(_sql_infer(c) for c in _TXT_COLS))
 
 
 @register("src3_infer_types", ("SRC-3",), SRC3_SQL)
 def src3_infer_types(spark, sf):
-    """Types of an all-text copy of orders, decided by one aggregate."""
+    """Types of an all-text copy of orders, decided by one aggregate (missing tokens, padded codes, suffixes, times)."""
     o = table(spark, sf, "orders")
-    t = o.select(*[F.col(c).cast("string").alias(c) for c in _TXT_COLS[:4]],
-                 F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderpriority",
-                 F.when(F.col("o_orderkey") % 2 == 0, "TRUE").otherwise("false").alias("o_flag"))
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    key = F.col("o_custkey").cast("string")
+    t = o.select(*[F.col(c).cast("string").alias(c) for c in _TXT_COLS[:3]],
+                 F.when(F.col("o_orderkey") % 7 == 0, "NA").otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+                 day.alias("o_orderdate"), "o_orderpriority",
+                 F.when(F.col("o_orderkey") % 2 == 0, "TRUE").otherwise("false").alias("o_flag"),
+                 F.lpad(key, 9, "0").alias("o_code"), F.concat(key, F.lit("d")).alias("o_suffixed"), F.concat(day, F.lit(" 12:30:00")).alias("o_when"))
     plan = io.infer_type_plan(t)
     return t.sparkSession.createDataFrame(list(plan.items()), "variable string, inferred_type string")
 
 
 SRC4_SQL = """
-SELECT CAST(year(o_orderdate) AS INTEGER) AS survey_year, count(*) AS n FROM orders GROUP BY 1
+SELECT CAST(CASE WHEN o_orderkey % 101 <> 0 THEN year(o_orderdate) END AS INTEGER) AS survey_year, count(*) AS n FROM orders GROUP BY 1
 """
 
 
 def _orders_by_year(spark, sf):
-    """Yearly 'sheets' of orders: written once partitioned by survey year to
-    the session's checkpoint folder, then each year read back on its own
-    (partition pruning: every year's read touches only its folder)."""
-    import uuid
-
-    from tidemark.session import ensure_checkpoint_dir
-
-    o = table(spark, sf, "orders").withColumn("survey_year", F.year("o_orderdate"))
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-years-{uuid.uuid4().hex}"
-    io.write_tables({"orders": o}, path, partition_by={"orders": ["survey_year"]})
-    stored = io.read_table(spark, f"{path}/orders")
-    years = sorted(r[0] for r in stored.select("survey_year").distinct().collect())
-    return o, [stored.where(F.col("survey_year") == y) for y in years]
+    """Orders and their yearly 'sheets' (a filter for each year that occurs; undated rows are a sheet of their own)."""
+    o = table(spark, sf, "orders").withColumn("o_orderdate", F.when(F.col("o_orderkey") % 101 != 0, F.col("o_orderdate")))
+    o = o.withColumn("survey_year", F.year("o_orderdate"))
+    years = [r[0] for r in o.select("survey_year").distinct().collect()]
+    return o, [o.where(F.col("survey_year").eqNullSafe(F.lit(y).cast("int"))) for y in years]
 
 
 @register("src4_union_years", ("SRC-4",), SRC4_SQL)
@@ -332,7 +332,7 @@ def qc5_row_invariant(spark, sf):
 # --------------------------------------- SRC-1/2, SNK-1/2, NRM-1/2 ---------
 
 SRC12_SQL = """SELECT c_custkey AS cust_key, c_name AS name, CAST(c_nationkey AS BIGINT) AS nation_key,
-  c_acctbal AS acct_bal, c_mktsegment AS mkt_segment
+  CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE c_acctbal END AS acct_bal, lpad(CAST(c_custkey AS VARCHAR), 8, '0') AS code, c_mktsegment AS mkt_segment
 FROM customer WHERE c_custkey <> (SELECT min(c_custkey) FROM customer)"""
 
 
@@ -348,7 +348,8 @@ def src12_csv_roundtrip(spark, sf):
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-roundtrip-{uuid.uuid4().hex}"
     c = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("Cust Key"), F.col("c_name").alias("Name"),
-        F.col("c_nationkey").alias("NationKey"), F.col("c_acctbal").alias("Acct  Bal"),
+        F.col("c_nationkey").alias("NationKey"), F.when(F.col("c_custkey") % 5 != 0, F.col("c_acctbal")).alias("Acct  Bal"),
+        F.lpad(F.col("c_custkey").cast("string"), 8, "0").alias("Code"),
         F.col("c_mktsegment").alias("Mkt-Segment"))
     io.write_csv(c, f"{base}/sheet")
     t = io.infer_types(io.read_text_table(spark, f"{base}/sheet"))

@@ -108,15 +108,16 @@ def qc7_domain(spark, sf):
 
 
 QC8_SQL = """WITH t AS (SELECT event_type, value,
-  CASE WHEN value = 500 THEN 25 ELSE CAST(floor((value - 0) * 25 / 500) + 1 AS BIGINT) END AS bin
-  FROM events WHERE value >= 0 AND value <= 500)
-SELECT event_type, bin, count(*) AS n, round(0 + (bin - 1) * 20.0, 6) AS bin_lo, round(0 + bin * 20.0, 6) AS bin_hi
+  CASE WHEN value < 0 THEN 0 WHEN value > 500 THEN 26 WHEN value = 500 THEN 25 ELSE CAST(floor((value - 0) * 25 / 500) + 1 AS BIGINT) END AS bin
+  FROM events WHERE value IS NOT NULL)
+SELECT event_type, bin, count(*) AS n, CASE WHEN bin > 0 THEN round(0 + (bin - 1) * 20.0, 6) END AS bin_lo,
+  CASE WHEN bin <= 25 THEN round(0 + bin * 20.0, 6) END AS bin_hi
 FROM t GROUP BY event_type, bin"""
 
 
 @register("qc8_histogram", ("QC-8",), QC8_SQL)
 def qc8_histogram(spark, sf):
-    """Equal-width histogram counts per group."""
+    """Equal-width histogram counts per group, with bins below and above the range."""
     h = qc.histogram(table(spark, sf, "events"), "value", 0.0, 500.0, 25, keys=["event_type"])
     return h.withColumn("bin_lo", r6("bin_lo")).withColumn("bin_hi", r6("bin_hi"))
 

@@ -191,3 +191,27 @@ def rec6_multiset_recycle(spark, sf):
     li = table(spark, sf, "lineitem")
     return rc.multiset_diff(li, lineitem_entry_qc(li), ["l_orderkey"], list(_MS_COLS),
                             length_policy="recycle")
+
+
+# big integers beyond 2^53, a text column, and an int against a double column
+MSC_SQL = f"""WITH qc AS ({LINEITEM_QC_SQL}),
+a AS (SELECT l_orderkey, 'big' AS c, CAST(9007199254740992 + l_linenumber AS VARCHAR) AS v FROM lineitem
+  UNION ALL SELECT l_orderkey, 'flag', l_returnflag FROM lineitem UNION ALL SELECT l_orderkey, 'line', CAST(l_linenumber AS VARCHAR) FROM lineitem),
+b AS (SELECT l_orderkey, 'big' AS c, CAST(9007199254740992 + l_linenumber + CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 0 END AS VARCHAR) AS v FROM qc
+  UNION ALL SELECT l_orderkey, 'flag', l_returnflag FROM qc UNION ALL SELECT l_orderkey, 'line', CAST(l_linenumber AS VARCHAR) FROM qc),
+ca AS (SELECT l_orderkey, c, v, count(*) AS n FROM a WHERE v IS NOT NULL GROUP BY 1, 2, 3), cb AS (SELECT l_orderkey, c, v, count(*) AS n FROM b WHERE v IS NOT NULL GROUP BY 1, 2, 3)
+SELECT coalesce(ca.l_orderkey, cb.l_orderkey) AS l_orderkey, coalesce(ca.c, cb.c) AS "column", coalesce(ca.v, cb.v) AS value,
+  coalesce(ca.n, 0) AS n_raw, coalesce(cb.n, 0) AS n_qc
+FROM ca FULL JOIN cb ON ca.l_orderkey = cb.l_orderkey AND ca.c = cb.c AND ca.v = cb.v WHERE coalesce(ca.n, 0) <> coalesce(cb.n, 0)"""
+
+
+@register("rec6_multiset_changes", ("REC-6",), MSC_SQL)
+def rec6_multiset_changes(spark, sf):
+    """Changed value counts as rows: exact big integers, a text column, an integer against a double column."""
+    li = table(spark, sf, "lineitem")
+    q = lineitem_entry_qc(li)
+    big = F.lit(9007199254740992) + F.col("l_linenumber")
+    a = li.select("l_orderkey", big.alias("big"), F.col("l_returnflag").alias("flag"), F.col("l_linenumber").alias("line"))
+    b = q.select("l_orderkey", (big + F.when(F.col("l_orderkey") % 3 == 0, 1).otherwise(0)).alias("big"), F.col("l_returnflag").alias("flag"),
+                 F.col("l_linenumber").cast("double").alias("line"))
+    return rc.multiset_changes(a, b, ["l_orderkey"], ["big", "flag", "line"])

@@ -197,18 +197,41 @@ def site5_latest(spark, sf):
     return st.latest_per_group(o, ["o_custkey"], "o_orderdate")
 
 
-SITE45_SQL = f"""WITH a AS ({_site4_sql(1996, True)}), b AS ({_site4_sql(1997, False)}),
-u AS (SELECT * FROM a UNION ALL SELECT * FROM b)
-SELECT o_orderkey, site_official, o_orderdate FROM u
-WHERE o_orderdate = (SELECT max(u2.o_orderdate) FROM u u2
-                     WHERE u2.site_official IS NOT DISTINCT FROM u.site_official AND year(u2.o_orderdate) = year(u.o_orderdate))"""
+# composite key with NULLs, and only the year's own site records
+_RECORD_SQL = """SELECT o_custkey, o_orderstatus, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS zone, o_orderdate,
+  min(o_orderkey) AS official_id FROM orders WHERE o_custkey % 5 <> 0 GROUP BY 1, 2, 3, 4"""
+SITE4C_SQL = f"""WITH s AS (SELECT * FROM ({_RECORD_SQL}) WHERE year(o_orderdate) = 1996),
+d AS (SELECT o_orderkey, o_custkey, o_orderstatus, CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderpriority END AS zone, o_orderdate FROM orders)
+SELECT d.*, s.official_id FROM d LEFT JOIN s ON d.o_custkey IS NOT DISTINCT FROM s.o_custkey AND d.o_orderstatus IS NOT DISTINCT FROM s.o_orderstatus
+  AND d.zone IS NOT DISTINCT FROM s.zone AND d.o_orderdate IS NOT DISTINCT FROM s.o_orderdate WHERE year(d.o_orderdate) = 1996"""
+
+
+@register("site4_composite", ("SITE-4",), SITE4C_SQL)
+def site4_composite(spark, sf):
+    """Official record by site, type, zone and date (NULL zones match), records of the survey year only."""
+    zone = F.when(F.col("o_orderpriority") == "5-LOW", None).otherwise(F.col("o_orderpriority"))
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", zone.alias("zone"), "o_orderdate")
+    keys = ["o_custkey", "o_orderstatus", "zone", "o_orderdate"]
+    records = o.where("o_custkey % 5 <> 0").groupBy(*keys).agg(F.min("o_orderkey").alias("official_id"))
+    return st.resolve_official_site(o, records, on={k: k for k in keys}, take={"official_id": "official_id"}, year=1996,
+                                    date_col="o_orderdate", unmatched="keep", site_year=F.year("o_orderdate"))
+
+
+# unmatched rows go in even years and stay in odd ones; the latest date is that
+# of the official site, or of the sheet's own site where there is none
+SITE45_SQL = f"""WITH s AS ({_SITES_SQL}),
+u AS (SELECT o.o_orderkey, o.o_custkey, o.o_orderdate, s.official_name AS site_official FROM orders o LEFT JOIN s ON o.o_custkey IS NOT DISTINCT FROM s.site_key
+  WHERE s.site_key IS NOT NULL OR year(o.o_orderdate) % 2 = 1)
+SELECT o_orderkey, o_custkey, site_official, o_orderdate FROM (
+  SELECT *, max(o_orderdate) OVER (PARTITION BY coalesce(site_official, 'sheet ' || o_custkey), year(o_orderdate)) AS latest FROM u)
+WHERE o_orderdate = latest"""
 
 
 @register("site45_resolve_latest", ("SITE-4", "SITE-5", "SRC-4"), SITE45_SQL)
 def site45_resolve_latest(spark, sf):
-    """Per year: official site, latest survey per site, years restacked."""
-    parts = []
-    for year, how in ((1996, "drop"), (1997, "keep")):
-        r = _resolve(spark, sf, year, how).withColumn("__y", F.year("o_orderdate"))
-        parts.append(st.latest_per_group(r, ["site_official", "__y"], "o_orderdate"))
-    return union_years(parts).select("o_orderkey", "site_official", "o_orderdate")
+    """Every year: official site (unmatched by the year's rule), latest survey per site or sheet's own site."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    r = st.resolve_official_site(o, _site_table(spark, sf), on={"o_custkey": "site_key"}, take={"site_official": "official_name"}, unmatched="keep")
+    r = r.where(F.col("site_official").isNotNull() | (F.year("o_orderdate") % 2 == 1))
+    r = r.withColumn("__site", F.coalesce("site_official", F.concat(F.lit("sheet "), F.col("o_custkey")))).withColumn("__y", F.year("o_orderdate"))
+    return st.latest_per_group(r, ["__site", "__y"], "o_orderdate").select("o_orderkey", "o_custkey", "site_official", "o_orderdate")

@@ -39,56 +39,71 @@ def read_text_table(spark: SparkSession, path: str, clean: bool = True, **option
     return clean_names(df) if clean else df
 
 
-# Candidate types tried in order when typing text columns.
-_INFER_ORDER = ("boolean", "bigint", "double", "date", "string")
+# Candidate types tried in order when typing text columns, the
+# layouts of numbers (no zero padding, no type suffix), dates and times, and
+# the tokens that stand for a missing value.
+_INFER_ORDER = ("boolean", "bigint", "double", "date", "timestamp", "string")
+_BIGINT = r"^-?(0|[1-9][0-9]*)$"
+_DOUBLE = r"^[-+]?(0|[1-9][0-9]*)?(\.[0-9]*)?([eE][-+]?[0-9]+)?$"
+DATE_LAYOUTS = ("yyyy-MM-dd", "M/d/yyyy")
+TIME_LAYOUTS = ("yyyy-MM-dd HH:mm:ss", "M/d/yyyy H:mm")
+MISSING_TOKENS = ("", "NA", "NULL")
+
+
+def _first_of(x, layouts, parse):
+    return F.coalesce(*[parse(x, f) for f in layouts])
+
+
+def _present(c: str):
+    x = F.trim(F.col(c))
+    return F.when(~x.isin(*MISSING_TOKENS), x)
 
 
 def infer_type_plan(df: DataFrame, cols: Sequence[str] | None = None,
-                    date_format: str = "yyyy-MM-dd") -> dict[str, str]:
+                    date_layouts: Sequence[str] = DATE_LAYOUTS, time_layouts: Sequence[str] = TIME_LAYOUTS) -> dict[str, str]:
     """Decide a type for each text column with ONE aggregate over the table.
 
-    For every column it counts non-NULL values and how many of them parse as
-    boolean / bigint / double / date; the first type that parses all values
-    wins.  Only the counts (4 numbers per column) reach the driver.
+    For every column it counts the values that are present (not NULL, blank or
+    a missing token) and how many of them parse as each type; the first type
+    that parses all wins. Zero-padded codes stay text. Only the counts (a few
+    numbers per column) reach the driver.
     """
     cols = list(cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)])
     if not cols:
         return {}
     aggs = []
-    for c in cols:
-        x = F.trim(F.col(c))
-        aggs += [
-            F.count(x).alias(f"{c}__n"),
-            F.count(F.when(F.upper(x).isin("TRUE", "FALSE"), 1)).alias(f"{c}__boolean"),
-            F.count(F.when(x.rlike(r"^-?[0-9]+$"), x.try_cast("bigint"))).alias(f"{c}__bigint"),
-            F.count(x.try_cast("double")).alias(f"{c}__double"),
-            F.count(F.try_to_date(x, date_format)).alias(f"{c}__date"),
-        ]
+    for i, c in enumerate(cols):
+        x = _present(c)
+        tests = {
+            "n": x.isNotNull(),
+            "boolean": F.upper(x).isin("TRUE", "FALSE"),
+            "bigint": x.rlike(_BIGINT) & x.try_cast("bigint").isNotNull(),
+            "double": x.rlike(_DOUBLE) & x.rlike("[0-9]") & x.try_cast("double").isNotNull(),
+            "date": _first_of(x, date_layouts, F.try_to_date).isNotNull(),
+            "timestamp": _first_of(x, time_layouts, lambda v, f: F.try_to_timestamp(v, F.lit(f))).isNotNull(),
+        }
+        aggs += [F.count(F.when(t, 1)).alias(f"{i}_{k}") for k, t in tests.items()]
     row = df.agg(*aggs).first().asDict()
     plan = {}
-    for c in cols:
-        n = row[f"{c}__n"]
-        chosen = "string"
-        if n > 0:
-            for t in _INFER_ORDER[:-1]:
-                if row[f"{c}__{t}"] == n:
-                    chosen = t
-                    break
-        plan[c] = chosen
+    for i, c in enumerate(cols):
+        n = row[f"{i}_n"]
+        plan[c] = next((t for t in _INFER_ORDER[:-1] if row[f"{i}_{t}"] == n), "string") if n else "string"
     return plan
 
 
 def infer_types(df: DataFrame, cols: Sequence[str] | None = None,
-                date_format: str = "yyyy-MM-dd") -> DataFrame:
-    """SRC-3: type text columns after token nulling (one job for the plan)."""
-    plan = infer_type_plan(df, cols, date_format)
+                date_layouts: Sequence[str] = DATE_LAYOUTS, time_layouts: Sequence[str] = TIME_LAYOUTS) -> DataFrame:
+    """SRC-3: missing tokens to NULL, then type text columns (one job for the plan)."""
+    plan = infer_type_plan(df, cols, date_layouts, time_layouts)
     out = {}
     for c, t in plan.items():
+        x = _present(c)
         if t == "string":
-            continue
-        x = F.trim(F.col(c))
-        if t == "date":
-            out[c] = F.try_to_date(x, date_format)
+            out[c] = F.when(x.isNotNull(), F.col(c))
+        elif t == "date":
+            out[c] = _first_of(x, date_layouts, F.try_to_date)
+        elif t == "timestamp":
+            out[c] = _first_of(x, time_layouts, lambda v, f: F.try_to_timestamp(v, F.lit(f)))
         elif t == "boolean":
             out[c] = F.upper(x) == "TRUE"
         else:
