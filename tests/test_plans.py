@@ -5,11 +5,11 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
+from tidemark import plans
 
 from conftest import SF
 
-QUERIES = E.queries()
+QUERIES = plans.queries()
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 
 
@@ -24,3 +24,14 @@ def test_scans_prune_columns(spark):
     plan = QUERIES["rec3_cell_diff"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     cols = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
     assert cols and all(len(c.split(",")) < 11 for c in cols)  # lineitem has 11 columns
+
+
+@pytest.mark.parametrize(("name", "most"), [("met3_percent_cover", 1), ("met6_size_stats", 1), ("met9_pivot_density", 1), ("rec1_missing_keys", 1), ("met16_assemble_margin", 16)])
+def test_exchanges_without_broadcast(spark, name, most):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"(?<!Reused)Exchange (?:hash|range)partitioning", plan)) <= most

@@ -10,12 +10,13 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
+from tidemark import plans  # noqa: E402
 from oracle_check import TABLES, digest  # noqa: E402
 
 from conftest import SF  # noqa: E402
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = plans.queries()
+SQL = plans.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +32,10 @@ def test_entry_runs(spark):
     assert df.count() >= 0 and "resolved" in df.columns
 
 
+def test_entry_lists_every_query():
+    assert plans.queries().keys() <= E.queries().keys() and plans.oracle_sql().keys() <= E.oracle_sql().keys()
+
+
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
          "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT"}
 
