@@ -31,10 +31,9 @@ def shingles(w: Column, size: int) -> Column:
     return F.when(F.size(w) >= size, many).when(F.size(w) > 0, F.array(F.concat_ws(" ", w))).otherwise(F.array().cast("array<string>"))
 
 
-def _shingled(rows: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """(id, th, w): the id, a hash of the text and its words; rows without words are left out."""
-    out = rows.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), words(F.col(text_col)).alias("w"))
-    return out.where(F.size("w") > 0)
+def _worded(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, th, w): the id, a hash of the text and its words (null for a null text)."""
+    return rows.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), words(F.col(text_col)).alias("w"))
 
 
 def sketches(items: DataFrame, threshold: float) -> DataFrame:
@@ -62,21 +61,22 @@ def contained_items(
     are ignored. A common item is a hot key of neither join: candidates are
     aggregated by (document, item) with partial sums.
     """
-    items = _shingled(benchmark, item_col, item_text_col, size).select(F.col("id").alias("item_id"), F.col("th").alias("item_th"), F.array_distinct(shingles(F.col("w"), size)).alias("s"))
+    items = _worded(benchmark, item_col, item_text_col).where(F.size("w") > 0).select(F.col("id").alias("item_id"), F.col("th").alias("item_th"), F.array_distinct(shingles(F.col("w"), size)).alias("s"))
     items = checkpoint(items.dropDuplicates(["item_id", "item_th"]).withColumn("n", F.size("s")).withColumn("item", F.struct("item_id", "item_th")))
     sketch = sketches(items, threshold)
-    docs_w = _shingled(docs, id_col, text_col, size)
+    docs_w = _worded(docs, id_col, text_col)
     held = docs_w.select("id", "th", F.greatest(F.size("w") - (size - 1), F.lit(1)).alias("m"), F.explode(F.transform(shingles(F.col("w"), size), lambda s: F.xxhash64(s))).alias("h"))
     if sketch.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         sketch = F.broadcast(sketch)
     # a document of m shingles cannot contain a share of an item with more than m / threshold
     near = held.join(sketch, "h").where(F.col("m") >= threshold * F.col("n") - 1e-9)
-    candidates = near.select("id", "th", "item").distinct().join(items.drop("item_id", "item_th"), "item")
-    found = candidates.withColumnsRenamed({"id": "c_id", "th": "c_th"}).join(
-        docs_w.select("id", "th", F.array_distinct(shingles(F.col("w"), size)).alias("ds")).dropDuplicates(["id", "th"]),
-        F.col("c_id").eqNullSafe(F.col("id")) & (F.col("c_th") == F.col("th")),
-    )
-    pairs = found.select(F.col("id").alias("doc"), "th", "item", F.size(F.array_intersect("s", "ds")).alias("shared"), "n")
+    candidates = near.select(F.col("id").alias("c_id"), F.col("th").alias("c_th"), "item").distinct()
+    # documents meet their candidates as plain text; shingles are made after the shuffle, for candidates only
+    text = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text"))
+    found = candidates.join(text, F.col("c_id").eqNullSafe(F.col("id")) & (F.col("c_th") == F.col("th"))).join(items.select("item", "s", "n"), "item")
+    cut = found.withColumn("w", words(F.col("text"))).select("id", "th", "item", "s", "n", shingles(F.col("w"), size).alias("ds"))
+    # the checkpoint keeps the threshold from being pushed below the words, where they would be split again for every shingle
+    pairs = checkpoint(cut.select(F.col("id").alias("doc"), "th", "item", F.size(F.array_intersect("s", "ds")).alias("shared"), "n"))
     return pairs.withColumn("containment", F.col("shared") / F.col("n")).where(F.col("containment") >= threshold)
 
 
@@ -94,12 +94,12 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_
 
 
 SQL = r"""
-WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM documents WHERE text IS NOT NULL),
-iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), x -> x <> '') AS w FROM benchmark WHERE text IS NOT NULL),
+WITH dw AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM documents WHERE text IS NOT NULL),
+iw AS (SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w FROM benchmark WHERE text IS NOT NULL),
 d AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-  ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')) END) AS s FROM dw),
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s FROM dw),
 i AS (SELECT DISTINCT item_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-  ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i+4], ' ')) END) AS s FROM iw),
+  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) END) AS s FROM iw),
 n AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY 1),
 m AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN i USING (s) GROUP BY 1, 2)
 SELECT doc_id, item_id, shared, n_shingles, shared / n_shingles::DOUBLE AS containment
