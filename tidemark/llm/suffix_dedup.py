@@ -26,9 +26,11 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from .common import text_batches, written
 
@@ -265,20 +267,30 @@ def covered(lo: np.ndarray, hi: np.ndarray, length: int) -> list[tuple[int, int]
     return [tuple(x) for x in out]
 
 
-PIECE = "key long, slice binary, place int, windows int, members array<struct<doc:long,th:long,starts:binary>>, many boolean"
+PIECE = "key long, slice binary, place int, windows int, members array<struct<k:long,th:long,starts:binary>>, many boolean"
 
 
-def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text", gram: int = 64, hot: int = 100_000) -> DataFrame:
-    """(doc, th, spans array<struct<a,b>>): for each document with repeats the byte runs to remove, half-open and maximal.
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(k, th, row): a key of the document (its id, a hash of the text where that is null), the text's hash, all its columns.
 
-    ``doc`` and ``th`` are the document's id and text hash: equal rows share
-    one result. ``hot``: anchor strings that occur more often are dealt by window, not by anchor.
+    Both joins with documents start from this frame and the same key, so that Spark shuffles the texts once and reuses the exchange.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("th"), F.col(text_col).alias("text")).where(F.octet_length("text") >= length)
+    th = F.xxhash64(text_col)
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), th).alias("k"), th.alias("th"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+
+
+def repeated_spans(keyed: DataFrame, text_col: str = "text", length: int = 200, gram: int = 64, hot: int = 100_000) -> DataFrame:
+    """(k, th, spans array<struct<a,b>>): byte runs [a, b) of each document whose union is to be removed.
+
+    ``keyed`` is the result of ``_keyed``: rows of equal key and text share one
+    result. ``hot``: anchor strings that occur more often are dealt by window,
+    not by anchor.
+    """
+    texts = keyed.select("k", F.col(f"row.{text_col}").alias("text")).where(F.octet_length("text") >= length)
 
     def hashes(batches):
         for batch in batches:
-            ids, th = batch.column("doc"), batch.column("th")
+            ids = batch.column("k")
             for first, run in text_batches(batch.column("text").to_pylist()):
                 doc, h, *_ = _run_anchors(run, length, gram)
                 order = np.lexsort((h, doc))
@@ -286,19 +298,33 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
                 new = np.concatenate(([True], (h[1:] != h[:-1]) | (doc[1:] != doc[:-1]))) if len(h) else np.zeros(0, bool)
                 n = np.diff(np.append(np.flatnonzero(new), len(h)))
                 at = pa.array(doc[new] + first)
-                yield pa.RecordBatch.from_arrays([ids.take(at), th.take(at), pa.array(h[new].view(np.int64)), pa.array(n, pa.int32())], ["doc", "th", "h", "n"])
+                yield pa.RecordBatch.from_arrays([ids.take(at), pa.array(h[new].view(np.int64)), pa.array(n, pa.int32())], ["k", "h", "n"])
 
-    found = written(rows.mapInArrow(hashes, "doc long, th long, h long, n int"), "anchors")
+    found = written(texts.mapInArrow(hashes, "k long, h long, n int"), "anchors")
     again = found.groupBy("h").agg(F.sum("n").alias("total")).where("total > 1").select("h", (F.col("total") > hot).alias("hot"))
-    wanted = found.join(again, "h").groupBy("doc", "th").agg(F.collect_set(F.struct("h", "hot")).alias("wanted"))
-    wanted = wanted.withColumnsRenamed({"doc": "w_doc", "th": "w_th"})
-    cut_from = rows.join(wanted, rows.doc.eqNullSafe(wanted.w_doc) & (rows.th == wanted.w_th)).select("doc", "th", "text", "wanted")
+    # a key that several texts share gets the strings of all of them: more than needed, never less
+    wanted = found.join(again, "h").groupBy("k").agg(F.collect_set(F.struct("h", "hot")).alias("wanted"))
+    cut_from = keyed.join(wanted, "k").select("k", "th", "row", "wanted")
 
     def cut(batches):
+        held: dict[tuple, dict[tuple, list[int]]] = {}
+        size = 0
+
+        def flush():
+            cols = {c: [] for c in ("key", "slice", "place", "windows", "members", "many")}
+            for (g, piece, q, count), who in held.items():
+                cols["key"].append(g)
+                cols["slice"].append(piece)
+                cols["place"].append(q)
+                cols["windows"].append(count)
+                cols["members"].append([{"k": k, "th": t, "starts": np.array(st, "<i8").tobytes()} for (k, t), st in who.items()])
+                cols["many"].append(sum(map(len, who.values())) > 1)
+            return pa.RecordBatch.from_pydict(cols, schema=_PIECE)
+
         for batch in batches:
-            ids, ths = batch.column("doc").to_pylist(), batch.column("th").to_pylist()
+            ids, ths = batch.column("k").to_pylist(), batch.column("th").to_pylist()
             lists = batch.column("wanted")
-            for first, run in text_batches(batch.column("text").to_pylist()):
+            for first, run in text_batches(batch.column("row").field(text_col).to_pylist()):
                 doc, h, p, a, b = _run_anchors(run, length, gram)
                 part = lists.slice(first, len(run))
                 flat = part.flatten()
@@ -312,25 +338,23 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
                 spot = np.minimum(np.searchsorted(fc[order], hc), max(0, len(fc) - 1))
                 keep = fc[order][spot] == hc if len(fc) else np.zeros(len(h), bool)
                 is_hot = ft[order][spot] if len(fc) else keep
-                held: dict[tuple, dict[int, list[int]]] = {}
                 for d, g, q, s, e, warm in zip(doc[keep].tolist(), h[keep].view(np.int64).tolist(), p[keep].tolist(), a[keep].tolist(), b[keep].tolist(), is_hot[keep].tolist(), strict=True):
-                    text = run[d]
+                    text, me = run[d], (ids[first + d], ths[first + d])
                     if not warm:
-                        held.setdefault((g, text[s : e + length], q - s, e - s + 1), {}).setdefault(d, []).append(s)
+                        held.setdefault((g, text[s : e + length], q - s, e - s + 1), {}).setdefault(me, []).append(s)
+                        size += e - s + length + 100
                         continue
                     for w in range(s, e + 1):
                         digest = hashlib.blake2b(text[w : w + length], digest_size=20).digest()
                         k = int.from_bytes(digest[:8], "little", signed=True)
-                        held.setdefault((k, digest, 0, 1), {}).setdefault(d, []).append(w)
-                cols = {k: [] for k in ("key", "slice", "place", "windows", "members", "many")}
-                for (k, piece, q, count), who in held.items():
-                    cols["key"].append(k)
-                    cols["slice"].append(piece)
-                    cols["place"].append(q)
-                    cols["windows"].append(count)
-                    cols["members"].append([{"doc": ids[first + d], "th": ths[first + d], "starts": np.array(st, "<i8").tobytes()} for d, st in who.items()])
-                    cols["many"].append(sum(map(len, who.values())) > 1)
-                yield pa.RecordBatch.from_pydict(cols, schema=_PIECE)
+                        held.setdefault((k, digest, 0, 1), {}).setdefault(me, []).append(w)
+                        size += 120
+                if size > 24 << 20:  # equal slices of the task so far are one row
+                    yield flush()
+                    held.clear()
+                    size = 0
+        if held:
+            yield flush()
 
     pieces = cut_from.mapInArrow(cut, PIECE)
     dealt = pieces.repartition("key").sortWithinPartitions("key")
@@ -356,13 +380,13 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
                 np.array([u["key"] for u in uniq], np.int64), np.array([u["many"] for u in uniq], bool), [u["slice"] for u in uniq],
                 np.array([u["place"] for u in uniq], np.int64), np.array([u["windows"] for u in uniq], np.int64), length,
             )
-            out = {"doc": [], "th": [], "a": [], "b": []}
+            out = {"k": [], "th": [], "a": [], "b": []}
             for u, x, y in zip(uniq, lo.tolist(), hi.tolist(), strict=True):
                 if x < 0:
                     continue
                 for m in u["members"]:
                     st = np.frombuffer(m["starts"], "<i8")
-                    out["doc"] += [m["doc"]] * len(st)
+                    out["k"] += [m["k"]] * len(st)
                     out["th"] += [m["th"]] * len(st)
                     out["a"] += (st + x).tolist()
                     out["b"] += (st + y + length).tolist()
@@ -378,20 +402,24 @@ def repeated_spans(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
         if rows_:
             yield flush(rows_)
 
-    hits = dealt.mapInArrow(settle, "doc long, th long, a long, b long")
+    hits = dealt.mapInArrow(settle, "k long, th long, a long, b long")
     # runs of one document are merged by the union of its spans
-    return hits.groupBy("doc", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    return hits.groupBy("k", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
 
 _PIECE = pa.schema([
     ("key", pa.int64()), ("slice", pa.binary()), ("place", pa.int32()), ("windows", pa.int32()),
-    ("members", pa.list_(pa.struct([("doc", pa.int64()), ("th", pa.int64()), ("starts", pa.binary())]))), ("many", pa.bool_()),
+    ("members", pa.list_(pa.struct([("k", pa.int64()), ("th", pa.int64()), ("starts", pa.binary())]))), ("many", pa.bool_()),
 ])
 
 
 def _with_spans(docs: DataFrame, length: int, id_col: str, text_col: str, **kw) -> DataFrame:
-    spans = repeated_spans(docs, length, id_col, text_col, **kw).withColumnsRenamed({"doc": "__doc", "th": "__th", "spans": "__spans"})
-    return docs.join(spans, docs[id_col].cast("long").eqNullSafe(spans["__doc"]) & (F.xxhash64(docs[text_col]) == spans["__th"]), "left").drop("__doc", "__th")
+    """(row, spans): every row as a struct with the spans of its text, null if it has none."""
+    keyed = _keyed(docs, id_col, text_col)
+    spans = repeated_spans(keyed, text_col, length, **kw).select("k", F.col("th").alias("s_th"), "spans")
+    # the text hash is compared as a residual condition: the join is on the key alone, as the one above
+    left, right = keyed.alias("d"), spans.alias("s")
+    return left.join(right, (F.col("d.k") == F.col("s.k")) & (F.col("d.th").bitwiseXOR(F.col("s.s_th")) == 0), "left").select("d.row", "s.spans")
 
 
 def _runs(spans, length: int) -> list[tuple[int, int]]:
@@ -419,22 +447,22 @@ def removal_digests(docs: DataFrame, length: int = 200, id_col: str = "doc_id",
     each other like any other texts. Null ids are carried. An empty table gives
     an empty result. Other columns are ignored.
     """
-    rows = _with_spans(docs.select(F.col(id_col), F.col(text_col)), length, id_col, text_col, **kw)
+    rows = _with_spans(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), length, "id", "text", **kw)
 
     def digest(batches):
         for batch in batches:
+            row = batch.column("row")
             out = {"n_bytes": [], "n_removed": [], "n_spans": [], "kept_sha256": []}
-            for t, spans in zip(batch.column("t").to_pylist(), batch.column("s").to_pylist(), strict=True):
+            for t, spans in zip(row.field("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 data = (t or "").encode("utf-8", "surrogatepass")
                 runs = _runs(spans, length)
                 kept = _kept(data, runs)
                 for k, v in zip(out, (len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()), strict=True):
                     out[k].append(v)
-            yield pa.RecordBatch.from_pydict({"id": batch.column("id"), **{k: pa.array(v, pa.string() if k == "kept_sha256" else pa.int64()) for k, v in out.items()}})
+            yield pa.RecordBatch.from_pydict({"id": row.field("id"), **{k: pa.array(v, pa.string() if k == "kept_sha256" else pa.int64()) for k, v in out.items()}})
 
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    named = rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.col("__spans").alias("s"))
-    out = named.mapInArrow(digest, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    out = rows.mapInArrow(digest, f"id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
     return out.withColumnRenamed("id", id_col)
 
 
@@ -443,17 +471,14 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
 
     Characters that lose some of their bytes are dropped whole. Null texts stay null.
     """
-    from pyspark.sql.functions import pandas_udf
+    rows = _with_spans(docs, length, id_col, text_col, **kw)
 
     @pandas_udf("string")
-    def strip(texts, spans):
-        import pandas as pd
-
+    def strip(texts: pd.Series, spans: pd.Series) -> pd.Series:
         return pd.Series(
             [t if t is None or s is None else _kept(t.encode("utf-8", "surrogatepass"), _runs(s, length)).decode("utf-8", "ignore") for t, s in zip(texts, spans, strict=True)],
             dtype=object,
         )
 
-    rows = _with_spans(docs, length, id_col, text_col, **kw)
-    cut = F.when(F.col("__spans").isNull(), F.col(text_col)).otherwise(strip(F.col(text_col), F.col("__spans")))
-    return rows.withColumn(text_col, cut).drop("__spans")
+    cut = F.when(F.col("spans").isNull(), F.col(f"row.{text_col}")).otherwise(strip(F.col(f"row.{text_col}"), F.col("spans")))
+    return rows.select(*[cut.alias(c) if c == text_col else F.col(f"row.{c}").alias(c) for c in docs.columns])
