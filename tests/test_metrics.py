@@ -109,3 +109,24 @@ def test_relief_risk(spark):
     df = spark.createDataFrame([(3.0, 2.0)], "relief double, risk double")
     r = mt.relief_risk(df).first()
     assert r["relief_cm"] == 30 and math.isclose(r["risk_cm"], 151.4) and math.isclose(r["risk_index"], 10.0)
+
+
+def test_unlisted_and_null_classes_are_not_dropped(spark):
+    import pytest
+    from tidemark.operators import metrics as mt
+
+    df = spark.createDataFrame([(1, "X", 2.0), (1, "Z", 3.0), (1, None, 5.0), (2, "null", 7.0)], "u int, sp string, v double")
+    wide = {r["u"]: r.asDict() for r in mt.pivot_density(df, ["u"], "sp", "v").collect()}
+    assert wide[1] == {"u": 1, "density_x": 2.0, "density_z": 3.0, "density_null": 0.0, "density_na": 5.0}
+    assert wide[2]["density_null"] == 7.0
+    with pytest.raises(Exception, match="class is not listed"):
+        mt.pivot_density(df, ["u"], "sp", "v", values=["X", "null", None]).collect()
+    assert mt.pivot_density(df, ["u"], "sp", "v", values=["X"], unlisted="drop").count() == 2
+    two = spark.createDataFrame([(1, "a b", 1.0), (1, "a_b", 2.0)], "u int, sp string, v double")
+    with pytest.raises(ValueError, match="same column name"):
+        mt.pivot_density(two, ["u"], "sp", "v")
+    grid = spark.createDataFrame([(1,)], "u int")
+    lines = spark.createDataFrame([(1, 5, 2.0)], "u int, transect int, v double")
+    assert mt.true_zero_grid(grid, None, lines, ["u"], ["v"]).count() == 5
+    with pytest.raises(ValueError, match="grid is 1..4"):
+        mt.true_zero_grid(grid, 4, lines, ["u"], ["v"])

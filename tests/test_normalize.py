@@ -82,3 +82,21 @@ def test_corrections_map_and_table(spark):
 def test_drop_leading(spark):
     df = spark.createDataFrame([(i, f"r{i}") for i in range(5)], "row_order int, v string")
     assert sorted(r.row_order for r in nm.drop_leading(df, "row_order").collect()) == [1, 2, 3, 4]
+
+
+def test_drop_leading_ties_and_nulls(spark):
+    from tidemark.operators import normalize as nm
+
+    df = spark.createDataFrame([(None, "example"), (1, "a"), (1, "b"), (1, "b"), (2, "c")], "o int, v string")
+    left = sorted((str(r.o), r.v) for r in nm.drop_leading(df, "o").collect())
+    assert left == [("1", "a"), ("1", "b"), ("1", "b"), ("2", "c")]
+    left = sorted((str(r.o), r.v) for r in nm.drop_leading(df, "o", n=3).collect())
+    assert left == [("1", "b"), ("2", "c")]
+
+
+def test_inferred_types_of_codes_and_missing_tokens(spark):
+    from tidemark.sources import io
+
+    df = spark.createDataFrame([("007", "1d", "1.5", "NA", "2024-01-02 03:04:05"), ("010", "2f", "NA", "NULL", "2024-01-02 03:04:06")], "a string, b string, c string, d string, e string")
+    assert io.infer_type_plan(df) == {"a": "string", "b": "string", "c": "double", "d": "string", "e": "timestamp"}
+    assert io.infer_types(df).first()["a"] == "007" and io.infer_types(df).first()["d"] is None

@@ -45,3 +45,16 @@ def test_hot_key_size_stats(spark):
     e = mt.uncount(df, "n", drop=False).groupBy("k").agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s"))
     for r in e.collect():
         assert abs(got[r["k"]]["mean"] - r["m"]) < 1e-9 and abs(got[r["k"]]["sd"] - r["s"]) < 1e-9
+
+
+def test_quantiles_of_mostly_equal_values(spark):
+    """80% of a group on one value: it is one counted row, whatever the group's size."""
+    from tidemark.operators import quality as qc
+
+    df = spark.range(20_000).selectExpr("id % 2 as g", "case when id % 10 < 8 then 0D else id * 1D end as v")
+    ranks = qc.value_ranks(df, ["g"], "v")
+    assert ranks.agg({"w": "max"}).first()[0] >= 8_000 and ranks.count() <= 4_002
+    sizes = [r["count"] for r in ranks.groupBy("g", "x").count().collect()]
+    assert max(sizes) == 1
+    got = {r["g"]: (r["n"], r["q1"], r["median"], r["q3"]) for r in qc.box_stats(df, ["g"], "v").collect()}
+    assert got == {0: (10_000, 0.0, 0.0, 0.0), 1: (10_000, 0.0, 0.0, 0.0)}

@@ -55,7 +55,11 @@ def geo1_transect_rectangle(spark, sf):
                       rn(F.col("pt.lon"), 8).alias("lon"), rn(F.col("pt.lat"), 8).alias("lat"))
 
 
-@register("geo1_rectangle_wkt", ("GEO-1",), None)
+GEO1W_SQL = f"""SELECT s_suppkey, 'POLYGON((' || string_agg(printf('%.8f %.8f', lon, lat), ', ' ORDER BY corner) || '))' AS wkt
+FROM ({GEO1_SQL}) GROUP BY s_suppkey"""
+
+
+@register("geo1_rectangle_wkt", ("GEO-1",), GEO1W_SQL)
 def geo1_rectangle_wkt(spark, sf):
     """The same rectangles as WKT polygons."""
     r = geo.transect_rectangle(_sites(spark, sf))
