@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import fsio
-from .common import shared_dir, written
+from .common import shared_dir, spread, written
 
 #: The header line fields of both versions.
 VERSION_FIELDS = {
@@ -219,7 +219,7 @@ def index_arc(manifest: DataFrame) -> DataFrame:
                             out[k].append(v)
                 yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.string() if k in ("archive", "digest") else pa.int64()) for k, v in out.items()})
 
-    return manifest.select("archive").repartition("archive").mapInArrow(index, "archive string, offset long, page_id long, bytes long, digest string")
+    return spread(manifest.select("archive"), "archive").mapInArrow(index, "archive string, offset long, page_id long, bytes long, digest string")
 
 
 def plan_revisits(index: DataFrame, min_revisit: int = 100) -> DataFrame:
@@ -279,8 +279,9 @@ def convert(manifest: DataFrame, min_revisit: int = 100) -> DataFrame:
                     n += 1
         return pa.table({"warc": [uri], "records": pa.array([n], pa.int64())})
 
-    arcs = manifest.select("archive")
-    done = arcs.groupBy("archive").cogroup(plan.groupBy("archive")).applyInArrow(of_archive, "warc string, records long")
+    n = manifest.count()
+    arcs, links = spread(manifest.select("archive"), "archive", rows=n), spread(plan, "archive", rows=n)
+    done = arcs.groupBy("archive").cogroup(links.groupBy("archive")).applyInArrow(of_archive, "warc string, records long")
     return written(done, "warc-manifest")
 
 
@@ -331,7 +332,7 @@ def read_warc(manifest: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64() if k in ("page_id", "payload_bytes") else pa.string()) for k, v in zip(names, cols, strict=True)})
 
     schema = "page_id long, record_id string, refers_to_id string, record_type string, target_uri string, payload_bytes long, payload_digest string"
-    return manifest.select("warc").repartition("warc").mapInArrow(read, schema)
+    return spread(manifest.select("warc"), "warc").mapInArrow(read, schema)
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", min_revisit: int = 100) -> DataFrame:

@@ -68,6 +68,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *keys: str, rows: int | None = None, most: int = 20_000) -> DataFrame:
+    """Deal a small table of work items (files, shards) over as many tasks as it has rows.
+
+    An explicit partition count: by bytes Spark would put them all into one
+    task, though each row stands for a file's work.
+    """
+    n = df.count() if rows is None else rows
+    return df.repartition(max(1, min(most, 2 * n)), *keys)
+
+
 def fold(doc_id: Column | str) -> Column:
     """crc32 of the id printed as text, mod 4; a null id counts as the empty text."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import spread, written
 
 
 def _distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -255,7 +255,7 @@ def build_index(rows: DataFrame, k: int, shards: int, links: int = 16, width: in
         })
 
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("id"), F.lit(shards)).cast("int"))
-    return written(dealt.groupBy("shard", "dims").applyInArrow(one, INDEX), "hnsw-index")
+    return written(spread(dealt, "shard", "dims", rows=shards).groupBy("shard", "dims").applyInArrow(one, INDEX), "hnsw-index")
 
 
 def search_index(index: DataFrame, queries: DataFrame, k: int, shards: int, width: int = 128, block: int = 16384) -> DataFrame:
@@ -296,12 +296,14 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, shards: int, widt
             out[2].append(cs[top])
         return pa.table({"query_id": pa.array(np.concatenate(out[0])), "vec_id": pa.array(np.concatenate(out[1])), "score": pa.array(np.concatenate(out[2]))})
 
-    spread = queries.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(max(1, -(-queries.count() // block)))).cast("int"))
-    blocks = spread.select(F.col("block").alias("block"), F.col("dims").alias("b_dims")).distinct()
+    parts = max(1, -(-queries.count() // block))
+    asked = queries.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int"))
+    blocks = asked.select(F.col("block").alias("block"), F.col("dims").alias("b_dims")).distinct()
     left = index.join(blocks, F.col("dims") == F.col("b_dims")).drop("b_dims")
-    right = spread.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    right = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     keys = ["shard", "dims", "block"]
     right = right.toDF(*(f"q_{c}" for c in right.columns))
+    left, right = spread(left, *keys, rows=shards * parts), spread(right, *(f"q_{c}" for c in keys), rows=shards * parts)
     return left.groupBy(*keys).cogroup(right.groupBy(*(f"q_{c}" for c in keys))).applyInArrow(one, "query_id long, vec_id long, score double")
 
 
