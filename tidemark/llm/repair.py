@@ -2,8 +2,8 @@
 
 Every shard holds the ids of consecutive documents. Frequent pairs of
 adjacent symbols are replaced by new symbols (nonterminals), most frequent
-first, until no pair is frequent; each round replaces all pairs above a
-falling frequency threshold. A file stores the rules, the expansion length of
+first, until no pair is frequent or a round gains little; each round replaces
+all pairs above a falling frequency threshold. A file stores the rules, the expansion length of
 each nonterminal, the remaining sequence and the documents' offsets; prefix
 sums of expansion lengths locate any range of ids without decoding the rest.
 
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import fsio
 from .bpe_segtree import PLAIN_PATTERN, _char_classes, split_plain
-from .common import shared_dir, written
+from .common import shared_dir, spread, written
 
 MAGIC = b"TMRPAIR1"
 
@@ -82,7 +82,7 @@ class LibraryEncoder:
         return out
 
 
-def compress(ids: np.ndarray, first: int, min_count: int = 8, fall: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def compress(ids: np.ndarray, first: int, min_count: int = 8, fall: int = 16) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair: (sequence, rules as n x 2, expansion lengths); nonterminal ``first + k`` stands for rule k."""
     seq = ids.astype(np.uint32)
     rules: list[np.ndarray] = []
@@ -133,6 +133,8 @@ def compress(ids: np.ndarray, first: int, min_count: int = 8, fall: int = 8) ->
         gone = np.ones(len(seq), bool)
         gone[hit + 1] = False
         seq = seq[gone]
+        if threshold <= min_count and len(hit) * 50 < len(seq):
+            break  # what is left to gain is under a fiftieth of the sequence
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     length = np.ones(first + made, np.uint32)
     start = 0
@@ -253,7 +255,7 @@ def starts(manifest: DataFrame) -> DataFrame:
 
 def read_documents(manifest: DataFrame, group: int = 32) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files ``group`` documents at a time."""
-    rows = starts(manifest).select("uri", "start").repartition("uri")
+    rows = spread(starts(manifest).select("uri", "start"), "uri")
 
     def read(batches):
         for batch in batches:
