@@ -11,12 +11,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of an Arrow batch sent to a Python worker: texts run to a hundred kilobytes and more.
+BATCH_ROWS = 1000
+
 _shipped: set[str] = set()
 
 
 def ready(spark: SparkSession) -> SparkSession:
-    """Make this package importable in the Python workers (once per application)."""
+    """Make this package importable in the Python workers (once per application), with Arrow batches sized for long texts."""
     context = spark.sparkContext
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     if context.applicationId not in _shipped:
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         path = os.path.join(tempfile.mkdtemp(prefix="tidemark-"), "tidemark.zip")

@@ -73,7 +73,7 @@ class LanguageFilters:
         """Language and score (share of the text's n-grams found in it, corrected) of each text."""
         labels, scores = [], []
         count = len(self.languages)
-        for _, run in text_batches(texts):
+        for _, run in text_batches(texts, 1 << 18):
             grams, owner = _grams(run)
             total = np.bincount(owner, minlength=len(run)).astype(float)
             hits = np.zeros((len(run), count))
@@ -108,7 +108,7 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         for batch in batches:
             frame = batch.to_pandas()
             for lang, part in frame.groupby("lang", sort=False):
-                for _, run in text_batches(part["text"], 1 << 22):
+                for _, run in text_batches(part["text"], 1 << 20):
                     gram, n = np.unique(_grams(run)[0], return_counts=True)
                     yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(gram), pa.string()), "gram": pa.array(gram.astype(np.int64)), "n": pa.array(n.astype(np.int64))})
 
