@@ -1,5 +1,9 @@
 """License scan."""
 
+import random
+
+import pytest
+
 from tidemark.llm import license
 
 
@@ -53,3 +57,26 @@ def test_no_rows_and_own_templates(spark):
     assert license.scan_licenses(df.where("false")).count() == 0
     own = license.scan_licenses(df, {"house": "All rights reversed by the house"}).collect()
     assert [(r.license_id, r.exact) for r in own] == [("house", True)]
+
+
+def _varied(n, seed):
+    rnd = random.Random(seed)
+    return ["".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rnd.randint(2, 9))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("n", [100, 300, 600, 1500, 5000, 20_000])
+def test_exact_statement_in_a_line_of_any_length(n):
+    scanner = license.LicenseScanner(license.TEMPLATES)
+    for name, text in license.TEMPLATES.items():
+        words = _varied(n, f"{name}{n}")
+        for place in (0, n // 2, n):
+            hits = scanner.scan(" ".join(words[:place] + [text] + words[place:]))
+            best = [h for h in hits if h[2] == name]
+            assert len(best) == 1 and best[0][3] == 1 and best[0][10], (name, place, hits)
+            assert best[0][5] > 0.35  # the bytes saved do not depend on the line
+
+
+def test_statements_of_a_line_each_give_a_row():
+    scanner = license.LicenseScanner(license.TEMPLATES)
+    t, prose = license.TEMPLATES["mit"], " ".join(_varied(400, 5))
+    assert [h[2] for h in scanner.scan(f"{t} {t} {prose} {t}") if h[10]] == ["mit"] * 3

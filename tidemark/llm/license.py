@@ -1,15 +1,18 @@
 """License scans by conditional compression.
 
-Candidate blocks (lines that hold a key word of a template) are compressed by
-zstandard alone and with each template as raw dictionary. A template that the
-block repeats makes it smaller by nearly what the template costs by itself.
-Templates that save enough of that are ranked by the bytes saved, and winners
-are confirmed by the exact word differences between the template and the best
-aligned words of the block.
+Candidates are windows of words around the key words of a template. Those that
+hold enough of its words are confirmed by the exact word differences between
+the template and the best aligned words, at any place of a line of any length.
+A confirmed window of about two template lengths is compressed by zstandard
+alone and with the template as raw dictionary, under the same parameters; a
+template that the window repeats makes it smaller by nearly what the template
+costs by itself. Templates that claim the same words are ranked by the bytes
+saved.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -38,58 +41,120 @@ ROW = "block int, start long, license_id string, rank int, saved_bytes long, sav
 
 
 def _words(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [w.lower() for w in _WORD.findall(text)]
 
 
 class LicenseScanner:
     """Scans texts for a set of templates (name -> wording)."""
 
-    def __init__(self, templates: dict[str, str], max_difference: float = 0.2, min_saved: float = 0.35, level: int = 3):
-        self.level, self.max_difference, self.min_saved = level, max_difference, min_saved
-        self.words = {k: _words(t) for k, t in sorted(templates.items())}
-        self.plain = zstandard.ZstdCompressor(level=level, write_content_size=False)
-        self.given, self.cost = {}, {}
-        keys = set()
+    def __init__(self, templates: dict[str, str], max_difference: float = 0.2, level: int = 3):
+        self.level, self.max_difference = level, max_difference
+        self.words = {k: w for k, t in sorted(templates.items()) if (w := _words(t))}
+        self.plain, self.given, self.cost, self.need, self.keys = {}, {}, {}, {}, {}
         for name, w in self.words.items():
-            data = " ".join(w).encode()
+            data = " ".join(w).encode("utf-8", "surrogatepass")
             raw = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self.given[name] = zstandard.ZstdCompressor(level=level, dict_data=raw, write_content_size=False, write_dict_id=False)
-            self.cost[name] = max(1, len(self.plain.compress(data)) - len(self.given[name].compress(data)))
+            # the same parameters with and without the template, for windows of some two template lengths
+            how = zstandard.ZstdCompressionParameters.from_level(level, source_size=3 * len(data), dict_size=len(data), write_content_size=False, write_dict_id=False)
+            self.plain[name] = zstandard.ZstdCompressor(compression_params=how)
+            self.given[name] = zstandard.ZstdCompressor(compression_params=how, dict_data=raw)
+            self.cost[name] = max(1, len(self.plain[name].compress(data)) - len(self.given[name].compress(data)))
+            self.need[name] = Counter(w)
             # a wording with at most this many words changed still holds one of so many key words and one more
-            keys.update(sorted(set(w), key=lambda x: (-len(x), x))[: int(max_difference * len(w)) + 1])
-        self.keys = sorted(keys)
+            for key in sorted(set(w), key=lambda x: (-len(x), x))[: self._slack(name) + 1]:
+                self.keys.setdefault(key, []).append(name)
 
-    def _align(self, name: str, block: list[str]) -> tuple[int, list[str], list[str]]:
-        """Word differences between the template and the stretch of the block that matches it best."""
+    def _slack(self, name: str) -> int:
+        return int(self.max_difference * len(self.words[name]))
+
+    def _align(self, name: str, got: list[str]) -> tuple[int, int, int, list[str], list[str]] | None:
+        """(differences, first and end of the words used, missing, added) of the template against these words."""
         want = self.words[name]
-        known = set(want)
-        best = (len(want) + 1, want, [])
-        starts = [i for i, w in enumerate(block) if w in known]
-        for i in starts:
-            got = block[i : i + len(want) + int(self.max_difference * len(want))]
-            match = SequenceMatcher(None, want, got, autojunk=False).get_matching_blocks()[:-1]
-            if not match:
+        match = SequenceMatcher(None, want, got, autojunk=False).get_matching_blocks()[:-1]
+        if not match:
+            return None
+        first, end = match[0].b, match[-1].b + match[-1].size
+        same = sum(m.size for m in match)
+        miss, a = [], 0
+        for m in match:
+            miss += want[a : m.a]
+            a = m.a + m.size
+        miss += want[a:]
+        extra, b = [], first
+        for m in match:
+            extra += got[b : m.b]
+            b = m.b + m.size
+        return max(len(want) - same, end - first - same), first, end, miss, extra
+
+    def _found(self, name: str, words: list[str], lo: int, hi: int) -> list[tuple]:
+        """All (differences, first, end, missing, added) of one template that lie in words[lo:hi] and do not overlap, closest first."""
+        need, size, slack = self.need[name], len(self.words[name]), self._slack(name)
+        width, enough = size + slack, size - slack
+        have: Counter = Counter()
+        held, end, skip, out = 0, lo, lo, []
+        for i in range(lo, hi - enough + 1):
+            while end < min(hi, i + width):  # words of the template among words[i : i + width], each as often as it needs it
+                w = words[end]
+                end += 1
+                if w in need:
+                    have[w] += 1
+                    held += have[w] <= need[w]
+            w = words[i]
+            if w not in need:
                 continue
-            used = got[match[0].b : match[-1].b + match[-1].size]
-            same = sum(m.size for m in match)
-            miss, a = [], 0
-            for m in match:
-                miss += want[a : m.a]
-                a = m.a + m.size
-            miss += want[a:]
-            extra, b = [], match[0].b
-            for m in match:
-                extra += got[b : m.b]
-                b = m.b + m.size
-            lost = max(len(want) - same, len(used) - same)
-            if lost < best[0]:
-                best = (lost, miss, extra)
-            if lost == 0:
-                break
-        return best
+            if held >= enough and i >= skip and (r := self._align(name, words[i : min(hi, i + width)])) and r[0] <= slack:
+                out.append((r[0], i + r[1], i + r[2], " ".join(r[3]), " ".join(r[4])))
+                if r[0] == 0:
+                    skip = i + r[2]
+            held -= have[w] <= need[w]
+            have[w] -= 1
+        taken: list[tuple] = []
+        free = bytearray(b"\1") * (hi - lo)
+        for r in sorted(out, key=lambda r: (r[0], r[1], r[2])):
+            if all(free[r[1] - lo : r[2] - lo]):
+                free[r[1] - lo : r[2] - lo] = bytes(r[2] - r[1])
+                taken.append(r)
+        return taken
+
+    def statements(self, words: list[str]) -> list[tuple]:
+        """(first, end, name, rank, saved bytes, share, differences, missing, added) of each statement in a sequence of words.
+
+        Only stretches within a template's length and a fifth of its key words
+        are looked at, and of these only such as hold enough of its words; both
+        lose nothing that the word differences would confirm. The statement and
+        half a template on either side are compressed with and without it.
+        """
+        spots: dict[str, list[int]] = {}
+        for i, w in enumerate(words):
+            for name in self.keys.get(w, ()):
+                spots.setdefault(name, []).append(i)
+        rows = []
+        for name, at in spots.items():
+            size, width = len(self.words[name]), len(self.words[name]) + self._slack(name)
+            runs: list[list[int]] = []
+            for i in at:
+                if runs and i - width < runs[-1][1]:
+                    runs[-1][1] = i + width
+                else:
+                    runs.append([max(0, i - width + 1), i + width])
+            for lo, hi in runs:
+                for lost, a, b, miss, extra in self._found(name, words, lo, min(hi, len(words))):
+                    data = " ".join(words[max(0, a - size // 2) : b + size // 2]).encode("utf-8", "surrogatepass")
+                    gain = len(self.plain[name].compress(data)) - len(self.given[name].compress(data))
+                    rows.append((a, b, name, gain, gain / self.cost[name], lost, miss, extra))
+        # templates that claim the same words are ranked against each other
+        out: list[tuple] = []
+        run: list[tuple] = []
+        for r in [*sorted(rows), None]:
+            if run and (r is None or r[0] >= max(x[1] for x in run)):
+                out += [(*x[:3], k, *x[3:]) for k, x in enumerate(sorted(run, key=lambda x: (-x[3], x[2], x[0])), 1)]
+                run = []
+            if r:
+                run.append(r)
+        return out
 
     def scan(self, text: str | None) -> list[tuple]:
-        """Confirmed templates of every candidate block, best first within a block."""
+        """Confirmed statements of every line."""
         if not text:
             return []
         low = text.lower()
@@ -97,21 +162,8 @@ class LicenseScanner:
             return []
         out, start = [], 0
         for number, line in enumerate(text.split("\n")):
-            lower = line.lower()
-            if any(k in lower for k in self.keys):
-                w = _words(line)
-                data = " ".join(w).encode("utf-8", "surrogatepass")
-                alone = len(self.plain.compress(data))
-                saved = sorted(((alone - len(z.compress(data)), name) for name, z in self.given.items()), key=lambda x: (-x[0], x[1]))
-                rank = 0
-                for gain, name in saved:
-                    share = gain / self.cost[name]
-                    if share < self.min_saved:
-                        continue
-                    lost, miss, extra = self._align(name, w)
-                    if lost <= self.max_difference * len(self.words[name]):
-                        rank += 1
-                        out.append((number, start, name, rank, gain, share, len(self.words[name]), lost, " ".join(miss), " ".join(extra), lost == 0))
+            for _, _, name, rank, gain, share, lost, miss, extra in self.statements(_words(line)):
+                out.append((number, start, name, rank, gain, share, len(self.words[name]), lost, miss, extra, lost == 0))
             start += len(line) + 1
         return out
 
@@ -119,10 +171,11 @@ class LicenseScanner:
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """License statements in every whole text.
 
-    One row for each confirmed template of each line: (id_col, block = line
-    number from 0, start = its first character, license_id, rank within the
-    line, saved_bytes and saved_share of the conditional compression,
-    template_words, differences, missing and added words, exact). At most a
+    One row for each confirmed statement of a template: (id_col, block = line
+    number from 0, start = its first character, license_id, rank among the
+    templates that claim the same words, saved_bytes and saved_share of the
+    conditional compression, template_words, differences, missing and added
+    words, exact). A template that a line states twice gives two rows. At most a
     fifth of a template's words may differ. Null and empty texts give no rows;
     repeated rows give theirs each; null ids are carried; ties in saved bytes
     are ranked by name. An empty table gives an empty result. Other columns
