@@ -80,3 +80,16 @@ def test_statements_of_a_line_each_give_a_row():
     scanner = license.LicenseScanner(license.TEMPLATES)
     t, prose = license.TEMPLATES["mit"], " ".join(_varied(400, 5))
     assert [h[2] for h in scanner.scan(f"{t} {t} {prose} {t}") if h[10]] == ["mit"] * 3
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// ", "    ; "])
+def test_statements_wrapped_over_lines(mark):
+    scanner = license.LicenseScanner(license.TEMPLATES)
+    for name, text in license.TEMPLATES.items():
+        words = text.split()
+        for width in (1, 2, 4, 9):
+            lines = [mark + " ".join(words[i : i + width]) for i in range(0, len(words), width)]
+            hits = scanner.scan("\n".join([mark + "Some file.", mark, *lines, mark, mark + "It follows."]))
+            best = [h for h in hits if h[2] == name]
+            assert len(best) == 1 and best[0][10], (name, width, hits)
+            assert best[0][0] == 2 and best[0][1] == len(mark + "Some file.\n" + mark + "\n")

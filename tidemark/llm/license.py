@@ -1,8 +1,9 @@
 """License scans by conditional compression.
 
-Candidates are windows of words around the key words of a template. Those that
-hold enough of its words are confirmed by the exact word differences between
-the template and the best aligned words, at any place of a line of any length.
+Candidates are windows of the words of a whole text around the key words of a
+template, whatever line breaks, comment marks or punctuation are between them.
+Windows that hold enough of its words are confirmed by the exact word
+differences between the template and the best aligned words.
 A confirmed window of about two template lengths is compressed by zstandard
 alone and with the template as raw dictionary, under the same parameters; a
 template that the window repeats makes it smaller by nearly what the template
@@ -12,6 +13,7 @@ saved.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections import Counter
 from difflib import SequenceMatcher
 
@@ -154,29 +156,33 @@ class LicenseScanner:
         return out
 
     def scan(self, text: str | None) -> list[tuple]:
-        """Confirmed statements of every line."""
+        """Confirmed statements of a whole text; lines only tell where they begin."""
         if not text:
             return []
         low = text.lower()
         if not any(k in low for k in self.keys):
             return []
-        out, start = [], 0
-        for number, line in enumerate(text.split("\n")):
-            for _, _, name, rank, gain, share, lost, miss, extra in self.statements(_words(line)):
-                out.append((number, start, name, rank, gain, share, len(self.words[name]), lost, miss, extra, lost == 0))
-            start += len(line) + 1
+        rows = self.statements(_words(text))
+        if not rows:
+            return []
+        begin = [m.start() for m in _WORD.finditer(text)]
+        lines = [0, *(i + 1 for i, c in enumerate(text) if c == "\n")]
+        out = []
+        for first, _, name, rank, gain, share, lost, miss, extra in rows:
+            number = bisect_right(lines, begin[first]) - 1
+            out.append((number, lines[number], name, rank, gain, share, len(self.words[name]), lost, miss, extra, lost == 0))
         return out
 
 
 def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """License statements in every whole text.
 
-    One row for each confirmed statement of a template: (id_col, block = line
-    number from 0, start = its first character, license_id, rank among the
-    templates that claim the same words, saved_bytes and saved_share of the
-    conditional compression, template_words, differences, missing and added
-    words, exact). A template that a line states twice gives two rows. At most a
-    fifth of a template's words may differ. Null and empty texts give no rows;
+    One row for each confirmed statement of a template, which may run over any
+    number of lines: (id_col, block = number from 0 of the line in which it
+    begins, start = first character of that line, license_id, rank among the templates
+    that claim the same words, saved_bytes and saved_share of the conditional
+    compression, template_words, differences, missing and added words, exact).
+    A template that a text states twice gives two rows. At most a fifth of a template's words may differ. Null and empty texts give no rows;
     repeated rows give theirs each; null ids are carried; ties in saved bytes
     are ranked by name. An empty table gives an empty result. Other columns
     are ignored.
