@@ -81,6 +81,23 @@ def test_repeated_rows_null_ids_and_extra_columns(spark):
     assert suffix_dedup.removal_digests(df.where("false"), 20).count() == 0
 
 
+def test_a_common_passage_is_not_sorted_as_one_group(spark, monkeypatch):
+    rnd = random.Random(11)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9)))
+    passage = " ".join(word() for _ in range(20))
+    texts = [" ".join([*(word() for _ in range(6)), *([passage] if i % 3 == 0 else []), *(word() for _ in range(6))]) for i in range(600)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(7)
+    sorted_ = []
+    sort = type(df).sortWithinPartitions
+    monkeypatch.setattr(type(df), "sortWithinPartitions", lambda self, *a, **b: (sorted_.append(self), sort(self, *a, **b))[1])
+    hot = 50
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix_dedup.removal_digests(df, 30, gram=10, hot=hot).collect()}
+    assert [got[i] for i in range(len(texts))] == _brute(texts, 30)
+    # occurrences that meet under one key of the sort
+    most = [f.selectExpr("key", "aggregate(members, 0L, (n, m) -> n + octet_length(m.starts) div 8) as n").groupBy("key").agg({"n": "sum"}).agg({"sum(n)": "max"}).first()[0] for f in sorted_]
+    assert sorted_ and all((m or 0) <= hot for m in most)
+
+
 def test_long_text_in_pieces():
     rnd = random.Random(8)
     data = bytes(rnd.choice(b"abcd ") for _ in range(9000))

@@ -16,9 +16,12 @@ windows have the same anchor string at the same place, so
    equal left contexts; a window repeats if its pair of classes does.
 
 Equal slices of a task are collapsed to one row before they are dealt. Anchor
-strings with more than ``hot`` occurrences are not dealt as one group: each of
-their windows goes by a 160-bit digest of its own bytes, and equal digests are
-equal windows.
+strings with more than ``hot`` occurrences are not dealt as groups at all. Their
+occurrences stay rows (slice digest, document, start); distinct slices are
+counted, their windows are counted by 160-bit digests of their bytes (equal
+digests are equal windows), and what repeats is joined back to the occurrences.
+These are partial counts and equi-joins with a side that holds each key once,
+which stream and can be split, so no task holds the members of a digest.
 """
 
 from __future__ import annotations
@@ -268,6 +271,7 @@ def covered(lo: np.ndarray, hi: np.ndarray, length: int) -> list[tuple[int, int]
 
 
 PIECE = "key long, slice binary, place int, windows int, members array<struct<k:long,th:long,starts:binary>>, many boolean"
+OCCURRENCE = "sid binary, slice binary, k long, th long, start long"
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -279,12 +283,76 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), th).alias("k"), th.alias("th"), F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
 
 
+def _wanted(batches, text_col: str, length: int, gram: int):
+    """(k, th, text, hash, place, first window, last window) of every anchor whose hash is in its document's ``wanted`` list."""
+    for batch in batches:
+        ids, ths = batch.column("k").to_pylist(), batch.column("th").to_pylist()
+        lists = batch.column("wanted")
+        for first, run in text_batches(batch.column("row").field(text_col).to_pylist()):
+            doc, h, p, a, b = _run_anchors(run, length, gram)
+            part = lists.slice(first, len(run))
+            fh = part.flatten().to_numpy()
+            owner = np.repeat(np.arange(len(run)), np.diff(part.offsets.to_numpy()))
+            # both sides as (document, hash) codes
+            _, code = np.unique(np.concatenate((fh, h.view(np.int64))), return_inverse=True)
+            fc = np.sort(code[: len(fh)] * len(run) + owner)
+            hc = code[len(fh) :] * len(run) + doc
+            keep = fc[np.minimum(np.searchsorted(fc, hc), len(fc) - 1)] == hc if len(fc) else np.zeros(len(h), bool)
+            for d, g, q, s, e in zip(doc[keep].tolist(), h[keep].view(np.int64).tolist(), p[keep].tolist(), a[keep].tolist(), b[keep].tolist(), strict=True):
+                yield ids[first + d], ths[first + d], run[d], g, q, s, e
+
+
+def _hot_spans(cut_from: DataFrame, text_col: str, length: int, gram: int) -> DataFrame:
+    """(k, th, a, b) of the repeated windows of anchors with any number of occurrences."""
+
+    def occurrences(batches):
+        seen: set[bytes] = set()
+        rows, size = [], 0
+        make = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _OCCURRENCE.types, strict=True)], schema=_OCCURRENCE)
+        for k, th, text, _, _, s, e in _wanted(batches, text_col, length, gram):
+            piece = text[s : e + length]
+            sid = hashlib.blake2b(piece, digest_size=20).digest()
+            new = sid not in seen  # a task writes the bytes of a slice once
+            if new:
+                if len(seen) >= 100_000:
+                    seen.clear()
+                seen.add(sid)
+                size += len(piece)
+            rows.append((sid, piece if new else None, k, th, s))
+            size += 200
+            if size > 8 << 20:
+                yield make()
+                rows, size = [], 0
+        if rows:
+            yield make()
+
+    def windows(batches):
+        for batch in batches:
+            out = {"digest": [], "sid": [], "at": [], "n": []}
+            for sid, piece, n in zip(*(batch.column(c).to_pylist() for c in ("sid", "slice", "n")), strict=True):
+                for at in range(len(piece) - length + 1):
+                    out["digest"].append(hashlib.blake2b(piece[at : at + length], digest_size=20).digest())
+                    out["sid"].append(sid)
+                    out["at"].append(at)
+                    out["n"].append(n)
+            yield pa.RecordBatch.from_pydict(out, schema=_WINDOW)
+
+    # tables between the steps: the counted sides are written, so that both sides of a join are plain exchanges, which may be split
+    members = written(cut_from.mapInArrow(occurrences, OCCURRENCE), "hot-occurrences")
+    slices = members.groupBy("sid").agg(F.count(F.lit(1)).alias("n"), F.max("slice").alias("slice"))
+    each = written(slices.mapInArrow(windows, "digest binary, sid binary, at int, n long"), "hot-windows")
+    again = written(each.groupBy("digest").agg(F.sum("n").alias("total")).where("total > 1").select("digest"), "hot-repeated")
+    # the windows of a slice share its anchor: from the first repeated to the last one all bytes are covered
+    ends = written(each.join(again, "digest").groupBy("sid").agg(F.min("at").alias("lo"), F.max("at").alias("hi")), "hot-ends")
+    return members.select("sid", "k", "th", "start").join(ends, "sid").select("k", "th", (F.col("start") + F.col("lo")).alias("a"), (F.col("start") + F.col("hi") + length).alias("b"))
+
+
 def repeated_spans(keyed: DataFrame, text_col: str = "text", length: int = 200, gram: int = 64, hot: int = 100_000) -> DataFrame:
     """(k, th, spans array<struct<a,b>>): byte runs [a, b) of each document whose union is to be removed.
 
     ``keyed`` is the result of ``_keyed``: rows of equal key and text share one
-    result. ``hot``: anchor strings that occur more often are dealt by window,
-    not by anchor.
+    result. ``hot``: windows of anchor strings that occur more often are counted
+    by digest, not sorted in groups.
     """
     texts = keyed.select("k", F.col(f"row.{text_col}").alias("text")).where(F.octet_length("text") >= length)
 
@@ -301,10 +369,12 @@ def repeated_spans(keyed: DataFrame, text_col: str = "text", length: int = 200,
                 yield pa.RecordBatch.from_arrays([ids.take(at), pa.array(h[new].view(np.int64)), pa.array(n, pa.int32())], ["k", "h", "n"])
 
     found = written(texts.mapInArrow(hashes, "k long, h long, n int"), "anchors")
-    again = found.groupBy("h").agg(F.sum("n").alias("total")).where("total > 1").select("h", (F.col("total") > hot).alias("hot"))
-    # a key that several texts share gets the strings of all of them: more than needed, never less
-    wanted = found.join(again, "h").groupBy("k").agg(F.collect_set(F.struct("h", "hot")).alias("wanted"))
-    cut_from = keyed.join(wanted, "k").select("k", "th", "row", "wanted")
+    again = written(found.groupBy("h").agg(F.sum("n").alias("total")).where("total > 1").select("h", (F.col("total") > hot).alias("hot")), "repeated")
+
+    def cut_from(which: DataFrame) -> DataFrame:
+        # a key that several texts share gets the strings of all of them: more than needed, never less
+        wanted = found.join(which.select("h"), "h").groupBy("k").agg(F.collect_set("h").alias("wanted"))
+        return keyed.join(wanted, "k").select("k", "th", "row", "wanted")
 
     def cut(batches):
         held: dict[tuple, dict[tuple, list[int]]] = {}
@@ -321,42 +391,18 @@ def repeated_spans(keyed: DataFrame, text_col: str = "text", length: int = 200,
                 cols["many"].append(sum(map(len, who.values())) > 1)
             return pa.RecordBatch.from_pydict(cols, schema=_PIECE)
 
-        for batch in batches:
-            ids, ths = batch.column("k").to_pylist(), batch.column("th").to_pylist()
-            lists = batch.column("wanted")
-            for first, run in text_batches(batch.column("row").field(text_col).to_pylist()):
-                doc, h, p, a, b = _run_anchors(run, length, gram)
-                part = lists.slice(first, len(run))
-                flat = part.flatten()
-                owner = np.repeat(np.arange(len(run)), np.diff(part.offsets.to_numpy()))
-                fh, ft = flat.field("h").to_numpy(), flat.field("hot").to_numpy(zero_copy_only=False)
-                # both sides as (document, hash) codes
-                _, code = np.unique(np.concatenate((fh, h.view(np.int64))), return_inverse=True)
-                fc = code[: len(fh)] * len(run) + owner
-                hc = code[len(fh) :] * len(run) + doc
-                order = np.argsort(fc)
-                spot = np.minimum(np.searchsorted(fc[order], hc), max(0, len(fc) - 1))
-                keep = fc[order][spot] == hc if len(fc) else np.zeros(len(h), bool)
-                is_hot = ft[order][spot] if len(fc) else keep
-                for d, g, q, s, e, warm in zip(doc[keep].tolist(), h[keep].view(np.int64).tolist(), p[keep].tolist(), a[keep].tolist(), b[keep].tolist(), is_hot[keep].tolist(), strict=True):
-                    text, me = run[d], (ids[first + d], ths[first + d])
-                    if not warm:
-                        held.setdefault((g, text[s : e + length], q - s, e - s + 1), {}).setdefault(me, []).append(s)
-                        size += e - s + length + 100
-                        continue
-                    for w in range(s, e + 1):
-                        digest = hashlib.blake2b(text[w : w + length], digest_size=20).digest()
-                        k = int.from_bytes(digest[:8], "little", signed=True)
-                        held.setdefault((k, digest, 0, 1), {}).setdefault(me, []).append(w)
-                        size += 120
-                if size > 24 << 20:  # equal slices of the task so far are one row
-                    yield flush()
-                    held.clear()
-                    size = 0
+        for k, th, text, g, q, s, e in _wanted(batches, text_col, length, gram):
+            held.setdefault((g, text[s : e + length], q - s, e - s + 1), {}).setdefault((k, th), []).append(s)
+            size += e - s + length + 100
+            if size > 24 << 20:  # equal slices of the task so far are one row
+                yield flush()
+                held.clear()
+                size = 0
         if held:
             yield flush()
 
-    pieces = cut_from.mapInArrow(cut, PIECE)
+    pieces = cut_from(again.where("not hot")).mapInArrow(cut, PIECE)
+    # no key holds more than ``hot`` occurrences
     dealt = pieces.repartition("key").sortWithinPartitions("key")
 
     def settle(batches):
@@ -398,11 +444,13 @@ def repeated_spans(keyed: DataFrame, text_col: str = "text", length: int = 200,
                     yield flush(rows_)
                     rows_, size = [], 0
                 rows_.append(r)
-                size += len(r["slice"]) + 200
+                size += len(r["slice"]) + 200 + sum(200 + len(m["starts"]) for m in r["members"])
         if rows_:
             yield flush(rows_)
 
     hits = dealt.mapInArrow(settle, "k long, th long, a long, b long")
+    if not again.where("hot").isEmpty():
+        hits = hits.unionByName(_hot_spans(cut_from(again.where("hot")), text_col, length, gram))
     # runs of one document are merged by the union of its spans
     return hits.groupBy("k", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
@@ -411,6 +459,8 @@ _PIECE = pa.schema([
     ("key", pa.int64()), ("slice", pa.binary()), ("place", pa.int32()), ("windows", pa.int32()),
     ("members", pa.list_(pa.struct([("k", pa.int64()), ("th", pa.int64()), ("starts", pa.binary())]))), ("many", pa.bool_()),
 ])
+_OCCURRENCE = pa.schema([("sid", pa.binary()), ("slice", pa.binary()), ("k", pa.int64()), ("th", pa.int64()), ("start", pa.int64())])
+_WINDOW = pa.schema([("digest", pa.binary()), ("sid", pa.binary()), ("at", pa.int32()), ("n", pa.int64())])
 
 
 def _with_spans(docs: DataFrame, length: int, id_col: str, text_col: str, **kw) -> DataFrame:
