@@ -35,6 +35,18 @@ def test_repeats_shrink():
     assert len(seq) + 2 * len(rules) < len(x) / 20
 
 
+def test_no_frequent_pair_is_left():
+    rnd = np.random.default_rng(2)
+    x = np.arange(100, 8100, dtype=np.uint32)  # symbols that occur once around a few repeated phrases
+    for phrase in range(6):
+        for at in rnd.choice(len(x), 12, replace=False):
+            x = np.insert(x, at, np.arange(phrase * 8, phrase * 8 + 8))
+    seq, rules, _ = repair.compress(x, 8100)
+    assert repair.expand(seq, rules, 8100).tolist() == x.tolist()
+    _, count = np.unique(np.stack([seq[:-1], seq[1:]]), axis=1, return_counts=True)
+    assert count.max() < 8
+
+
 def test_shards_match_the_library(spark):
     tok = Tokenizer.from_file(PATH)
     rows = [(i, f"text number {i}, don't mind " + "la " * (i % 7)) for i in range(60)]
