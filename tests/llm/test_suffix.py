@@ -32,6 +32,15 @@ def test_deep_shallow_sorts_with_common_prefixes(rows, shallow):
         assert n == (-1 if new else _lcp(got[k][1], got[k - 1][1]))
 
 
+def test_settled_strings_leave_the_sort(monkeypatch):
+    strings = [bytes([i]) * 32 for i in range(100)] + [b"same first digit " + bytes([i]) * 15 for i in range(10)]
+    sizes, sort = [], np.lexsort
+    monkeypatch.setattr(suffix_dedup.np, "lexsort", lambda keys: (sizes.append((len(keys), len(keys[0]))), sort(keys))[1])
+    order, _ = suffix_dedup.deep_shallow(strings, np.zeros(110, np.int64))
+    assert [strings[i] for i in order] == sorted(strings)
+    assert sizes == [(2, 110), (2, 10), (2, 10)]
+
+
 def _brute(texts, length):
     data = [(t or "").encode() for t in texts]
     seen = Counter(b[i : i + length] for b in data for i in range(len(b) - length + 1))

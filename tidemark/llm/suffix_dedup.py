@@ -10,8 +10,8 @@ windows have the same anchor string at the same place, so
    slices are dealt by their anchor string;
 3. in each group two suffix arrays are built, over the suffixes that start at
    the anchors and over the reversed prefixes that end there. Deep-shallow
-   sorting orders them: multikey quicksort on eight-byte digits down to a
-   shallow depth, then blind tries order the groups that still agree. Runs of
+   sorting orders them: a most-significant-digit sort on eight-byte digits, in
+   place of multikey quicksort, down to a shallow depth, then blind tries order the groups that still agree. Runs of
    large common prefixes in the two arrays name the classes of equal right and
    equal left contexts; a window repeats if its pair of classes does.
 
@@ -113,9 +113,10 @@ class BlindTrie:
 def deep_shallow(strings: list[bytes], group: np.ndarray, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
     """Sort strings within groups: (order, common prefix with the one before in the same group, else -1).
 
-    ``group`` is the group number of each string. Shallow part: multikey
-    quicksort whose digits are eight bytes, on all groups at once; a string
-    whose digits are unlike its neighbours' is done. Deep part: the strings
+    ``group`` is the group number of each string. Shallow part: a sort
+    by one digit of eight bytes after the other, on all groups at once, each
+    digit only for the strings that still tie; a string alone in its group is
+    done. Deep part: the strings
     that agree in ``shallow`` bytes go into a blind trie.
     """
     n = len(strings)
@@ -124,8 +125,21 @@ def deep_shallow(strings: list[bytes], group: np.ndarray, shallow: int = SHALLOW
     head = np.frombuffer(b"".join(s[:shallow].ljust(shallow, b"\0") for s in strings), np.uint8).reshape(n, shallow)
     digits = head.view(">u8").astype(np.uint64)
     size = np.fromiter((min(len(s), shallow) for s in strings), np.int64, n)
-    # quicksort digit by digit; the length tells a zero byte from the end of a string
-    order = np.lexsort((size, *(digits[:, k] for k in range(digits.shape[1] - 1, -1, -1)), group))
+    # digit by digit, most significant first, within the groups that still tie; the length tells a zero byte from the end of a string
+    order = np.argsort(group, kind="stable")
+    cls = group[order]
+    for digit in (*digits.T, size.astype(np.uint64)):
+        edge = np.concatenate(([True], cls[1:] != cls[:-1]))
+        tied = np.flatnonzero(~(edge & np.append(edge[1:], True)))  # strings alone in their group are settled
+        if not len(tied):
+            break
+        mine, now = digit[order[tied]], cls[tied]
+        by = np.lexsort((mine, now))
+        order[tied], mine = order[tied][by], mine[by]
+        # tied groups lie one after another; a new digit in them begins a new group
+        new = np.zeros(n, bool)
+        new[tied[1:]] = mine[1:] != mine[:-1]
+        cls = np.cumsum(edge | new)
     head, size, g = head[order], size[order], group[order]
     shared = np.full(n, -1, np.int64)
     unlike = head[1:] != head[:-1]
