@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import community as cm
@@ -173,3 +174,14 @@ def test_describe_site(spark):
     r = geo.describe_site(df, {"Survey Type": "survey_type", "Target Depth (m)": "target_depth_meters"}).first()
     assert r["Name"] == "Long"
     assert r["Description"] == "<strong>Survey Type:</strong> Margin<br><strong>Target Depth (m):</strong> 10<br>"
+
+
+@pytest.mark.parametrize("kind", ["'refund'", "cast(null as string)"])
+def test_unlisted_event_type_fails_the_count_queries(spark, tmp_path, kind):
+    from tidemark.plans import queries
+
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    e.withColumn("event_type", F.expr(f"if(event_id = 5, {kind}, event_type)")).write.parquet(f"{tmp_path}/events.parquet")
+    for name in ("com2_bray_curtis", "com5_simper", "com9_group_shape_counts"):
+        with pytest.raises(Exception, match="event type is not listed"):
+            queries()[name](spark, str(tmp_path)).collect()

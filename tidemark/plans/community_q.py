@@ -34,7 +34,9 @@ _LONG = """l AS (SELECT vec_id, label, CAST(unnest(embedding) AS DOUBLE) AS x,
 
 def _counts(spark, sf):
     e = table(spark, sf, "events")
-    c = e.groupBy("user_id").pivot("event_type", EVENT_TYPES).count().fillna(0, subset=EVENT_TYPES)
+    kind = F.col("event_type")
+    listed = F.when(kind.isin(EVENT_TYPES), kind).otherwise(F.raise_error(F.concat(F.lit("event type is not listed: "), F.coalesce(kind, F.lit("NULL")))))
+    c = e.withColumn("event_type", listed).groupBy("user_id").pivot("event_type", EVENT_TYPES).count().fillna(0, subset=EVENT_TYPES)
     return c.select("user_id", (F.col("user_id") % 3).alias("grp"),
                     *[F.col(t).cast("double").alias(t) for t in EVENT_TYPES])
 
