@@ -93,3 +93,11 @@ def test_statements_wrapped_over_lines(mark):
             best = [h for h in hits if h[2] == name]
             assert len(best) == 1 and best[0][10], (name, width, hits)
             assert best[0][0] == 2 and best[0][1] == len(mark + "Some file.\n" + mark + "\n")
+
+
+def test_full_texts_and_notices_by_default(spark):
+    rows = [(i, "a file of words\n" + text.replace(", ", ",\n# ") + "\nand more") for i, text in enumerate(license.NOTICES.values())]
+    got = license.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).where("exact").collect()
+    found = {(r.doc_id, r.license_id) for r in got}
+    assert found >= set(enumerate(license.NOTICES))
+    assert {"mit:text", "bsd-2-clause:conditions", "apache-2.0:header", "agpl-3.0:notice", "mpl-2.0:spdx", "cc-by-sa-4.0:deed"} <= set(license.NOTICES)

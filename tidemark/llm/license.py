@@ -38,6 +38,31 @@ TEMPLATES = {
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 
+#: Full wordings and notices of the same and of further licenses: "license:part".
+NOTICES = {
+    "mit:title": "The MIT License (MIT)",
+    "mit:text": 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.',
+    "isc:text": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "bsd-2-clause:conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "bsd-3-clause:conditions": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "apache-2.0:header": 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
+    "gpl-2.0:notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 2 of the License, or (at your option) any later version.",
+    "gpl-3.0:notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "lgpl-2.1:notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 2.1 of the License, or (at your option) any later version.",
+    "lgpl-3.0:notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "agpl-3.0:notice": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "mpl-2.0:header": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
+    "cc-by-4.0:deed": "https://creativecommons.org/licenses/by/4.0/",
+    "cc-by-sa-4.0:deed": "https://creativecommons.org/licenses/by-sa/4.0/",
+    "cc-by-nc-4.0:deed": "https://creativecommons.org/licenses/by-nc/4.0/",
+    "cc-by-nd-4.0:deed": "https://creativecommons.org/licenses/by-nd/4.0/",
+    "cc-by-nc-sa-4.0:deed": "https://creativecommons.org/licenses/by-nc-sa/4.0/",
+    "cc-by-nc-nd-4.0:deed": "https://creativecommons.org/licenses/by-nc-nd/4.0/",
+}
+#: SPDX identifiers; a line of so few words is found only as it stands.
+SPDX = ["MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", *(f"{k}-{v}" for k, vs in {"GPL": ("2.0", "3.0"), "LGPL": ("2.1", "3.0"), "AGPL": ("3.0",)}.items() for v in (f"{x}{y}" for x in vs for y in ("-only", "-or-later"))), *(f"CC-{k}-4.0" for k in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")), "CC0-1.0"]
+NOTICES |= {f"{k.lower()}:spdx": f"SPDX-License-Identifier: {k}" for k in SPDX}
+
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 ROW = "block int, start long, license_id string, rank int, saved_bytes long, saved_share double, template_words int, differences int, missing string, added string, exact boolean"
 
@@ -187,7 +212,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
     are ranked by name. An empty table gives an empty result. Other columns
     are ignored.
     """
-    held = dict(TEMPLATES if templates is None else templates)
+    held = TEMPLATES | NOTICES if templates is None else dict(templates)
 
     @pandas_udf(f"array<struct<{', '.join(f.replace(' ', ':') for f in ROW.split(', '))}>>")
     def found(texts: pd.Series) -> pd.Series:
