@@ -107,3 +107,14 @@ def text_batches(texts, limit: int = 1 << 20):
         size += len(b)
     if run:
         yield first, run
+
+
+def word_lists(data: bytes, limit: int = 1 << 24):
+    """Lists of the words between ASCII white space; a text beyond ``limit`` bytes is cut at white space."""
+    at = 0
+    while at < len(data):
+        end = min(at + limit, len(data))
+        while end < len(data) and data[end : end + 1].strip():
+            end += 1
+        yield data[at:end].split()
+        at = end
