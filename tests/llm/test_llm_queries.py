@@ -16,12 +16,15 @@ COLUMNS = {
     "op6_repair_tokens": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op7_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op10_simhash": ["doc_id", "fingerprint", "component_id"],
+    "op11_filter_audit": ["part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"],
+    "op12_pieces": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "n_spans", "span_bytes"],
+    "op13_lexical_search": ["item_id", "rank", "doc_id", "score"],
 }
 
 
 def test_all_are_registered():
     assert QUERIES.keys() <= E.queries().keys() and "pipeline" in E.queries()
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -31,7 +34,7 @@ def test_query(spark, name):
     got = sorted(map(str, (tuple(r) for r in df.collect())))
     if name in SQL:
         con = duckdb.connect()
-        for t in ("documents", "pages", "benchmark"):
+        for t in ("documents", "pages", "benchmark", "labels"):
             con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
         cols = ", ".join(f'"{c}"' for c in df.columns)
         assert got == sorted(map(str, con.execute(f"SELECT {cols} FROM ({SQL[name]})").fetchall()))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import arcwarc, bpe_segtree, decontam, hnsw, langid, license, nbsvm, repair, simhash, suffix_dedup
+from . import arcwarc, bpe_segtree, decontam, filter_audit, hnsw, langid, lexical, license, nbsvm, piece_encode, repair, simhash, suffix_dedup
 from .common import ready, table
 
 
@@ -64,6 +64,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=2)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_encode.document_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=50)
+
+
 def _ready(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return query(ready(spark), sf_dir)
@@ -74,5 +86,6 @@ def _ready(query):
 QUERIES = {f.__name__: _ready(f) for f in (
     op1_arc_to_warc, op2_hnsw_neighbours, op3_language_id, op4_byte_bpe, op5_quality,
     op6_repair_tokens, op7_suffix_dedup, op8_decontaminate, op9_license_scan, op10_simhash,
+    op11_filter_audit, op12_pieces, op13_lexical_search,
 )}
-SQL = {"op1_arc_to_warc": OP1_SQL, "op8_decontaminate": decontam.SQL}
+SQL = {"op1_arc_to_warc": OP1_SQL, "op8_decontaminate": decontam.SQL, "op11_filter_audit": filter_audit.SQL, "op13_lexical_search": lexical.SQL}
