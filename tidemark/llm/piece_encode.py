@@ -270,8 +270,8 @@ class Merges:
             todo, key, at = todo[on], key[on], (at[on] + 1) & self.last
         return out.reshape(left.shape)
 
-    def one(self, chars: list[int]) -> tuple[list[int], list[int]]:
-        """(symbol, characters in it) left to right, of one long segment: a queue of pairs by rank, then place."""
+    def one(self, chars: list[int]) -> list[int]:
+        """The symbols left of one long segment: a queue of pairs by rank, then place."""
         n = len(chars)
         symbol, nxt, prv = list(chars), list(range(1, n + 1)), list(range(-1, n - 1))
         queue: list[tuple[int, int, int, int, int]] = []
@@ -294,35 +294,35 @@ class Merges:
                 prv[nxt[j]] = i
             offer(prv[i])
             offer(i)
-        starts = [i for i in range(n) if not gone[i]]
-        return [symbol[i] for i in starts], [b - a for a, b in zip(starts, [*starts[1:], n], strict=True)]
-
-    def many(self, rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The same for many short segments, rows of symbols padded with -1: (symbols, characters in each, symbols a row)."""
-        rows, sizes = rows.copy(), sizes.copy()
-        held = np.where(rows != -1, 1, 0)
-        held[np.arange(rows.shape[1]) >= sizes[:, None]] = 0
-        live = np.arange(len(rows))
-        width = rows.shape[1]
-        while len(live) and width > 1:
-            now = rows[live]
-            to = self.join(now[:, :-1], now[:, 1:])
+        return [symbol[i] for i in range(n) if not gone[i]]
+
+    def many(self, rows: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for many short segments, rows of symbols padded with -1: (symbols, how many a row)."""
+        out, left = rows.copy(), sizes.copy()
+        live, width = np.arange(len(rows)), rows.shape[1]
+        if width < 2:
+            return out, left
+        now, to = out, self.join(out[:, :-1], out[:, 1:])
+        while True:
             rank = np.where(to >= 0, self.rank[to], _NONE)
             at = rank.argmin(1)
-            go = np.take_along_axis(rank, at[:, None], 1)[:, 0] != _NONE
-            live, at, to = live[go], at[go], to[go]
+            every = np.arange(len(live))
+            go = rank[every, at] != _NONE
+            if not go.all():
+                out[live[~go], : now.shape[1]] = now[~go]
+                live, at, to, now, every = live[go], at[go], to[go], now[go], np.arange(int(go.sum()))
             if not len(live):
-                break
-            new = to[np.arange(len(live)), at]
-            after = np.arange(width - 1) > at[:, None]
-            for of, fill in ((rows, -1), (held, 0)):
-                old = of[live]
-                moved = np.where(after, old[:, 1:], old[:, :-1])
-                moved[np.arange(len(live)), at] = new if of is rows else old[np.arange(len(live)), at] + old[np.arange(len(live)), at + 1]
-                of[live, : width - 1] = moved
-                of[live, width - 1] = fill
-            sizes[live] -= 1
-        return rows, held, sizes
+                return out, left
+            new = to[every, at]
+            # the symbols after the pair move up one place
+            moved = np.where(np.arange(width - 1) > at[:, None], now[:, 1:], now[:, :-1])
+            moved[every, at] = new
+            now = np.concatenate((moved, np.full((len(live), 1), -1)), 1)
+            left[live] -= 1
+            to = np.concatenate((np.where(np.arange(width - 2) > at[:, None], to[:, 1:], to[:, :-1]), np.full((len(live), 1), -1)), 1)
+            to[every, at] = self.join(new, now[every, np.minimum(at + 1, width - 1)])
+            back = np.flatnonzero(at)
+            to[back, at[back] - 1] = self.join(now[back, at[back] - 1], new[back])
 
 
 # ------------------------------------------------------------- the codec
@@ -331,13 +331,12 @@ class Merges:
 class PieceCodec:
     """Encoder and decoder of one BPE model.
 
-    Segments seen are kept with their packed ids and lengths, ``memory`` of
-    them at most; the others of a run of texts are merged together.
+    Segments seen are kept with their packed ids, ``memory`` of them at most; the others of a run of texts are merged together.
     Models with user-defined or unused pieces, with white space as a suffix
     and those that are not BPE are refused.
     """
 
-    def __init__(self, data: bytes, memory: int = 300_000):
+    def __init__(self, data: bytes, memory: int = 500_000):
         model = read_model(data)
         if model.kind != _BPE or model.suffix_space or {USER_DEFINED, UNUSED} & set(model.kinds):
             raise ValueError("only BPE models without user-defined or unused pieces, white space in front, are read")
@@ -351,6 +350,10 @@ class PieceCodec:
         self.memory, self.held = memory, {}
         self.plain = not self.normalise.mapped and not model.squeeze and model.escape
         self.silent = np.array(model.kinds) == CONTROL
+        self.sizes = np.array([len(p.encode()) if k == NORMAL else 0 for p, k in zip(model.pieces, model.kinds, strict=True)], np.int64)
+        self.byte_of = np.full(len(model.pieces), -1, np.int64)
+        for byte, i in self.byte_ids.items():
+            self.byte_of[i] = byte
         self.surface = [
             bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else model.unk_surface.encode() if k == UNKNOWN else p.replace(SPACE, " ").encode()
             for p, k in zip(model.pieces, model.kinds, strict=True)
@@ -358,66 +361,46 @@ class PieceCodec:
 
     # -- segments
 
-    def _pack(self, chars: str, symbols: list[int], counts: list[int]) -> tuple[bytes, bytes]:
-        """Packed ids and normalised byte lengths; characters that are no piece become bytes or the unknown id."""
-        ids, lens, at = [], [], 0
-        for symbol, count in zip(symbols, counts, strict=True):
-            size = len(chars[at : at + count].encode())
+    def _pack(self, chars: str, symbols: list[int]) -> bytes:
+        """Packed ids; characters that are no piece become bytes or the unknown id."""
+        ids, at = [], 0
+        for symbol in symbols:
             if 0 <= symbol < len(self.model.pieces):
                 ids.append(symbol)
-                lens.append(size)
-            elif self.model.byte_fallback:
-                raw = chars[at : at + count].encode()
-                ids += [self.byte_ids[b] for b in raw]
-                lens += [0] * (size - 1) + [size]  # the last byte stands for the whole character
-            else:
-                ids.append(self.unk)
-                lens.append(size)
-            at += count
-        return np.array(ids, "<u4").tobytes(), np.array(lens, "<u4").tobytes()
+                at += len(self.model.pieces[symbol])
+                continue
+            ids += [self.byte_ids[b] for b in chars[at].encode()] if self.model.byte_fallback else [self.unk]
+            at += 1
+        return np.array(ids, "<u4").tobytes()
 
     def _learn(self, new: list[str]) -> None:
-        number = self.merges.symbols.get
+        number, pieces = self.merges.symbols.get, len(self.model.pieces)
         by_width: dict[int, list[str]] = {}
         for seg in new:
             if len(seg) > 32:
-                self.held[seg] = self._pack(seg, *self.merges.one([number(c, -1) for c in seg]))
+                self.held[seg] = self._pack(seg, self.merges.one([number(c, -1) for c in seg]))
             else:
-                by_width.setdefault((len(seg) + 3) // 4 * 4, []).append(seg)
-        pieces = len(self.model.pieces)
+                by_width.setdefault((len(seg) + 1) // 2 * 2, []).append(seg)
         for width, segs in by_width.items():
-            for k in range(0, len(segs), 20_000):
-                part = segs[k : k + 20_000]
+            for k in range(0, len(segs), 40_000):
+                part = segs[k : k + 40_000]
                 sizes = np.fromiter(map(len, part), np.int64, len(part))
                 code = np.frombuffer("".join(s.ljust(width, "\0") for s in part).encode("utf-32-le"), "<u4").reshape(len(part), width)
                 seen, where = np.unique(code, return_inverse=True)
-                known = np.array([number(chr(c), -1) for c in seen.tolist()], np.int64)
-                rows = known[where].reshape(code.shape)
+                rows = np.array([number(chr(c), -1) for c in seen.tolist()], np.int64)[where].reshape(code.shape)
                 rows[np.arange(width) >= sizes[:, None]] = -1
-                symbols, counts, n = self.merges.many(rows, sizes)
+                symbols, n = self.merges.many(rows, sizes)
                 inside = np.arange(width) < n[:, None]
-                known_rows = ~(inside & ((symbols < 0) | (symbols >= pieces))).any(1)
-                wide = np.where(code < 0x80, 1, np.where(code < 0x800, 2, np.where(code < 0x10000, 3, 4)))
-                wide[np.arange(width) >= sizes[:, None]] = 0
-                ends = np.cumsum(wide, 1)
-                last = np.clip(np.cumsum(counts, 1) - 1, 0, width - 1)
-                lens = np.diff(np.take_along_axis(ends, last, 1), axis=1, prepend=0)
-                flat = inside & known_rows[:, None]
-                ids_all, lens_all = symbols[flat].astype("<u4").tobytes(), lens[flat].astype("<u4").tobytes()
-                stop = 4 * np.cumsum(np.where(known_rows, n, 0))
-                start = 0
-                for r, (seg, ok, to) in enumerate(zip(part, known_rows.tolist(), stop.tolist(), strict=True)):
-                    if ok:
-                        self.held[seg] = (ids_all[start:to], lens_all[start:to])
-                    else:
-                        # a pad is -1 like an unknown character: counts are set anew
-                        m = int(n[r])
-                        self.held[seg] = self._pack(seg, symbols[r, :m].tolist(), np.where(symbols[r, :m] < 0, 1, counts[r, :m]).tolist())
-                    start = to
+                known = ~(inside & ((symbols < 0) | (symbols >= pieces))).any(1)
+                packed = symbols[inside & known[:, None]].astype("<u4").tobytes()
+                stop = (4 * np.cumsum(np.where(known, n, 0))).tolist()
+                self.held.update(zip(part, [packed[a:b] for a, b in zip([0, *stop[:-1]], stop, strict=True)], strict=True))
+                for r in np.flatnonzero(~known).tolist():
+                    self.held[part[r]] = self._pack(part[r], symbols[r, : n[r]].tolist())
 
     # -- texts
 
-    def encode_many(self, texts, spans: bool = True, run_chars: int = 1 << 19):
+    def encode_many(self, texts, spans: bool = True, run_chars: int = 1 << 20):
         """Yield (packed ids, packed span starts, packed span ends) of each text, with begin and end ids (null: empty text)."""
         run, size = [], 0
         for t in texts:
@@ -447,23 +430,41 @@ class PieceCodec:
             new = {s for _, _, segs in cut for s in segs}
         self._learn(list(new))
         for text, at, segs in cut:
-            packed = [held[s] for s in segs]
-            ids = np.frombuffer(b"".join([p[0] for p in packed]), "<u4")
-            lens = np.frombuffer(b"".join([p[1] for p in packed]), "<u4")
+            ids = np.frombuffer(b"".join([held[s] for s in segs]), "<u4")
+            lens = self._lengths(ids, segs) if spans or not self.model.byte_fallback else None
             if not self.model.byte_fallback and (ids == self.unk).any():
                 ids, lens = self._one_unknown(ids, lens)
             starts = ends = b""
             if spans:
                 if at is None:
                     at = self._plain_places(text)
-                stop = np.cumsum(lens, dtype=np.int64)
-                limit = at[-1]
-                begin_span = [] if self.begin is None else [0]
-                end_span = [] if self.end is None else [limit]
-                starts = np.concatenate((begin_span, at[np.concatenate(([0], stop[:-1]))] if len(stop) else [], end_span)).astype("<u4").tobytes()
-                ends = np.concatenate((begin_span, at[stop] if len(stop) else [], end_span)).astype("<u4").tobytes()
-            body = ids.tobytes()
-            yield self._one(self.begin) + body + self._one(self.end), starts, ends
+                place = at[np.concatenate(([0], np.cumsum(lens, dtype=np.int64)))].astype("<u4")
+                begin_span = b"" if self.begin is None else self._one(0)
+                end_span = b"" if self.end is None else self._one(int(at[-1]))
+                starts = begin_span + place[:-1].tobytes() + end_span
+                ends = begin_span + place[1:].tobytes() + end_span
+            yield self._one(self.begin) + ids.tobytes() + self._one(self.end), starts, ends
+
+    def _lengths(self, ids: np.ndarray, segs: list[str]) -> np.ndarray:
+        """Normalised bytes of each piece; of the byte pieces of a character the last has them all."""
+        if not self.model.byte_fallback and (ids == self.unk).any():  # not told by the id: walk the characters
+            lens = []
+            for seg in segs:
+                at = 0
+                for i in np.frombuffer(self.held[seg], "<u4").tolist():
+                    count = 1 if i == self.unk else len(self.model.pieces[i])
+                    lens.append(len(seg[at : at + count].encode()))
+                    at += count
+            return np.array(lens, np.int64)
+        lens = self.sizes[ids]
+        if self.byte_ids:
+            byte = self.byte_of[ids]
+            lead = np.flatnonzero((byte >= 0) & (byte & 0xC0 != 0x80))
+            if len(lead):
+                head = byte[lead]
+                size = np.where(head < 0x80, 1, np.where(head < 0xE0, 2, np.where(head < 0xF0, 3, 4)))
+                lens[lead + size - 1] = size
+        return lens
 
     @staticmethod
     def _one(i: int | None) -> bytes:
@@ -472,7 +473,7 @@ class PieceCodec:
     def _one_unknown(self, ids: np.ndarray, lens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """A run of unknown pieces is one unknown piece."""
         first = np.concatenate(([True], ~((ids[1:] == self.unk) & (ids[:-1] == self.unk))))
-        return ids[first], np.add.reduceat(lens, np.flatnonzero(first)).astype("<u4")
+        return ids[first], np.add.reduceat(lens, np.flatnonzero(first))
 
     def _plain_places(self, text: str) -> np.ndarray:
         """Alignment where the character map is empty: every byte stands for itself, a blank is written as three."""
