@@ -130,3 +130,36 @@ def test_unlisted_and_null_classes_are_not_dropped(spark):
     assert mt.true_zero_grid(grid, None, lines, ["u"], ["v"]).count() == 5
     with pytest.raises(ValueError, match="grid is 1..4"):
         mt.true_zero_grid(grid, 4, lines, ["u"], ["v"])
+
+
+def test_join_by_year_reads_its_input_once(spark):
+    from tidemark.operators import metrics as mt
+
+    df = spark.createDataFrame(
+        [(1, 2023, "a", "x"), (2, 2024, "a", "x"), (3, 2024, "a", None), (4, 2025, "a", "zz"), (5, 2025, None, "x"), (6, 2026, "a", "x"), (7, None, "a", "x"), (8, 2024, "b", "x")],
+        "id int, yr int, site string, zone string")
+    sites = spark.createDataFrame(
+        [(2024, "a", "x", 10), (2024, "a", None, 11), (2024, "a", "x", 9), (2025, "a", "y", 12), (2025, None, "q", 13), (2026, "a", "x", 14), (2023, "a", "x", 15)],
+        "yr long, site string, zone string, rec int")
+    rules = {2023: ["site", "zone"], 2024: ["site", "zone"], 2025: ["site"]}
+    out = mt.join_by_year(df, sites, "yr", rules, ["rec"])
+    assert {r.id: r.rec for r in out.collect()} == {1: 15, 2: 9, 3: 11, 4: 12, 5: 13, 6: None, 7: None, 8: None}
+    assert out.columns == ["id", "yr", "site", "zone", "rec"]
+    assert {r.rec for r in mt.join_by_year(df, sites, "yr", {}, ["rec"]).collect()} == {None}
+    plan = mt.join_by_year(spark.range(10).selectExpr("id", "id yr", "'a' site", "'b' zone"), sites, "yr", {y: ["site"] for y in range(2000, 2012)}, ["rec"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 10") == 1
+
+
+def test_resolve_by_year_agrees_with_one_year_at_a_time(spark):
+    from pyspark.sql import functions as F
+
+    from tidemark.operators import sites as st
+
+    d = spark.createDataFrame([(i, f"2024-0{1 + i % 3}-01" if i % 2 else f"2025-0{1 + i % 3}-01", "s%d" % (i % 4) if i % 5 else None, i % 3) for i in range(40)], "id int, day string, site string, zone int").withColumn("day", F.col("day").cast("date"))
+    s = spark.createDataFrame([(y, f"s{k}" if k else None, float(z), f"o{y}{k}{z}") for y in (2024, 2025) for k in range(4) for z in range(2)] * 2, "year int, name string, z double, official string")
+    rules = {2024: {"site": "name", "zone": "z"}, 2025: {"site": "name"}}
+    for how in ("drop", "keep"):
+        parts = [st.resolve_official_site(d, s, on, {"site": "official"}, year=y, date_col="day", unmatched=how, site_year=F.col("year")) for y, on in rules.items()]
+        got = st.resolve_by_year(d, s, "day", rules, {"site": "official"}, "year", how)
+        assert got.columns == parts[0].columns
+        assert sorted(map(str, got.collect())) == sorted(map(str, parts[0].unionByName(parts[1]).collect()))

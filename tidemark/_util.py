@@ -47,3 +47,10 @@ def all_true(cols: Iterable[Column]) -> Column:
 
 def col_of(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
+
+
+def common_type(spark, a: str, b: str) -> str:
+    """The type that Spark compares values of two types in (analysis only, no job)."""
+    if a == b:
+        return a
+    return spark.range(0).select(F.coalesce(F.lit(None).cast(a), F.lit(None).cast(b)).alias("t")).dtypes[0][1]

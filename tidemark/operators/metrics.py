@@ -9,6 +9,7 @@ map side rather than sorted in one task.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark._util import all_true, null_safe_on
 from tidemark.operators.ranking import row_number_by
+from tidemark.operators.sites import rule_keys
 
 
 #: A class column with more values than this is refused when the values are not listed.
@@ -424,20 +426,17 @@ def join_by_year(df: DataFrame, sites: DataFrame, year: str, rules: Mapping[int,
     (NULL matches NULL). Site records are those of the same year
     (``site_year``, default the same column name) and are made unique on the
     rule's keys (smallest values of ``cols``). Rows of years without a rule,
-    and unmatched rows, keep NULLs."""
-    site_year = site_year or year
-    out = []
-    for y, keys in rules.items():
-        s = sites.where(F.col(site_year) == F.lit(y)).groupBy(*keys).agg(F.min(F.struct(*cols)).alias("__s"))
-        s = s.select(*keys, *[F.col(f"__s.{c}").alias(c) for c in cols])
-        out.append(_join_on_keys(df.where(F.col(year) == F.lit(y)), s, keys, "left"))
-    rest = df.where(~F.coalesce(F.col(year).isin(*rules), F.lit(False)) if rules else F.lit(True))
-    types = dict(sites.dtypes)
-    out.append(rest.withColumns({c: F.lit(None).cast(types[c]) for c in cols}))
-    res = out[0]
-    for part in out[1:]:
-        res = res.unionByName(part)
-    return res
+    and unmatched rows, keep NULLs; columns of ``df`` named in ``cols`` are
+    replaced.
+
+    One equi-join on a struct key serves all rules (:func:`tidemark.operators.sites.rule_key`),
+    so ``df`` is read once whatever the number of years."""
+    cols = list(cols)
+    left, right = rule_keys(df, F.col(year), sites, F.col(site_year or year), {y: {c: c for c in keys} for y, keys in rules.items()})
+    key, hit = f"__key_{uuid.uuid4().hex}", f"__hit_{uuid.uuid4().hex}"
+    records = sites.select(right.alias(key), F.struct(*cols).alias(hit)).where(F.col(key).isNotNull()).groupBy(key).agg(F.min(hit).alias(hit))
+    out = df.withColumn(key, left).join(records, key, "left")
+    return out.select(*[c for c in df.columns if c not in cols], *[F.col(f"{hit}.{c}").alias(c) for c in cols])
 
 
 def assemble_margin(base: DataFrame, macro: DataFrame, algae: DataFrame, urchin: DataFrame,

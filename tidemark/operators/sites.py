@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark._util import null_safe_on
+from tidemark._util import col_of, common_type, null_safe_on
 from tidemark.functions.text import parse_date, standardize_code
 from tidemark.operators.normalize import cast_columns, null_tokens
 
@@ -64,6 +65,46 @@ def build_recovery_sites(df: DataFrame, years: Sequence[int] = (2024, 2025),
                     *[f"survey_date_{y}" for y in years])
 
 
+def rule_key(year: Column, fields: Mapping[str, Column], rules: Mapping[int, Sequence[str]]) -> Column:
+    """One struct key for the rules of all years: the year and the fields that its rule uses, NULL for the rest.
+
+    Rows of one year meet by plain equality of the struct, in which NULL
+    fields are equal; a row of a year without a rule has a NULL key and meets
+    none. Both tables of a join build it with the same field names and types."""
+    if not rules:
+        return F.lit(None).cast("struct<year:bigint>")
+    parts = [F.when(year.isin(*[y for y, used in rules.items() if name in used]), c).alias(name) for name, c in sorted(fields.items())]
+    return F.when(year.isin(*rules), F.struct(year.cast("bigint").alias("year"), *parts))
+
+
+def rule_keys(df: DataFrame, year: Column, sites: DataFrame, site_year: Column, rules: Mapping[int, Mapping[str, str]]) -> tuple[Column, Column]:
+    """The rule key over the data and over the site table, for rules year -> {data column: site column}."""
+    pairs = sorted({p for on in rules.values() for p in on.items()})
+    data_types, site_types = dict(df.dtypes), dict(sites.dtypes)
+    kinds = {p: common_type(df.sparkSession, data_types[p[0]], site_types[p[1]]) for p in pairs}
+    used = {y: [f"k{pairs.index(p)}" for p in on.items()] for y, on in rules.items()}
+    left, right = ({f"k{i}": F.col(f"`{p[side]}`").cast(kinds[p]) for i, p in enumerate(pairs)} for side in (0, 1))
+    return rule_key(year, left, used), rule_key(site_year, right, used)
+
+
+def resolve_by_year(df: DataFrame, sites: DataFrame, date_col: str, rules: Mapping[int, Mapping[str, str]],
+                    take: Mapping[str, str], site_year: Column | str, unmatched: str = "drop") -> DataFrame:
+    """SITE-4 for several survey years in one join, so both tables are read once.
+
+    ``rules``: year -> {data column: site-table column} that identify a record
+    that year (NULL matches NULL); records are those with that ``site_year``.
+    ``take`` and ``unmatched`` as in :func:`resolve_official_site`: a record
+    listed twice matches twice, ``"drop"`` keeps matched rows only, and rows
+    of years without a rule count as unmatched."""
+    if unmatched not in ("drop", "keep"):
+        raise ValueError("unmatched must be 'drop' or 'keep'")
+    key = f"__key_{uuid.uuid4().hex}"
+    left, right = rule_keys(df, F.year(F.col(date_col)), sites, col_of(site_year), rules)
+    s = sites.select(right.alias(key), *[F.col(src).alias(f"{key}_{i}") for i, src in enumerate(take.values())]).where(F.col(key).isNotNull())
+    j = df.withColumn(key, left).join(s, key, "inner" if unmatched == "drop" else "left")
+    return j.select(*[c for c in df.columns if c not in take], *[F.col(f"{key}_{i}").alias(name) for i, name in enumerate(take)])
+
+
 def resolve_official_site(df: DataFrame, sites: DataFrame, on: Mapping[str, str],
                           take: Mapping[str, str], year: int | None = None,
                           date_col: str | None = None, unmatched: str = "drop",
