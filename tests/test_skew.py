@@ -58,3 +58,16 @@ def test_quantiles_of_mostly_equal_values(spark):
     assert max(sizes) == 1
     got = {r["g"]: (r["n"], r["q1"], r["median"], r["q3"]) for r in qc.box_stats(df, ["g"], "v").collect()}
     assert got == {0: (10_000, 0.0, 0.0, 0.0), 1: (10_000, 0.0, 0.0, 0.0)}
+
+
+def test_hot_key_multisets_without_lists(spark):
+    raw = _hot(spark)
+    more = raw.unionByName(raw.where("k = 0 and id < 3"))  # the hot group has one value more
+    for policy, hot in (("strict", [0]), ("recycle", [0])):
+        got = rc.multiset_diff(raw, more, ["k"], ["v", "d"], length_policy=policy, render=None).collect()
+        assert [(r["k"], r["v_diff"], r["d_diff"]) for r in got] == [(k, True, True) for k in hot]
+    # one value in the whole hot group: the lengths differ, every repeated value is the same
+    one = raw.withColumn("v", F.lit(5.0))
+    assert rc.multiset_diff(one, one.unionByName(one.where("k = 0 and id < 3")), ["k"], ["v"], length_policy="recycle", render=None).collect() == []
+    plan = rc.multiset_diff(raw, more, ["k"], ["v"], length_policy="recycle", render=None)._jdf.queryExecution().executedPlan().toString()
+    assert "collect_list" not in plan and "Window" not in plan and plan.count("Exchange hashpartitioning") == 1

@@ -8,11 +8,9 @@ Scale notes
 * Every join is an equi-join on the keys with NULL matching NULL (``<=>``),
   which Catalyst plans as a hash/sort-merge join on ``(coalesce(k), isnull(k))``
   -- no cartesian product, AQE can split skewed partitions.
-* Multisets are compared without collecting raw groups: both sides are stacked
-  and aggregated once to ``(keys, column, value) -> (n_raw, n_qc)`` (map-side
-  partial aggregation), a table that is checkpointed and read for the groups'
-  flags and for the values of groups that differ. Text lists are an option on
-  top of that long form.
+* Multisets are compared by commutative fingerprints (a count and sums of
+  hashes), so one aggregate without value rows tells which groups differ; only
+  their values are counted, and text lists are an option on top of that.
 * Values keep their own type: integers and decimals are compared and printed
   exactly; only a pair with a floating-point side is compared as double, and
   text against anything else as text.
@@ -25,9 +23,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark._util import any_true, as_list, null_safe_on
+from tidemark._util import any_true, as_list, common_type, null_safe_on
 from tidemark.functions.text import value_text
-from tidemark.session import ensure_checkpoint_dir
+from tidemark.session import scratch_table
 
 # Message separator and side labels.
 DIFF_SEP = " ≠ "
@@ -211,120 +209,141 @@ def _list_text(items: Column, render: str) -> Column:
     return F.array_join(parts, ", ")
 
 
-def _expanded(items: Column) -> Column:
-    srt = F.sort_array(items)
-    return F.flatten(F.transform(srt, lambda s: F.array_repeat(s["v"], s["n"].cast("int"))))
+#: Hash bits are summed in parts of 21 bits (the last 22), so that a sum of 2^41 rows still fits in 64 bits.
+_PART = 21
+
 
+def _canonical(c: str, t: str, other: str, spark) -> Column:
+    """A value such that equal values of the two entries are equal columns of one type."""
+    x = F.col(c)
+    if _is_numeric(t) and _is_numeric(other):
+        # an exact column against a floating one is compared as double; 0.0 takes the sign off zero
+        return x.cast(common_type(spark, t, other)) if _is_exact(t) and _is_exact(other) else x.cast("double") + F.lit(0.0)
+    return x if t == other and t in ("string", "date", "boolean") else value_text(x, t)
 
-def _recycled_equal(a: Column, b: Column) -> Column:
-    """R ``all(x == y)`` with recycling; an empty side compares equal."""
-    sa, sb = F.size(a), F.size(b)
-    idx = F.sequence(F.lit(0), F.greatest(sa, sb) - 1)
-    same = F.forall(idx, lambda i: F.get(a, i % sa) == F.get(b, i % sb))
-    return (sa == 0) | (sb == 0) | same
 
+def multiset_fingerprints(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequence[str], length_policy: str = "strict") -> DataFrame:
+    """Per group of both entries: does the multiset of non-NULL values of each column differ (``__d0``, ``__d1``, ...)?
 
-_MARK = "__present"
+    One aggregate over both entries stacked: the number of values and the sums
+    of two independent 64-bit hashes of them, raw counted up and qc down, are
+    all zero just when the multisets are equal (but for a chance of about
+    2^-120). No value list, no join: a group of any size is reduced on the map
+    side to a row of numbers.
+
+    ``recycle`` repeats the shorter sorted list: if the lengths differ, the
+    first value of the second round must equal the smallest one, but is not
+    smaller than the largest, so the lists agree just when all values of both
+    are the same. That is read from the smallest and largest hashes.
+    """
+    if length_policy not in ("strict", "recycle"):
+        raise ValueError("length_policy must be 'strict' or 'recycle'")
+    keys, cols = list(keys), list(cols)
+    rt, qt = dict(raw.dtypes), dict(qc.dtypes)
+
+    def side(df: DataFrame, types: dict, other: dict, sign: int) -> DataFrame:
+        hashes = []
+        for i, c in enumerate(cols):
+            v = _canonical(c, types[c], other[c], df.sparkSession)
+            hashes += [F.when(v.isNotNull(), F.xxhash64(F.lit(seed), v)).alias(f"__h{i}{name}") for seed, name in ((1, "a"), (2, "b"))]
+        return df.select(*keys, F.lit(sign).cast("bigint").alias("__s"), *hashes)
+
+    both = side(raw, rt, qt, 1).unionByName(side(qc, qt, rt, -1))
+    sign = F.col("__s")
+    aggs = [F.max("__s").alias("__hi"), F.min("__s").alias("__lo")]
+    differs = []
+    for i in range(len(cols)):
+        h = [F.col(f"__h{i}a"), F.col(f"__h{i}b")]
+        held = h[0].isNotNull()
+        sums = [F.sum(F.when(held, sign))]
+        for x in h:
+            parts = [x.bitwiseAND((1 << _PART) - 1), F.shiftright(x, _PART).bitwiseAND((1 << _PART) - 1), F.shiftrightunsigned(x, 2 * _PART)]
+            sums += [F.sum(sign * part) for part in parts]
+        unequal = any_true(F.coalesce(x, F.lit(0)) != 0 for x in sums)
+        if length_policy == "recycle":
+            several = any_true(F.min(x) != F.max(x) for x in h)
+            unequal = unequal & F.coalesce(several, F.lit(False)) & (F.count(F.when(held & (sign > 0), 1)) > 0) & (F.count(F.when(held & (sign < 0), 1)) > 0)
+        differs.append(unequal.alias(f"__d{i}"))
+    return both.groupBy(*keys).agg(*aggs, *differs).where("__hi = 1 AND __lo = -1").drop("__hi", "__lo")
 
 
-def multiset_counts(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """(keys, __col, __o, __v, na, nb): how often each value of each column occurs in a group of either entry.
+def _differing(raw: DataFrame, qc: DataFrame, keys: list[str], cols: list[str], length_policy: str = "strict") -> DataFrame:
+    """The groups that differ, written to the shared folder: the planner then knows how many bytes they are."""
+    flags = multiset_fingerprints(raw, qc, keys, cols, length_policy)
+    return scratch_table(flags.where(any_true(F.col(f"__d{i}") for i in range(len(cols)))), "multiset-groups")
+
+
+def multiset_counts(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequence[str], flags: DataFrame) -> DataFrame:
+    """(keys, __col, __o, __v, na, nb): how often each value of the columns that differ occurs in a group of ``flags``.
 
     ``__v`` is the value's text (exact for integers and decimals), ``__o`` a
-    number to sort by (NULL for text columns). Rows of ``__present`` say which
-    entry has the group. One aggregate over both entries, checkpointed."""
+    number to sort by (NULL for text columns)."""
     rt, qt = dict(raw.dtypes), dict(qc.dtypes)
 
     def side(df: DataFrame, types: dict, is_raw: bool) -> DataFrame:
+        f2 = flags.select(*[F.col(k).alias(f"{k}__f") for k in keys], *[f"__d{i}" for i in range(len(cols))])
+        d = df.select(*keys, *[c for c in cols if c not in keys])
+        d = d.join(f2, null_safe_on(d, f2, keys, [f"{k}__f" for k in keys]), "inner")
         items = []
-        for c in cols:
+        for i, c in enumerate(cols):
             both = (rt[c], qt[c])
             x = F.col(c)
             if all(map(_is_numeric, both)):
-                # an exact column against a floating one is compared as double
                 t, own = (types[c], x) if all(map(_is_exact, both)) else ("double", x.cast("double"))
-                items.append(F.struct(F.lit(c).alias("c"), x.cast("double").alias("o"), value_text(own, t).alias("v")))
+                item = F.struct(F.lit(c).alias("c"), x.cast("double").alias("o"), value_text(own, t).alias("v"))
             else:
-                items.append(F.struct(F.lit(c).alias("c"), F.lit(None).cast("double").alias("o"), value_text(x, types[c]).alias("v")))
-        items.append(F.struct(F.lit(_MARK).alias("c"), F.lit(None).cast("double").alias("o"), F.lit("").alias("v")))
-        d = df.select(*keys, F.explode(F.array(*items)).alias("__i"), F.lit(1 if is_raw else 0).alias("__r"))
-        return d.select(*keys, F.col("__i.c").alias("__col"), F.col("__i.o").alias("__o"), F.col("__i.v").alias("__v"), "__r").where("__v is not null")
+                item = F.struct(F.lit(c).alias("c"), F.lit(None).cast("double").alias("o"), value_text(x, types[c]).alias("v"))
+            items.append(F.when(F.col(f"__d{i}") & x.isNotNull(), item))
+        d = d.select(*keys, F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("__i"), F.lit(1 if is_raw else 0).alias("__r"))
+        return d.select(*keys, F.col("__i.c").alias("__col"), F.col("__i.o").alias("__o"), F.col("__i.v").alias("__v"), "__r")
 
     both = side(raw, rt, True).unionByName(side(qc, qt, False))
-    counts = both.groupBy(*keys, "__col", "__v").agg(F.min("__o").alias("__o"), F.sum("__r").alias("na"), F.sum(F.lit(1) - F.col("__r")).alias("nb"))
-    ensure_checkpoint_dir(raw.sparkSession)
-    return counts.checkpoint(eager=True)
-
-
-def _multiset_flags(raw: DataFrame, qc: DataFrame, keys: list[str], cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    """The count table, and for groups of both entries that differ a flag for each column."""
-    counts = multiset_counts(raw, qc, keys, cols)
-    aggs = [F.max(F.when((F.col("__col") == _MARK) & (F.col("na") > 0), 1)).alias("__pa"),
-            F.max(F.when((F.col("__col") == _MARK) & (F.col("nb") > 0), 1)).alias("__pb")]
-    aggs += [F.max(F.when((F.col("__col") == c) & (F.col("na") != F.col("nb")), 1)).alias(f"__d{i}") for i, c in enumerate(cols)]
-    flags = (counts.groupBy(*keys).agg(*aggs)
-             .where((F.col("__pa") == 1) & (F.col("__pb") == 1) & any_true(F.coalesce(F.col(f"__d{i}") == 1, F.lit(False)) for i in range(len(cols)))))
-    return counts, flags
+    return both.groupBy(*keys, "__col", "__v").agg(F.min("__o").alias("__o"), F.sum("__r").alias("na"), F.sum(F.lit(1) - F.col("__r")).alias("nb"))
 
 
 def multiset_changes(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> DataFrame:
     """REC-6 as rows: (keys, column, value, n_raw, n_qc) for every value whose count differs in a group of both entries."""
     keys, cols = list(keys), list(as_list(cols))
-    counts, flags = _multiset_flags(raw, qc, keys, cols)
-    f2 = flags.select(*[F.col(k).alias(f"{k}__f") for k in keys])
-    d = counts.where((F.col("na") != F.col("nb")) & (F.col("__col") != _MARK))
-    j = d.join(f2, null_safe_on(d, f2, keys, [f"{k}__f" for k in keys]), "left_semi")
-    return j.select(*keys, F.col("__col").alias("column"), F.col("__v").alias("value"), F.col("na").alias("n_raw"), F.col("nb").alias("n_qc"))
+    counts = multiset_counts(raw, qc, keys, cols, _differing(raw, qc, keys, cols))
+    return counts.where("na <> nb").select(*keys, F.col("__col").alias("column"), F.col("__v").alias("value"), F.col("na").alias("n_raw"), F.col("nb").alias("n_qc"))
 
 
 def multiset_diff(raw: DataFrame, qc: DataFrame, keys: Sequence[str], cols: Sequence[str],
                   length_policy: str = "strict", sep: str = DIFF_SEP,
                   labels: tuple[str, str] = (RAW_LABEL, QC_LABEL),
                   year: int | None = None, date_col: str | None = None,
-                  render: str = "values", resolved: bool = False,
+                  render: str | None = "values", resolved: bool = False,
                   suffix: str = "_diff") -> DataFrame:
-    """REC-6: per group, compare the sorted non-NULL values of each column.
+    """REC-6: per group, compare the non-NULL values of each column as multisets.
 
     Only groups present in both entries are compared.  ``strict``: the
     multisets must be equal (lengths count).  ``recycle``: R's ``all(x == y)``
     with recycling of the shorter sorted list, an empty side equal.
 
-    Message: ``"Raw: 1, 2.5 ≠ QC: 1, 3"`` (labels configurable).
+    ``render="values"`` gives messages ``"Raw: 1, 2.5 ≠ QC: 1, 3"`` (labels
+    configurable), ``"counts"`` with ``value×count``; ``None`` gives true or
+    false a column and builds no list.
 
-    Plan: see :func:`multiset_counts`; value lists are collected only for
-    groups that differ. :func:`multiset_changes` gives the same differences
-    as rows, without lists.
+    Plan: see :func:`multiset_fingerprints`; value lists are collected only on
+    request, for the columns that differ of groups that differ.
+    :func:`multiset_changes` gives the same differences as rows, without lists.
     """
     keys, cols = list(keys), list(as_list(cols))
-    counts, flags = _multiset_flags(raw, qc, keys, cols)
-    f2 = flags.select(*[F.col(k).alias(f"{k}__f") for k in keys], *[f"__d{i}" for i in range(len(cols))])
-    j = counts.join(f2, null_safe_on(counts, f2, keys, [f"{k}__f" for k in keys]), "inner")
-    list_aggs = []
-    for i, c in enumerate(cols):
-        on_c = F.col("__col") == c
-        list_aggs += [
-            F.first(f"__d{i}").alias(f"__d{i}"),
-            F.collect_list(F.when(on_c & (F.col("na") > 0), F.struct(F.col("__o").alias("o"), F.col("__v").alias("v"), F.col("na").alias("n")))).alias(f"__ra{i}"),
-            F.collect_list(F.when(on_c & (F.col("nb") > 0), F.struct(F.col("__o").alias("o"), F.col("__v").alias("v"), F.col("nb").alias("n")))).alias(f"__qa{i}"),
-        ]
-    per_group = j.groupBy(*keys).agg(*list_aggs)
-    flags_out, outs = [], []
-    for i, c in enumerate(cols):
-        ra, qa = F.col(f"__ra{i}"), F.col(f"__qa{i}")
-        differs = F.coalesce(F.col(f"__d{i}") == 1, F.lit(False))
-        if length_policy == "recycle":
-            differs = differs & ~_recycled_equal(_expanded(ra), _expanded(qa))
-        elif length_policy != "strict":
-            raise ValueError("length_policy must be 'strict' or 'recycle'")
-        flags_out.append(differs.alias(f"__x{i}"))
-        msg = F.concat(F.lit(labels[0] + " "), _list_text(ra, render),
-                       F.lit(sep + labels[1] + " "), _list_text(qa, render))
-        outs.append(F.when(F.col(f"__x{i}"), msg).alias(f"{c}{suffix}"))
-    # filter on the flags; message text is built only for the rows kept
-    flagged = (per_group.select(*keys, *[f"__ra{i}" for i in range(len(cols))],
-                                *[f"__qa{i}" for i in range(len(cols))], *flags_out)
-               .where(any_true(F.col(f"__x{i}") for i in range(len(cols)))))
-    out = flagged.select(*keys, *outs)
+    flags = [f"__d{i}" for i in range(len(cols))]
+    if render is None:
+        told = multiset_fingerprints(raw, qc, keys, cols, length_policy).where(any_true(F.col(d) for d in flags))
+        out = told.select(*keys, *[F.col(d).alias(f"{c}{suffix}") for d, c in zip(flags, cols)])
+    else:
+        groups = _differing(raw, qc, keys, cols, length_policy)
+        counts = multiset_counts(raw, qc, keys, cols, groups)
+        aggs = []
+        for i, c in enumerate(cols):
+            on_c = F.col("__col") == c
+            aggs.append(F.max(on_c).alias(f"__d{i}"))
+            aggs += [F.collect_list(F.when(on_c & (F.col(n) > 0), F.struct(F.col("__o").alias("o"), F.col("__v").alias("v"), F.col(n).alias("n")))).alias(f"__{n}{i}") for n in ("na", "nb")]
+        texts = [F.when(F.col(f"__d{i}"), F.concat(F.lit(labels[0] + " "), _list_text(F.col(f"__na{i}"), render), F.lit(sep + labels[1] + " "), _list_text(F.col(f"__nb{i}"), render)))
+                 .alias(f"{c}{suffix}") for i, c in enumerate(cols)]
+        out = counts.groupBy(*keys).agg(*aggs).select(*keys, *texts)
     if year is not None:
         out = out.where(F.year(F.col(date_col or keys[0])) == F.lit(year))
     if resolved:

@@ -11,9 +11,10 @@ import os
 import re
 import shutil
 import tempfile
+import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -61,6 +62,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def _scratch_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to this application's folder below the shared checkpoint folder and read it back.
+
+    Cuts the lineage like a checkpoint, and the planner knows the size of what it reads."""
+    path = f"{_scratch_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete what :func:`scratch_table` wrote in this application; results still read from it must be saved before."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _shipped: set[str] = set()
 
 
