@@ -67,3 +67,45 @@ def test_descent_reaches_the_optimum_of_a_separable_set():
     w, b = nbsvm.descend(rows, np.array([1, 1, 0, 0]), np.ones(nbsvm.FEATURES), cost=100.0, rounds=500, tolerance=1e-6)
     margins = [w[f].sum() / np.sqrt(2) + b for f in rows]
     assert np.allclose(margins, [1, 1, -1, -1], atol=0.01)
+
+
+def test_descent_against_a_dense_solver():
+    """The same hinge-loss problem on dense matrices, by accelerated projected gradient steps on its dual."""
+    rng = np.random.default_rng(4)
+    rows = [np.unique(rng.integers(0, 60, rng.integers(3, 20))) for _ in range(200)]
+    y = (np.array([(r < 25).mean() for r in rows]) + rng.normal(0, 0.25, 200) > 0.4).astype(int)  # not separable
+    ratio = np.zeros(nbsvm.FEATURES)
+    ratio[:60] = rng.normal(0, 1, 60)
+    weights, bias = nbsvm.descend(rows, y, ratio, rounds=400, tolerance=1e-5)
+    x = np.zeros((200, 61))
+    for i, r in enumerate(rows):
+        x[i, r] = ratio[r] / np.sqrt(len(r))
+    x[:, 60] = 1  # the bias
+    s, top = np.where(y > 0, 1.0, -1.0), np.array([200 / (2 * (y == v).sum()) for v in y])
+
+    def primal(w):
+        return 0.5 * w @ w + (top * np.maximum(0, 1 - s * (x @ w))).sum()
+
+    q = (x * s[:, None]) @ (x * s[:, None]).T
+    alpha = ahead = np.zeros(200)
+    step, t = 1 / np.linalg.eigvalsh(q)[-1], 1.0
+    for _ in range(20_000):
+        new = np.clip(ahead - step * (q @ ahead - 1), 0, top)
+        t, old = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+        ahead, alpha = new + (old - 1) / t * (new - alpha), new
+    best = primal(x.T @ (alpha * s))
+    own = np.concatenate((weights[:60] / ratio[:60], [bias]))
+    assert primal(own) <= best * 1.005 and np.abs(own - x.T @ (alpha * s)).max() < 0.05
+
+
+def test_sample_is_cut_by_hash_before_texts_move(spark):
+    docs, labels = _data(900)
+    rows = spark.createDataFrame([(i, t, q) for (i, t, _), (_, q, _) in zip(docs, labels, strict=True)], "key long, text string, y int")
+    asked = []
+    limit = type(rows).limit
+    try:
+        type(rows).limit = lambda self, n: (asked.append(self.count()), limit(self, n))[1]
+        nbsvm.train(rows, sample_rows=200)
+    finally:
+        type(rows).limit = limit
+    assert 200 <= asked[0] <= 260  # of 900

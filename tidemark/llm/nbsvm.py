@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import held_out
+from .common import held_out, written
 
 BITS = 18
 FEATURES = 1 << BITS
@@ -118,15 +118,16 @@ def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, smoothing: float = 1.
     """Fit on rows (key, text, y in {0, 1}).
 
     Log-count ratios use every row. The hinge-loss fit uses the rows with the
-    smallest key hashes, ``sample_rows`` at most, and runs in one task; the
-    driver receives arrays of fixed size. Without rows every score is 0.5;
-    with one class it is that class's smoothed share.
+    smallest key hashes, ``sample_rows`` at most, and runs in one task; rows
+    above a hash that about a tenth more than that lie under are left out
+    before texts are sent to it, so its input does not grow with the table.
+    The driver receives arrays of fixed size. Without rows every score is 0.5;
+    with one class it is that class's smoothed share. ``rows`` is read three
+    times: a written table of keys, texts and classes.
     """
-    rows = rows.cache()
     n = {r.y: r.n for r in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     if not n1 or not n0:
-        rows.unpersist()
         return Model(np.zeros(FEATURES), 0.0, 0.0, float(np.log((n1 + 1) / (n0 + 1))))
     counts = class_counts(rows).toPandas()
     pos, neg = np.full(FEATURES, smoothing), np.full(FEATURES, smoothing)
@@ -149,9 +150,10 @@ def train(rows: DataFrame, sample_rows: int = SAMPLE_ROWS, smoothing: float = 1.
         slope, offset = logistic(np.array([model.margin(f) for f, a in zip(feats, use, strict=True) if a]), y[use])
         yield pa.RecordBatch.from_pydict({"weights": [w.astype("<f8").tobytes()], "bias": [bias], "slope": [slope], "offset": [offset]})
 
-    sample = rows.orderBy(F.xxhash64("key"), "key").limit(sample_rows).coalesce(1)
+    share = min(1.0, 1.1 * sample_rows / (n1 + n0))
+    low = F.xxhash64("key") <= F.lit(int(share * (1 << 64)) - (1 << 63) if share < 1 else (1 << 63) - 1)
+    sample = rows.where(low).orderBy(F.xxhash64("key"), "key").limit(sample_rows).coalesce(1)
     got = sample.select("text", "y").mapInArrow(fit, "weights binary, bias double, slope double, offset double").first()
-    rows.unpersist()
     return Model(np.frombuffer(got.weights, "<f8").copy(), got.bias, got.slope, got.offset)
 
 
@@ -177,7 +179,8 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     Other columns are ignored.
     """
     marked = labels.where(F.col(label_col).isin(0, 1)).select(F.col(id_col).alias("key"), F.col(label_col).cast("int").alias("y"))
-    rows = docs.where(~held_out(id_col)).select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(marked, "key")
-    model = train(rows)
+    # texts meet the labels once, unsorted, and only labelled ones are written
+    rows = docs.where(~held_out(id_col)).select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).join(marked.hint("shuffle_hash"), "key")
+    model = train(written(rows, "quality-rows"))
     told = docs.select(F.col(id_col), held_out(id_col).alias("held_out"), score(docs.sparkSession, model, F.col(text_col)).alias("score"))
     return told.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
