@@ -197,7 +197,7 @@ class Shard:
 def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", shard_ids: int = 1 << 20) -> DataFrame:
     """Tokenise and write shard files in ascending id order; returns their manifest.
 
-    Rows are dealt by range of the id (nulls first, equal ids by text), so
+    Rows are dealt by range of the id (nulls first, equal ids by hash and text), so
     that each task writes a run of the global order as files of about
     ``shard_ids`` ids (a longer document is not cut). Manifest: part, shard,
     uri, documents, n_ids. Null and empty texts hold the end id only. Other
@@ -205,7 +205,8 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
     """
     folder = f"{shared_dir(docs.sparkSession)}/token-shards"
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange("doc", "text").sortWithinPartitions("doc", "text").withColumn("part", F.spark_partition_id())
+    # range bounds come from a sample of the keys on the driver: the text stands there as its hash
+    rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("doc", "h").sortWithinPartitions("doc", "h", "text").drop("h").withColumn("part", F.spark_partition_id())
 
     def write(batches):
         enc = LibraryEncoder(tokenizer_path)
