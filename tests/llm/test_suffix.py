@@ -115,3 +115,14 @@ def test_long_text_in_pieces():
     # pieces may part an anchor's windows, but each window keeps its anchor
     spread = lambda x: [p for _, p, a, b in zip(*(c.tolist() for c in x)) for _ in range(a, b + 1)]
     assert spread(whole) == spread(cut)
+
+
+def test_many_equal_rows_tell_their_spans_once(spark, monkeypatch):
+    rnd = random.Random(12)
+    text = " ".join("".join(rnd.choice("abcdef") for _ in range(5)) for _ in range(60))
+    rows = [(None, text)] * 150 + [(4, text)] * 50 + [(5, "other " + text[:40])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    spans = suffix_dedup.repeated_spans(suffix_dedup._keyed(df, "doc_id", "text"), "text", 30, gram=10).collect()
+    assert max(len(r.spans) for r in spans) <= len(text)
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in suffix_dedup.removal_digests(df, 30, gram=10).collect())
+    assert got == sorted((str(i), *x[:2]) for (i, _), x in zip(rows, _brute([t for _, t in rows], 30), strict=True))

@@ -444,10 +444,11 @@ def repeated_spans(keyed: DataFrame, text_col: str = "text", length: int = 200,
             for u, x, y in zip(uniq, lo.tolist(), hi.tolist(), strict=True):
                 if x < 0:
                     continue
-                for m in u["members"]:
-                    st = np.frombuffer(m["starts"], "<i8")
-                    out["k"] += [m["k"]] * len(st)
-                    out["th"] += [m["th"]] * len(st)
+                # rows of equal key and text have the same spans: one of them tells all
+                for k, th, starts in {(m["k"], m["th"], m["starts"]) for m in u["members"]}:
+                    st = np.frombuffer(starts, "<i8")
+                    out["k"] += [k] * len(st)
+                    out["th"] += [th] * len(st)
                     out["a"] += (st + x).tolist()
                     out["b"] += (st + y + length).tolist()
             return pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64()) for k, v in out.items()})
@@ -466,7 +467,7 @@ def repeated_spans(keyed: DataFrame, text_col: str = "text", length: int = 200,
     if not again.where("hot").isEmpty():
         hits = hits.unionByName(_hot_spans(cut_from(again.where("hot")), text_col, length, gram))
     # runs of one document are merged by the union of its spans
-    return hits.groupBy("k", "th").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    return hits.groupBy("k", "th").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
 _PIECE = pa.schema([
