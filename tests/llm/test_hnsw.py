@@ -71,3 +71,25 @@ def test_layers_are_flat_prefix_arrays():
     assert g.counts[0] == 700 and all(a > b for a, b in zip(g.counts, g.counts[1:]))
     assert [layer.shape for layer in g.layers] == [(700, 16), *((n, 8) for n in g.counts[1:])]
     assert all((layer < n).all() for layer, n in zip(g.layers, g.counts))
+
+
+def test_recall_of_a_full_shard(spark):
+    """One shard as full as the code allows, isotropic and clustered vectors."""
+    import inspect
+
+    full = inspect.signature(hnsw.nearest).parameters["shard_rows"].default
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(40, 64))
+    for name, x in (("isotropic", rng.normal(size=(full, 64))), ("clustered", centres[rng.integers(0, 40, full)] + 0.3 * rng.normal(size=(full, 64)))):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], SCHEMA)
+        got = _got(hnsw.nearest(df.where("vec_id % 20 = 0"), df, k=20, min_shards=1))
+        x = x.astype(np.float32).astype(float)
+        hits = total = 0
+        for q in range(0, full, 20):
+            s = x @ x[q]
+            s[q] = -np.inf
+            want = set(np.argsort(-s)[:20].tolist())
+            hits += len(want & {i for i, _ in got[q]})
+            total += 20
+        print(name, hits / total)
+        assert hits / total >= 0.9, name

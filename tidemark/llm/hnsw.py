@@ -307,7 +307,7 @@ def search_index(index: DataFrame, queries: DataFrame, k: int, shards: int, widt
     return left.groupBy(*keys).cogroup(right.groupBy(*(f"q_{c}" for c in keys))).applyInArrow(one, "query_id long, vec_id long, score double")
 
 
-def nearest(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", links: int = 16, width: int = 128, shard_rows: int = 65536, min_shards: int = 12) -> DataFrame:
+def nearest(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", links: int = 16, width: int = 160, shard_rows: int = 4096, min_shards: int = 12) -> DataFrame:
     """The k nearest candidates of every query by inner product.
 
     Returns (query_id, rank from 1, vec_id, score), ties in score to the
