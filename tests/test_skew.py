@@ -71,3 +71,56 @@ def test_hot_key_multisets_without_lists(spark):
     assert rc.multiset_diff(one, one.unionByName(one.where("k = 0 and id < 3")), ["k"], ["v"], length_policy="recycle", render=None).collect() == []
     plan = rc.multiset_diff(raw, more, ["k"], ["v"], length_policy="recycle", render=None)._jdf.queryExecution().executedPlan().toString()
     assert "collect_list" not in plan and "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
+
+
+def _type7(values, p):
+    import math
+
+    v = sorted(values, key=lambda x: (x != x, x))
+    h = (len(v) - 1) * p
+    lo, hi = v[math.floor(h)], v[math.ceil(h)]
+    return lo if lo == hi or (lo != lo and hi != hi) else lo + (hi - lo) * (h - math.floor(h))
+
+
+def test_rank_selection_against_sorting(spark):
+    import random
+
+    rnd = random.Random(13)
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        "same": [4.0] * 50, "one": [1.5], "ints": [float(rnd.randrange(9)) for _ in range(400)], "normal": [rnd.gauss(0, 1) for _ in range(501)],
+        "scales": [rnd.choice([-1, 1]) * 10.0 ** rnd.randrange(-300, 300) for _ in range(300)], "tiny": [5e-324 * i for i in range(7)],
+        "huge": [1.7e308, -1.7e308, 3.0, 3.0, 1e-9], "odd": [inf, -inf, -inf, nan, 1.0, 2.0, 2.0, nan, inf, inf], "only": [inf, inf, nan], "zero": [0.0, -0.0, 0.0],
+        None: [1.0, 2.0, 4.0, None],
+    }
+    df = spark.createDataFrame([(k, x) for k, v in groups.items() for x in v] + [("none", None)], "g string, v double").repartition(5)
+    probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
+    for bins in (qc.SELECT_BINS, 16):
+        got = {r["g"]: r for r in qc.exact_quantiles(df, ["g"], "v", probs).collect()} if bins == qc.SELECT_BINS else None
+        ranks = {"lo": F.lit(1), "mid": F.floor((F.col("n") + 1) / 2), "hi": F.col("n")}
+        picked = {r["g"]: r for r in qc.select_ranks(df.where("g in ('ints', 'odd', 'normal') or g is null"), ["g"], "v", ranks, bins).collect()}
+        for k in ("ints", "odd", "normal", None):
+            v = sorted((x for x in groups[k] if x is not None), key=lambda x: (x != x, x))
+            assert [str(picked[k][c]) for c in ("lo", "mid", "hi")] == [str(v[0]), str(v[(len(v) + 1) // 2 - 1]), str(v[-1])], (bins, k)
+        if got:
+            assert got.keys() == groups.keys()
+            for k, v in groups.items():
+                v = [x for x in v if x is not None]
+                for name, p in probs.items():
+                    want = _type7(v, p)
+                    assert str(got[k][name] + 0.0) == str(want + 0.0) or abs(got[k][name] - want) <= 1e-12 * abs(want), (k, name)
+    whole = qc.exact_quantiles(df.where("g = 'ints'"), [], "v", {"m": 0.5}).collect()
+    assert [r["m"] for r in whole] == [_type7(groups["ints"], 0.5)]
+    assert qc.box_stats(df.where("false"), ["g"], "v").collect() == []
+
+
+def test_quartiles_need_no_sort_of_the_values(spark):
+    import re
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = qc.box_stats(_hot(spark), ["k"], "v")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"Exchange (?:hash|range)partitioning", plan)) <= 4 and "rangepartitioning" not in plan and "Scan ExistingRDD" not in plan

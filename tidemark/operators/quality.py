@@ -8,8 +8,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark._util import any_true, null_safe_on
-from tidemark.session import ensure_checkpoint_dir
+from tidemark._util import all_true, any_true, null_safe_on
+from tidemark.session import ensure_checkpoint_dir, scratch_table
 
 _NUM = ("double", "float", "int", "bigint", "smallint", "tinyint")
 
@@ -128,45 +128,94 @@ def value_ranks(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     return cum.join(off, on).select(*keys, "x", "w", (F.col("__c") + F.col("__off")).alias("upto"))
 
 
+#: Bins that one pass cuts an interval of values into.
+SELECT_BINS = 1 << 18
+
+
 def _with_group(df: DataFrame, per: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows with the columns of their group's row."""
+    """Rows with the columns of their group's row (one row for the table without keys)."""
     if not keys:
-        return df.withColumn("__one", F.lit(1)).join(per.withColumn("__two", F.lit(1)), F.col("__one") == F.col("__two")).drop("__one", "__two")
+        one = F.broadcast(per.withColumn("__two", F.lit(1)))
+        return df.withColumn("__one", F.lit(1)).join(one, F.col("__one") == F.col("__two")).drop("__one", "__two")
     p = per.select(*[F.col(k).alias(f"{k}__g") for k in keys], *[c for c in per.columns if c not in keys])
     return df.join(p, null_safe_on(df, p, list(keys), [f"{k}__g" for k in keys])).drop(*[f"{k}__g" for k in keys])
 
 
-def _quantiles(ranks: DataFrame, keys: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
-    n = ranks.groupBy(*keys).agg(F.sum("w").alias("n"))
-    j = _with_group(ranks, n, keys)
-    aggs = [F.max("n").alias("n")]
-    for name, p in probs.items():
-        h = (F.col("n") - 1) * F.lit(p) + 1
-
-        def at(pos: Column) -> Column:
-            return F.max(F.when((F.col("upto") >= pos) & (F.col("upto") - F.col("w") < pos), F.col("x")))
-
-        lo, hi = at(F.floor(h)), at(F.ceil(h))
-        aggs.append((lo + (hi - lo) * F.max(h - F.floor(h))).alias(name))
-    return j.groupBy(*keys).agg(*aggs)
+def _bin(x: Column, lo: Column, hi: Column, bins: int) -> Column:
+    """Number of the bin of [lo, hi] that holds a value, growing with the value; -Infinity before all, Infinity and NaN after."""
+    # halved where the width would not be finite; each step is monotone in x
+    wide = hi - lo == F.lit(float("inf"))
+    part = F.when(wide, F.try_divide(x / 2 - lo / 2, hi / 2 - lo / 2)).otherwise(F.try_divide(x - lo, hi - lo)) * F.lit(float(bins))
+    inner = F.least(F.greatest(F.floor(F.coalesce(part, F.lit(0.0))), F.lit(0)), F.lit(bins - 1))
+    return (F.when(F.isnan(x), bins + 1).when(x == F.lit(float("inf")), bins).when(x == F.lit(float("-inf")), -1).otherwise(inner)).cast("int")
+
+
+def select_ranks(df: DataFrame, keys: Sequence[str], col: str, ranks: Mapping[str, Column], bins: int = SELECT_BINS) -> DataFrame:
+    """(keys, n, one column a rank): the values at the given ranks of every group, without sorting the values.
+
+    ``ranks``: name -> expression over ``n`` (number of non-NULL values), from
+    1 to n. Radix selection in value space: a pass counts the values of each
+    interval that still holds a wanted rank in ``bins`` equal bins (partial
+    aggregation: at most ``bins`` + 3 rows a group, however many values), and
+    each rank goes on in the one bin that holds it, between the smallest and
+    the largest value seen there. Smallest and largest fall into different
+    bins, so every pass narrows; a rank is found when they are equal. Usual
+    data take two passes. The state between passes, a row a group and rank, is
+    written to the shared folder. NaN comes after Infinity, as Spark sorts it.
+    """
+    keys, names = list(keys), list(ranks)
+    x = F.col("__x")
+    base = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("__x"))
+    usual = ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))
+    per = base.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.min(F.when(usual, x)), F.lit(0.0)).alias("lo"), F.coalesce(F.max(F.when(usual, x)), F.lit(0.0)).alias("hi"))
+    wanted = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), ranks[name].cast("long").alias("r")) for name in names]))
+    state = per.where("n > 0").withColumn("__w", wanted).select(*keys, "n", F.col("__w.name").alias("name"), F.col("__w.r").alias("r"), "lo", "hi", F.lit(True).alias("open"))
+    state = scratch_table(state, "ranks")
+    found, held = state.where("not open"), ~usual
+    while not state.where("open").isEmpty():
+        now = state.where("open")
+        spans = now.groupBy(*keys).agg(F.collect_set(F.struct("lo", "hi")).alias("__spans"))
+        data = _with_group(base, spans, keys).withColumn("__all", held)
+        # intervals of one group are those of different bins, so a value is in one of them at most; the first holds all
+        inside = F.filter("__spans", lambda s: (x >= s["lo"]) & (x <= s["hi"]) | F.col("__all"))
+        held = F.lit(False)
+        data = data.withColumn("__s", F.get(inside, F.lit(0))).where("__s is not null").select(*keys, "__x", F.col("__s.lo").alias("lo"), F.col("__s.hi").alias("hi"))
+        counts = data.withColumn("bin", _bin(x, F.col("lo"), F.col("hi"), bins)).groupBy(*keys, "lo", "hi", "bin").agg(F.count(F.lit(1)).alias("c"), F.min("__x").alias("b_lo"), F.max("__x").alias("b_hi"))
+        upto = Window.partitionBy(*keys, "lo", "hi").orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+        counts = counts.withColumn("upto", F.sum("c").over(upto)).withColumnsRenamed({k: f"{k}__c" for k in keys} | {"lo": "c_lo", "hi": "c_hi"})
+        on = [now["lo"] == counts["c_lo"], now["hi"] == counts["c_hi"], now["r"] <= counts["upto"], now["r"] > counts["upto"] - counts["c"]]
+        met = now.join(counts, all_true([*on, *([null_safe_on(now, counts, keys, [f"{k}__c" for k in keys])] if keys else [])]))
+        state = scratch_table(met.select(*keys, "n", "name", (F.col("r") - F.col("upto") + F.col("c")).alias("r"), F.col("b_lo").alias("lo"), F.col("b_hi").alias("hi"),
+                                         (F.col("b_lo") < F.col("b_hi")).alias("open")), "ranks")
+        found = found.unionByName(state.where("not open"))
+    return found.groupBy(*keys).agg(F.max("n").alias("n"), *[F.max(F.when(F.col("name") == name, F.col("lo"))).alias(name) for name in names])
 
 
 def exact_quantiles(df: DataFrame, keys: Sequence[str], col: str,
                     probs: Mapping[str, float]) -> DataFrame:
-    """Exact linear-interpolation quantiles (R type 7) per group, from counted values (:func:`value_ranks`)."""
-    return _quantiles(value_ranks(df, keys, col), list(keys), probs)
+    """Exact linear-interpolation quantiles (R type 7) per group, from the two ranks around each (:func:`select_ranks`)."""
+    keys = list(keys)
+    at = {name: (F.col("n") - 1) * F.lit(p) + 1 for name, p in probs.items()}
+    ranks = {f"__{side}{i}": fn(h) for i, h in enumerate(at.values()) for side, fn in (("f", F.floor), ("c", F.ceil))}
+    got = select_ranks(df, keys, col, ranks)
+    out = []
+    for i, (name, h) in enumerate(at.items()):
+        lo, hi = F.col(f"__f{i}"), F.col(f"__c{i}")
+        out.append(F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (h - F.floor(h))).alias(name))
+    return got.select(*keys, "n", *out)
 
 
 def box_stats(df: DataFrame, keys: Sequence[str], col: str) -> DataFrame:
     """QC-9: quartiles, 1.5 IQR whisker ends (most extreme values inside the
-    fences) and the number of values outside them, per group, all from the
-    counted values."""
+    fences) and the number of values outside them, per group: the quartiles
+    by selection, the rest in one aggregate over the values."""
     keys = list(keys)
-    ranks = value_ranks(df, keys, col)
-    q = _quantiles(ranks, keys, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    j = _with_group(ranks, q, keys)
+    q = scratch_table(exact_quantiles(df, keys, col, {"q1": 0.25, "median": 0.5, "q3": 0.75}), "quartiles")
+    x = F.col("__x")
+    values = df.where(F.col(col).isNotNull()).select(*keys, F.col(col).cast("double").alias("__x"))
+    j = _with_group(values, q, keys)
     span = F.col("q3") - F.col("q1")
-    inside = (F.col("x") >= F.col("q1") - 1.5 * span) & (F.col("x") <= F.col("q3") + 1.5 * span)
+    inside = (x >= F.col("q1") - 1.5 * span) & (x <= F.col("q3") + 1.5 * span)
     first = [F.max(c).alias(c) for c in ("n", "q1", "median", "q3")]
-    return j.groupBy(*keys).agg(*first, F.min(F.when(inside, F.col("x"))).alias("whisker_lo"), F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
-                                F.coalesce(F.sum(F.when(~inside, F.col("w"))), F.lit(0)).alias("n_outliers"))
+    return j.groupBy(*keys).agg(*first, F.min(F.when(inside, x)).alias("whisker_lo"), F.max(F.when(inside, x)).alias("whisker_hi"),
+                                F.count(F.when(~inside, 1)).alias("n_outliers"))

@@ -31,10 +31,16 @@ from tidemark._util import as_list, null_safe_on
 from tidemark.session import ensure_checkpoint_dir
 
 
+#: Bytes of input that one slice is meant to hold, and the most slices.
+SLICE_BYTES, MAX_SLICES = 64 << 20, 100_000
+
+
 def _partitions(df: DataFrame, n: int | None) -> int:
+    """Slices by the planner's measured size of the input, one a core at least (no job)."""
     if n:
         return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return max(df.sparkSession.sparkContext.defaultParallelism, min(MAX_SLICES, -(-size // SLICE_BYTES)))
 
 
 def _hash_slice(h: Column, n: int) -> Column:
