@@ -185,3 +185,22 @@ def test_unlisted_event_type_fails_the_count_queries(spark, tmp_path, kind):
     for name in ("com2_bray_curtis", "com5_simper", "com9_group_shape_counts"):
         with pytest.raises(Exception, match="event type is not listed"):
             queries()[name](spark, str(tmp_path)).collect()
+
+
+def test_vector_fit_by_strata_agrees_with_free_permutation(spark):
+    import random
+
+    from tidemark.operators import community as cm
+
+    rnd = random.Random(21)
+    rows = []
+    for i in range(600):
+        a, b = rnd.gauss(0, 1), rnd.gauss(0, 1)
+        rows.append((i, a, b, 0.10 * a + rnd.gauss(0, 1), rnd.gauss(0, 1), a + b))
+    df = spark.createDataFrame(rows, "id long, a double, b double, weak double, none double, strong double")
+    free = {r["variable"]: r for r in cm.vector_fit(df, ["a", "b"], ["weak", "none", "strong"], 499, id_col="id").collect()}
+    cut = {r["variable"]: r for r in cm.vector_fit(df, ["a", "b"], ["weak", "none", "strong"], 499, id_col="id", stratum_rows=100).collect()}
+    for v in free:
+        assert abs(free[v]["r2"] - cut[v]["r2"]) < 1e-12
+        assert abs(free[v]["p_value"] - cut[v]["p_value"]) < 0.08, v
+    assert cut["strong"]["p_value"] == free["strong"]["p_value"] == 1 / 500

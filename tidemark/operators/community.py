@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.vector import as_vector, bray_curtis, euclidean
 from tidemark.operators.ranking import row_number_by
-from tidemark.session import ensure_checkpoint_dir, ship_package
+from tidemark.session import ensure_checkpoint_dir, scratch_table, ship_package
 
 # Fixed value: tolerance when counting permuted statistics >= observed.
 PERM_EPS = 1.4901161193847656e-08
@@ -307,25 +307,36 @@ def pairwise_permanova(df: DataFrame, group: str, cols: Sequence[str], permutati
         def partial(batches):
             import pyarrow as pa
 
+            held: dict[tuple[int, int], np.ndarray] = {}
+
+            def told(pairs):
+                for lo, hi in pairs:
+                    sums = held.pop((lo, hi))
+                    yield pa.RecordBatch.from_pydict({
+                        "a": pa.array(np.full(permutations, lo, np.int32)), "b": pa.array(np.full(permutations, hi, np.int32)),
+                        "perm": pa.array(np.arange(1, permutations + 1, dtype=np.int32)), "s": pa.array(list(sums), pa.list_(pa.float64())),
+                    })
+
             for block in _blocks(batches):
                 x, rank, own = _matrix(block), block.column("__rank").to_numpy(), block.column("__g").to_numpy()
-                for a in range(g):
-                    mine = own == a
-                    if not mine.any():
-                        continue
-                    xa, ra = x[mine], rank[mine]
+                for a in np.unique(own).tolist():
+                    xa, ra = x[own == a], rank[own == a]
+                    step = max(1, (1 << 22) // len(xa))
                     for b in range(g):
                         if a == b:
                             continue
                         lo, hi = min(a, b), max(a, b)
                         n, first = int(counts[lo] + counts[hi]), int(counts[lo])
                         at = ra if a == lo else ra + first
-                        took = np.array([permuted_position(at, n, perm, seed + lo * g + hi) < first for perm in range(1, permutations + 1)])
-                        yield pa.RecordBatch.from_pydict({
-                            "a": pa.array(np.full(permutations, lo, np.int32)), "b": pa.array(np.full(permutations, hi, np.int32)),
-                            "perm": pa.array(np.arange(1, permutations + 1, dtype=np.int32)),
-                            "s": pa.array(list(took.astype(float) @ xa), pa.list_(pa.float64())),
-                        })
+                        sums = held.setdefault((lo, hi), np.zeros((permutations, p)))
+                        for k in range(1, permutations + 1, step):
+                            perms = range(k, min(permutations, k + step - 1) + 1)
+                            took = np.stack([permuted_position(at, n, perm, seed + lo * g + hi) < first for perm in perms])
+                            sums[k - 1 : k - 1 + len(perms)] += took @ xa
+                        # a task's sums go out when they are many, else once at its end
+                        if len(held) * permutations * p > 1 << 24:
+                            yield from told(list(held))
+            yield from told(list(held))
 
         part = rows.mapInArrow(partial, "a int, b int, perm int, s array<double>")
         sums1 = part.select("a", "b", "perm", F.posexplode("s").alias("j", "v")).groupBy("a", "b", "perm", "j").agg(F.sum("v").alias("v"))
@@ -366,18 +377,14 @@ def simper_profile(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
     the all-row-pairs average is not built (it needs every between-group pair
     of rows)."""
     cols = list(cols)
-    cen = group_centroids(_prepared(df, cols, [group]), group, cols)
-    by = {r[group]: r for r in cen.where(F.col(group).isNotNull()).limit(MAX_GROUPS + 1).collect()}
-    if len(by) > MAX_GROUPS:
+    cen = scratch_table(group_centroids(_prepared(df, cols, [group]), group, cols).where(F.col(group).isNotNull()), "centroids")
+    g = cen.count()
+    if g > MAX_GROUPS:
         raise ValueError(f"more than {MAX_GROUPS} groups")
-    levels = sorted(by)
-    gtype = dict(df.dtypes)[group]
-    mean = F.create_map(*[x for v in levels for x in (F.lit(v), F.array(*[F.lit(float(by[v][c])) for c in cols]))]) if levels else None
-    one = df.sparkSession.createDataFrame([(v, levels[i + 1:]) for i, v in enumerate(levels[:-1])], f"group1 {gtype}, others array<{gtype}>")
-    pairs = one.select("group1", F.explode("others").alias("group2"))
-    if not levels:
-        return pairs.selectExpr("group1", "group2", "'' as variable", "0D as contribution", "0D as share", "0D as cumulative")
-    j = pairs.withColumn("__a", F.element_at(mean, F.col("group1"))).withColumn("__b", F.element_at(mean, F.col("group2")))
+    # groups are numbered (at most MAX_GROUPS rows); each meets those of a higher number by an equi-join
+    numbered = cen.select(F.row_number().over(Window.orderBy(group)).alias("__i"), F.col(group).alias("__g"), F.array(*[F.col(c).cast("double") for c in cols]).alias("__m"))
+    first = numbered.where(F.col("__i") < g).select(F.col("__g").alias("group1"), F.col("__m").alias("__a"), F.explode(F.sequence(F.col("__i") + 1, F.lit(g))).alias("__to"))
+    j = first.join(numbered.select(F.col("__i").alias("__to"), F.col("__g").alias("group2"), F.col("__m").alias("__b")), "__to").drop("__to")
     den = F.aggregate(F.zip_with("__a", "__b", lambda x, y: x + y), F.lit(0.0), lambda t, x: t + x)
     gap = F.zip_with("__a", "__b", lambda x, y: F.abs(x - y))
     names = F.array(*[F.lit(c) for c in cols])
@@ -592,15 +599,25 @@ def group_shape(df: DataFrame, group: str, x: str, y: str) -> DataFrame:
 
 # --------------------------------------------------------------- COM-10 ----
 
+#: Rows that a permutation of COM-10 mixes: strata of this many rows are permuted each by itself.
+STRATUM_ROWS = 1 << 16
+
+
 def vector_fit(df: DataFrame, axes: Sequence[str], variables: Sequence[str], permutations: int = 999,
-               seed: int = 123, id_col: str | None = None) -> DataFrame:
+               seed: int = 123, id_col: str | None = None, stratum_rows: int = STRATUM_ROWS) -> DataFrame:
     """Fit each variable as a direction in the ordination plane.
 
     Each variable is regressed on the (centred) axes; output per variable:
     unit direction on each axis, r2, and the permutation p of r2 (the
-    variable values are permuted jointly across rows).  Only cross moments
-    are aggregated; permutations pair the axes of row i with the variables of
-    the row at its permuted position (an equi-join on the row number)."""
+    variable values are permuted jointly across rows).
+
+    Two levels keep the shuffle in proportion to the rows, not to rows x
+    permutations: rows are numbered and dealt round-robin into strata of at
+    most ``stratum_rows`` rows, each row moves once, into its stratum, and all
+    permutations are bijections inside a stratum. Only cross moments leave it.
+    A table of one stratum is permuted freely. With more strata the
+    permutations are a subgroup of all of them (rows of different strata never
+    change places), for which the test is exact as well."""
     axes, variables = list(axes), list(variables)
     d = _prepared(df, axes + variables, (), [id_col] if id_col else [])
     cols = axes + variables
@@ -620,25 +637,27 @@ def vector_fit(df: DataFrame, axes: Sequence[str], variables: Sequence[str], per
             id_col = "__id"
         canon = _numbered(d, id_col, None)
         n = canon.count()
+        strata = -(-n // stratum_rows)
         _shipped(df)
 
-        def paired(batches):
+        def moved(key, table):
+            """Cross moments of one stratum under every permutation of its rows."""
             import pyarrow as pa
 
-            for batch in batches:
-                rank, ax = batch.column("__rank").to_numpy(), batch.column("__a")
-                for perm in range(1, permutations + 1):
-                    at = permuted_position(rank, n, perm, seed)
-                    yield pa.RecordBatch.from_pydict({"__perm": pa.array(np.full(len(at), perm, np.int32)), "__pos": pa.array(at), "__a": ax})
-
-        # the variables of another row are needed: each permutation pairs rows by an equi-join on their number
-        ax = canon.select("__rank", F.array(*axes).alias("__a")).mapInArrow(paired, "__perm int, __pos long, __a array<double>")
-        ax = ax.select("__perm", "__pos", *[F.element_at("__a", i + 1).alias(a) for i, a in enumerate(axes)])
-        vv = canon.select(F.col("__rank").alias("__pos"), *variables)
-        j = ax.join(vv, "__pos")
-        aggs = [F.sum(F.col(a) * F.col(x)).alias(f"c_{i}_{k}") for i, a in enumerate(axes) for k, x in enumerate(variables)]
+            own = key[0].as_py()
+            at = table.column("__at").to_numpy()
+            order = np.argsort(at)
+            ax, va = _matrix(table, "__a")[order], _matrix(table, "__v")[order]
+            size, place = len(at), np.arange(len(at))
+            # strata are dealt permutations of their own; a single one has those of the whole table
+            own_seed = seed + own * 7919
+            sums = np.stack([ax.T @ va[permuted_position(place, size, perm, own_seed)] for perm in range(1, permutations + 1)])
+            return pa.table({"perm": pa.array(np.arange(1, permutations + 1, dtype=np.int32)), "c": pa.array(list(sums.reshape(permutations, -1)), pa.list_(pa.float64()))})
+
+        dealt = canon.select((F.col("__rank") % strata).cast("int").alias("__stratum"), F.floor(F.col("__rank") / strata).alias("__at"), F.array(*axes).alias("__a"), F.array(*variables).alias("__v"))
+        part = dealt.groupBy("__stratum").applyInArrow(moved, "perm int, c array<double>")
+        per = part.groupBy("perm").agg(*[F.sum(F.get("c", F.lit(i * v + k))).alias(f"c_{i}_{k}") for i in range(q) for k in range(v)])
         Sinv = np.linalg.inv(Sxx)
-        per = j.groupBy("__perm").agg(*aggs)
         # r2_perm = c' Sxx^-1 c / Svv for each variable, as column arithmetic
         counts = []
         for k in range(v):

@@ -185,7 +185,7 @@ def com4_pairwise_permanova(spark, sf):
     return _round_stats(p.select("group1", "group2", "n", "f", "r2"))
 
 
-PAIR_PERMS = 99
+PAIR_PERMS = PERMS
 COM4P_SQL = f"""WITH RECURSIVE sz AS (SELECT label, count(*) AS k, row_number() OVER (ORDER BY label) - 1 AS gi FROM embeddings GROUP BY label),
 g AS (SELECT count(*) AS g FROM sz),
 pr AS (SELECT a.label AS g1, b.label AS g2, a.k AS k1, b.k AS k2, 123 + a.gi * g.g + b.gi AS seed FROM sz a JOIN sz b ON a.label < b.label, g),
@@ -383,7 +383,7 @@ def com9_group_shape_counts(spark, sf):
 
 # --------------------------------------------------------------- COM-10 ----
 
-FIT_PERMS = 199
+FIT_PERMS = PERMS
 COM10_SQL = f"""WITH RECURSIVE {_LONG},
 o AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS rk FROM embeddings),
 tm AS (SELECT j, avg(x) AS m FROM l GROUP BY j),

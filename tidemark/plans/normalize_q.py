@@ -356,3 +356,26 @@ def src12_csv_roundtrip(spark, sf):
     t = nm.drop_leading(t, "cust_key")
     io.write_tables({"customers": t}, f"{base}/tables")
     return io.read_table(spark, f"{base}/tables/customers")
+
+
+# Several sheets (a folder a year, one file each), in file order, the example row of each dropped, saved as one set.
+SRC2_SQL = """SELECT o_orderkey, CAST(yr AS VARCHAR) AS sheet_year, o_orderstatus, place FROM (
+  SELECT o_orderkey, year(o_orderdate) AS yr, o_orderstatus,
+    CAST(row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderkey DESC) - 1 AS BIGINT) AS place FROM orders WHERE o_orderdate IS NOT NULL)
+WHERE place >= 1"""
+
+
+@register("src2_sheets_in_order", ("SRC-2", "NRM-2", "SRC-4", "SNK-2"), SRC2_SQL)
+def src2_sheets_in_order(spark, sf):
+    """Yearly CSV sheets read in file order over several files and splits, published and read as one set."""
+    import uuid
+
+    from tidemark.session import _scratch_folder
+
+    base = f"{_scratch_folder(spark)}/sheets-{uuid.uuid4().hex}"
+    o = table(spark, sf, "orders").where("o_orderdate is not null").select("o_orderkey", "o_orderstatus", F.year("o_orderdate").alias("yr"))
+    o.repartition("yr").sortWithinPartitions("yr", F.desc("o_orderkey")).write.partitionBy("yr").option("header", True).csv(f"{base}/csv")
+    t = io.read_sheets(spark, f"{base}/csv", row="place").where("place >= 1")
+    t = t.select(F.col("o_orderkey").cast("bigint"), F.regexp_extract("sheet", "yr=([0-9]+)", 1).alias("sheet_year"), "o_orderstatus", "place")
+    io.publish_tables({"orders": t, "years": t.groupBy("sheet_year").count()}, f"{base}/tables")
+    return io.published_tables(spark, f"{base}/tables")["orders"]
