@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.vector import as_vector, bray_curtis, euclidean
+from tidemark.functions.stats import f_tail
 from tidemark.operators.ranking import row_number_by
 from tidemark.session import ensure_checkpoint_dir, scratch_table, ship_package
 
@@ -436,8 +437,9 @@ def dispersion(df: DataFrame, group: str, cols: Sequence[str], centre: str = "ce
     """Distances to group centres and a one-way ANOVA on them.
 
     ``centre``: ``"centroid"`` or ``"median"`` (spatial median). One row per
-    group: group, n, mean_distance, plus the shared f, df1, df2. Sums of
-    squares come from merged variances, so large offsets do no harm."""
+    group: group, n, mean_distance, plus the shared f, df1, df2 and the p_value
+    of f (upper tail of the F distribution). Sums of squares come from merged
+    variances, so large offsets do no harm."""
     cols = list(cols)
     d = _centre(_prepared(df, cols, [group]), cols)
     if centre == "centroid":
@@ -454,13 +456,13 @@ def dispersion(df: DataFrame, group: str, cols: Sequence[str], centre: str = "ce
     tot = per.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("g"), F.sum(F.col("n") * F.col("__v")).alias("w"),
                   F.sum(F.col("n") * F.col("mean_distance")).alias("t")).first()
     if not tot["n"]:
-        return per.select(group, "n", "mean_distance", F.lit(None).cast("double").alias("f"), F.lit(0).cast("long").alias("df1"), F.lit(0).cast("long").alias("df2"))
+        return per.select(group, "n", "mean_distance", F.lit(None).cast("double").alias("f"), F.lit(0).cast("long").alias("df1"), F.lit(0).cast("long").alias("df2"), F.lit(None).cast("double").alias("p_value"))
     grand = tot["t"] / tot["n"]
     ssb = per.agg(F.sum(F.col("n") * (F.col("mean_distance") - F.lit(grand)) ** 2)).first()[0]
     df1, df2 = tot["g"] - 1, tot["n"] - tot["g"]
     f = (ssb / df1) / (tot["w"] / df2) if df1 > 0 and df2 > 0 and tot["w"] else None
     return per.select(group, "n", "mean_distance", F.lit(f).cast("double").alias("f"),
-                      F.lit(df1).cast("long").alias("df1"), F.lit(df2).cast("long").alias("df2"))
+                      F.lit(df1).cast("long").alias("df1"), F.lit(df2).cast("long").alias("df2")).withColumn("p_value", f_tail("f", "df1", "df2"))
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:

@@ -263,7 +263,21 @@ FROM per, ss, st"""
 def com6_dispersion(spark, sf):
     """Distances to group centroids and their one-way ANOVA F."""
     d = cm.dispersion(*_args(spark, sf))
-    return d.withColumn("mean_distance", r6("mean_distance")).withColumn("f", r6("f"))
+    return d.drop("p_value").withColumn("mean_distance", r6("mean_distance")).withColumn("f", r6("f"))
+
+
+# the upper tail of F as the power series of the incomplete beta function at df2 / (df2 + df1 f)
+COM6P_SQL = f"""WITH a AS ({COM6_SQL}),
+x AS (SELECT DISTINCT f, df1, df2, df2 / 2.0::DOUBLE AS a, df1 / 2.0::DOUBLE AS b, df2 / (df2 + df1 * f)::DOUBLE AS x FROM a)
+SELECT df1, df2, round(f, 4) AS f, round(list_sum(list_transform(range(0, 60000), lambda n:
+  exp((a + n) * ln(x) + b * ln(1 - x) + lgamma(a + b + n) - lgamma(b) - lgamma(a + n + 1)))), 4) AS p_value FROM x"""
+
+
+@register("com6_dispersion_p", ("COM-6",), COM6P_SQL)
+def com6_dispersion_p(spark, sf):
+    """The p-value of the dispersion test."""
+    d = cm.dispersion(*_args(spark, sf)).select("df1", "df2", "f", "p_value").distinct()
+    return d.select("df1", "df2", rn("f", 4).alias("f"), rn("p_value", 4).alias("p_value"))
 
 
 # at a spatial median the unit vectors to the other points sum to zero: that
