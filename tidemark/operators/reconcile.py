@@ -58,8 +58,10 @@ def missing_keys(left: DataFrame, right: DataFrame, keys: Sequence[str],
 
     One aggregate over both sides stacked. With ``both`` the two directions
     are returned and ``missing_in`` names the side that lacks the key
-    (``right`` for left-only keys)."""
+    (``right`` for left-only keys); a key of that name is refused."""
     keys = list(keys)
+    if both and side_col in keys:
+        raise ValueError(f"a key is called {side_col!r}; name the side column otherwise")
     one = (left.select(*keys, F.lit(1).alias("__l"), F.lit(0).alias("__r"))
            .unionByName(right.select(*keys, F.lit(0).alias("__l"), F.lit(1).alias("__r"))))
     seen = one.groupBy(*keys).agg(F.max("__l").alias("__l"), F.max("__r").alias("__r"))
