@@ -101,3 +101,63 @@ def test_full_texts_and_notices_by_default(spark):
     found = {(r.doc_id, r.license_id) for r in got}
     assert found >= set(enumerate(license.NOTICES))
     assert {"mit:text", "bsd-2-clause:conditions", "apache-2.0:header", "agpl-3.0:notice", "mpl-2.0:spdx", "cc-by-sa-4.0:deed"} <= set(license.NOTICES)
+
+
+def test_exact_wording_wins_and_no_other_license_is_told():
+    scanner = license.LicenseScanner(license.TEMPLATES | license.NOTICES)
+    prose = " ".join(_varied(60, 3))
+    for name, text in (license.TEMPLATES | license.NOTICES).items():
+        told = scanner.scan(f"{prose}\n{text}\n{prose}", near=False)
+        assert [(h[2], h[10], h[12]) for h in told] == [(name, True, True)], (name, told)
+        first = [h for h in scanner.scan(f"{prose}\n{text}\n{prose}") if h[3] == 1]
+        assert [h[2] for h in first] == [name], (name, first)
+
+
+@pytest.mark.parametrize("text", [
+    "SPDX-License-Identifier: GPL-1.0-only", "SPDX-License-Identifier: Apache-1.1", "Licensed under CC BY-NC-SA 4.0.",
+    "https://creativecommons.org/licenses/by-nc/3.0/", "Released under the XYZ License.",
+    license.NOTICES["lgpl-2.1:notice"].replace("2.1", "2.0"), license.NOTICES["gpl-3.0:notice"].replace("version 3", "version 3.1"),
+])
+def test_other_versions_and_clauses_win_nothing(text):
+    scanner = license.LicenseScanner(license.TEMPLATES | license.NOTICES)
+    assert scanner.scan(f"some words before\n{text}\nand after", near=False) == []
+
+
+def test_longer_inexact_wording_holds_a_shorter_exact_one():
+    scanner = license.LicenseScanner(license.TEMPLATES | license.NOTICES)
+    bsd3 = license.NOTICES["bsd-3-clause:conditions"].replace("the copyright holder nor", "Acme Corporation nor")
+    bsd2 = license.NOTICES["bsd-2-clause:conditions"].replace("retain the above", "keep the above")
+    assert [(h[2], h[10]) for h in scanner.scan(bsd3, near=False)] == [("bsd-3-clause:conditions", False)]
+    assert [(h[2], h[10]) for h in scanner.scan(bsd2, near=False)] == [("bsd-2-clause:conditions", False)]
+
+
+def test_against_alignment_at_every_place():
+    """Key words, counts of words held and blocks lose nothing that an alignment anywhere would find."""
+    templates = license.TEMPLATES | {k: v for k, v in license.NOTICES.items() if len(v) < 300}
+    scanner = license.LicenseScanner(templates)
+    rnd = random.Random(11)
+    for trial in range(12):
+        words = _varied(25, trial)
+        for name in rnd.sample(sorted(templates), 2):
+            put = license._words(templates[name])
+            for _ in range(rnd.randint(0, 2)):
+                put[rnd.randrange(len(put))] = rnd.choice(["the", "license", "zz", "4"])
+            at = rnd.randint(0, len(words))
+            words[at:at] = put
+        best = {}
+        for name in scanner.words:
+            width = len(scanner.words[name]) + scanner._slack(name)
+            found = [r[0] for i in range(len(words)) if (r := scanner._align(name, words[i : i + width])) and r[0] <= scanner._slack(name)]
+            if found:
+                best[name] = min(found)
+        got = {}
+        for h in scanner.scan(" ".join(words)):
+            got[h[2]] = min(h[7], got.get(h[2], 99))
+        assert got == best, (trial, words)
+
+
+def test_many_statements_in_one_text():
+    scanner = license.LicenseScanner(license.TEMPLATES | license.NOTICES)
+    text = " ".join(f"{license.TEMPLATES['mit']} x{i}" for i in range(4000))
+    told = scanner.scan(text, near=False)
+    assert [h[2] for h in told] == ["mit"] * 4000

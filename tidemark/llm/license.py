@@ -1,21 +1,22 @@
 """License scans by conditional compression.
 
-Candidates are windows of the words of a whole text around the key words of a
-template, whatever line breaks, comment marks or punctuation are between them.
-Windows that hold enough of its words are confirmed by the exact word
-differences between the template and the best aligned words.
-A confirmed window of about two template lengths is compressed by zstandard
-alone and with the template as raw dictionary, under the same parameters; a
-template that the window repeats makes it smaller by nearly what the template
-costs by itself. Templates that claim the same words are ranked by the bytes
-saved.
+Candidate blocks are windows of the words of a whole text around the key words
+of a template, whatever line breaks, comment marks or punctuation are between
+them. A block of at most some two template lengths is compressed by zstandard
+alone and with the template as raw dictionary, under the same parameters; what
+the block leaves unexplained of the template is the size of the template
+compressed with the block as dictionary. Templates are ranked by bytes saved
+less bytes unexplained. Winners are confirmed by the exact word differences; a
+wording whose version, clause or name words differ is another license and wins
+nothing, and an exact wording stands before an inexact one of the same words.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from difflib import SequenceMatcher
+from typing import NamedTuple
 
 import pandas as pd
 import regex
@@ -59,34 +60,55 @@ NOTICES = {
     "cc-by-nc-sa-4.0:deed": "https://creativecommons.org/licenses/by-nc-sa/4.0/",
     "cc-by-nc-nd-4.0:deed": "https://creativecommons.org/licenses/by-nc-nd/4.0/",
 }
-#: SPDX identifiers; a line of so few words is found only as it stands.
+#: SPDX identifiers, each found by the line that names it.
 SPDX = ["MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "MPL-2.0", *(f"{k}-{v}" for k, vs in {"GPL": ("2.0", "3.0"), "LGPL": ("2.1", "3.0"), "AGPL": ("3.0",)}.items() for v in (f"{x}{y}" for x in vs for y in ("-only", "-or-later"))), *(f"CC-{k}-4.0" for k in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")), "CC0-1.0"]
 NOTICES |= {f"{k.lower()}:spdx": f"SPDX-License-Identifier: {k}" for k in SPDX}
 
+#: Words that tell one license from another. A wording without one of its own, or with one more, is not that license.
+NAMES = frozenset("mit isc bsd apache mozilla mpl gnu gpl lgpl agpl lesser affero cc cc0 nc nd sa noncommercial noderivatives sharealike".split())
+#: The same, but ordinary words elsewhere, so only missing ones count.
+CLAUSES = frozenset("by only later clause library attribution general".split())
+
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
-ROW = "block int, start long, license_id string, rank int, saved_bytes long, saved_share double, template_words int, differences int, missing string, added string, exact boolean"
+_DIGIT = regex.compile(r"\p{N}")
+ROW = "block int, start long, license_id string, rank int, saved_bytes long, saved_share double, template_words int, differences int, missing string, added string, exact boolean, unexplained_bytes long, same_license boolean"
 
 
 def _words(text: str) -> list[str]:
     return [w.lower() for w in _WORD.findall(text)]
 
 
+class Claim(NamedTuple):
+    """A template found in words[first:end]."""
+
+    first: int
+    end: int
+    name: str
+    differences: int
+    missing: str
+    added: str
+    same: bool
+
+
 class LicenseScanner:
     """Scans texts for a set of templates (name -> wording)."""
 
     def __init__(self, templates: dict[str, str], max_difference: float = 0.2, level: int = 3):
         self.level, self.max_difference = level, max_difference
         self.words = {k: w for k, t in sorted(templates.items()) if (w := _words(t))}
-        self.plain, self.given, self.cost, self.need, self.keys = {}, {}, {}, {}, {}
+        self.data, self.how, self.plain, self.given = {}, {}, {}, {}
+        self.cost, self.need, self.marks, self.keys = {}, {}, {}, {}
         for name, w in self.words.items():
-            data = " ".join(w).encode("utf-8", "surrogatepass")
+            data = self.data[name] = " ".join(w).encode("utf-8", "surrogatepass")
             raw = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             # the same parameters with and without the template, for windows of some two template lengths
             how = zstandard.ZstdCompressionParameters.from_level(level, source_size=3 * len(data), dict_size=len(data), write_content_size=False, write_dict_id=False)
+            self.how[name] = how
             self.plain[name] = zstandard.ZstdCompressor(compression_params=how)
             self.given[name] = zstandard.ZstdCompressor(compression_params=how, dict_data=raw)
             self.cost[name] = max(1, len(self.plain[name].compress(data)) - len(self.given[name].compress(data)))
             self.need[name] = Counter(w)
+            self.marks[name] = Counter(x for x in w if x in NAMES or x in CLAUSES or _DIGIT.search(x))
             # a wording with at most this many words changed still holds one of so many key words and one more
             for key in sorted(set(w), key=lambda x: (-len(x), x))[: self._slack(name) + 1]:
                 self.keys.setdefault(key, []).append(name)
@@ -94,8 +116,8 @@ class LicenseScanner:
     def _slack(self, name: str) -> int:
         return int(self.max_difference * len(self.words[name]))
 
-    def _align(self, name: str, got: list[str]) -> tuple[int, int, int, list[str], list[str]] | None:
-        """(differences, first and end of the words used, missing, added) of the template against these words."""
+    def _align(self, name: str, got: list[str]) -> tuple[int, int, int, list[str], list[str], bool] | None:
+        """(differences, first and end of the words used, missing, added, same license) of the template against these words."""
         want = self.words[name]
         match = SequenceMatcher(None, want, got, autojunk=False).get_matching_blocks()[:-1]
         if not match:
@@ -107,20 +129,25 @@ class LicenseScanner:
             miss += want[a : m.a]
             a = m.a + m.size
         miss += want[a:]
+        alike = not any(w in self.marks[name] for w in miss)
         extra, b = [], first
         for m in match:
-            extra += got[b : m.b]
+            more = got[b : m.b]
+            extra += more
+            # a number beside a number or the word version makes another version; elsewhere it may be a page or line
+            beside = [got[b - 1], got[m.b]] if more else []
+            alike &= not any(w in NAMES for w in more)
+            alike &= not (any(map(_DIGIT.search, more)) and any(w == "version" or _DIGIT.search(w) for w in beside))
             b = m.b + m.size
-        return max(len(want) - same, end - first - same), first, end, miss, extra
+        return max(len(want) - same, end - first - same), first, end, miss, extra, alike
 
-    def _found(self, name: str, words: list[str], lo: int, hi: int) -> list[tuple]:
-        """All (differences, first, end, missing, added) of one template that lie in words[lo:hi] and do not overlap, closest first."""
+    def _starts(self, name: str, words: list[str], lo: int, hi: int) -> list[int]:
+        """Places in words[lo:hi] from where a window of the template's length and a fifth holds enough of its words."""
         need, size, slack = self.need[name], len(self.words[name]), self._slack(name)
-        width, enough = size + slack, size - slack
         have: Counter = Counter()
-        held, end, skip, out = 0, lo, lo, []
-        for i in range(lo, hi - enough + 1):
-            while end < min(hi, i + width):  # words of the template among words[i : i + width], each as often as it needs it
+        held, end, out = 0, lo, []
+        for i in range(lo, hi - (size - slack) + 1):
+            while end < min(hi, i + size + slack):  # words of the template in the window, each as often as it needs it
                 w = words[end]
                 end += 1
                 if w in need:
@@ -129,85 +156,167 @@ class LicenseScanner:
             w = words[i]
             if w not in need:
                 continue
-            if held >= enough and i >= skip and (r := self._align(name, words[i : min(hi, i + width)])) and r[0] <= slack:
-                out.append((r[0], i + r[1], i + r[2], " ".join(r[3]), " ".join(r[4])))
-                if r[0] == 0:
-                    skip = i + r[2]
+            if held >= size - slack:
+                out.append(i)
             held -= have[w] <= need[w]
             have[w] -= 1
-        taken: list[tuple] = []
-        free = bytearray(b"\1") * (hi - lo)
-        for r in sorted(out, key=lambda r: (r[0], r[1], r[2])):
-            if all(free[r[1] - lo : r[2] - lo]):
-                free[r[1] - lo : r[2] - lo] = bytes(r[2] - r[1])
-                taken.append(r)
-        return taken
+        return out
+
+    def _blocks(self, name: str, words: list[str], starts: list[int]) -> list[tuple[int, int, int, int]]:
+        """(first start, last start, bytes saved, bytes of the template unexplained) of blocks that hold all windows between them."""
+        width, how = len(self.words[name]) + self._slack(name), self.how[name]
+        out, k = [], 0
+        while k < len(starts):
+            last = bisect_right(starts, starts[k] + width - 1) - 1
+            data = " ".join(words[starts[k] : starts[last] + width]).encode("utf-8", "surrogatepass")
+            saved = len(self.plain[name].compress(data)) - len(self.given[name].compress(data))
+            block = zstandard.ZstdCompressionDict(data, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            rest = len(zstandard.ZstdCompressor(compression_params=how, dict_data=block).compress(self.data[name]))
+            out.append((starts[k], starts[last], saved, rest))
+            k = last + 1
+        return out
+
+    def _exact(self, name: str, words: list[str], starts: list[int]) -> list[Claim]:
+        """The template as it stands; statements do not overlap."""
+        want, free, out = self.words[name], 0, []
+        for i in starts:
+            if i >= free and words[i : i + len(want)] == want:
+                free = i + len(want)
+                out.append(Claim(i, free, name, 0, "", "", True))
+        return out
+
+    def _inexact(self, name: str, words: list[str], starts: list[int], exact: list[Claim], firsts: list[int]) -> list[Claim]:
+        """The template with up to a fifth of its words changed, beside its exact statements; closest first, none overlap."""
+        slack, width = self._slack(name), len(self.words[name]) + self._slack(name)
+        out = []
+        for i in starts:
+            k = bisect_right(firsts, i) - 1
+            if k >= 0 and i < exact[k].end:
+                continue
+            stop = firsts[k + 1] if k + 1 < len(firsts) else len(words)
+            r = self._align(name, words[i : min(stop, i + width)])
+            if r and r[0] <= slack:
+                out.append(Claim(i + r[1], i + r[2], name, r[0], " ".join(r[3]), " ".join(r[4]), r[5]))
+        return _apart(sorted(set(out), key=lambda c: (not c.same, c.differences, c.first, c.end)))
 
-    def statements(self, words: list[str]) -> list[tuple]:
-        """(first, end, name, rank, saved bytes, share, differences, missing, added) of each statement in a sequence of words.
+    def statements(self, words: list[str], near: bool = True) -> list[tuple[Claim, int, int, int]]:
+        """(claim, rank, bytes saved, bytes unexplained) of the statements in a sequence of words.
 
         Only stretches within a template's length and a fifth of its key words
         are looked at, and of these only such as hold enough of its words; both
-        lose nothing that the word differences would confirm. The statement and
-        half a template on either side are compressed with and without it.
+        lose nothing that the word differences would confirm.
         """
         spots: dict[str, list[int]] = {}
         for i, w in enumerate(words):
             for name in self.keys.get(w, ()):
                 spots.setdefault(name, []).append(i)
-        rows = []
+        ranked, exact, firsts = [], {}, {}
         for name, at in spots.items():
-            size, width = len(self.words[name]), len(self.words[name]) + self._slack(name)
+            width = len(self.words[name]) + self._slack(name)
             runs: list[list[int]] = []
             for i in at:
                 if runs and i - width < runs[-1][1]:
                     runs[-1][1] = i + width
                 else:
                     runs.append([max(0, i - width + 1), i + width])
-            for lo, hi in runs:
-                for lost, a, b, miss, extra in self._found(name, words, lo, min(hi, len(words))):
-                    data = " ".join(words[max(0, a - size // 2) : b + size // 2]).encode("utf-8", "surrogatepass")
-                    gain = len(self.plain[name].compress(data)) - len(self.given[name].compress(data))
-                    rows.append((a, b, name, gain, gain / self.cost[name], lost, miss, extra))
-        # templates that claim the same words are ranked against each other
-        out: list[tuple] = []
-        run: list[tuple] = []
-        for r in [*sorted(rows), None]:
-            if run and (r is None or r[0] >= max(x[1] for x in run)):
-                out += [(*x[:3], k, *x[3:]) for k, x in enumerate(sorted(run, key=lambda x: (-x[3], x[2], x[0])), 1)]
-                run = []
-            if r:
-                run.append(r)
+            starts = [i for lo, hi in runs for i in self._starts(name, words, lo, min(hi, len(words)))]
+            if starts:
+                exact[name] = self._exact(name, words, starts)
+                firsts[name] = [c.first for c in exact[name]]
+                ranked += [(rest - saved, name, starts[bisect_left(starts, lo) : bisect_right(starts, hi)], saved, rest) for lo, hi, saved, rest in self._blocks(name, words, starts)]
+        # exact statements stand, the longest first; then the blocks that saved most are confirmed
+        ranked.sort(key=lambda r: r[:3])
+        worth = {(r[1], i): r for r in ranked for i in r[2]}
+        firm = _apart(sorted((c for cs in exact.values() for c in cs), key=lambda c: (c.first - c.end, c.first, c.name)))
+        loose: dict[str, list[Claim]] = {}
+        for block in ranked:
+            name, starts = block[1:3]
+            have = words[starts[0] : starts[-1] + len(self.words[name]) + self._slack(name)]
+            if near or not self.marks[name] - Counter(have):
+                for c in self._inexact(name, words, starts, exact[name], firsts[name]):
+                    worth.setdefault((c.name, c.first), block)
+                    loose.setdefault(name, []).append(c)
+        loose_claims = [c for cs in loose.values() for c in _apart(sorted(cs, key=lambda c: (not c.same, c.differences, c.first, c.end)))]
+        order = sorted((c for c in loose_claims if c.same), key=lambda c: (worth[c.name, c.first][0], c.name, c.first))
+        winners = _settle(firm, order)
+        rows = [(c, 1, *worth[c.name, c.first][3:]) for c in winners]
+        if not near:
+            return sorted(rows)
+        held = set(winners)
+        claims = sorted([*loose_claims, *(c for cs in exact.values() for c in cs)])
+        out: list[tuple[Claim, int, int, int]] = []
+        run: list[Claim] = []
+        reach = 0
+        for c in [*claims, None]:
+            if run and (c is None or c.first >= reach):
+                run.sort(key=lambda x: (x not in held, x.differences > 0, worth[x.name, x.first][0], x.name, x.first))
+                out += [(x, k, *worth[x.name, x.first][3:]) for k, x in enumerate(run, 1)]
+                run, reach = [], 0
+            if c:
+                run.append(c)
+                reach = max(reach, c.end)
         return out
 
-    def scan(self, text: str | None) -> list[tuple]:
+    def scan(self, text: str | None, near: bool = True) -> list[tuple]:
         """Confirmed statements of a whole text; lines only tell where they begin."""
         if not text:
             return []
         low = text.lower()
         if not any(k in low for k in self.keys):
             return []
-        rows = self.statements(_words(text))
+        rows = self.statements(_words(text), near)
         if not rows:
             return []
         begin = [m.start() for m in _WORD.finditer(text)]
         lines = [0, *(i + 1 for i, c in enumerate(text) if c == "\n")]
         out = []
-        for first, _, name, rank, gain, share, lost, miss, extra in rows:
-            number = bisect_right(lines, begin[first]) - 1
-            out.append((number, lines[number], name, rank, gain, share, len(self.words[name]), lost, miss, extra, lost == 0))
+        for c, rank, saved, rest in rows:
+            number = bisect_right(lines, begin[c.first]) - 1
+            out.append((number, lines[number], c.name, rank, saved, saved / self.cost[c.name], len(self.words[c.name]), c.differences, c.missing, c.added, c.differences == 0, rest, c.same))
         return out
 
 
-def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _apart(claims: list[Claim]) -> list[Claim]:
+    """Claims in the given order that share no word with one taken before, sorted by place."""
+    firsts: list[int] = []
+    taken: list[Claim] = []
+    for c in claims:
+        k = bisect_left(firsts, c.end)
+        if k == 0 or taken[k - 1].end <= c.first:
+            firsts.insert(k, c.first)
+            taken.insert(k, c)
+    return taken
+
+
+def _settle(firm: list[Claim], order: list[Claim]) -> list[Claim]:
+    """Exact claims, and of the others, in order, those that share no word with one taken or hold all exact ones they meet and more."""
+    taken, firsts = list(firm), [c.first for c in firm]
+    for c in order:
+        hi = lo = bisect_left(firsts, c.end)
+        while lo and taken[lo - 1].end > c.first:
+            lo -= 1
+        met = taken[lo:hi]
+        if all(x.differences == 0 and c.first <= x.first and x.end <= c.end and x.end - x.first < c.end - c.first for x in met):
+            taken[lo:hi], firsts[lo:hi] = [c], [c.first]
+    return taken
+
+
+def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text", near: bool = True) -> DataFrame:
     """License statements in every whole text.
 
     One row for each confirmed statement of a template, which may run over any
     number of lines: (id_col, block = number from 0 of the line in which it
     begins, start = first character of that line, license_id, rank among the templates
     that claim the same words, saved_bytes and saved_share of the conditional
-    compression, template_words, differences, missing and added words, exact).
-    A template that a text states twice gives two rows. At most a fifth of a template's words may differ. Null and empty texts give no rows;
+    compression, template_words, differences, missing and added words, exact,
+    unexplained_bytes = what the block does not tell of the template,
+    same_license = no version, clause or name word differs).
+    A template that a text states twice gives two rows. At most a fifth of a template's words may differ.
+    With ``near`` false only winners are returned: one license for the same words, none whose
+    version, clause or name differs; an exact wording wins unless a longer one
+    holds it. With ``near`` true the other wordings follow as ranks 2 and up, and a wording
+    that no license has (same_license false) may stand at rank 1.
+    Null and empty texts give no rows;
     repeated rows give theirs each; null ids are carried; ties in saved bytes
     are ranked by name. An empty table gives an empty result. Other columns
     are ignored.
@@ -218,7 +327,7 @@ def scan_licenses(docs: DataFrame, templates: dict[str, str] | None = None, id_c
     def found(texts: pd.Series) -> pd.Series:
         scanner = LicenseScanner(held)
         names = [f.split(" ")[0] for f in ROW.split(", ")]
-        return pd.Series([[dict(zip(names, r, strict=True)) for r in scanner.scan(t)] for t in texts], dtype=object)
+        return pd.Series([[dict(zip(names, r, strict=True)) for r in scanner.scan(t, near)] for t in texts], dtype=object)
 
     rows = docs.select(F.col(id_col), found(F.col(text_col)).alias("__f")).where(F.size("__f") > 0)
     return rows.select(F.col(id_col), F.explode("__f").alias("__r")).select(id_col, "__r.*")

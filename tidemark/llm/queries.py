@@ -57,7 +57,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license.scan_licenses(table(spark, sf_dir, "documents"))
+    return license.scan_licenses(table(spark, sf_dir, "documents"), near=False)
 
 
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
