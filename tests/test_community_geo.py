@@ -135,6 +135,34 @@ def test_fit_exponential(spark):
     assert abs(r["a"] - 5) < 1e-4 and abs(r["b"] - 2) < 1e-4 and abs(r["c"] - 0.03) < 1e-6 and r["r2"] > 0.999999
 
 
+@pytest.mark.parametrize(("a", "b", "c", "shift"), [(5, 2, 0.03, 0), (-20, 10, 0.03, 0), (100, -80, -0.2, 0), (3, 1e-6, 0.5, 0), (5, 2, 0.03, -1000), (1, 4, -3.0, 0)])
+def test_fit_exponential_needs_no_start(spark, a, b, c, shift):
+    """The same optimum from any start, against Gauss-Newton on the driver from the true curve."""
+    rng = np.random.default_rng(5)
+    x = np.repeat(np.arange(1.0, 41.0), 3)
+    y = a + b * np.exp(c * x) + rng.normal(size=len(x)) * 0.02 * np.ptp(b * np.exp(c * x))
+    want = np.array([a, b, c], float)
+    for _ in range(60):
+        e = np.exp(want[2] * x)
+        want = want + np.linalg.lstsq(np.stack([np.ones_like(x), e, want[1] * x * e], 1), y - want[0] - want[1] * e, rcond=None)[0]
+    df = spark.createDataFrame([(float(u + shift), float(v)) for u, v in zip(x, y)] + [(None, 1.0), (2.0, float("nan"))], "x double, y double")
+    for start in (None, (-20.0, 10.0, 0.03), (0.0, -1.0, -0.9)):
+        r = cm.fit_exponential(df, "x", "y", start).first()
+        assert r["converged"] and r["n_points"] == len(x)
+        assert np.allclose([r["a"], r["b"] * math.exp(r["c"] * shift), r["c"]], want, rtol=1e-7), (r, want)
+        assert math.isclose(r["rss"], float(((y - want[0] - want[1] * np.exp(want[2] * x)) ** 2).sum()), rel_tol=1e-9)
+        if shift:
+            break
+
+
+def test_fit_exponential_without_a_curve(spark):
+    line = cm.fit_exponential(spark.createDataFrame([(float(x), 2.0 * x + 1) for x in range(30)], "x double, y double"), "x", "y").first()
+    assert not line["converged"] and abs(line["r2"] - 1) < 1e-9
+    for rows in ([], [(1.0, 2.0)], [(1.0, 1.0), (1.0, 2.0), (1.0, 4.0)], [(1.0, 2.0), (2.0, 2.0), (3.0, 2.0)]):
+        r = cm.fit_exponential(spark.createDataFrame(rows, "x double, y double"), "x", "y").first()
+        assert (r["a"], r["b"], r["c"], r["converged"], r["n_points"]) == (None, None, None, False, len(rows))
+
+
 def test_discriminant_and_ordination(spark):
     rng = np.random.default_rng(2)
     rows = [(i, "abc"[i % 3], *map(float, rng.normal(size=3) + (i % 3))) for i in range(60)]
