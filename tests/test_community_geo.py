@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.geo import destination_point
 from tidemark.operators import community as cm
 from tidemark.operators import geometry as geo
 from tidemark.operators import quality as qc
@@ -197,6 +198,54 @@ def test_transect_rectangle(spark):
     assert xs == [-30.0, 30.0] and ys == [-2.0, 2.0]
 
 
+def _walked(lon, lat, bearing, metres, steps=400):
+    """Destination by integrating the geodesic's equations (fourth-order Runge-Kutta)."""
+    a, f = 6378137.0, 1 / 298.257223563
+    e2 = f * (2 - f)
+
+    def slope(v):
+        w = 1 - e2 * math.sin(v[1]) ** 2
+        n = a / math.sqrt(w)
+        return np.array([math.sin(v[2]) / (n * math.cos(v[1])), math.cos(v[2]) * w / (n * (1 - e2)), math.sin(v[2]) * math.tan(v[1]) / n])
+
+    v, h = np.radians([lon, lat, bearing]), metres / steps
+    for _ in range(steps):
+        k1 = slope(v)
+        k2 = slope(v + h / 2 * k1)
+        k3 = slope(v + h / 2 * k2)
+        k4 = slope(v + h * k3)
+        v = v + h / 6 * (k1 + 2 * k2 + 2 * k3 + k4)
+    lon2, lat2 = np.degrees(v[:2])
+    return (lon2 + 180) % 360 - 180, lat2
+
+
+def test_destination_point(spark):
+    # published: an example of the direct problem over 10,000 km, and a baseline of two survey marks (bearing to 0.01 seconds)
+    dms = lambda d, m, s: d + m / 60 + s / 3600
+    known = [(0.0, 40.0, 30.0, 1e7, 137.84490004377, 41.79331020506, 1e-3),
+             (dms(144, 25, 29.52440), -dms(37, 57, 3.72030), dms(306, 52, 5.37), 54972.271, dms(143, 55, 35.38390), -dms(37, 39, 10.15610), 2e-3)]
+    for lon in (179.9999, -179.99, 180.0, -122.0, 0.0):
+        for lat in (0.0, 36.6, -75.0):
+            for bearing in (0.0, 37.0, 90.0, 271.5, 180.0):
+                for metres in (0.0, 30.0, 1e5):
+                    known.append((lon, lat, bearing, metres, *_walked(lon, lat, bearing, metres), 1e-3))
+    df = spark.createDataFrame([(i, *map(float, k[:4])) for i, k in enumerate(known)] + [(-1, None, 1.0, 1.0, 1.0)], "i int, lon double, lat double, b double, m double")
+    got = {r["i"]: r["p"] for r in df.select("i", destination_point("lon", "lat", "b", "m").alias("p")).collect()}
+    assert got[-1] is None
+    for i, k in enumerate(known):
+        lon, lat = got[i]
+        assert -180 < lon <= 180
+        off = math.hypot(((lon - k[4] + 180) % 360 - 180) * math.cos(math.radians(lat)), lat - k[5]) * 111_320
+        assert off < k[6], (k, lon, lat, off)
+
+
+def test_rectangle_across_longitude_180(spark):
+    df = spark.createDataFrame([(180.0, 10.0, 90.0)], "longitude double, latitude double, dc_heading double")
+    ring = geo.transect_rectangle(df).first()["ring"]
+    assert [p["lon"] > 0 for p in ring] == [True, False, False, True, True]
+    assert all(abs(abs(p["lon"]) - 180) < 1e-3 for p in ring)
+
+
 def test_describe_site(spark):
     df = spark.createDataFrame([("Long", "Margin", 10.0)], "site_long string, survey_type string, target_depth_meters double")
     r = geo.describe_site(df, {"Survey Type": "survey_type", "Target Depth (m)": "target_depth_meters"}).first()

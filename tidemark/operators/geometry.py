@@ -3,12 +3,13 @@ narrow projection per row, no Python per row."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.geo import offset_point, rotate
+from tidemark.functions.geo import destination_point, offset_point, rotate
 from tidemark.functions.text import value_text
 
 # Transect footprint half-length and half-width in metres.
@@ -21,12 +22,21 @@ _CORNERS = ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))
 
 
 def rectangle_corners(lon, lat, heading, half_length: float = HALF_LENGTH_M,
-                      half_width: float = HALF_WIDTH_M) -> Column:
+                      half_width: float = HALF_WIDTH_M, method: str = "geodesic") -> Column:
     """``array<struct<lon, lat>>`` of the 5-point closed ring of a rectangle
     centred on (lon, lat) whose long side follows ``heading`` (degrees from
-    north, clockwise)."""
+    north, clockwise).
+
+    ``method`` ``"geodesic"`` walks to each corner on the ellipsoid, longitudes
+    wrapped at 180; ``"tangent"`` adds offsets on the local tangent plane (not wrapped)."""
+    if method not in ("geodesic", "tangent"):
+        raise ValueError(f"unknown method {method!r}")
     pts = []
     for sx, sy in _CORNERS:
+        if method == "geodesic":
+            x, y = sx * half_length, sy * half_width
+            pts.append(destination_point(lon, lat, F.lit(math.degrees(math.atan2(y, x))) + heading, F.lit(math.hypot(x, y))))
+            continue
         east, north = rotate(F.lit(sx * half_length), F.lit(sy * half_width), heading)
         plon, plat = offset_point(lon, lat, east, north)
         pts.append(F.struct(plon.alias("lon"), plat.alias("lat")))
@@ -43,10 +53,10 @@ def ring_wkt(ring: Column, digits: int = 8) -> Column:
 def transect_rectangle(df: DataFrame, lon: str = "longitude", lat: str = "latitude",
                        heading: str = "dc_heading", half_length: float = HALF_LENGTH_M,
                        half_width: float = HALF_WIDTH_M, ring_col: str = "ring",
-                       wkt_col: str | None = "wkt") -> DataFrame:
-    """GEO-1: add the rectangle ring (and its WKT) for every site row."""
+                       wkt_col: str | None = "wkt", method: str = "geodesic") -> DataFrame:
+    """GEO-1: add the rectangle ring (and its WKT) for every site row (``method`` as in :func:`rectangle_corners`)."""
     out = df.withColumn(ring_col, rectangle_corners(F.col(lon), F.col(lat), F.col(heading),
-                                                    half_length, half_width))
+                                                    half_length, half_width, method))
     if wkt_col:
         out = out.withColumn(wkt_col, ring_wkt(F.col(ring_col)))
     return out
