@@ -246,6 +246,58 @@ def test_rectangle_across_longitude_180(spark):
     assert all(abs(abs(p["lon"]) - 180) < 1e-3 for p in ring)
 
 
+def _scaled(x, k):
+    """Exact classical scaling of all pairs."""
+    n = len(x)
+    d = np.array([[np.abs(u - v).sum() / max((u + v).sum(), 1e-300) for v in x] for u in x])
+    c = np.eye(n) - 1 / n
+    w, v = np.linalg.eigh(-c @ d**2 @ c / 2)
+    return v[:, ::-1][:, :k] * np.sqrt(w[::-1][:k]), w[::-1], d
+
+
+def _rotated_error(a, b):
+    """Share of b's squares left after a is rotated, reflected and shifted onto it."""
+    a, b = a - a.mean(0), b - b.mean(0)
+    u, _, v = np.linalg.svd(a.T @ b)
+    return float(((a @ u @ v - b) ** 2).sum() / (b**2).sum())
+
+
+def test_landmark_ordination(spark):
+    rng = np.random.default_rng(8)
+    x = rng.poisson(np.exp(rng.normal(size=(500, 1)) * 0.3) * rng.gamma(2.0, 4.0, size=(4, 6))[rng.integers(0, 4, 500)]).astype(float)
+    x[7], x[8], x[9] = 0, 0, x[10]  # empty profiles and a repeated one
+    want, evals, d = _scaled(x, 2)
+    df = spark.createDataFrame([(i, "k", *map(float, r)) for i, r in enumerate(x)] + [(500, "null", None, *[1.0] * 5)], "id long, __off string, " + ", ".join(f"v{j} double" for j in range(6)))
+    cols = [f"v{j}" for j in range(6)]
+    for landmarks, error in ((500, 1e-12), (120, 0.02)):
+        scores, info = cm.landmark_ordination(df.repartition(7), "id", cols, landmarks=landmarks)
+        got = scores.orderBy("id").collect()
+        at = np.array([(r["MDS1"], r["MDS2"]) for r in got])
+        assert info["landmarks"] == landmarks and [r["id"] for r in got] == list(range(500))
+        assert _rotated_error(at, want) < error
+        assert np.allclose(at[7], at[8]) and np.allclose(at[9], at[10])
+    e = np.sqrt(((want[:, None] - want[None]) ** 2).sum(2))
+    scores, info = cm.landmark_ordination(df, "id", cols)
+    assert np.allclose(info["eigenvalues"], evals, atol=1e-8) and abs(info["stress"] - math.sqrt(((d - e) ** 2).sum() / (d**2).sum())) < 1e-9
+    euclid, _ = cm.landmark_ordination(df, "id", cols, k=6, metric="euclidean", landmarks=60)
+    at = np.array([[r[f"MDS{j + 1}"] for j in range(6)] for r in euclid.orderBy("id").collect()])
+    assert _rotated_error(at, x) < 1e-9 and euclid.agg(F.max("misfit")).first()[0] < 1e-6
+
+
+def test_landmark_ordination_edges(spark):
+    df = spark.createDataFrame([(1, 2.0, 3.0), (2, 2.0, 3.0), (None, 2.0, 3.0)], "id int, a double, b double")
+    scores, info = cm.landmark_ordination(df, "id", ["a", "b"])
+    assert [(r["MDS1"], r["MDS2"]) for r in scores.collect()] == [(0.0, 0.0)] * 3 and info["stress"] is None
+    scores, info = cm.landmark_ordination(df.where("false"), "id", ["a", "b"])
+    assert scores.count() == 0 and info == {"eigenvalues": [], "landmarks": 0, "stress": None}
+    with pytest.raises(Exception, match="at least 0"):
+        cm.landmark_ordination(spark.createDataFrame([(1, -2.0)], "id int, a double"), "id", ["a"])
+    with pytest.raises(ValueError, match="MDS2"):
+        cm.landmark_ordination(df.withColumnRenamed("a", "MDS2"), "id", ["b"], keep=["MDS2"])
+    with pytest.raises(ValueError, match="unknown metric"):
+        cm.landmark_ordination(df, "id", ["a"], metric="x")
+
+
 def test_describe_site(spark):
     df = spark.createDataFrame([("Long", "Margin", 10.0)], "site_long string, survey_type string, target_depth_meters double")
     r = geo.describe_site(df, {"Survey Type": "survey_type", "Target Depth (m)": "target_depth_meters"}).first()

@@ -20,6 +20,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.vector import as_vector, bray_curtis, euclidean
 from tidemark.functions.stats import f_tail
@@ -590,6 +591,88 @@ def ordinate(df: DataFrame, cols: Sequence[str], k: int = 2, keep: Sequence[str]
     return _scored(d, keep, cols, mean, load, "PC"), ratio
 
 
+#: Rows that carry the scaling of :func:`landmark_ordination`; a table of at most as many rows is scaled exactly.
+LANDMARKS = 500
+
+
+def _profile_distances(x: np.ndarray, to: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of each row of ``x`` to each row of ``to``; two empty profiles are alike."""
+    if metric == "euclidean":
+        return np.sqrt(((x[:, None, :] - to[None, :, :]) ** 2).sum(axis=2))
+    apart = np.abs(x[:, None, :] - to[None, :, :]).sum(axis=2)
+    both = x.sum(axis=1)[:, None] + to.sum(axis=1)[None, :]
+    return np.divide(apart, both, out=np.zeros_like(apart), where=both > 0)
+
+
+def landmark_ordination(df: DataFrame, id_col: str, cols: Sequence[str], k: int = 2, metric: str = "bray_curtis",
+                        landmarks: int = LANDMARKS, seed: int = 123, keep: Sequence[str] = ()):
+    """Metric scaling of Bray-Curtis (or Euclidean) distances without a table of pairs.
+
+    The ``landmarks`` rows with the smallest md5 of "id:seed" (a bounded sample,
+    the same on every run and at every partitioning) are scaled by double
+    centring of their squared distances; every row is then placed by
+    triangulation from its distances to them, rows x landmarks of work in
+    Arrow batches. Landmarks land where their own scaling puts them, so a table
+    of at most ``landmarks`` rows has the exact classical scaling.
+
+    Returns ``(scores, info)``. Scores: ``id_col``, ``keep``, ``MDS1..k`` (0 where
+    the distances have fewer positive eigenvalues) and ``misfit``, the root of
+    the squared difference between a row's distances to the landmarks and those in the
+    ordination, as a share of the former. Info: ``eigenvalues`` of the landmarks
+    (all, descending), ``landmarks``, ``stress`` (the same share over all rows).
+    Rows with NULLs in ``cols`` are left out as in the other statistics; repeated
+    rows land on one place; negative values fail for Bray-Curtis; a table without
+    complete rows gives no scores, no eigenvalues and stress None."""
+    if metric not in ("bray_curtis", "euclidean"):
+        raise ValueError(f"unknown metric {metric!r}")
+    cols, keep = list(cols), [c for c in keep if c != id_col]
+    axes = [f"MDS{j + 1}" for j in range(k)]
+    if clash := {*axes, "misfit", "__x", "__o", "__off", "__all"} & {id_col, *keep}:
+        raise ValueError(f"columns to keep are called like those made here: {sorted(clash)}")
+    d = complete_cases(df, cols)
+    x = F.array(*[F.col(c).cast("double") for c in cols])
+    if metric == "bray_curtis":
+        x = F.when(F.exists(x, lambda v: v < 0), F.raise_error(F.lit("Bray-Curtis needs values of at least 0"))).otherwise(x)
+    d = scratch_table(d.select(id_col, *keep, x.alias("__x")), "profiles")
+    order = F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")))
+    sample = d.select(order.alias("__o"), "__x").orderBy("__o", "__x").limit(landmarks).collect()
+    marks = np.array([r["__x"] for r in sample], float).reshape(len(sample), len(cols))
+    squares = _profile_distances(marks, marks, metric) ** 2
+    mean = squares.mean(axis=0) if len(marks) else np.zeros(0)
+    total = mean.mean() if len(marks) else 0.0
+    evals, evecs = np.linalg.eigh(-(squares - mean[:, None] - mean[None, :] + total) / 2)
+    evals, evecs = evals[::-1], _fix_signs(evecs[:, ::-1]) if len(marks) else evecs
+    used = [j for j in range(min(k, len(evals))) if evals[j] > 1e-12 * max(abs(evals[0]), 1e-300)]
+    # a row's coordinates are half the centred squared distances times the scaled eigenvectors
+    turn = np.zeros((len(marks), k))
+    for j in used:
+        turn[:, j] = evecs[:, j] / math.sqrt(evals[j])
+    placed = (mean[None, :] - squares) @ turn / 2
+    _shipped(df)
+
+    def place(batches):
+        import pyarrow as pa
+
+        step = max(1, (1 << 21) // max(1, marks.size))
+        for batch in batches:
+            rows, scores, parts = _matrix(pa.Table.from_batches([batch])), [], []
+            for lo in range(0, len(rows), step):
+                far = _profile_distances(rows[lo : lo + step], marks, metric)
+                at = (mean[None, :] - far**2) @ turn / 2
+                near = _profile_distances(at, placed, "euclidean")
+                scores.append(at)
+                parts.append(np.stack([((far - near) ** 2).sum(axis=1), (far**2).sum(axis=1)], axis=1))
+            at, part = np.concatenate(scores or [np.zeros((0, k))]), np.concatenate(parts or [np.zeros((0, 2))])
+            made = [*(at[:, j] for j in range(k)), part[:, 0], part[:, 1]]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(batch.num_columns - 1)), *map(pa.array, made)], names=[*batch.schema.names[:-1], *axes, "__off", "__all"])
+
+    schema = T.StructType([*d.schema.fields[:-1], *(T.StructField(c, T.DoubleType()) for c in [*axes, "__off", "__all"])])
+    rows = scratch_table(d.mapInArrow(place, schema), "scores")
+    off, whole = rows.agg(F.sum("__off"), F.sum("__all")).first()
+    scores = rows.select(id_col, *keep, *axes, F.sqrt(F.try_divide(F.col("__off"), F.col("__all"))).alias("misfit"))
+    return scores, {"eigenvalues": evals.tolist(), "landmarks": len(marks), "stress": None if not whole else math.sqrt(off / whole)}
+
+
 # ---------------------------------------------------------------- COM-9 ----
 
 def group_shape(df: DataFrame, group: str, x: str, y: str) -> DataFrame:

@@ -370,6 +370,30 @@ def com8_ordinate_axes(spark, sf):
                     r6(F.lit(float(worst))).alias("worst_covariance"), r6(F.lit(float(sum(ratio)))).alias("ratio_sum"))
 
 
+@register("com8_landmark_ordination", ("COM-8",), None)
+def com8_landmark_ordination(spark, sf):
+    """Two-axis ordination of users' event counts on Bray-Curtis distances."""
+    scores, _ = cm.landmark_ordination(_counts(spark, sf), "user_id", EVENT_TYPES, keep=["grp"])
+    return scores.select("user_id", "grp", *[r6(c).alias(c) for c in ("MDS1", "MDS2", "misfit")])
+
+
+# of the landmarks: eigenvalues sum to the trace of the centred matrix, their squares to its squared norm
+COM8L_SQL = f"""WITH {_COUNTS_SQL},
+lm AS (SELECT row_number() OVER (ORDER BY md5(user_id || ':123')) AS i, {", ".join(EVENT_TYPES)} FROM c QUALIFY i <= {cm.LANDMARKS}),
+d AS (SELECT a.i, b.i AS j, power(({" + ".join(f"abs(a.{t} - b.{t})" for t in EVENT_TYPES)}) / ({" + ".join(f"a.{t} + b.{t}" for t in EVENT_TYPES)}), 2) AS d FROM lm a, lm b),
+m AS (SELECT i, avg(d) AS m FROM d GROUP BY i),
+b AS (SELECT d.i, d.j, -(d.d - x.m - y.m + t.t) / 2 AS b FROM d JOIN m x ON x.i = d.i JOIN m y ON y.i = d.j, (SELECT avg(d) AS t FROM d) t)
+SELECT (SELECT count(*) FROM lm) AS landmarks, round(sum(CASE WHEN i = j THEN b END), 6) AS total, round(sum(b * b), 6) AS squared_norm FROM b"""
+
+
+@register("com8_landmark_axes", ("COM-8",), COM8L_SQL)
+def com8_landmark_axes(spark, sf):
+    """Number of landmarks, sum and sum of squares of their eigenvalues."""
+    _, info = cm.landmark_ordination(_counts(spark, sf), "user_id", EVENT_TYPES)
+    e = info["eigenvalues"]
+    return spark.range(1).select(F.lit(info["landmarks"]).cast("long").alias("landmarks"), r6(F.lit(float(sum(e)))).alias("total"), r6(F.lit(float(sum(v * v for v in e)))).alias("squared_norm"))
+
+
 # ---------------------------------------------------------------- COM-9 ----
 
 # ellipses of the two first ordination axes; rotation leaves each group's total
