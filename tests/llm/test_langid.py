@@ -69,3 +69,38 @@ def test_no_language_and_no_rows(spark):
     df = spark.createDataFrame([(1, "bako", None)], SCHEMA)
     assert [(r.lang_pred, r.score) for r in langid.identify(df).collect()] == [("und", 0.0)]
     assert langid.identify(df.where("false")).count() == 0
+
+
+def test_grams_do_not_depend_on_neighbours():
+    texts = [b"Reorea. Nd. 11", b"", b"x", b"ab cd", "ströng füße".encode(), b"tail "]
+    codes, owner = langid._grams(texts)
+    for i, t in enumerate(texts):
+        assert codes[owner == i].tolist() == langid._grams([t])[0].tolist()
+    assert [(owner == i).sum() for i in range(4)] == [6, 0, 0, 2]  # one for each pair of neighbouring letters
+
+
+def test_against_exact_gram_sets(spark):
+    """Corrected popcounts of the filters against sets of n-grams, on whole texts of the given table."""
+    from collections import Counter
+
+    from conftest import SF
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.select("doc_id", "text", "lang", held_out("doc_id").alias("out")).collect()
+    counts: dict[str, Counter] = {}
+    for r in rows:
+        if not r.out and r.lang is not None and r.text is not None:
+            counts.setdefault(r.lang, Counter()).update(langid._grams([r.text.encode()])[0].tolist())
+    sets = {k: {g for g, n in c.items() if n >= 2e-5 * sum(c.values())} for k, c in counts.items()}
+    got = {r.doc_id: r for r in langid.identify(docs).collect()}
+    clear = 0
+    for r in rows:
+        grams = langid._grams([(r.text or "").encode()])[0].tolist()
+        if not grams:
+            continue
+        share = sorted(((sum(g in s for g in grams) / len(grams), k) for k, s in sets.items()), reverse=True)
+        assert abs(got[r.doc_id].score - share[0][0]) < 0.05
+        if len(share) < 2 or share[0][0] - share[1][0] > 0.05:
+            clear += 1
+            assert got[r.doc_id].lang_pred == share[0][1]
+    assert clear > len(rows) / 2

@@ -44,3 +44,21 @@ def test_odd_rows_pass(spark):
             now = stage(spark, now, SF)
             assert now.columns == docs.columns
         assert corpus_pipeline.STAGES[-1][1](spark, now, SF).count() == (2 if table is docs else 0)
+
+
+def test_clashing_names_repeated_rows_and_a_long_text_pass(spark):
+    long = " ".join(f"w{i} the fox" for i in range(60_000))
+    twice = "an old brown dog slept near the warm fire all night long"
+    made = ["__told", "__doc", "__th", "__part", "__n", "row", "spans", "doc", "th", "part", "k", "item", "id"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in made)
+    plain = "a plain tale of ships and of the sea"
+    # the long text is a language of its own: by share of n-grams it would leave the others of its language unknown
+    rows = [(i, text, "xx" if text == long else "en", "s", len(text), *range(len(made))) for i, text in [(1, twice), (1, twice), (2, twice), (3, long), (None, twice), (4, plain), (4, plain)]]
+    now = spark.createDataFrame(rows, schema)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, SF)
+        assert now.columns == spark.createDataFrame([], schema).columns, name
+    kept = now.collect()
+    assert sorted(r.doc_id for r in kept) == [1, 3, 4]
+    assert all(tuple(r[c] for c in made) == tuple(range(len(made))) for r in kept)
+    assert {r.doc_id: r.n_tokens > 0 for r in corpus_pipeline.STAGES[-1][1](spark, now, SF).collect()} == {1: True, 3: True, 4: True}

@@ -72,6 +72,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def own_names(docs: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened until no column of ``docs`` is called so (in any case)."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def spread(df: DataFrame, *keys: str, rows: int | None = None, most: int = 20_000) -> DataFrame:
     """Deal a small table of work items (files, shards) over as many tasks as it has rows.
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint
+from .common import checkpoint, own_names
 
 #: A sketch table of at most this many rows (of 20 bytes) is broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 500_000
@@ -89,8 +89,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """Documents that contain no item; all columns stay."""
-    hit = contained_items(docs, benchmark, id_col=id_col, text_col=text_col, **kw).select(F.col("doc").alias("__doc"), F.col("th").alias("__th")).distinct()
-    return docs.join(hit, docs[id_col].eqNullSafe(hit["__doc"]) & (F.xxhash64(docs[text_col]) == hit["__th"]), "left_anti")
+    doc, th = own_names(docs, "__doc", "__th")
+    hit = contained_items(docs, benchmark, id_col=id_col, text_col=text_col, **kw).select(F.col("doc").alias(doc), F.col("th").alias(th)).distinct()
+    return docs.join(hit, docs[id_col].eqNullSafe(hit[doc]) & (F.xxhash64(docs[text_col]) == hit[th]), "left_anti")
 
 
 SQL = r"""

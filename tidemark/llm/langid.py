@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import held_out, text_batches
+from .common import held_out, own_names, text_batches
 
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -31,14 +31,14 @@ _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB866
 
 
 def _grams(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """4-byte n-grams of the texts as uint32, with the index of the text of each."""
+    """4-byte n-grams of the texts as uint32, with the index of the text of each; a text's do not depend on its neighbours."""
     gap = b"    "
-    buf = _CLASS[np.frombuffer(gap.join(run) + gap, dtype=np.uint8)]
-    w = buf.astype(np.uint32)
+    buf = _CLASS[np.frombuffer(gap + gap.join(run) + gap, dtype=np.uint8)]
+    # each text owns the gap before it, where its first n-gram begins, and starts no n-gram in the one after it
+    owner = np.repeat(np.arange(len(run), dtype=np.int32), np.fromiter((len(b) + 4 for b in run), np.int64, len(run)))
+    w = buf[: len(owner) + 3].astype(np.uint32)
     code = w[:-3] | w[1:-2] << np.uint32(8) | w[2:-1] << np.uint32(16) | w[3:] << np.uint32(24)
-    keep = (buf[1:-2] != 32) & (buf[2:-1] != 32)  # both middle bytes are letters: no n-gram spans a gap
-    sizes = np.fromiter((len(b) + 4 for b in run), np.int64, len(run))
-    owner = np.repeat(np.arange(len(run), dtype=np.int32), sizes)[: len(code)]
+    keep = (w[1:-2] != 32) & (w[2:-1] != 32)  # both middle bytes are letters: no n-gram spans a gap
     return code[keep], owner[keep]
 
 
@@ -159,5 +159,6 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", min_score: float = 0.3) -> DataFrame:
     """Rows whose language is identified (not ``und``) with at least ``min_score``; all columns stay."""
     model = train(docs.where(~held_out(id_col)), text_col, lang_col)
-    told = docs.withColumn("__told", predict(docs.sparkSession, model, F.col(text_col)))
-    return told.where((F.col("__told.lang_pred") != UNKNOWN) & (F.col("__told.score") >= min_score)).drop("__told")
+    [name] = own_names(docs, "__told")
+    told = docs.withColumn(name, predict(docs.sparkSession, model, F.col(text_col)))
+    return told.where((F.col(f"{name}.lang_pred") != UNKNOWN) & (F.col(f"{name}.score") >= min_score)).drop(name)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from .common import checkpoint
+from .common import checkpoint, own_names
 from .graph import connected_components
 
 BITS = 64
@@ -160,9 +160,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     """
     rows = _labelled(docs, id_col, text_col, words, max_bits).groupBy("part", "doc", "th").agg(F.count("*").alias("n"))
     best = rows.groupBy("part").agg(F.min(F.struct(F.col("doc").isNull().alias("no"), "doc", "th", "n")).alias("k"))
-    chosen = checkpoint(best.select(F.col("k.doc").alias("__doc"), F.col("k.th").alias("__th"), F.col("part").alias("__part"), F.col("k.n").alias("__n")))
+    names = own_names(docs, "__doc", "__th", "__part", "__n")
+    doc, th, part, n = names
+    chosen = checkpoint(best.select(F.col("k.doc").alias(doc), F.col("k.th").alias(th), F.col("part").alias(part), F.col("k.n").alias(n)))
     # the small side is hashed: whole documents are dealt, but not sorted
-    hit = docs.join(chosen.hint("shuffle_hash"), docs[id_col].eqNullSafe(chosen["__doc"]) & (F.xxhash64(docs[text_col]) == chosen["__th"]))
-    if chosen.where("__n > 1").limit(1).count():
-        hit = hit.dropDuplicates(["__part"])
-    return hit.drop("__doc", "__th", "__part", "__n")
+    hit = docs.join(chosen.hint("shuffle_hash"), docs[id_col].eqNullSafe(chosen[doc]) & (F.xxhash64(docs[text_col]) == chosen[th]))
+    if chosen.where(chosen[n] > 1).limit(1).count():
+        hit = hit.dropDuplicates([part])
+    return hit.drop(*names)
