@@ -93,3 +93,32 @@ def test_recall_of_a_full_shard(spark):
             total += 20
         print(name, hits / total)
         assert hits / total >= 0.9, name
+
+
+def test_query_files_hold_every_query_once_and_are_discarded(spark):
+    from tidemark.llm import common, fsio
+
+    rows = [(i, [float(i), 1.0]) for i in range(1, 90)] + [(i, [1.0, float(i), 2.0]) for i in range(100, 120)]
+    queries = hnsw.usable(spark.createDataFrame(rows, SCHEMA), "vec_id", "embedding")
+    files = hnsw.write_queries(queries, block=16).collect()
+    assert len(files) > 7 and {f.dims for f in files} == {2, 3}
+    seen = {}
+    for f in files:
+        with fsio.reading(f.uri) as stream:
+            raw = stream.read()
+        x = np.frombuffer(raw, "<f8", f.n * f.dims, 8 * f.n).reshape(f.n, f.dims)
+        for i, v in zip(np.frombuffer(raw, "<i8", f.n).tolist(), x.tolist(), strict=True):
+            assert i not in seen
+            seen[i] = v
+    assert seen == dict(rows)
+    index = hnsw.build_index(queries, 5, 3)
+    found = hnsw.search_index(index, hnsw.write_queries(queries, block=16), 5, 3).collect()
+    assert len({(r.query_id, r.vec_id) for r in found}) == len(found)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(common.run_dir(spark))
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert store.exists(path)
+    common.discard(spark)
+    assert not store.exists(path)
+    want = _brute(rows, [1, 110], 20)
+    got = _got(hnsw.nearest(spark.createDataFrame(rows, SCHEMA).where("vec_id in (1, 110)"), spark.createDataFrame(rows, SCHEMA), k=20))
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import fsio
-from .common import shared_dir, spread, written
+from .common import run_dir, spread, written
 
 #: The header line fields of both versions.
 VERSION_FIELDS = {
@@ -160,7 +160,7 @@ def write_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     and the payload's length. Null html is an empty payload, a null URL an
     empty-path URN. An archive ends once it holds ``archive_bytes``.
     """
-    folder = f"{shared_dir(pages.sparkSession)}/arc"
+    folder = f"{run_dir(pages.sparkSession)}/arc"
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).alias("html"))
 
     def write(batches):
@@ -254,7 +254,7 @@ def warc_date(date: str) -> str:
 
 def convert(manifest: DataFrame, min_revisit: int = 100) -> DataFrame:
     """Write one WARC file for each ARC archive; returns the manifest (warc uri, records)."""
-    folder = f"{shared_dir(manifest.sparkSession)}/warc"
+    folder = f"{run_dir(manifest.sparkSession)}/warc"
     plan = plan_revisits(written(index_arc(manifest), "arc-index"), min_revisit)
 
     def of_archive(key, arcs, links):

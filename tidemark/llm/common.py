@@ -58,6 +58,17 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def run_dir(spark: SparkSession) -> str:
+    """This application's folder below the shared one: archives, shards and tables between steps go there."""
+    return f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}"
+
+
+def discard(spark: SparkSession) -> None:
+    """Delete this application's folder (``run_dir``). Results still read from it must be saved before."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_dir(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Eager reliable checkpoint in the shared folder."""
     shared_dir(df.sparkSession)
@@ -65,9 +76,9 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a Parquet table in the shared folder and read it back."""
+    """Write ``df`` as a Parquet table in this application's folder and read it back."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -5,7 +5,8 @@ vectors share one node. Inner products are turned into distances by one more
 coordinate, sqrt(longest**2 - |x|**2), which is zero for queries, so that the
 graph is built in a metric space. Each layer is a flat array of neighbour
 numbers (-1: none); layer l holds the first ``counts[l]`` nodes. Every query is
-searched in every shard and the shards' results are merged.
+searched in every shard and the shards' results are merged: queries are written
+once as files of vectors, and each task reads those files beside one shard.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import spread, written
+from . import fsio
+from .common import run_dir, spread, written
 
 
 def _distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -258,53 +260,77 @@ def build_index(rows: DataFrame, k: int, shards: int, links: int = 16, width: in
     return written(spread(dealt, "shard", "dims", rows=shards).groupBy("shard", "dims").applyInArrow(one, INDEX), "hnsw-index")
 
 
-def search_index(index: DataFrame, queries: DataFrame, k: int, shards: int, width: int = 128, block: int = 16384) -> DataFrame:
-    """(query_id, vec_id, score): each shard's k nearest of every query, the query's own id excluded."""
+#: Files of queries that one task searches in a shard.
+FILES_A_TASK = 4
 
-    def one(key, shard, part):
-        empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
-        if not shard.num_rows or not part.num_rows:
-            return empty
-        row = shard.to_pylist()[0]
+
+def write_queries(queries: DataFrame, block: int = 16384) -> DataFrame:
+    """Manifest (dims, uri, n) of files of at most about ``block`` queries of one vector length: ids, then vectors.
+
+    ``queries`` is the result of ``usable``. A file is written once and read beside
+    every shard, so vectors are not shuffled once a shard.
+    """
+    folder = f"{run_dir(queries.sparkSession)}/hnsw-queries"
+
+    def one(key, part):
+        dims = key[1].as_py()
+        ids = part.column("id").to_numpy()
+        x = part.column("v").combine_chunks().flatten().to_numpy()
+        with fsio.create(folder, f"dims-{dims}", ".queries") as (uri, out):
+            out.write(ids.astype("<i8").tobytes() + x.astype("<f8").tobytes())
+        return pa.table({"dims": pa.array([dims], pa.int32()), "uri": [uri], "n": pa.array([len(ids)], pa.int64())})
+
+    parts = max(1, -(-queries.count() // block))
+    dealt = queries.withColumn("part", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int"))
+    files = spread(dealt, "part", "dims", rows=parts).groupBy("part", "dims").applyInArrow(one, "dims int, uri string, n long")
+    return written(files, "hnsw-queries")
+
+
+def search_index(index: DataFrame, files: DataFrame, k: int, shards: int, width: int = 128) -> DataFrame:
+    """(query_id, vec_id, score): each shard's k nearest of every query, the query's own id excluded.
+
+    ``files`` is the result of ``write_queries``. A work item is a shard and a few
+    files of queries; only the shard's arrays and the files' names are shuffled.
+    """
+
+    def one(part):
+        row = part.to_pylist()[0]
         dims = row["dims"]
         x = np.frombuffer(row["vectors"], "<f8").reshape(-1, dims)
         ids, owner = np.frombuffer(row["ids"], "<i8"), np.frombuffer(row["owners"], "<i8")
         first = np.searchsorted(owner, np.arange(len(x) + 1))
         counts = np.frombuffer(row["counts"], "<i8").tolist()
         layers = [np.frombuffer(b, "<i4").reshape(n, -1) for b, n in zip(row["neighbours"], counts, strict=True)]
-        aug = _augmented(x).astype(np.float32)
-        graph = Graph(aug, counts, layers)
-        qid = part.column("q_id").to_numpy()
-        q = part.column("q_v").combine_chunks().flatten().to_numpy().reshape(len(qid), dims)
-        scale = math.sqrt(np.einsum("nd,nd->n", x, x).max()) or 1.0
-        # a query's length does not change the order of its inner products: scale it to the data
-        unit = q / np.sqrt(np.einsum("nd,nd->n", q, q))[:, None]
-        flat = np.concatenate((unit, np.zeros((len(q), 1))), 1).astype(np.float32)
+        graph = Graph(_augmented(x).astype(np.float32), counts, layers)
         out = ([], [], [])
-        found, _ = graph.search(flat, min(max(width, k + 1), len(x)))
-        for i in range(len(q)):
-            node = found[i][found[i] >= 0]
-            s = np.einsum("nd,d->n", x[node], q[i])
-            reps = first[node + 1] - first[node]
-            at = np.repeat(first[node], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
-            cid, cs = ids[at], np.repeat(s, reps)
-            ok = cid != qid[i]
-            cid, cs = cid[ok], cs[ok]
-            top = np.lexsort((cid, -cs))[:k]
-            out[0].append(np.full(len(top), qid[i]))
-            out[1].append(cid[top])
-            out[2].append(cs[top])
+        for file in row["files"]:
+            with fsio.reading(file["uri"]) as stream:
+                raw = stream.read()
+            qid = np.frombuffer(raw, "<i8", file["n"])
+            q = np.frombuffer(raw, "<f8", file["n"] * dims, 8 * file["n"]).reshape(-1, dims)
+            # a query's length does not change the order of its inner products: scale it to the data
+            unit = q / np.sqrt(np.einsum("nd,nd->n", q, q))[:, None]
+            flat = np.concatenate((unit, np.zeros((len(q), 1))), 1).astype(np.float32)
+            found, _ = graph.search(flat, min(max(width, k + 1), len(x)))
+            for i in range(len(q)):
+                node = found[i][found[i] >= 0]
+                s = np.einsum("nd,d->n", x[node], q[i])
+                reps = first[node + 1] - first[node]
+                at = np.repeat(first[node], reps) + np.arange(reps.sum()) - np.repeat(np.cumsum(reps) - reps, reps)
+                cid, cs = ids[at], np.repeat(s, reps)
+                ok = cid != qid[i]
+                cid, cs = cid[ok], cs[ok]
+                top = np.lexsort((cid, -cs))[:k]
+                out[0].append(np.full(len(top), qid[i]))
+                out[1].append(cid[top])
+                out[2].append(cs[top])
         return pa.table({"query_id": pa.array(np.concatenate(out[0])), "vec_id": pa.array(np.concatenate(out[1])), "score": pa.array(np.concatenate(out[2]))})
 
-    parts = max(1, -(-queries.count() // block))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(parts)).cast("int"))
-    blocks = asked.select(F.col("block").alias("block"), F.col("dims").alias("b_dims")).distinct()
-    left = index.join(blocks, F.col("dims") == F.col("b_dims")).drop("b_dims")
-    right = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    keys = ["shard", "dims", "block"]
-    right = right.toDF(*(f"q_{c}" for c in right.columns))
-    left, right = spread(left, *keys, rows=shards * parts), spread(right, *(f"q_{c}" for c in keys), rows=shards * parts)
-    return left.groupBy(*keys).cogroup(right.groupBy(*(f"q_{c}" for c in keys))).applyInArrow(one, "query_id long, vec_id long, score double")
+    n = files.count()
+    groups = max(1, -(-n // FILES_A_TASK))
+    by = files.groupBy("dims", F.pmod(F.xxhash64("uri"), F.lit(groups)).cast("int").alias("q_part")).agg(F.collect_list(F.struct("uri", "n")).alias("files"))
+    items = index.join(by, "dims")
+    return spread(items, "shard", "dims", "q_part", rows=shards * groups).groupBy("shard", "dims", "q_part").applyInArrow(one, "query_id long, vec_id long, score double")
 
 
 def nearest(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", links: int = 16, width: int = 160, shard_rows: int = 4096, min_shards: int = 12) -> DataFrame:
@@ -320,7 +346,7 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 20, id_col: str
     rows = usable(candidates, id_col, vector_col)
     asked = usable(queries, id_col, vector_col).dropDuplicates(["id"])
     shards = max(min_shards, -(-rows.count() // shard_rows))
-    found = search_index(build_index(rows, k, shards, links), asked, k, shards, width)
+    found = search_index(build_index(rows, k, shards, links), write_queries(asked), k, shards, width)
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(w).cast("int")).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from . import fsio
 from .bpe_segtree import PLAIN_PATTERN, _char_classes, split_plain
-from .common import shared_dir, spread, written
+from .common import run_dir, spread, written
 
 MAGIC = b"TMRPAIR1"
 
@@ -203,7 +203,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
     uri, documents, n_ids. Null and empty texts hold the end id only. Other
     columns are ignored; an empty table writes no file.
     """
-    folder = f"{shared_dir(docs.sparkSession)}/token-shards"
+    folder = f"{run_dir(docs.sparkSession)}/token-shards"
     rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     # range bounds come from a sample of the keys on the driver: the text stands there as its hash
     rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("doc", "h").sortWithinPartitions("doc", "h", "text").drop("h").withColumn("part", F.spark_partition_id())
