@@ -124,3 +124,25 @@ def test_quartiles_need_no_sort_of_the_values(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert len(re.findall(r"Exchange (?:hash|range)partitioning", plan)) <= 4 and "rangepartitioning" not in plan and "Scan ExistingRDD" not in plan
+
+
+def test_rows_without_a_rule_are_dealt_over_all_tasks(spark):
+    """Nine tenths of the rows are of years without a rule: no task of the join gets them all."""
+    df = spark.range(8000).selectExpr("id", "cast(if(id % 10 = 0, 2024, 1990 + id % 3) as int) as yr", "id % 7 as site", "make_date(cast(if(id % 10 = 0, 2024, 1990) as int), 1, 1) as day")
+    sites = spark.range(7).selectExpr("2024 as yr", "id as site", "id * 10 as rec")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for out in (mt.join_by_year(df, sites, "yr", {2024: ["site"]}, ["rec"]), mt.join_by_year(df, sites, "yr", {}, ["rec"]),
+                    st.resolve_by_year(df, sites, "day", {2024: {"site": "site"}}, {"rec": "rec"}, "yr", "keep")):
+            rows = out.withColumn("p", F.spark_partition_id()).collect()
+            sizes = {}
+            for r in rows:
+                sizes[r["p"]] = sizes.get(r["p"], 0) + 1
+            assert len(rows) == 8000 and max(sizes.values()) < 3000
+            if any(r["rec"] is not None for r in rows):
+                assert all(r["rec"] == (r["site"] * 10 if r["id"] % 10 == 0 else None) for r in rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -430,9 +430,10 @@ def join_by_year(df: DataFrame, sites: DataFrame, year: str, rules: Mapping[int,
     replaced.
 
     One equi-join on a struct key serves all rules (:func:`tidemark.operators.sites.rule_key`),
-    so ``df`` is read once whatever the number of years."""
+    so ``df`` is read once whatever the number of years; rows of years without a
+    rule are dealt over all tasks."""
     cols = list(cols)
-    left, right = rule_keys(df, F.col(year), sites, F.col(site_year or year), {y: {c: c for c in keys} for y, keys in rules.items()})
+    left, right = rule_keys(df, F.col(year), sites, F.col(site_year or year), {y: {c: c for c in keys} for y, keys in rules.items()}, spread=True)
     key, hit = f"__key_{uuid.uuid4().hex}", f"__hit_{uuid.uuid4().hex}"
     records = sites.select(right.alias(key), F.struct(*cols).alias(hit)).where(F.col(key).isNotNull()).groupBy(key).agg(F.min(hit).alias(hit))
     out = df.withColumn(key, left).join(records, key, "left")

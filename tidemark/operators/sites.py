@@ -65,26 +65,43 @@ def build_recovery_sites(df: DataFrame, years: Sequence[int] = (2024, 2025),
                     *[f"survey_date_{y}" for y in years])
 
 
-def rule_key(year: Column, fields: Mapping[str, Column], rules: Mapping[int, Sequence[str]]) -> Column:
+def rule_key(year: Column, fields: Mapping[str, Column], rules: Mapping[int, Sequence[str]], spread: Column | None = None) -> Column:
     """One struct key for the rules of all years: the year and the fields that its rule uses, NULL for the rest.
 
     Rows of one year meet by plain equality of the struct, in which NULL
     fields are equal; a row of a year without a rule has a NULL key and meets
-    none. Both tables of a join build it with the same field names and types."""
-    if not rules:
-        return F.lit(None).cast("struct<year:bigint>")
-    parts = [F.when(year.isin(*[y for y, used in rules.items() if name in used]), c).alias(name) for name, c in sorted(fields.items())]
-    return F.when(year.isin(*rules), F.struct(year.cast("bigint").alias("year"), *parts))
+    none. Both tables of a join build it with the same field names and types.
 
+    With ``spread`` (a non-NULL bigint) a row without a rule gets a key of that
+    number alone: it still meets none, as the number is NULL in every other
+    key, and such rows do not all land in one task of an outer join."""
+    no_number = F.lit(None).cast("bigint").alias("spread")
+    parts = [(name, F.when(year.isin(*[y for y, used in rules.items() if name in used]), c)) for name, c in sorted(fields.items())]
+    ruled = F.struct(year.cast("bigint").alias("year"), *[c.alias(name) for name, c in parts], no_number)
+    key = F.when(year.isin(*rules), ruled) if rules else F.lit(None).cast("struct<year:bigint,spread:bigint>")
+    if spread is None:
+        return key
+    # the fields are NULL here, as they are in no rule of the row's year
+    return F.coalesce(key, F.struct(F.lit(None).cast("bigint").alias("year"), *[c.alias(name) for name, c in parts], spread.cast("bigint").alias("spread")))
 
-def rule_keys(df: DataFrame, year: Column, sites: DataFrame, site_year: Column, rules: Mapping[int, Mapping[str, str]]) -> tuple[Column, Column]:
-    """The rule key over the data and over the site table, for rules year -> {data column: site column}."""
+
+def _row_hash(df: DataFrame) -> Column:
+    """A number of the row's values (of all columns that can be hashed)."""
+    names = [c for c, t in df.dtypes if "map<" not in t and "variant" not in t]
+    return F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in names]) if names else F.lit(0)
+
+
+def rule_keys(df: DataFrame, year: Column, sites: DataFrame, site_year: Column, rules: Mapping[int, Mapping[str, str]],
+              spread: bool = False) -> tuple[Column, Column]:
+    """The rule key over the data and over the site table, for rules year -> {data column: site column}.
+
+    ``spread``: data rows of years without a rule get keys of their own, for joins that keep them."""
     pairs = sorted({p for on in rules.values() for p in on.items()})
     data_types, site_types = dict(df.dtypes), dict(sites.dtypes)
     kinds = {p: common_type(df.sparkSession, data_types[p[0]], site_types[p[1]]) for p in pairs}
     used = {y: [f"k{pairs.index(p)}" for p in on.items()] for y, on in rules.items()}
     left, right = ({f"k{i}": F.col(f"`{p[side]}`").cast(kinds[p]) for i, p in enumerate(pairs)} for side in (0, 1))
-    return rule_key(year, left, used), rule_key(site_year, right, used)
+    return rule_key(year, left, used, _row_hash(df) if spread else None), rule_key(site_year, right, used)
 
 
 def resolve_by_year(df: DataFrame, sites: DataFrame, date_col: str, rules: Mapping[int, Mapping[str, str]],
@@ -99,7 +116,7 @@ def resolve_by_year(df: DataFrame, sites: DataFrame, date_col: str, rules: Mappi
     if unmatched not in ("drop", "keep"):
         raise ValueError("unmatched must be 'drop' or 'keep'")
     key = f"__key_{uuid.uuid4().hex}"
-    left, right = rule_keys(df, F.year(F.col(date_col)), sites, col_of(site_year), rules)
+    left, right = rule_keys(df, F.year(F.col(date_col)), sites, col_of(site_year), rules, spread=unmatched == "keep")
     s = sites.select(right.alias(key), *[F.col(src).alias(f"{key}_{i}") for i, src in enumerate(take.values())]).where(F.col(key).isNotNull())
     j = df.withColumn(key, left).join(s, key, "inner" if unmatched == "drop" else "left")
     return j.select(*[c for c in df.columns if c not in take], *[F.col(f"{key}_{i}").alias(name) for i, name in enumerate(take)])
