@@ -333,3 +333,34 @@ def test_vector_fit_by_strata_agrees_with_free_permutation(spark):
         assert abs(free[v]["r2"] - cut[v]["r2"]) < 1e-12
         assert abs(free[v]["p_value"] - cut[v]["p_value"]) < 0.08, v
     assert cut["strong"]["p_value"] == free["strong"]["p_value"] == 1 / 500
+
+
+def test_pair_sums_need_no_more_memory_for_more_rows():
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from tidemark.operators import community as cm
+
+    def batches(n):
+        for at in range(0, n, 1000):
+            ids = np.arange(at, at + 1000)
+            x = np.random.default_rng(at).standard_normal((1000, 32))
+            yield pa.RecordBatch.from_pydict({"__rank": pa.array(ids // 2), "__x": pa.array(list(x), pa.list_(pa.float64())), "__g": pa.array((ids % 2).astype(np.int32))})
+
+    def peak(n):
+        tracemalloc.start()
+        out = pa.Table.from_batches(cm._pair_sums(batches(n), np.array([n // 2, n // 2]), 32, 199, 5))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, most
+
+    out, small = peak(6_000)
+    x = np.concatenate([cm._matrix(pa.Table.from_batches([b])) for b in batches(6_000)])
+    ids = np.arange(6_000)
+    at = np.where(ids % 2 == 0, ids // 2, ids // 2 + 3_000)
+    for perm in (1, 64, 199):
+        want = x[cm.permuted_position(at, 6_000, perm, 5 + 1) < 3_000].sum(0)
+        assert np.allclose(out.column("s")[perm - 1].as_py(), want)
+    assert small < 40 << 20 and peak(60_000)[1] < 1.5 * small

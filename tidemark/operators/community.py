@@ -144,6 +144,9 @@ def _f_stat(sst, ssw, n, g):
 # prime modulus, a multiplier, an increment and the number of rounds.
 PERM_PRIME, PERM_MULT, PERM_ADD, PERM_ROUNDS = 2147483647, 630360016, 12345, 12
 
+#: Numbers that a task may hold as sums of pairs, and (row, permutation) cells it computes at a time.
+_HELD, _CELLS = 1 << 24, 1 << 14
+
 #: Groups whose sizes the driver may hold; more raise an error.
 MAX_GROUPS = 10_000
 
@@ -272,6 +275,50 @@ def permanova(df: DataFrame, group: str, cols: Sequence[str], permutations: int
 
 # ---------------------------------------------------------------- COM-4 ----
 
+def _pair_sums(batches, counts: np.ndarray, p: int, permutations: int, seed: int):
+    """Arrow batches of (a, b, perm, s): sums of the rows that permutation ``perm`` deals to the first group of each pair.
+
+    Rows come as (__g, __rank, __x). While the sums of all pairs are few, rows are
+    taken in small blocks and the sums go out once at the end; else in larger
+    blocks, so that sums go out less often. Positions are computed for about
+    ``_CELLS`` (row, permutation) cells at a time: memory does not grow with the rows."""
+    import pyarrow as pa
+
+    g = len(counts)
+    few = g * (g - 1) // 2 * permutations * p <= _HELD
+    held: dict[tuple[int, int], np.ndarray] = {}
+
+    def told(pairs):
+        for lo, hi in pairs:
+            sums = held.pop((lo, hi))
+            yield pa.RecordBatch.from_pydict({
+                "a": pa.array(np.full(permutations, lo, np.int32)), "b": pa.array(np.full(permutations, hi, np.int32)),
+                "perm": pa.array(np.arange(1, permutations + 1, dtype=np.int32)), "s": pa.array(list(sums), pa.list_(pa.float64())),
+            })
+
+    for block in _blocks(batches, max(1, (1 << 19) // p) if few else 1 << 16):
+        x, rank, own = _matrix(block), block.column("__rank").to_numpy(), block.column("__g").to_numpy()
+        for a in np.unique(own).tolist():
+            xa, ra = x[own == a], rank[own == a]
+            for b in range(g):
+                if a == b:
+                    continue
+                lo, hi = min(a, b), max(a, b)
+                n, first = int(counts[lo] + counts[hi]), int(counts[lo])
+                at = ra if a == lo else ra + first
+                sums = held.setdefault((lo, hi), np.zeros((permutations, p)))
+                for r in range(0, len(at), _CELLS):
+                    some, step = at[r : r + _CELLS], max(1, _CELLS // len(at))
+                    for k in range(1, permutations + 1, step):
+                        perms = np.arange(k, min(permutations, k + step - 1) + 1)
+                        took = permuted_position(some[None, :], n, perms[:, None], seed + lo * g + hi) < first
+                        sums[k - 1 : k - 1 + len(perms)] += took @ xa[r : r + _CELLS]
+                # a task's sums go out when they are many, else once at its end
+                if len(held) * permutations * p > _HELD:
+                    yield from told(list(held))
+    yield from told(list(held))
+
+
 def pairwise_permanova(df: DataFrame, group: str, cols: Sequence[str], permutations: int = 999,
                        seed: int = 123, id_col: str | None = None) -> DataFrame:
     """PERMANOVA for every pair of groups with Bonferroni-adjusted p.
@@ -308,38 +355,7 @@ def pairwise_permanova(df: DataFrame, group: str, cols: Sequence[str], permutati
         _shipped(df)
 
         def partial(batches):
-            import pyarrow as pa
-
-            held: dict[tuple[int, int], np.ndarray] = {}
-
-            def told(pairs):
-                for lo, hi in pairs:
-                    sums = held.pop((lo, hi))
-                    yield pa.RecordBatch.from_pydict({
-                        "a": pa.array(np.full(permutations, lo, np.int32)), "b": pa.array(np.full(permutations, hi, np.int32)),
-                        "perm": pa.array(np.arange(1, permutations + 1, dtype=np.int32)), "s": pa.array(list(sums), pa.list_(pa.float64())),
-                    })
-
-            for block in _blocks(batches):
-                x, rank, own = _matrix(block), block.column("__rank").to_numpy(), block.column("__g").to_numpy()
-                for a in np.unique(own).tolist():
-                    xa, ra = x[own == a], rank[own == a]
-                    step = max(1, (1 << 22) // len(xa))
-                    for b in range(g):
-                        if a == b:
-                            continue
-                        lo, hi = min(a, b), max(a, b)
-                        n, first = int(counts[lo] + counts[hi]), int(counts[lo])
-                        at = ra if a == lo else ra + first
-                        sums = held.setdefault((lo, hi), np.zeros((permutations, p)))
-                        for k in range(1, permutations + 1, step):
-                            perms = range(k, min(permutations, k + step - 1) + 1)
-                            took = np.stack([permuted_position(at, n, perm, seed + lo * g + hi) < first for perm in perms])
-                            sums[k - 1 : k - 1 + len(perms)] += took @ xa
-                        # a task's sums go out when they are many, else once at its end
-                        if len(held) * permutations * p > 1 << 24:
-                            yield from told(list(held))
-            yield from told(list(held))
+            return _pair_sums(batches, counts, p, permutations, seed)
 
         part = rows.mapInArrow(partial, "a int, b int, perm int, s array<double>")
         sums1 = part.select("a", "b", "perm", F.posexplode("s").alias("j", "v")).groupBy("a", "b", "perm", "j").agg(F.sum("v").alias("v"))
