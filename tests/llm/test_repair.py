@@ -69,3 +69,17 @@ def test_null_ids_and_no_rows(spark):
     assert [(r.doc_id, r.start, r.n_tokens) for r in got] == [(None, 0, 2), (None, 2, 2), (3, 4, 2)]
     empty = repair.write_shards(df.where("false"), PATH, end_id=2)
     assert empty.count() == 0 and repair.read_documents(empty).count() == 0
+
+
+def test_encoder_is_loaded_once_in_a_worker():
+    assert repair.encoder(PATH) is repair.encoder(PATH)
+
+
+def test_ranges_of_long_expansions():
+    x = np.concatenate((np.tile(np.arange(90, dtype=np.uint32), 300), np.arange(200, 260, dtype=np.uint32), np.full(5000, 7, np.uint32)))
+    out = io.BytesIO()
+    repair.dump(out, [1], [len(x)], x)
+    shard = repair.Shard(io.BytesIO(out.getvalue()))
+    assert shard.length.max() > shard.SHORT and len(shard.table) < shard.first + shard.SHORT * len(shard.rules) + 1
+    for a, b in ((0, len(x)), (3, 4), (89, 12_345), (26_990, 27_080), (len(x) - 1, len(x)), (5, 5)):
+        assert shard.ids(a, b).tolist() == x[a:b].tolist()

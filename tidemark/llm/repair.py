@@ -82,6 +82,16 @@ class LibraryEncoder:
         return out
 
 
+_LOADED: dict[str, LibraryEncoder] = {}
+
+
+def encoder(path: str) -> LibraryEncoder:
+    """The encoder of a vocabulary file, loaded once in a Python worker; its answers serve all tasks of the worker."""
+    if path not in _LOADED:
+        _LOADED[path] = LibraryEncoder(path)
+    return _LOADED[path]
+
+
 def compress(ids: np.ndarray, first: int, min_count: int = 8, fall: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Re-Pair: (sequence, rules as n x 2, expansion lengths); nonterminal ``first + k`` stands for rule k."""
     seq = ids.astype(np.uint32)
@@ -144,14 +154,19 @@ def compress(ids: np.ndarray, first: int, min_count: int = 8, fall: int = 8) ->
 
 def expand(seq: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
     while len(seq) and (big := seq >= first).any():
-        at = np.arange(len(seq)) + np.concatenate(([0], np.cumsum(big)[:-1]))
-        out = np.empty(len(seq) + int(big.sum()), np.uint32)
-        out[at[~big]] = seq[~big]
-        out[at[big]], out[at[big] + 1] = rules[seq[big] - first].T
-        seq = out
+        seq = expand_once(seq, big, rules, first)
     return seq
 
 
+def expand_once(seq: np.ndarray, big: np.ndarray, rules: np.ndarray, first: int) -> np.ndarray:
+    """The sequence with the marked nonterminals replaced by their rules' two symbols."""
+    at = np.arange(len(seq)) + np.concatenate(([0], np.cumsum(big)[:-1]))
+    out = np.empty(len(seq) + int(big.sum()), np.uint32)
+    out[at[~big]] = seq[~big]
+    out[at[big]], out[at[big] + 1] = rules[seq[big] - first].T
+    return out
+
+
 def dump(out, doc_ids: list[int | None], sizes: list[int], ids: np.ndarray) -> None:
     """Write one shard file."""
     first = int(ids.max()) + 1 if len(ids) else 1
@@ -165,7 +180,12 @@ def dump(out, doc_ids: list[int | None], sizes: list[int], ids: np.ndarray) -> N
 
 
 class Shard:
-    """Random access to one shard file."""
+    """Random access to one shard file.
+
+    Expansions of up to ``SHORT`` ids are written out once, so that most
+    symbols are copied instead of being rewritten rule by rule."""
+
+    SHORT = 64
 
     def __init__(self, file):
         if file.read(8) != MAGIC:
@@ -181,6 +201,10 @@ class Shard:
         ids, null = take("<i8", n), take("u1", n)
         self.doc_ids = [None if z else int(d) for d, z in zip(ids, null, strict=True)]
         self.ends = np.cumsum(self.length[self.seq], dtype=np.int64)
+        short = np.flatnonzero(self.length[self.first :] <= self.SHORT) + self.first  # a short rule holds short rules only
+        self.table = np.concatenate((np.arange(self.first, dtype=np.uint32), expand(short.astype(np.uint32), self.rules, self.first)))
+        self.begin = np.arange(len(self.length))
+        self.begin[short] = self.first + np.cumsum(self.length[short], dtype=np.int64) - self.length[short]
 
     def ids(self, start: int, end: int) -> np.ndarray:
         """Ids ``start`` (inclusive) to ``end`` (exclusive) of the shard."""
@@ -188,7 +212,12 @@ class Shard:
             return np.zeros(0, np.uint32)
         a, b = np.searchsorted(self.ends, [start, end - 1], side="right")
         skip = start - (int(self.ends[a - 1]) if a else 0)
-        return expand(self.seq[a : b + 1].astype(np.uint32), self.rules, self.first)[skip : skip + end - start]
+        seq = self.seq[a : b + 1].astype(np.uint32)
+        while (long := self.length[seq] > self.SHORT).any():
+            seq = expand_once(seq, long, self.rules, self.first)
+        size = self.length[seq].astype(np.int64)
+        at = np.repeat(self.begin[seq] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        return self.table[at[skip : skip + end - start]]
 
     def document(self, k: int) -> np.ndarray:
         return self.ids(int(self.offsets[k]), int(self.offsets[k + 1]))
@@ -209,7 +238,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str
     rows = rows.withColumn("h", F.xxhash64("text")).repartitionByRange("doc", "h").sortWithinPartitions("doc", "h", "text").drop("h").withColumn("part", F.spark_partition_id())
 
     def write(batches):
-        enc = LibraryEncoder(tokenizer_path)
+        enc = encoder(tokenizer_path)
         names, sizes, held, total, shard, part = [], [], [], 0, 0, 0
         end = np.array([end_id], np.uint32)
 
