@@ -5,11 +5,13 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tidemark.llm import repair
+from tidemark.llm.bpe_segtree import PLAIN_PATTERN, _char_classes, cuts_plain
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -83,3 +85,75 @@ def test_ranges_of_long_expansions():
     assert shard.length.max() > shard.SHORT and len(shard.table) < shard.first + shard.SHORT * len(shard.rules) + 1
     for a, b in ((0, len(x)), (3, 4), (89, 12_345), (26_990, 27_080), (len(x) - 1, len(x)), (5, 5)):
         assert shard.ids(a, b).tolist() == x[a:b].tolist()
+
+
+def _words(count):
+    rnd = np.random.default_rng(5)
+    return ["".join(chr(97 + c) for c in rnd.integers(0, 26, rnd.integers(2, 40))) for _ in range(count)]
+
+
+def test_rounds_sort_only_places_that_may_be_frequent(monkeypatch):
+    rnd = np.random.default_rng(3)
+    phrases = rnd.integers(0, 5000, (300, 12))
+    x = np.concatenate([phrases[i] if i < 300 else rnd.integers(0, 5000, 12) for i in rnd.integers(0, 600, 5000)]).astype(np.uint32)
+    sorted_, plain = [], np.sort
+    monkeypatch.setattr(repair.np, "sort", lambda a, *k, **kw: sorted_.append(len(a)) or plain(a, *k, **kw))
+    seq, rules, _ = repair.compress(x, 5000)
+    assert repair.expand(seq, rules, 5000).tolist() == x.tolist()
+    assert len(sorted_) > 6 and sum(sorted_) < 3 * len(x)
+
+
+def test_symbols_beyond_sixteen_bits():
+    x = np.tile(np.arange(65_500, 65_560, dtype=np.uint32), 40)
+    for first in (65_560, 65_530):  # rules cross the limit, ids do
+        y = x if first > 65_559 else x - 30
+        seq, rules, _ = repair.compress(y, first)
+        assert repair.expand(seq, rules, first).tolist() == y.tolist() and len(seq) < 100
+
+
+PARTS = ["'", "'s", "'re", "'ll", "'ve", "'d", "s", "l", " ", "  ", "\n", "a", "漢字", "1", "!", "\t", "é", "rex", "😀", "\x1c", " Heinges", "x" * 30, "<|endoftext|>"]
+TEXTS = st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), min_size=1, max_size=6)
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS)
+def test_cuts_match_the_pattern(texts):
+    joined = "".join(texts)
+    cut = cuts_plain(np.frombuffer(joined.encode("utf-32-le"), np.uint32), _classes, np.cumsum([len(t) for t in texts])).tolist()
+    assert [joined[a:b] for a, b in zip(cut, [*cut, len(joined)][1:], strict=True)] == [p for t in texts for p in regex.findall(PLAIN_PATTERN, t)]
+
+
+_classes = _char_classes()
+
+
+@settings(max_examples=100, deadline=None)
+@given(TEXTS)
+def test_encoder_matches_the_library(texts):
+    small = repair.encoder(PATH)
+    assert [x.tolist() for x in small.encode(texts)] == [e.ids for e in small.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_encoder_forgets_and_learns_again():
+    enc = repair.LibraryEncoder(PATH, memory=50)
+    words = _words(400)
+    for a in range(0, 400, 40):
+        texts = [" ".join(words[a : a + 20]), "\n".join(words[a : a + 40]), "", words[a]]
+        assert [x.tolist() for x in enc.encode(texts)] == [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert enc.held.rows <= 120
+
+
+def test_new_pre_tokens_go_to_the_library_together(monkeypatch):
+    enc = repair.LibraryEncoder(PATH)
+    words = _words(5000)
+    asked, library = [], enc._library
+    monkeypatch.setattr(enc, "_library", lambda texts: asked.extend(texts) or library(texts))
+    got = enc.encode([" ".join(words), " ".join(words[::-1])])
+    assert len(asked) < 50 and sum(map(len, asked)) < 1.2 * len(" ".join(words))
+    assert got[0].tolist() == enc.tokenizer.encode(" ".join(words), add_special_tokens=False).ids
+
+
+def test_files_share_reading_tasks(spark):
+    df = spark.range(400).selectExpr("id as doc_id", "repeat(concat('word ', id), 5) as text")
+    manifest = repair.write_shards(df, PATH, end_id=2, shard_ids=100)
+    files = manifest.count()
+    assert files > 20 and repair.read_documents(manifest).rdd.getNumPartitions() <= files // 2

@@ -218,6 +218,44 @@ def split_plain(text: str, classes: np.ndarray) -> list[str]:
     return [text[a:b] for a, b in zip(cut, [*cut[1:], len(text)], strict=True)]
 
 
+def cuts_plain(code: np.ndarray, classes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Starts of the matches of ``PLAIN_PATTERN`` in texts that lie one behind the other, from the runs of character classes.
+
+    ``code`` holds the code points, ``ends`` the end of each text; apostrophes may occur.
+    """
+    if not len(code):
+        return np.zeros(0, np.int64)
+    kind = classes[code]
+    change = np.ones(len(code) + 1, bool)
+    change[1:-1] = kind[1:] != kind[:-1]
+    change[ends] = True
+    start = np.flatnonzero(change)
+    start, end = start[:-1], start[1:]
+    last = np.zeros(len(code) + 1, bool)
+    last[ends] = True
+    space = kind[start] == _SPACE
+    follows = ~last[end]
+    blank = code[end - 1] == 32
+    long = end - start > 1
+    # the last white space before a run: a blank joins the run, anything else is a piece of its own
+    lead = np.zeros(len(start), bool)
+    lead[1:] = (space & blank & follows)[:-1]
+    begin = start - lead
+    # a contraction: an apostrophe alone, without a blank, takes the first letters of the run behind it
+    mark = np.flatnonzero((code[start] == 39) & ~long & ~lead & follows)
+    run, whole = mark + 1, np.zeros(len(start), bool)
+    if len(run):
+        here, room = start[run], end[run] - start[run]
+        one, two = code[here], code[np.minimum(here + 1, len(code) - 1)]
+        single = np.isin(one, [ord(c) for c in "stmd"])
+        double = ((one == ord("l")) & (two == ord("l"))) | (np.isin(one, [ord("r"), ord("v")]) & (two == ord("e")))
+        taken = np.where(single, 1, np.where(double & (room > 1), 2, 0))
+        begin[run] += taken
+        whole[run] = (taken > 0) & (taken == room)
+    cuts = [begin[~space & ~whole], start[space & (long | ~blank | ~follows)], (end - 1)[space & follows & long & ~blank]]
+    return np.sort(np.concatenate(cuts))
+
+
 class ByteBPE:
     """Encoder and decoder of one rank file and split pattern.
 

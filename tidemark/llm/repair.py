@@ -22,27 +22,119 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import fsio
-from .bpe_segtree import PLAIN_PATTERN, _char_classes, split_plain
+from .bpe_segtree import _SPACE as SPACE
+from .bpe_segtree import _char_classes, cuts_plain
 from .common import run_dir, spread, written
 
 MAGIC = b"TMRPAIR1"
 
 
+class Answers:
+    """Ids of pre-tokens, found for many at once.
+
+    The bytes of a pre-token, padded to three words, and its length make a key
+    of four words; keys stand in rows, found by open addressing, beside the
+    place of their ids in a pool. Longer pre-tokens have a dict.
+    """
+
+    WORDS = 3
+
+    def __init__(self, most: int):
+        bits = max(8, (2 * most).bit_length())
+        self.shift, self.last = np.uint64(64 - bits), (1 << bits) - 1
+        self.slots = np.full(1 << bits, -1, np.int32)
+        self.rows, self.used = 0, 0
+        self.keys = np.zeros((1024, self.WORDS + 1), np.uint64)
+        self.begin, self.count = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+        self.pool = np.zeros(4096, np.uint32)
+        self.long: dict[bytes, int] = {}
+
+    def _keys(self, data: bytes, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        raw = np.frombuffer(data + bytes(8 * self.WORDS), np.uint8)
+        words = np.ndarray(len(raw) - 7, "<u8", raw, strides=(1,))
+        mask = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+        out = np.zeros((len(at), self.WORDS + 1), np.uint64)
+        for k in range(self.WORDS):
+            if not k:
+                out[:, 0] = words[at] & mask[np.minimum(size, 8)]
+            else:
+                more = np.flatnonzero(size > 8 * k)
+                out[more, k] = words[at[more] + 8 * k] & mask[np.minimum(size[more] - 8 * k, 8)]
+        out[:, self.WORDS] = size
+        return out
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        h = keys[:, 0].copy()
+        for k in range(1, self.WORDS + 1):
+            h = (h ^ h >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15) + keys[:, k]
+        h = (h ^ h >> np.uint64(32)) * np.uint64(0xD6E8FEB86659FD93)
+        return (h >> self.shift).astype(np.int64)
+
+    def find(self, data: bytes, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The row of each pre-token ``data[at : at + size]``; -1: not held."""
+        out = np.full(len(at), -1, np.int64)
+        for i in np.flatnonzero(size > 8 * self.WORDS).tolist():
+            out[i] = self.long.get(data[at[i] : at[i] + size[i]], -1)
+        rest = np.flatnonzero(size <= 8 * self.WORDS)
+        keys = self._keys(data, at[rest], size[rest])
+        slot = self._home(keys)
+        while len(rest):
+            row = self.slots[slot]
+            held = self.keys.take(row, axis=0, mode="wrap")
+            hit = row >= 0
+            for k in range(self.WORDS + 1):
+                hit &= held[:, k] == keys[:, k]
+            out[rest[hit]] = row[hit]
+            on = np.flatnonzero((row >= 0) & ~hit)
+            rest, keys, slot = rest[on], keys[on], (slot[on] + 1) & self.last
+        return out
+
+    def add(self, names: list[bytes], ids: np.ndarray, count: np.ndarray) -> None:
+        """Hold the ids of different pre-tokens not held yet: ``count`` of ``ids`` each, one after the other."""
+        end, used = self.rows + len(names), self.used + len(ids)
+        size = np.fromiter(map(len, names), np.int64, len(names))
+        grown = lambda x, n: x if n <= len(x) else np.concatenate((x, np.zeros((max(n, 2 * len(x)) - len(x), *x.shape[1:]), x.dtype)))
+        self.keys, self.begin, self.count = (grown(x, end) for x in (self.keys, self.begin, self.count))
+        self.pool = grown(self.pool, used)
+        row = np.arange(self.rows, end)
+        self.pool[self.used : used] = ids
+        self.count[row] = count
+        self.begin[row] = self.used + np.cumsum(count) - count
+        short = size <= 8 * self.WORDS
+        self.long.update((names[i], self.rows + i) for i in np.flatnonzero(~short).tolist())
+        keys = self._keys(b"".join(names), (np.cumsum(size) - size)[short], size[short])
+        row = row[short]
+        self.keys[row] = keys
+        slot = self._home(keys)
+        while len(row):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = row[free]  # of several for one slot the last stays
+            on = self.slots[slot] != row
+            row, slot = row[on], (slot[on] + 1) & self.last
+        self.rows, self.used = end, used
+
+    def ids(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the rows, one after the other, and how many each row has."""
+        count = self.count[row]
+        at = np.repeat(self.begin[row] - (np.cumsum(count) - count), count)
+        at += np.arange(len(at))
+        return self.pool[at], count
+
+
 class LibraryEncoder:
     """Ids of whole texts by the tokenizers library, without special tokens added.
 
     For a byte-level BPE file without normalizer the library encodes each
     pre-token by itself, so its answers for pre-tokens are kept (at most
-    ``memory``) and joined; texts that hold an added token's string, and files
-    of other kinds, go to the library whole.
+    ``memory``, and ``pool`` ids) and joined; texts that hold an added token's
+    string, and files of other kinds, go to the library whole.
     """
 
-    def __init__(self, path: str, memory: int = 600_000):
+    def __init__(self, path: str, memory: int = 1_200_000, pool: int = 1 << 24):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -55,30 +147,87 @@ class LibraryEncoder:
             and not pre.get("add_prefix_space") and spec["model"].get("type") == "BPE" and not spec["model"].get("dropout")
         )
         self.added = [t["content"] for t in spec.get("added_tokens", [])]
-        self.memory, self.held = memory, {}
-        self.classes = _char_classes() if self.by_piece else None
-        self.pattern = regex.compile(PLAIN_PATTERN)
-
-    def _split(self, text: str) -> list[str]:
-        return self.pattern.findall(text) if "'" in text or not text else split_plain(text, self.classes)
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        self.memory, self.pool = memory, pool
+        if self.by_piece:
+            self.held = Answers(memory)
+            self.classes = _char_classes()
+            vocab = self.tokenizer.get_vocab()
+            self.width = np.zeros(max(vocab.values(), default=-1) + 1, np.int64)  # bytes of a token: its string has a character for each
+            for token, i in vocab.items():
+                self.width[i] = len(token)
+
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _ask(self, names: list[bytes], between: str | None, step: int = 256) -> None:
+        """Learn the library's ids of pre-tokens, ``step`` to a text with ``between`` after each (None: one by one).
+
+        Tokens do not cross pre-tokens, so their widths tell where each ends; where that fails it is one by one.
+        """
+        if not names:
+            return
+        if between is not None:
+            mark = between.encode()
+            texts = [b"".join([n + mark for n in names[a : a + step]]).decode() for a in range(0, len(names), step)]
+            ids = np.concatenate(self._library(texts))
+            size = np.fromiter(map(len, names), np.int64, len(names))
+            ends = np.cumsum(np.stack((size, np.full(len(size), len(mark))), 1).ravel()) if mark else np.cumsum(size)
+            reach = np.cumsum(self.width[ids])
+            last = np.searchsorted(reach, ends)
+            if not any(a in t for a in self.added for t in texts) and len(reach) and reach[-1] == ends[-1] and (reach[last] == ends).all():
+                count = np.diff(last, prepend=-1)
+                if mark:
+                    ids = ids[np.repeat(np.arange(len(count)) % 2 == 0, count)]
+                    count = count[::2]
+                return self.held.add(names, ids, count)
+        parts = self._library([n.decode() for n in names])
+        self.held.add(names, np.concatenate(parts), np.array([len(x) for x in parts]))
+
+    def _pieces(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts without added tokens."""
+        joined = "".join(texts)
+        code = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        data = joined.encode()
+        ends = np.cumsum([len(t) for t in texts])
+        cut = cuts_plain(code, self.classes, ends)
+        at = cut
+        if len(data) > len(code):
+            wide = np.cumsum(1 + (code > 0x7F) + (code > 0x7FF) + (code > 0xFFFF), dtype=np.int64)
+            at = np.concatenate(([0], wide))[cut]
+        size = np.diff(at, append=len(data))
+        row = self.held.find(data, at, size)
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            names = lambda i: list({data[a:b] for a, b in zip(at[i].tolist(), (at[i] + size[i]).tolist(), strict=True)})
+            if self.held.rows + len(new) > self.memory or self.held.used > self.pool:
+                new = np.arange(len(at))
+                self.held = Answers(max(self.memory, len(new)))
+            # a blank and a run follow each other in a text as they are, other runs with line feeds between
+            space = self.classes[code[cut[new]]] == SPACE
+            blank = space & (code[cut[new]] == 32) & (size[new] > 1)
+            blank[blank] = self.classes[code[cut[new[blank]] + 1]] != SPACE
+            self._ask(names(new[blank]), "")
+            self._ask(names(new[~space]), "\n")
+            self._ask(names(new[space & ~blank]), None)
+            row[new] = self.held.find(data, at[new], size[new])
+        ids, count = self.held.ids(row)
+        upto = np.concatenate(([0], np.cumsum(count)))[np.searchsorted(cut, ends)]
+        return np.split(ids, upto[:-1])
+
+    def encode(self, texts: list[str], run_chars: int = 1 << 20) -> list[np.ndarray]:
         out: list[np.ndarray | None] = [None] * len(texts)
         whole = [i for i, t in enumerate(texts) if not self.by_piece or any(a in t for a in self.added)]
-        for i, e in zip(whole, self.tokenizer.encode_batch_fast([texts[i] for i in whole], add_special_tokens=False), strict=True):
-            out[i] = np.array(e.ids, dtype=np.uint32)
+        for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
+            out[i] = ids
+        run, chars = [], 0
         rest = [i for i, x in enumerate(out) if x is None]
-        cut = [self._split(texts[i]) for i in rest]
-        new = {p for pieces in cut for p in pieces if p not in self.held}
-        if len(new) + len(self.held) > self.memory:
-            self.held.clear()
-            new = {p for pieces in cut for p in pieces}
-        if new:
-            names = list(new)
-            for p, e in zip(names, self.tokenizer.encode_batch_fast(names, add_special_tokens=False), strict=True):
-                self.held[p] = np.array(e.ids, dtype="<u4").tobytes()
-        for i, pieces in zip(rest, cut, strict=True):
-            out[i] = np.frombuffer(b"".join([self.held[p] for p in pieces]), dtype="<u4")
+        for i in rest:
+            run.append(i)
+            chars += len(texts[i])
+            if chars >= run_chars or i == rest[-1]:
+                for k, ids in zip(run, self._pieces([texts[k] for k in run]), strict=True):
+                    out[k] = ids
+                run, chars = [], 0
         return out
 
 
@@ -93,13 +242,31 @@ def encoder(path: str) -> LibraryEncoder:
 
 
 def compress(ids: np.ndarray, first: int, min_count: int = 8, fall: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Re-Pair: (sequence, rules as n x 2, expansion lengths); nonterminal ``first + k`` stands for rule k."""
+    """Re-Pair: (sequence, rules as n x 2, expansion lengths); nonterminal ``first + k`` stands for rule k.
+
+    The symbols left are a linked list. A pair of old symbols is never formed
+    anew, so one that is too rare once stays so: a round counts only places
+    that were frequent before or that the last rounds changed.
+    """
     seq = ids.astype(np.uint32)
+    size = len(seq)
+    nxt, prv = np.arange(1, size + 1), np.arange(-1, size)
+    open_ = np.ones(size + 1, bool)  # places whose pair may be frequent; the slot behind the last is for no place
+    gone = np.zeros(size, bool)
     rules: list[np.ndarray] = []
     made = 0
     threshold = None
-    while len(seq) > 1:
-        key = seq[:-1].astype(np.uint64) << np.uint64(32) | seq[1:]
+    while size:
+        open_[prv[size]] = open_[size] = False
+        at = np.flatnonzero(open_)
+        if not len(at):
+            break
+        # both symbols of a pair in one number, of 32 bits as long as they fit
+        word, half, odd = (np.uint32, 16, 0x9E3779B1) if first + made <= 1 << 16 else (np.uint64, 32, 0x9E3779B97F4A7C15)
+        slot = lambda k, bits: (k * word(odd) >> word(2 * half - bits)).astype(np.int64)  # noqa: B023, E731
+        key = (seq[at] if made else seq[:-1]).astype(word)
+        key <<= word(half)
+        key |= seq[nxt[at]] if made else seq[1:]
         order = np.sort(key)
         edge = np.flatnonzero(np.concatenate(([True], order[1:] != order[:-1])))
         count = np.diff(np.append(edge, len(order)))
@@ -107,27 +274,32 @@ def compress(ids: np.ndarray, first: int, min_count: int = 8, fall: int = 8) ->
         threshold = max(min_count, min(most, threshold or most) // fall)
         if most < min_count:
             break
+        if 4 * count[count >= min_count].sum() < 3 * len(at):  # places of rare pairs drop out, but for those that share a slot
+            bits = max(8, len(at).bit_length())
+            home = slot(key, bits)
+            enough = (np.bincount(home, minlength=1 << bits) >= min_count)[home]
+            open_[at[~enough]] = False
+            at, key = at[enough], key[enough]
         often = np.flatnonzero(count >= threshold)
         often = often[np.argsort(-count[often], kind="stable")]
         pairs = order[edge[often]]
         # table of the chosen pairs; of two that meet in a slot the more frequent stays, the other waits for a later round
         bits = max(8, int(len(pairs) * 8).bit_length())
-        slot = lambda k: (k * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)  # noqa: B023, E731
         own = np.full(1 << bits, -1, np.int64)
-        own[slot(pairs)[::-1]] = np.arange(len(pairs))[::-1]
-        rank = own[slot(key)]
-        rank[(rank >= 0) & (pairs[rank] != key)] = -1
+        own[slot(pairs, bits)[::-1]] = np.arange(len(pairs))[::-1]
+        rank = own[slot(key, bits)]
+        held = np.flatnonzero((rank >= 0) & (pairs[rank] == key))
+        at, rank = at[held], rank[held]
         # of overlapping occurrences the more frequent pair wins; in a run of one pair every other one
-        mark = np.where(rank < 0, len(pairs), rank)
-        same = np.concatenate(([False], (mark[1:] == mark[:-1]) & (rank[1:] >= 0)))
-        at = np.arange(len(mark))
-        begin = np.maximum.accumulate(np.where(same, 0, at))
-        left = np.concatenate(([len(pairs)], mark[:-1]))[begin]
-        final = np.concatenate((~same[1:], [True]))
-        right = np.concatenate((mark[1:], [len(pairs)]))
-        take = (rank >= 0) & ((at - begin) % 2 == 0) & ((begin < at) | (mark < left)) & (~final | (mark < right))
+        beside = nxt[at[:-1]] == at[1:]
+        left = np.concatenate(([len(pairs)], np.where(beside, rank[:-1], len(pairs))))
+        right = np.concatenate((np.where(beside, rank[1:], len(pairs)), [len(pairs)]))
+        same, final = left == rank, right != rank
+        here = np.arange(len(at))
+        begin = np.maximum.accumulate(np.where(same, 0, here))
+        take = ((here - begin) % 2 == 0) & ((begin < here) | (rank < left)) & (~final | (rank < right))
         used = np.bincount(rank[take], minlength=len(pairs))
-        take &= used[np.maximum(rank, 0)] >= 2
+        take &= used[rank] >= 2
         chosen = np.flatnonzero(used >= 2)
         if not len(chosen):
             if threshold <= min_count:
@@ -135,14 +307,17 @@ def compress(ids: np.ndarray, first: int, min_count: int = 8, fall: int = 8) ->
             continue
         name = np.full(len(pairs), 0, np.uint32)
         name[chosen] = first + made + np.arange(len(chosen), dtype=np.uint32)
-        rules.append(np.stack([pairs[chosen] >> np.uint64(32), pairs[chosen] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32))
+        rules.append(np.stack([pairs[chosen] >> word(half), pairs[chosen] & word((1 << half) - 1)], 1).astype(np.uint32))
         made += len(chosen)
-        seq = seq.copy()
-        hit = np.flatnonzero(take)
-        seq[hit] = name[rank[hit]]
-        gone = np.ones(len(seq), bool)
-        gone[hit + 1] = False
-        seq = seq[gone]
+        hit = at[take]
+        drop = nxt[hit]
+        seq[hit] = name[rank[take]]
+        gone[drop] = True
+        nxt[hit] = nxt[drop]
+        prv[nxt[hit]] = hit
+        open_[drop] = False
+        open_[hit] = open_[prv[hit]] = True
+    seq = seq[~gone]
     table = np.concatenate(rules) if rules else np.zeros((0, 2), np.uint32)
     length = np.ones(first + made, np.uint32)
     start = 0
@@ -283,7 +458,8 @@ def starts(manifest: DataFrame) -> DataFrame:
 
 def read_documents(manifest: DataFrame, group: int = 32) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files ``group`` documents at a time."""
-    rows = spread(starts(manifest).select("uri", "start"), "uri")
+    # a file is read in less time than a task takes to start
+    rows = spread(starts(manifest).select("uri", "start"), "uri", rows=-(-manifest.count() // 8))
 
     def read(batches):
         for batch in batches:
