@@ -111,7 +111,7 @@ def test_symbols_beyond_sixteen_bits():
         assert repair.expand(seq, rules, first).tolist() == y.tolist() and len(seq) < 100
 
 
-PARTS = ["'", "'s", "'re", "'ll", "'ve", "'d", "s", "l", " ", "  ", "\n", "a", "漢字", "1", "!", "\t", "é", "rex", "😀", "\x1c", " Heinges", "x" * 30, "<|endoftext|>"]
+PARTS = ["'", "'s", "'re", "'ll", "'ve", "'d", "s", "l", " ", "  ", "\n", "a", "漢字", "1", "!", "\t", "é", "rex", "😀", "\x1c", " Heinges", "x" * 30, "b c", "<|endoftext|>"]
 TEXTS = st.lists(st.lists(st.sampled_from(PARTS), max_size=12).map("".join), min_size=1, max_size=6)
 
 
@@ -129,8 +129,10 @@ _classes = _char_classes()
 @settings(max_examples=100, deadline=None)
 @given(TEXTS)
 def test_encoder_matches_the_library(texts):
-    small = repair.encoder(PATH)
-    assert [x.tolist() for x in small.encode(texts)] == [e.ids for e in small.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    enc = repair.encoder(PATH)
+    want = [e.ids for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+    for run_chars in (1, 7, 1 << 20):  # long texts are encoded in parts
+        assert [x.tolist() for x in enc.encode(texts, run_chars)] == want
 
 
 def test_encoder_forgets_and_learns_again():

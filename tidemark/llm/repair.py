@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import zlib
 
@@ -125,6 +126,33 @@ class Answers:
         return self.pool[at], count
 
 
+#: Fixed value: a pre-token of ``PLAIN_PATTERN`` always starts at the blank.
+_BLANK = re.compile("[!-~](?= [!-~])")
+
+
+def _parts(text: str, size: int):
+    """A text in parts of about ``size`` characters, cut where a pre-token starts (nowhere, if there is no such place)."""
+    at = 0
+    while len(text) - at > size and (found := _BLANK.search(text, at + size)):
+        yield text[at : found.end()]
+        at = found.end()
+    yield text[at:]
+
+
+def _runs(texts: list[str], size: int):
+    """The parts of texts as (number of the text, part), in lists of about ``size`` characters."""
+    run, chars = [], 0
+    for i, text in enumerate(texts):
+        for part in _parts(text, size):
+            run.append((i, part))
+            chars += len(part)
+            if chars >= size:
+                yield run
+                run, chars = [], 0
+    if run:
+        yield run
+
+
 class LibraryEncoder:
     """Ids of whole texts by the tokenizers library, without special tokens added.
 
@@ -219,15 +247,13 @@ class LibraryEncoder:
         whole = [i for i, t in enumerate(texts) if not self.by_piece or any(a in t for a in self.added)]
         for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        run, chars = [], 0
         rest = [i for i, x in enumerate(out) if x is None]
-        for i in rest:
-            run.append(i)
-            chars += len(texts[i])
-            if chars >= run_chars or i == rest[-1]:
-                for k, ids in zip(run, self._pieces([texts[k] for k in run]), strict=True):
-                    out[k] = ids
-                run, chars = [], 0
+        got: dict[int, list[np.ndarray]] = {i: [] for i in rest}
+        for run in _runs([texts[i] for i in rest], run_chars):
+            for (k, _), ids in zip(run, self._pieces([part for _, part in run]), strict=True):
+                got[rest[k]].append(ids)
+        for i, parts in got.items():
+            out[i] = parts[0] if len(parts) == 1 else np.concatenate(parts)
         return out
 
 
