@@ -296,7 +296,7 @@ def _pair_sums(batches, counts: np.ndarray, p: int, permutations: int, seed: int
                 "perm": pa.array(np.arange(1, permutations + 1, dtype=np.int32)), "s": pa.array(list(sums), pa.list_(pa.float64())),
             })
 
-    for block in _blocks(batches, max(1, (1 << 19) // p) if few else 1 << 16):
+    for block in _blocks(batches, max(1, (1 << 17) // p) if few else 1 << 16):
         x, rank, own = _matrix(block), block.column("__rank").to_numpy(), block.column("__g").to_numpy()
         for a in np.unique(own).tolist():
             xa, ra = x[own == a], rank[own == a]
